@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import extract as X
+from .operators import paging as P
 from .sources import tables as T
 from .sources.views_sql import TARGET_CURSOR_SQL, with_views
 
@@ -177,6 +178,49 @@ def q_response_joined(spark, sf):
     return _response(spark, sf, ("joined",))
 
 
+# ---------------------------------------------------------------------------
+# Paging (F6 F7 E2 G6 G7 B4)
+# ---------------------------------------------------------------------------
+
+PAGE_CAP = 250    # a run cap that binds at every scale: 3 pages of 100 are read
+
+_IDX_SQL = "row_number() OVER (ORDER BY row_id) - 1"
+
+
+@query("pending_pages",
+       extract_rows_sql(cursor=TARGET_CURSOR_SQL)
+       + f"SELECT row_id AS cms_no, ref_no, {_IDX_SQL} AS idx, ({_IDX_SQL}) // {BATCH} AS page_no FROM x")
+def q_pending_pages(spark, sf):
+    rep = _rep(spark, sf)
+    pending = X.profile_extract(rep, T.raw_report(spark, sf), AS_OF, WINDOW_DAYS,
+                                cursor=T.target_cursor(rep)).select("cms_no", "ref_no")
+    return P.paginate(pending, "cms_no", BATCH)
+
+
+@query("page_ranges",
+       extract_rows_sql()
+       + f"""SELECT page_no, min(row_id) AS key_from, max(row_id) AS key_to, count(*) AS rows
+FROM (SELECT row_id, ({_IDX_SQL}) // {BATCH} AS page_no FROM x) GROUP BY page_no""")
+def q_page_ranges(spark, sf):
+    return P.page_ranges(P.paginate(_extract(spark, sf).select("cms_no"), "cms_no", BATCH), "cms_no")
+
+
+@query("page_cap",
+       extract_rows_sql()
+       + f"""SELECT page_no, min(row_id) AS key_from, max(row_id) AS key_to, count(*) AS rows
+FROM (SELECT row_id, {_IDX_SQL} AS idx, ({_IDX_SQL}) // {BATCH} AS page_no FROM x)
+WHERE idx < {P.cap_rows(BATCH, PAGE_CAP)} GROUP BY page_no""")
+def q_page_cap(spark, sf):
+    paged = P.paginate(_extract(spark, sf).select("cms_no"), "cms_no", BATCH, cap=PAGE_CAP)
+    return P.page_ranges(paged, "cms_no")
+
+
+@query("dense_ids",
+       with_views("report") + "SELECT row_id, row_number() OVER (ORDER BY row_id) AS ident FROM report")
+def q_dense_ids(spark, sf):
+    return P.assign_identity(_rep(spark, sf).select("row_id"), "row_id", start=1)
+
+
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_profile_extract(spark, sf_dir)
 
