@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from .operators import extract as X
 from .operators import paging as P
+from .operators import history as H
+from .operators import monitor as M
 from .sources import tables as T
 from .sources.views_sql import TARGET_CURSOR_SQL, with_views
 
@@ -23,7 +25,7 @@ AS_OF = dt.date(1998, 6, 15)      # extract day (rows exist at every scale)
 WINDOW_DAYS = 400                 # eligibility window in days before AS_OF
 BATCH = 100                       # page size of the configured jobs
 RUN_CAP = 1000                    # rows allowed per run
-NOW = dt.datetime(2024, 1, 31, 12, 0, 0)   # "now" for the monitoring views
+NOW = dt.datetime(2024, 1, 31, 0, 30, 0)   # "now" for the monitoring views
 THRESHOLD_MINUTES = 60
 TAKE = 50
 
@@ -221,6 +223,188 @@ def q_dense_ids(spark, sf):
     return P.assign_identity(_rep(spark, sf).select("row_id"), "row_id", start=1)
 
 
+# ---------------------------------------------------------------------------
+# History analytics and monitoring
+# ---------------------------------------------------------------------------
+
+HIST_COLS = ("run_id, sync_key, started_utc, completed_utc, status, source_row_id_from, "
+             "source_row_id_to, target_key_from, target_key_to, records_read, records_inserted, "
+             "error_message, host_machine, duration_seconds")
+NOW_SQL = _ts(NOW)
+_MIN_SQL = f"CAST(date_diff('microsecond', {{c}}, {NOW_SQL}) AS DOUBLE) / 60000000.0"
+REWIND_BACK = 12   # the override is placed this many run ids before the newest run
+
+
+def _hist(spark, sf):
+    return T.sync_history(spark, sf)
+
+
+@query("resume_cursor", with_views("sync_history") + """SELECT sync_key,
+  coalesce(max(CASE WHEN status = 'Success' THEN source_row_id_to END), 0) AS cursor, 0 AS epoch
+FROM sync_history GROUP BY sync_key""")
+def q_resume_cursor(spark, sf):
+    return H.resume_cursor(_hist(spark, sf))
+
+
+def rewind_overrides(history):
+    """Every job rewound to just before its first copied key, shortly before the newest run."""
+    newest = history.select(F.max("run_id")).scalar()
+    return history.groupBy("sync_key").agg(
+        F.lit(1).alias("epoch"),
+        (F.min(F.when(F.col("status") == "Success", F.col("source_row_id_from"))) - 1).alias("cursor"),
+        (newest - REWIND_BACK).alias("after_run_id"))
+
+
+@query("cursor_after_rewind", with_views("sync_history") + f""", ov AS (
+  SELECT sync_key, 1 AS epoch,
+    min(CASE WHEN status = 'Success' THEN source_row_id_from END) - 1 AS cursor,
+    (SELECT max(run_id) FROM sync_history) - {REWIND_BACK} AS after_run_id
+  FROM sync_history GROUP BY sync_key)
+SELECT h.sync_key,
+  coalesce(max(CASE WHEN h.status = 'Success' AND h.run_id > o.after_run_id THEN h.source_row_id_to END),
+           max(o.cursor), 0) AS cursor,
+  max(o.epoch) AS epoch
+FROM sync_history h JOIN ov o ON h.sync_key = o.sync_key GROUP BY h.sync_key""")
+def q_cursor_after_rewind(spark, sf):
+    h = _hist(spark, sf)
+    return H.resume_cursor(h, overrides=rewind_overrides(h))
+
+
+@query("run_rollup", with_views("sync_history") + """SELECT sync_key, date_trunc('hour', started_utc) AS run_start,
+  count(*) AS pages, CAST(sum(records_read) AS BIGINT) AS records_read,
+  CAST(sum(records_inserted) AS BIGINT) AS records_inserted,
+  min(source_row_id_from) AS source_row_id_from, max(source_row_id_to) AS source_row_id_to,
+  round(sum(duration_seconds), 3) AS duration_seconds, bool_or(status = 'Failed') AS any_failed
+FROM sync_history GROUP BY 1, 2""")
+def q_run_rollup(spark, sf):
+    return H.run_rollup(_hist(spark, sf)).withColumn("duration_seconds", F.round("duration_seconds", 3))
+
+
+@query("run_outcome", with_views("sync_history") + """SELECT date_trunc('hour', started_utc) AS run_start,
+  count(DISTINCT sync_key) AS jobs,
+  count(DISTINCT CASE WHEN status = 'Failed' THEN sync_key END) AS failed_jobs,
+  bool_or(status = 'Failed') AS any_failed,
+  CASE WHEN bool_or(status = 'Failed') THEN 1 ELSE 0 END AS exit_code
+FROM sync_history GROUP BY 1""")
+def q_run_outcome(spark, sf):
+    return H.run_outcome(_hist(spark, sf))
+
+
+@query("failure_digest", with_views("sync_history") + """SELECT date_trunc('hour', started_utc) AS run_start,
+  string_agg(DISTINCT sync_key, ', ' ORDER BY sync_key) AS failed_jobs,
+  count(DISTINCT sync_key) AS failed_count
+FROM sync_history WHERE status = 'Failed' GROUP BY 1""")
+def q_failure_digest(spark, sf):
+    return M.failure_digest(_hist(spark, sf)).withColumn("failed_count", F.col("failed_count").cast("long"))
+
+
+@query("latest_run", with_views("sync_history") + """SELECT sync_key, run_id, status, completed_utc
+FROM sync_history QUALIFY row_number() OVER (PARTITION BY sync_key ORDER BY run_id DESC) = 1""")
+def q_latest_run(spark, sf):
+    return H.latest_run(_hist(spark, sf))
+
+
+@query("latest_position", with_views("sync_history") + """SELECT sync_key, run_id, source_row_id_to, target_key_to
+FROM sync_history WHERE source_row_id_to IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY sync_key ORDER BY run_id DESC) = 1""")
+def q_latest_position(spark, sf):
+    return H.latest_position(_hist(spark, sf))
+
+
+@query("recent_runs", with_views("sync_history") + f"""SELECT {HIST_COLS} FROM sync_history
+QUALIFY row_number() OVER (PARTITION BY sync_key ORDER BY run_id DESC) <= {TAKE}""")
+def q_recent_runs(spark, sf):
+    return H.recent_runs(_hist(spark, sf), TAKE)
+
+
+REPLAY_ROWS = 15
+
+
+@query("oldest_runs_replay", with_views("sync_history") + f"""SELECT
+  (SELECT max(run_id) FROM sync_history) + row_number() OVER (ORDER BY sync_key, run_id) AS run_id,
+  sync_key, started_utc, completed_utc, status, source_row_id_from, source_row_id_to, target_key_from,
+  target_key_to, records_read, records_inserted, error_message, host_machine, duration_seconds
+FROM (SELECT * FROM sync_history ORDER BY sync_key, run_id LIMIT {REPLAY_ROWS}) t""")
+def q_oldest_runs_replay(spark, sf):
+    return H.replay_first(_hist(spark, sf), REPLAY_ROWS)
+
+
+@query("duration_migration", with_views("sync_history") + """SELECT run_id, sync_key,
+  CAST(CAST(round(duration_seconds * 1000) AS INT) AS DOUBLE) / 1000.0 AS duration_seconds
+FROM sync_history""")
+def q_duration_migration(spark, sf):
+    old = _hist(spark, sf).select(
+        "run_id", "sync_key", F.round(F.col("duration_seconds") * 1000).cast("int").alias("duration_ms"))
+    return H.migrate_duration(old)
+
+
+@query("run_timeline", with_views("sync_history") + """SELECT run_id, sync_key, status, source_row_id_from,
+  source_row_id_to, target_key_from, target_key_to, records_inserted, duration_seconds
+FROM sync_history ORDER BY run_id""")
+def q_run_timeline(spark, sf):
+    return H.timeline(_hist(spark, sf))
+
+
+_STATUS_SQL = with_views("sync_history") + f""", last AS (
+  SELECT sync_key, status, completed_utc FROM sync_history
+  QUALIFY row_number() OVER (PARTITION BY sync_key ORDER BY run_id DESC) = 1),
+pos AS (
+  SELECT sync_key, source_row_id_to, target_key_to FROM sync_history WHERE source_row_id_to IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY sync_key ORDER BY run_id DESC) = 1),
+st AS (
+  SELECT l.sync_key, p.source_row_id_to AS last_row_id, p.target_key_to AS last_target_key,
+    l.status AS last_run_status, l.completed_utc AS last_run_completed_utc,
+    {_MIN_SQL.format(c="l.completed_utc")} AS minutes_since_last_run,
+    coalesce(l.completed_utc IS NOT NULL AND l.status IS NOT NULL AND l.status <> ''
+             AND lower(l.status) <> 'failed'
+             AND {_MIN_SQL.format(c="l.completed_utc")} <= {THRESHOLD_MINUTES}, false) AS is_healthy
+  FROM last l LEFT JOIN pos p ON l.sync_key = p.sync_key)
+"""
+
+
+@query("sync_status", _STATUS_SQL + "SELECT * FROM st")
+def q_sync_status(spark, sf):
+    return M.sync_status(_hist(spark, sf), NOW, THRESHOLD_MINUTES)
+
+
+@query("status_display", _STATUS_SQL + """SELECT sync_key,
+  CASE WHEN is_healthy THEN 'Healthy' ELSE 'Attention needed' END AS health_text,
+  coalesce(CAST(last_row_id AS VARCHAR), '—') AS last_row_text,
+  coalesce(last_run_status, '—') AS status_text,
+  CASE WHEN minutes_since_last_run IS NULL THEN 'never'
+       WHEN minutes_since_last_run < 1 THEN 'just now'
+       WHEN minutes_since_last_run < 60 THEN CAST(CAST(round(minutes_since_last_run) AS BIGINT) AS VARCHAR) || ' min ago'
+       ELSE printf('%.1f', minutes_since_last_run / 60.0) || ' hr ago' END AS age_text
+FROM st""")
+def q_status_display(spark, sf):
+    return M.status_display(M.sync_status(_hist(spark, sf), NOW, THRESHOLD_MINUTES))
+
+
+@query("recent_failures", with_views("sync_history") + f"""SELECT {HIST_COLS} FROM sync_history
+WHERE status = 'Failed' AND started_utc > {NOW_SQL} - INTERVAL 24 HOUR ORDER BY started_utc DESC""")
+def q_recent_failures(spark, sf):
+    return M.recent_failures(_hist(spark, sf), NOW, 24)
+
+
+@query("run_display", with_views("sync_history") + f"""SELECT run_id, sync_key, status,
+  coalesce(CAST(source_row_id_from AS VARCHAR), '—')
+    || CASE WHEN source_row_id_to IS NOT NULL AND source_row_id_to <> 0 THEN '–' || CAST(source_row_id_to AS VARCHAR) ELSE '' END AS source_range,
+  coalesce(CAST(target_key_from AS VARCHAR), '—')
+    || CASE WHEN target_key_to IS NOT NULL AND target_key_to <> 0 THEN '–' || CAST(target_key_to AS VARCHAR) ELSE '' END AS target_range,
+  concat_ws('/', CAST(records_inserted AS VARCHAR), CAST(records_read AS VARCHAR)) AS rows_text,
+  coalesce(printf('%.2f', duration_seconds), '—') || ' s' AS duration_text,
+  CASE WHEN error_message IS NULL OR error_message = '' THEN '—' ELSE split_part(error_message, chr(10), 1) END AS error_line
+FROM sync_history QUALIFY row_number() OVER (PARTITION BY sync_key ORDER BY run_id DESC) <= {TAKE}""")
+def q_run_display(spark, sf):
+    return M.run_display(_hist(spark, sf), TAKE)
+
+
+@query("target_top_keys", with_views("target_profile")
+       + "SELECT cms_no, ref_no, create_date FROM target_profile ORDER BY cms_no DESC LIMIT 5")
+def q_target_top_keys(spark, sf):
+    return T.target_profile(spark, sf).orderBy(F.col("cms_no").desc()).limit(5)
+
+
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_profile_extract(spark, sf_dir)
 
