@@ -17,6 +17,10 @@ from .operators import extract as X
 from .operators import paging as P
 from .operators import history as H
 from .operators import monitor as M
+from .operators import sink as K
+from .operators import quality as Q
+from .operators import generate as G
+from .schemas import PROFILE_TARGET
 from .sources import tables as T
 from .sources.views_sql import TARGET_CURSOR_SQL, with_views
 
@@ -77,9 +81,10 @@ PROFILE_SELECT = """row_id AS cms_no, cust_id1 AS id_no1, cust_id2 AS id_no2, cu
   left(user_id, 10) AS last_update_by, left(entity, 16) AS ent_key, ref_no, 'SCP' AS txn_code"""
 
 
-def extract_rows_sql(cursor: str = "0", branches=("direct", "joined"), dedup: bool = True) -> str:
+def extract_rows_sql(cursor: str = "0", branches=("direct", "joined"), dedup: bool = True,
+                     extra_views=()) -> str:
     """``WITH`` clauses ending in view ``x`` = winner rows of the extract (report columns + branch)."""
-    parts = [with_views("report", "raw_report").rstrip()]
+    parts = [with_views("report", "raw_report", *extra_views).rstrip()]
     names = []
     if "direct" in branches:
         parts.append(",\n" + _DIRECT_SQL.format(cursor=cursor))
@@ -405,6 +410,275 @@ def q_target_top_keys(spark, sf):
     return T.target_profile(spark, sf).orderBy(F.col("cms_no").desc()).limit(5)
 
 
+# ---------------------------------------------------------------------------
+# Sinks and queues
+# ---------------------------------------------------------------------------
+
+# Column names of the profile target, matched by position.
+TARGET_NAMES = ["target_no", "id1", "id2", "holder_name", "birth_date", "country", "created",
+                "updated_by", "entity_key", "reference", "code"]
+_TARGET_SELECT = """row_id AS target_no, cust_id1 AS id1, cust_id2 AS id2, cust_name AS holder_name,
+  strftime(cust_dob, '%d/%m/%Y') AS birth_date, nationality AS country, imported_at AS created,
+  left(user_id, 10) AS updated_by, left(entity, 16) AS entity_key, ref_no AS reference, 'SCP' AS code"""
+
+
+@query("positional_append", extract_rows_sql() + f"SELECT {_TARGET_SELECT} FROM x")
+def q_positional_append(spark, sf):
+    return K.to_target(_extract(spark, sf), TARGET_NAMES)
+
+
+@query("partial_columns", extract_rows_sql()
+       + f"SELECT {_TARGET_SELECT}, CAST(NULL AS VARCHAR) AS status, CAST(NULL AS VARCHAR) AS cms_status FROM x")
+def q_partial_columns(spark, sf):
+    return K.with_unfilled(K.to_target(_extract(spark, sf), TARGET_NAMES),
+                           [("status", "string"), ("cms_status", "string")])
+
+
+@query("sent_log_batch", extract_rows_sql(extra_views=("sent_log",))
+       + f"""SELECT {PROFILE_SELECT} FROM x
+WHERE NOT EXISTS (SELECT 1 FROM sent_log s WHERE s.row_id = x.row_id) ORDER BY row_id LIMIT {BATCH}""")
+def q_sent_log_batch(spark, sf):
+    rep = _rep(spark, sf)
+    cands = X.profile_extract(rep, T.raw_report(spark, sf), AS_OF, WINDOW_DAYS)
+    log = T.sent_log(T.target_profile(spark, sf, rep)).withColumnRenamed("row_id", "cms_no")
+    return K.sent_log_batch(cands, log, "cms_no", BATCH)
+
+
+@query("insert_missing", extract_rows_sql(extra_views=("target_profile",))
+       + f"""SELECT {PROFILE_SELECT} FROM x
+WHERE NOT EXISTS (SELECT 1 FROM target_profile t WHERE t.cms_no = x.row_id)""")
+def q_insert_missing(spark, sf):
+    rep = _rep(spark, sf)
+    ext = X.profile_extract(rep, T.raw_report(spark, sf), AS_OF, WINDOW_DAYS)
+    return K.insert_missing(ext, T.target_profile(spark, sf, rep), "cms_no")
+
+
+@query("flag_queue_batch", with_views("queue")
+       + f"SELECT row_id, id_no, create_date, amount FROM queue WHERE sent = 0 ORDER BY row_id LIMIT {BATCH}")
+def q_flag_queue_batch(spark, sf):
+    return K.flag_batch(T.queue(spark, sf), BATCH)[0]
+
+
+@query("flag_after_batch", with_views("queue") + f"""SELECT row_id, id_no, create_date, amount,
+  CASE WHEN sent = 0 AND row_id <= (SELECT max(row_id) FROM
+      (SELECT row_id FROM queue WHERE sent = 0 ORDER BY row_id LIMIT {BATCH}) b) THEN 1 ELSE sent END AS sent
+FROM queue""")
+def q_flag_after_batch(spark, sf):
+    return K.flag_batch(T.queue(spark, sf), BATCH)[1]
+
+
+@query("unsent_count", with_views("queue") + "SELECT count(*) AS unsent FROM queue WHERE sent = 0")
+def q_unsent_count(spark, sf):
+    return T.queue(spark, sf).filter(F.col("sent") == 0).agg(F.count(F.lit(1)).alias("unsent"))
+
+
+@query("requeue_keys", with_views("queue", "target_profile") + """SELECT q.row_id, q.id_no, q.create_date, q.amount,
+  CASE WHEN d.cms_no IS NOT NULL THEN 0 ELSE q.sent END AS sent
+FROM queue q LEFT JOIN (SELECT cms_no FROM target_profile GROUP BY cms_no HAVING count(*) > 1) d
+  ON q.row_id = d.cms_no""")
+def q_requeue_keys(spark, sf):
+    dups = Q.duplicate_keys(T.target_profile(spark, sf), "cms_no").select(F.col("cms_no").alias("row_id"))
+    return K.unflag(T.queue(spark, sf), dups)
+
+
+# ---------------------------------------------------------------------------
+# Linkage and reconciliation
+# ---------------------------------------------------------------------------
+
+@query("link_counts", with_views("report", "raw_report", "detail_header") + """SELECT
+  (SELECT count(*) FROM report) AS report_rows, (SELECT count(*) FROM raw_report) AS raw_report_rows,
+  (SELECT count(*) FROM detail_header) AS detail_header_rows,
+  (SELECT count(*) FROM report r JOIN raw_report p ON r.raw_report_id = p.row_id
+     JOIN detail_header h ON r.dtl_row_id = h.row_id) AS fully_linked""")
+def q_link_counts(spark, sf):
+    return Q.link_counts(_rep(spark, sf), T.raw_report(spark, sf), T.detail_header(spark, sf))
+
+
+@query("fully_linked", with_views("report", "raw_report", "detail_header") + """SELECT r.row_id, r.raw_report_id,
+  r.dtl_row_id FROM report r JOIN raw_report p ON r.raw_report_id = p.row_id
+  JOIN detail_header h ON r.dtl_row_id = h.row_id""")
+def q_fully_linked(spark, sf):
+    return Q.fully_linked(_rep(spark, sf), T.raw_report(spark, sf), T.detail_header(spark, sf))
+
+
+@query("fk_orphans", with_views("report", "raw_report") + """SELECT r.row_id, r.raw_report_id FROM report r
+WHERE r.raw_report_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM raw_report p WHERE p.row_id = r.raw_report_id)""")
+def q_fk_orphans(spark, sf):
+    return Q.fk_orphans(_rep(spark, sf), T.raw_report(spark, sf), "raw_report_id").select("row_id", "raw_report_id")
+
+
+@query("fk_set_null", with_views("report", "raw_report") + """SELECT r.row_id,
+  CASE WHEN p.row_id IS NOT NULL THEN r.raw_report_id END AS raw_report_id
+FROM report r LEFT JOIN raw_report p ON r.raw_report_id = p.row_id""")
+def q_fk_set_null(spark, sf):
+    return Q.fk_set_null(_rep(spark, sf).select("row_id", "raw_report_id"), T.raw_report(spark, sf),
+                         "raw_report_id")
+
+
+@query("fk_cascade", with_views("report", "raw_report") + """SELECT r.row_id,
+  coalesce(p.row_id + (SELECT max(row_id) + 1 FROM raw_report), r.raw_report_id) AS raw_report_id
+FROM report r LEFT JOIN raw_report p ON r.raw_report_id = p.row_id""")
+def q_fk_cascade(spark, sf):
+    raw = T.raw_report(spark, sf)
+    shift = raw.select(F.max("row_id") + 1).scalar()
+    key_map = raw.select(F.col("row_id").alias("old_id"), (F.col("row_id") + shift).alias("new_id"))
+    return Q.fk_cascade(_rep(spark, sf).select("row_id", "raw_report_id"), key_map, "raw_report_id")
+
+
+@query("reconcile_counts", with_views("report", "target_profile", "sync_history") + """SELECT t.target_rows,
+  t.distinct_keys, h.logged_inserted,
+  (t.target_rows = t.distinct_keys AND t.target_rows = h.logged_inserted) AS agree
+FROM (SELECT count(*) AS target_rows, count(DISTINCT cms_no) AS distinct_keys FROM target_profile) t,
+     (SELECT CAST(coalesce(sum(records_inserted), 0) AS BIGINT) AS logged_inserted FROM sync_history
+      WHERE status = 'Success' AND sync_key = 'JOB0') h""")
+def q_reconcile_counts(spark, sf):
+    return Q.reconcile_counts(T.target_profile(spark, sf), _hist(spark, sf), "cms_no", "JOB0")
+
+
+@query("duplicate_keys", with_views("target_profile")
+       + "SELECT cms_no, count(*) AS copies FROM target_profile GROUP BY cms_no HAVING count(*) > 1")
+def q_duplicate_keys(spark, sf):
+    return Q.duplicate_keys(T.target_profile(spark, sf), "cms_no")
+
+
+@query("key_gaps", with_views("target_profile") + f"""SELECT row_id FROM report r
+WHERE row_id > 0 AND row_id <= {TARGET_CURSOR_SQL}
+  AND NOT EXISTS (SELECT 1 FROM target_profile t WHERE t.cms_no = r.row_id)""")
+def q_key_gaps(spark, sf):
+    rep = _rep(spark, sf)
+    return Q.key_gaps(rep.select("row_id"), T.target_profile(spark, sf, rep), T.target_cursor(rep))
+
+
+@query("late_eligible", extract_rows_sql(extra_views=("target_profile",)) + f"""SELECT {PROFILE_SELECT} FROM x
+WHERE row_id <= {TARGET_CURSOR_SQL} AND NOT EXISTS (SELECT 1 FROM target_profile t WHERE t.cms_no = x.row_id)""")
+def q_late_eligible(spark, sf):
+    rep = _rep(spark, sf)
+    ext = X.profile_extract(rep, T.raw_report(spark, sf), AS_OF, WINDOW_DAYS)
+    return Q.late_eligible(ext, T.target_profile(spark, sf, rep), T.target_cursor(rep))
+
+
+@query("extract_contract", extract_rows_sql(cursor=TARGET_CURSOR_SQL) + f""", b AS (
+  SELECT row_id FROM x ORDER BY row_id LIMIT {BATCH})
+SELECT count(*) AS rows, count(DISTINCT row_id) AS distinct_keys, min(row_id) AS min_key,
+  max(row_id) AS max_key, count(*) = count(DISTINCT row_id) AS keys_unique,
+  coalesce(min(row_id) > {TARGET_CURSOR_SQL}, true) AS above_cursor, count(*) <= {BATCH} AS within_batch,
+  true AS arity_ok, true AS key_numeric FROM b""")
+def q_extract_contract(spark, sf):
+    rep = _rep(spark, sf)
+    cur = T.target_cursor(rep)
+    ext = X.first_batch(X.profile_extract(rep, T.raw_report(spark, sf), AS_OF, WINDOW_DAYS, cursor=cur),
+                        "cms_no", BATCH)
+    return Q.extract_contract(ext, "cms_no", cur, BATCH, len(TARGET_NAMES))
+
+
+_WIDTHS = {c: w for c, w in PROFILE_TARGET if w is not None}
+_WIDTH_SRC = {"id_no1": "cust_id1", "id_no2": "cust_id2", "name1": "cust_name",
+              "dob": "strftime(cust_dob, '%d/%m/%Y')", "nationality": "nationality",
+              "last_update_by": "left(user_id, 10)", "ent_key": "left(entity, 16)", "ref_no": "ref_no",
+              "txn_code": "'SCP'"}
+
+
+@query("width_fit", extract_rows_sql() + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST(max(length({_WIDTH_SRC[c]})) AS BIGINT) AS max_len, "
+    f"CAST({w} AS BIGINT) AS width, coalesce(max(length({_WIDTH_SRC[c]})) <= {w}, true) AS fits FROM x"
+    for c, w in _WIDTHS.items()))
+def q_width_fit(spark, sf):
+    return Q.width_fit(_extract(spark, sf), _WIDTHS)
+
+
+@query("cursor_drift", with_views("report", "target_profile", "sync_history") + """, c AS (
+  SELECT sync_key, coalesce(max(CASE WHEN status = 'Success' THEN source_row_id_to END), 0) AS cursor
+  FROM sync_history GROUP BY sync_key),
+t AS (SELECT 'JOB0' AS sync_key, max(cms_no) AS target_max_key FROM target_profile)
+SELECT c.sync_key, c.cursor AS history_cursor, t.target_max_key, t.target_max_key - c.cursor AS drift,
+  coalesce(t.target_max_key - c.cursor = 0, false) AS in_sync
+FROM c LEFT JOIN t ON c.sync_key = t.sync_key""")
+def q_cursor_drift(spark, sf):
+    return Q.cursor_drift(H.resume_cursor(_hist(spark, sf)), {"JOB0": (T.target_profile(spark, sf), "cms_no")})
+
+
+@query("date_profile", with_views("target_profile") + """SELECT count(*) AS total_rows,
+  count(DISTINCT CAST(create_date AS DATE)) AS distinct_dates, min(create_date) AS min_ts,
+  max(create_date) AS max_ts FROM target_profile""")
+def q_date_profile(spark, sf):
+    return Q.date_profile(T.target_profile(spark, sf), "create_date")
+
+
+_DAY1, _DAY2 = AS_OF - dt.timedelta(days=1), AS_OF
+
+
+@query("date_conditional_counts", with_views("report", "raw_report") + f"""SELECT
+  (SELECT count(*) FROM raw_report) AS parent_rows, (SELECT count(*) FROM report) AS child_rows,
+  (SELECT count(*) FROM report c JOIN raw_report d ON c.raw_report_id = d.row_id) AS matched_pairs,
+  (SELECT CAST(sum(CASE WHEN CAST(responded_at AS DATE) = DATE '{_DAY1}' THEN 1 ELSE 0 END) AS BIGINT) FROM report) AS day1_rows,
+  (SELECT CAST(sum(CASE WHEN CAST(responded_at AS DATE) = DATE '{_DAY2}' THEN 1 ELSE 0 END) AS BIGINT) FROM report) AS day2_rows""")
+def q_date_conditional_counts(spark, sf):
+    rep, raw = _rep(spark, sf), T.raw_report(spark, sf)
+    days = Q.day_counts(rep, "responded_at", [_DAY1, _DAY2])
+    pairs = rep.join(raw.select(F.col("row_id").alias("_p")), rep.raw_report_id == F.col("_p"))
+    return Q._scalars(spark, parent_rows=Q.count_of(raw), child_rows=Q.count_of(rep),
+                      matched_pairs=Q.count_of(pairs),
+                      day1_rows=days.select("day1_rows").scalar(), day2_rows=days.select("day2_rows").scalar())
+
+
+@query("next_base_id", with_views("report") + "SELECT coalesce(max(row_id), 0) AS base_id FROM report")
+def q_next_base_id(spark, sf):
+    return Q.next_base_id(_rep(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Generators
+# ---------------------------------------------------------------------------
+
+PAIR_DAYS = (dt.date(2026, 8, 22), dt.date(2026, 8, 23))
+
+
+def _child_sql(n: str, ident: str, d: str, dob_base: str, dtl: str, raw: str) -> str:
+    return f"""{ident} AS row_id, {dtl} AS dtl_row_id, {raw} AS raw_report_id,
+  'REF' || right('0000000000' || CAST({ident} AS VARCHAR), 10) AS ref_no,
+  'ID' || right('00000000' || CAST({ident} AS VARCHAR), 8) AS cust_id1, CAST(NULL AS VARCHAR) AS cust_id2,
+  'Test Customer ' || CAST({ident} AS VARCHAR) AS cust_name,
+  {dob_base} - to_days(CAST(10950 + {ident} % 18250 AS INTEGER)) AS cust_dob,
+  CASE WHEN {n} % 5 = 0 THEN 'FOREIGN' ELSE 'MY' END AS nationality, {d} AS imported_at,
+  'system' AS user_id, right('000' || CAST(1 + {n} % 5 AS VARCHAR), 3) AS entity,
+  'OK' AS status_detailed, {d} AS responded_at"""
+
+
+@query("gen_dated_pairs", f"""WITH s AS (SELECT o_orderkey + 1 AS n FROM orders),
+c AS (SELECT count(*) AS total FROM orders),
+d AS (SELECT n, CASE WHEN n <= (SELECT total // 8 FROM c) THEN {_ts(PAIR_DAYS[0])} ELSE {_ts(PAIR_DAYS[1])} END
+               + to_seconds(CAST(n % 86400 AS BIGINT)) AS d
+      FROM s WHERE n >= 1 AND n <= (SELECT total // 8 + (total - total // 8) FROM c))
+SELECT {_child_sql("n", "n", "d", _ts(PAIR_DAYS[1]), "n", "n")} FROM d""")
+def q_gen_dated_pairs(spark, sf):
+    orders = T.load(spark, sf, "orders")
+    total = orders.select(F.count(F.lit(1))).scalar()
+    day1 = orders.select(F.expr("count(1) div 8")).scalar()
+    return G.gen_dated_pairs(G.seeds_from(orders, "o_orderkey"),
+                             [(PAIR_DAYS[0], day1), (PAIR_DAYS[1], total - day1)])[1]
+
+
+SEED_DAY = AS_OF - dt.timedelta(days=1)
+
+
+@query("gen_linked_triple", with_views("report", "raw_report", "detail_header") + f""", s AS (
+  SELECT o_orderkey + 1 AS n, {_ts(SEED_DAY)} + to_seconds(CAST((o_orderkey + 1) % 86400 AS BIGINT)) AS d FROM orders),
+b AS (SELECT (SELECT coalesce(max(row_id), 0) FROM report) AS bc,
+             (SELECT coalesce(max(row_id), 0) FROM raw_report) AS br,
+             (SELECT coalesce(max(row_id), 0) FROM detail_header) AS bh)
+SELECT {_child_sql("n", "(b.bc + n)", "d", _ts(SEED_DAY), "(b.bh + n)", "(b.br + n)")} FROM s, b""")
+def q_gen_linked_triple(spark, sf):
+    rep, raw, hdr = _rep(spark, sf), T.raw_report(spark, sf), T.detail_header(spark, sf)
+    bases = [Q.next_base_id(x).scalar() for x in (rep, raw, hdr)]
+    seeds = G.seeds_from(T.load(spark, sf, "orders"), "o_orderkey")
+    return G.gen_linked(seeds, SEED_DAY, *bases)[0]
+
+
+@query("gen_target_dummy")
+def q_gen_target_dummy(spark, sf):
+    return G.gen_target_dummy(G.seeds_from(T.load(spark, sf, "orders"), "o_orderkey"), 2026, 42)
+
+
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_profile_extract(spark, sf_dir)
 
