@@ -122,7 +122,8 @@ def ratio_text(inserted, read) -> Column:
 
 def seconds_text(d) -> Column:
     d = d if isinstance(d, Column) else F.col(d)
-    return F.concat(F.coalesce(F.format_string("%.2f", d), F.lit("—")), F.lit(" s"))
+    # format_string turns NULL into text ("nu"), so NULL is handled first
+    return F.concat(F.when(d.isNull(), F.lit("—")).otherwise(F.format_string("%.2f", d)), F.lit(" s"))
 
 
 def first_line(msg) -> Column:
