@@ -21,6 +21,9 @@ from .operators import sink as K
 from .operators import quality as Q
 from .operators import generate as G
 from .schemas import PROFILE_TARGET
+from .plans import job as J
+from .session import scratch_path
+from .streaming import stream as STR
 from .sources import tables as T
 from .sources.views_sql import TARGET_CURSOR_SQL, with_views
 
@@ -679,6 +682,53 @@ def q_gen_target_dummy(spark, sf):
     return G.gen_target_dummy(G.seeds_from(T.load(spark, sf, "orders"), "o_orderkey"), 2026, 42)
 
 
+# ---------------------------------------------------------------------------
+# Jobs with state (rows-only: they write targets and history)
+# ---------------------------------------------------------------------------
+
+def profile_job(spark, sf, root: str, pages_per_commit: int = 4) -> J.JobSpec:
+    def extract(s, params):
+        return K.to_target(X.profile_extract(T.report(s, sf), T.raw_report(s, sf), AS_OF, WINDOW_DAYS),
+                           TARGET_NAMES)
+    return J.JobSpec("PROFILE", extract, f"{root}/target_profile", TARGET_NAMES, batch_size=BATCH,
+                     max_records=RUN_CAP, pages_per_commit=pages_per_commit)
+
+
+def response_job(spark, sf, root: str) -> J.JobSpec:
+    from .schemas import RESPONSE_COLUMNS
+
+    def extract(s, params):
+        return X.response_extract(T.report(s, sf), T.raw_report(s, sf), T.detail_header(s, sf),
+                                  AS_OF, WINDOW_DAYS)
+    return J.JobSpec("RESPONSE", extract, f"{root}/target_response", RESPONSE_COLUMNS,
+                     batch_size=BATCH, max_records=RUN_CAP * 4, pages_per_commit=8)
+
+
+@query("run_job_history")
+def q_run_job_history(spark, sf):
+    """Two scheduled runs of both jobs over the whole extract; the history they leave."""
+    root = scratch_path(spark, "run-job")
+    store = J.Store(f"{root}/history", f"{root}/overrides")
+    specs = [profile_job(spark, sf, root), response_job(spark, sf, root)]
+    J.sync_tables(spark, specs, store)
+    J.sync_tables(spark, specs, store)
+    return J.read_history(spark, store)
+
+
+@query("stream_history")
+def q_stream_history(spark, sf):
+    """The child table's source file read as a stream and copied page by page."""
+    root = scratch_path(spark, "stream")
+    store = J.Store(f"{root}/history")
+    orders = STR.file_source(spark, sf, T.load(spark, sf, "orders").schema, name_glob="orders.parquet")
+    rows = T.report_from(orders, T.load(spark, sf, "customer"), T.load(spark, sf, "nation")).select(
+        "row_id", "ref_no", "cust_name", "responded_at")
+    spec = J.JobSpec("STREAM", lambda s, p: rows, f"{root}/target", ["row_id", "ref_no", "name", "responded_at"],
+                     batch_size=BATCH * 10, max_records=RUN_CAP * 10)
+    STR.stream_sync(spark, rows, spec, store, f"{root}/stream-checkpoint")
+    return J.read_history(spark, store)
+
+
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_profile_extract(spark, sf_dir)
 

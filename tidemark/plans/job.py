@@ -136,6 +136,10 @@ def _history_row(spec: JobSpec, run_id: int, status: str, started, completed, ho
                 duration_seconds=duration, commit_id=commit_id)
 
 
+def check_arity_only(df: DataFrame, spec: JobSpec) -> None:
+    K.check_arity(df, spec.target_columns, spec.job_key)
+
+
 def commit_chunk(spark: SparkSession, spec: JobSpec, store: Store, rows: DataFrame, key: str,
                  commit_id: str, host: str, now: Callable[[], dt.datetime] = utc_now,
                  before_history: Callable[[str], None] | None = None) -> list[dict]:

@@ -25,9 +25,12 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Child rows keyed by ``row_id``; FK ``raw_report_id``; business ref ``ref_no``."""
-    o = load(spark, sf_dir, "orders")
-    c = load(spark, sf_dir, "customer")
-    n = load(spark, sf_dir, "nation")
+    return report_from(load(spark, sf_dir, "orders"), load(spark, sf_dir, "customer"),
+                       load(spark, sf_dir, "nation"))
+
+
+def report_from(o: DataFrame, c: DataFrame, n: DataFrame) -> DataFrame:
+    """The child view over given orders / customer / nation frames (orders may be a stream)."""
     key = F.col("o_orderkey")
     return (
         o.join(c, o.o_custkey == c.c_custkey)
