@@ -24,26 +24,21 @@ from pyspark.sql import functions as F
 
 DEFAULT_ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 1024
-_QUANTILE_POINTS = 1023
 _ACCURACY = 10_000
 
 
 def key_bounds(df: DataFrame, key: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
                max_buckets: int = MAX_BUCKETS) -> tuple[int, list]:
-    """(row count, sorted distinct cut points) from one aggregate job."""
-    probs = [i / (_QUANTILE_POINTS + 1) for i in range(1, _QUANTILE_POINTS + 1)]
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.percentile_approx(F.col(key), probs, _ACCURACY).alias("q")).first()
+    """(row count, sorted distinct cut points).  A hash aggregate counts first; the
+    quantile sketch runs only when the rows need more than one bucket."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")).first()
     n = int(row["n"])
-    if n == 0 or row["q"] is None:
-        return n, []
     buckets = max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
-    if buckets == 1:
+    if n == 0 or buckets == 1 or row["lo"] == row["hi"]:
         return n, []
-    q = row["q"]
-    step = len(q) / buckets
-    picks = sorted({q[min(len(q) - 1, int(round(step * i)) - 1)] for i in range(1, buckets)})
-    return n, [p for p in picks if p is not None]
+    probs = [i / buckets for i in range(1, buckets)]
+    q = df.agg(F.percentile_approx(F.col(key), probs, _ACCURACY).alias("q")).first()["q"] or []
+    return n, sorted({p for p in q if p is not None})
 
 
 def bucket_of(c: Column, bounds: list) -> Column:

@@ -24,6 +24,7 @@ import traceback
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ from ..operators import paging as P
 from ..operators import sink as K
 from ..schemas import (HISTORY_SCHEMA, OVERRIDE_SCHEMA, STATUS_FAILED, STATUS_NO_NEW_DATA,
                        STATUS_SUCCESS)
-from ..session import path_exists
+from ..session import make_dirs, path_exists, remove_path, stage
 
 MAX_BATCH = 100_000
 MAX_RUN_RECORDS = 10_000_000
@@ -80,8 +81,7 @@ def utc_now() -> dt.datetime:
 def ensure_history(spark: SparkSession, store: Store) -> None:
     """Create the (empty, ``sync_key``-partitioned) history location when missing."""
     if not path_exists(spark, store.history_location):
-        (spark.createDataFrame([], HISTORY_SCHEMA).write.mode("append")
-         .partitionBy("sync_key").parquet(store.history_location))
+        make_dirs(spark, store.history_location)   # readers pass the schema explicitly
 
 
 def read_history(spark: SparkSession, store: Store) -> DataFrame:
@@ -140,25 +140,43 @@ def check_arity_only(df: DataFrame, spec: JobSpec) -> None:
     K.check_arity(df, spec.target_columns, spec.job_key)
 
 
-def commit_chunk(spark: SparkSession, spec: JobSpec, store: Store, rows: DataFrame, key: str,
-                 commit_id: str, host: str, now: Callable[[], dt.datetime] = utc_now,
-                 before_history: Callable[[str], None] | None = None) -> list[dict]:
-    """Write one chunk of paged rows (``page_no`` column) and its history rows."""
+def commit_chunk(spark: SparkSession, spec: JobSpec, store: Store, rows: DataFrame,
+                 ranges: DataFrame, commit_id: str, run_id_base: int, first_page: int, host: str,
+                 now: Callable[[], dt.datetime] = utc_now,
+                 before_history: Callable[[str], None] | None = None) -> None:
+    """Write one chunk of paged rows, then its history rows (one per page, built on
+    the executors from ``ranges``): the history append is the commit point."""
     t0, started = time.monotonic(), now()
-    data = rows.drop("idx", "page_no")
+    data = rows.drop("idx", "page_no", "chunk_no")
     K.write_commit(K.to_target(data, spec.target_columns), spec.target_location, commit_id, spec.fmt)
-    # One row per page: at most pages_per_commit rows reach the driver.
-    ranges = P.page_ranges(rows, key).orderBy("page_no").collect()
     if before_history is not None:
         before_history(commit_id)
-    completed = now()
-    per_page = (time.monotonic() - t0) / max(1, len(ranges))
-    base = next_run_id(spark, store)
-    out = [_history_row(spec, base + i, STATUS_SUCCESS, started, completed, host, per_page,
-                        r["key_from"], r["key_to"], r["rows"], r["rows"], commit_id=commit_id)
-           for i, r in enumerate(ranges)]
-    append_history(spark, store, out)
-    return out
+    hist = ranges.select(
+        (F.lit(run_id_base) + F.col("page_no") - F.lit(first_page)).cast("long").alias("run_id"),
+        F.lit(spec.job_key).alias("sync_key"),
+        F.lit(started).cast("timestamp_ntz").alias("started_utc"),
+        F.lit(now()).cast("timestamp_ntz").alias("completed_utc"),
+        F.lit(STATUS_SUCCESS).alias("status"),
+        F.col("key_from").cast("long").alias("source_row_id_from"),
+        F.col("key_to").cast("long").alias("source_row_id_to"),
+        F.col("key_from").cast("long").alias("target_key_from"),
+        F.col("key_to").cast("long").alias("target_key_to"),
+        F.col("rows").cast("int").alias("records_read"),
+        F.col("rows").cast("int").alias("records_inserted"),
+        F.lit(None).cast("string").alias("error_message"),
+        F.lit(host).alias("host_machine"),
+        F.lit(time.monotonic() - t0).cast("double").alias("duration_seconds"),
+        F.lit(commit_id).alias("commit_id"))
+    hist.coalesce(1).write.mode("append").partitionBy("sync_key").parquet(store.history_location)
+
+
+def chunk_plan(ranges: DataFrame) -> list:
+    """Per chunk: pages, rows, first/last key, first page — one small aggregate whose
+    size is the number of chunks (run cap / (batch * pages_per_commit))."""
+    return ranges.groupBy("chunk_no").agg(
+        F.count(F.lit(1)).alias("pages"), F.sum("rows").alias("rows"),
+        F.min("key_from").alias("first"), F.max("key_to").alias("last"),
+        F.min("page_no").alias("p0")).orderBy("chunk_no").collect()
 
 
 def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float | None = None,
@@ -166,10 +184,16 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
             before_history: Callable[[str], None] | None = None) -> dict:
     """Copy the rows above the job's cursor, at most ``max_records`` (rounded up to
     whole pages).  Returns the run's aggregate result (not stored).  A failure is
-    recorded as a ``Failed`` history row carrying the totals already committed."""
+    recorded as a ``Failed`` history row carrying the totals already committed.
+
+    Spark jobs per run: cursor (history), materialise pending (checkpoint), key
+    bounds (+ bucket counts when the set spans several buckets), then per chunk one
+    data write and one history append; the paged frame is persisted between them
+    (recomputable from the checkpoint if an executor is lost)."""
     host = host or socket.gethostname()
     t0, started = time.monotonic(), now()
     totals = dict(read=0, inserted=0, first=None, last=None, pages=0)
+    paged = ranges = staged = None
     try:
         spec.validate()
         ensure_history(spark, store)
@@ -181,27 +205,35 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
         if spec.dedup_on_insert and path_exists(spark, spec.target_location):
             done = K.read_target(spark, spec.target_location, read_history(spark, store), spec.job_key, spec.fmt)
             pending = K.insert_missing(pending, done, key, spec.target_columns[0])
-        pending = pending.checkpoint(eager=True)
-        paged = P.paginate(pending, key, spec.batch_size, spec.max_records).checkpoint(eager=True)
-        pages = paged.agg(F.max("page_no")).first()[0]
-        if pages is None:
-            row = _history_row(spec, next_run_id(spark, store), STATUS_NO_NEW_DATA, started, now(), host,
-                               time.monotonic() - t0)
+        pending, staged = stage(pending, spark, spec.job_key)
+        paged = (P.paginate(pending, key, spec.batch_size, spec.max_records)
+                 .withColumn("chunk_no", F.expr(f"page_no div {int(spec.pages_per_commit)}"))
+                 .persist(StorageLevel.MEMORY_AND_DISK))
+        ranges = (P.page_ranges(paged, key).withColumn("chunk_no", F.expr(f"page_no div {int(spec.pages_per_commit)}"))
+                  .persist(StorageLevel.MEMORY_AND_DISK))
+        chunks = chunk_plan(ranges)
+        run_id = next_run_id(spark, store)
+        if not chunks:
+            row = _history_row(spec, run_id, STATUS_NO_NEW_DATA, started, now(), host, time.monotonic() - t0)
             append_history(spark, store, [row])
             return dict(row, pages=0)
-        for first in range(0, int(pages) + 1, spec.pages_per_commit):
+        at = cursor
+        for part in chunks:
             if deadline is not None and time.time() > deadline:
                 raise TimeoutError(f"Job {spec.job_key}: run deadline passed")
-            chunk = paged.filter((F.col("page_no") >= first) & (F.col("page_no") < first + spec.pages_per_commit))
-            at, ep = current_cursor(spark, store, spec.job_key)
-            commit_id = f"{spec.job_key}-e{ep}-c{at}"
-            written = commit_chunk(spark, spec, store, chunk, key, commit_id, host, now, before_history)
-            for r in written:
-                totals["read"] += r["records_read"]
-                totals["inserted"] += r["records_inserted"]
-                totals["first"] = r["source_row_id_from"] if totals["first"] is None else totals["first"]
-                totals["last"] = r["source_row_id_to"]
-                totals["pages"] += 1
+            # The chunk starts where the last commit ended: the value resume_cursor would
+            # re-derive from history (single writer), without another history scan.
+            commit_id = f"{spec.job_key}-e{epoch}-c{at}"
+            c = part["chunk_no"]
+            commit_chunk(spark, spec, store, paged.filter(F.col("chunk_no") == c),
+                         ranges.filter(F.col("chunk_no") == c), commit_id, run_id, part["p0"], host,
+                         now, before_history)
+            run_id += part["pages"]
+            totals["read"] += part["rows"]
+            totals["inserted"] += part["rows"]
+            totals["first"] = part["first"] if totals["first"] is None else totals["first"]
+            totals["last"] = at = part["last"]
+            totals["pages"] += part["pages"]
         return dict(_history_row(spec, 0, STATUS_SUCCESS, started, now(), host, time.monotonic() - t0,
                                  totals["first"], totals["last"], totals["read"], totals["inserted"]),
                     pages=totals["pages"])
@@ -211,6 +243,12 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
                            totals["first"], totals["last"], totals["read"], totals["inserted"], error=err)
         record_failure(spark, store, row)
         return dict(row, pages=totals["pages"])
+    finally:
+        for df in (paged, ranges):
+            if df is not None:
+                df.unpersist()
+        if staged is not None:
+            remove_path(spark, staged)
 
 
 def record_failure(spark: SparkSession, store: Store, row: dict) -> None:

@@ -71,9 +71,31 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def make_dirs(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hpath)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library created itself (a run's staging table)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def stage(df, spark: SparkSession, *name: str):
+    """Materialise ``df`` once as a Parquet table under the shared checkpoint folder and
+    return (frame reading it, its path).  Cuts the lineage like ``checkpoint()`` but
+    computes the input only once and gives the read-back real file splits."""
+    path = scratch_path(spark, "stage", *name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["spark_session", "checkpoint_root", "scratch_path", "path_exists", "local_path",
+__all__ = ["spark_session", "checkpoint_root", "scratch_path", "path_exists", "make_dirs", "remove_path", "stage", "local_path",
            "DEFAULT_CONF"]
