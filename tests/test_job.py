@@ -34,7 +34,7 @@ def history(spark, st, job="JOB1"):
 
 def target_keys(spark, sp, st):
     df = K.read_target(spark, sp.target_location, J.read_history(spark, st), sp.job_key)
-    return sorted(r[0] for r in df.select("key_col").collect())
+    return sorted(r[0] for r in df.select(sp.target_columns[0]).collect())
 
 
 def test_happy_path(spark, scratch):
@@ -169,3 +169,37 @@ def test_spec_validation():
         J.JobSpec("X", rows_extract([]), "/tmp/x", ["a"], batch_size=0).validate()
     with pytest.raises(ValueError):
         J.JobSpec("X", rows_extract([]), "/tmp/x", [" "], batch_size=1, max_records=1).validate()
+
+
+def test_lookback_catches_late_rows_without_duplicates(spark, scratch):
+    st = store(scratch)
+    keys = {"now": [1, 2, 4, 5]}
+
+    def extract(spark, params):
+        return spark.createDataFrame([(k, f"Row{k}") for k in keys["now"]], "key long, name string")
+    sp = J.JobSpec("LATE", extract, f"{scratch}/t_late", ["k", "n"], batch_size=10, max_records=100,
+                   lookback=10)
+    J.run_job(spark, sp, st)
+    keys["now"] = [1, 2, 3, 4, 5, 6]          # 3 became eligible after 5 was copied
+    J.run_job(spark, sp, st)
+    assert target_keys(spark, sp, st) == [1, 2, 3, 4, 5, 6]
+
+
+def test_sql_text_source_with_named_parameters(spark):
+    from tidemark.sources import increment as INC
+    spark.range(1, 21).selectExpr("id AS row_id", "id * 2 AS v").createOrReplaceTempView("src_rows")
+    src = INC.Source(INC.KIND_TEXT, text="SELECT row_id, v FROM src_rows WHERE row_id > :last_row_id "
+                                          "ORDER BY row_id LIMIT :batch_size")
+    got = [r.row_id for r in INC.read_increment(spark, src, 5, 3).collect()]
+    assert got == [6, 7, 8]
+    plan = INC.read_increment(spark, src, 5, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_ack_sent_log(spark, scratch):
+    batch = spark.range(1, 4).withColumnRenamed("id", "key")
+    K.append_sent_log(batch, f"{scratch}/sent", "key", NOW)
+    K.append_sent_log(batch.filter("key > 2"), f"{scratch}/sent", "key", NOW)
+    log = spark.read.parquet(f"{scratch}/sent")
+    cands = spark.range(1, 6).withColumnRenamed("id", "row_id")
+    assert [r.row_id for r in K.sent_log_batch(cands, log, "row_id", 10).collect()] == [4, 5]

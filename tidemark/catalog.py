@@ -729,6 +729,41 @@ def q_stream_history(spark, sf):
     return J.read_history(spark, store)
 
 
+# ---------------------------------------------------------------------------
+# Source kinds (A1-A3): SQL text with named parameters, and a registered extract
+# ---------------------------------------------------------------------------
+
+from .sources import increment as INC  # noqa: E402
+
+INCREMENT_SQL = """SELECT row_id, ref_no, cust_id1, cust_name, imported_at
+FROM report WHERE status_detailed = 'OK' AND row_id > :last_row_id
+ORDER BY row_id LIMIT :batch_size"""
+
+
+@query("sql_text_increment", with_views("report") + f"""SELECT row_id, ref_no, cust_id1, cust_name, imported_at
+FROM report WHERE status_detailed = 'OK' AND row_id > {TARGET_CURSOR_SQL} ORDER BY row_id LIMIT {BATCH}""")
+def q_sql_text_increment(spark, sf):
+    rep = _rep(spark, sf)
+    rep.createOrReplaceTempView("report")
+    cursor = rep.select(F.expr("max(row_id) * 4 div 5")).first()[0]
+    return INC.read_increment(spark, INC.Source(INC.KIND_TEXT, text=INCREMENT_SQL), cursor, BATCH)
+
+
+@X.register_extract("profile")
+def _profile_procedure(spark, params):
+    sf = params["sf_dir"]
+    return X.profile_extract(T.report(spark, sf), T.raw_report(spark, sf), params.get("as_of", AS_OF),
+                             params.get("window_days", WINDOW_DAYS))
+
+
+@query("procedure_increment",
+       extract_rows_sql(cursor=TARGET_CURSOR_SQL) + f"SELECT {PROFILE_SELECT} FROM x")
+def q_procedure_increment(spark, sf):
+    cursor = _rep(spark, sf).select(F.expr("max(row_id) * 4 div 5")).first()[0]
+    return INC.read_increment(spark, INC.Source(INC.KIND_PROCEDURE, name="profile", params={"sf_dir": sf}),
+                              cursor)
+
+
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_profile_extract(spark, sf_dir)
 

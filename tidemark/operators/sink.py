@@ -108,3 +108,12 @@ def unflag(queue: DataFrame, keys: DataFrame, key: str = "row_id", flag: str = "
     marks = keys.select(F.col(key).alias("_k")).distinct().withColumn("_hit", F.lit(True))
     out = queue.join(marks, queue[key] == marks["_k"], "left")
     return out.withColumn(flag, F.when(F.col("_hit"), F.lit(0)).otherwise(F.col(flag))).drop("_k", "_hit")
+
+
+def append_sent_log(keys: DataFrame, location: str, key: str, sent_at=None) -> None:
+    """Ack-based marking: after the target commit, log the batch keys as sent."""
+    from ..functions.scalars import ts_lit
+    out = keys.select(F.col(key).alias("row_id")).distinct()
+    if sent_at is not None:
+        out = out.withColumn("sent_utc", ts_lit(sent_at))
+    out.write.mode("append").parquet(location)

@@ -53,6 +53,9 @@ class JobSpec:
     params: dict = field(default_factory=dict)
     dedup_on_insert: bool = False
     fmt: str = "parquet"
+    # Re-read keys down to ``cursor - lookback`` so rows that became eligible late
+    # are caught; implies dedup-on-insert so nothing is copied twice.
+    lookback: int = 0
 
     def validate(self) -> None:
         if not self.job_key or not self.job_key.strip():
@@ -201,8 +204,8 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
         K.check_arity(src, spec.target_columns, spec.job_key)
         key = src.columns[0]
         cursor, epoch = current_cursor(spark, store, spec.job_key)
-        pending = src.filter(F.col(key) > F.lit(cursor))
-        if spec.dedup_on_insert and path_exists(spark, spec.target_location):
+        pending = src.filter(F.col(key) > F.lit(cursor - max(0, spec.lookback)))
+        if (spec.dedup_on_insert or spec.lookback > 0) and path_exists(spark, spec.target_location):
             done = K.read_target(spark, spec.target_location, read_history(spark, store), spec.job_key, spec.fmt)
             pending = K.insert_missing(pending, done, key, spec.target_columns[0])
         pending, staged = stage(pending, spark, spec.job_key)
