@@ -17,6 +17,7 @@ a key).  ``ties="row"`` gives strict 0..n-1 numbers instead (``order_by`` breaks
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -51,39 +52,77 @@ def bucket_of(c: Column, bounds: list) -> Column:
     return build(0, len(bounds))
 
 
-def dense_index(df: DataFrame, key: str, out: str = "idx", ties: str = "rank",
-                order_by: list | None = None, limit: int | None = None,
-                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-                max_buckets: int = MAX_BUCKETS) -> DataFrame:
-    """Add ``out`` = 0-based position of the row in key order.
+@dataclass(frozen=True)
+class IndexPlan:
+    """Literal bucket plan of a key set: cut points, rows before each bucket, and the
+    last bucket a position limit needs (``None``: all)."""
+    n: int
+    bounds: tuple
+    offsets: tuple
+    last: int | None
 
-    Runs two small eager jobs over ``df`` (checkpoint it first when it is costly);
-    the returned frame is lazy.  ``limit`` drops whole buckets that lie entirely at
-    or beyond that position, so a capped run never sorts the rest of a backlog.
-    """
-    if ties not in ("rank", "row"):
-        raise ValueError("ties must be 'rank' or 'row'")
+    def bucket(self, c: Column) -> Column:
+        return bucket_of(c, list(self.bounds)) if self.bounds else F.lit(0)
+
+    def upper_filter(self, key: str) -> Column | None:
+        """``key < first cut point past the last needed bucket`` (pushable), if any."""
+        if self.last is None or self.last >= len(self.bounds):
+            return None
+        return F.col(key) < F.lit(self.bounds[self.last])
+
+
+def plan_index(df: DataFrame, key: str, limit: int | None = None,
+               rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+               max_buckets: int = MAX_BUCKETS) -> IndexPlan:
+    """Eager part of the numbering: one count/min/max aggregate, and only for more
+    than one bucket a quantile sketch and a per-bucket count (≤ max_buckets rows to
+    the driver).  Pass a key-only projection: nothing else is needed."""
     n, bounds = key_bounds(df, key, rows_per_bucket, max_buckets)
-    b = bucket_of(F.col(key), bounds) if bounds else F.lit(0)
-    bucketed = df.withColumn("_bucket", b)
     if bounds:
         counts = {r["_bucket"]: r["n"] for r in
-                  bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
+                  df.select(bucket_of(F.col(key), bounds).alias("_bucket"))
+                  .groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
     else:
         counts = {0: n}
     sizes = [int(counts.get(i, 0)) for i in range(len(bounds) + 1)]
     offsets = [0] + list(accumulate(sizes))[:-1]
+    last = None
     if limit is not None:
         keep = [i for i, o in enumerate(offsets) if o < limit and sizes[i] > 0]
         last = max(keep) if keep else -1
-        bucketed = bucketed.filter(F.col("_bucket") <= F.lit(last))
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_bucket") + 1)
+    return IndexPlan(n, tuple(bounds), tuple(offsets), last)
+
+
+def apply_index(df: DataFrame, key: str, plan: IndexPlan, out: str = "idx", ties: str = "rank",
+                order_by: list | None = None) -> DataFrame:
+    """Lazy part: ``offset[bucket] + rank() OVER (PARTITION BY bucket ORDER BY key) - 1``."""
+    if ties not in ("rank", "row"):
+        raise ValueError("ties must be 'rank' or 'row'")
+    bucketed = df.withColumn("_bucket", plan.bucket(F.col(key)))
+    if plan.last is not None:
+        bucketed = bucketed.filter(F.col("_bucket") <= F.lit(plan.last))
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in plan.offsets]), F.col("_bucket") + 1)
     order = [F.col(key)] + [F.col(c) if isinstance(c, str) else c for c in (order_by or [])]
     w = Window.partitionBy("_bucket").orderBy(*order)
     pos = F.rank().over(w) if ties == "rank" else F.row_number().over(w)
     return bucketed.withColumn(out, offset + pos.cast("long") - 1).drop("_bucket")
 
 
+def dense_index(df: DataFrame, key: str, out: str = "idx", ties: str = "rank",
+                order_by: list | None = None, limit: int | None = None,
+                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+                max_buckets: int = MAX_BUCKETS) -> DataFrame:
+    """Add ``out`` = 0-based position of the row in key order.
+
+    Runs small eager jobs over ``df`` (see ``plan_index``; stage ``df`` first when
+    it is costly); the returned frame is lazy.  ``limit`` drops whole buckets that
+    lie entirely at or beyond that position, so a capped run never sorts the rest
+    of a backlog.
+    """
+    plan = plan_index(df.select(key), key, limit, rows_per_bucket, max_buckets)
+    return apply_index(df, key, plan, out, ties, order_by)
+
+
 def cap_rows(batch: int, cap: int | None) -> int | None:
     """Rows one run copies at most: pages are read whole, so ``batch * ceil(cap / batch)``."""
     if cap is None:
@@ -103,10 +142,11 @@ def assign_pages(indexed: DataFrame, batch: int, cap: int | None = None, idx: st
 
 
 def paginate(df: DataFrame, key: str, batch: int, cap: int | None = None,
-             rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+             rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, plan: IndexPlan | None = None) -> DataFrame:
     """F6 + F7: index by key then cut pages, numbering only what the cap lets through."""
-    indexed = dense_index(df, key, limit=cap_rows(batch, cap), rows_per_bucket=rows_per_bucket)
-    return assign_pages(indexed, batch, cap)
+    if plan is None:
+        plan = plan_index(df.select(key), key, cap_rows(batch, cap), rows_per_bucket)
+    return assign_pages(apply_index(df, key, plan), batch, cap)
 
 
 def page_ranges(paged: DataFrame, key: str, page: str = "page_no") -> DataFrame:

@@ -59,6 +59,13 @@ def write_commit(df: DataFrame, location: str, commit_id: str, fmt: str = "parqu
        .partitionBy(COMMIT_COL).format(fmt).save(location))
 
 
+def write_commits(df: DataFrame, location: str, fmt: str = "parquet") -> None:
+    """Write rows that carry their own ``commit_id`` column, one partition per id;
+    each id present replaces its partition, other partitions stay."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(COMMIT_COL).format(fmt).save(location))
+
+
 def committed_ids(history: DataFrame, sync_key: str | None = None) -> DataFrame:
     h = history if sync_key is None else history.filter(F.col("sync_key") == sync_key)
     return h.filter((F.col("status") == STATUS_SUCCESS) & F.col(COMMIT_COL).isNotNull()).select(COMMIT_COL).distinct()

@@ -2,14 +2,16 @@
 commit-logged writes → history.
 
 Per run, Spark does the work in a few distributed jobs rather than one round trip
-per page: the pending rows (key > cursor) are materialised once with
-``checkpoint()`` (lineage cut, stored under ``spark.checkpoint.dir`` so a lost
-executor does not force the extract to rerun), numbered with the distributed
-``dense_index``, cut into pages, and written ``pages_per_commit`` pages at a time.
-Each chunk is one data write (partition ``commit_id``) followed by one history
-append (the commit point).  ``commit_id = job-e<epoch>-c<cursor>`` is derived
-from the cursor the chunk starts at, so a retry after a crash between the two
-writes rewrites the same partition instead of duplicating it.
+per page.  The keys above the cursor are counted and bucketed first (key-only
+passes), so only the rows this run may copy (``max_records``, rounded to whole
+pages and buckets) are staged: written once as a Parquet table under
+``spark.checkpoint.dir``, which cuts the lineage (a lost executor does not rerun
+the extract) and keeps numbering and writes on one snapshot.  The staged keys
+are numbered with the distributed ``dense_index``, cut into pages and chunks of
+``pages_per_commit`` pages; one job writes every chunk into its own partition
+``commit_id=job-e<epoch>-c<cursor>``; then one history append per chunk, in key
+order, commits it.  A retry after a crash derives the same ids from the same
+cursor and overwrites the uncommitted partitions instead of duplicating them.
 
 Single writer per job: two concurrent runs of one job would race on the same
 commit id; no lock is provided.
@@ -143,22 +145,33 @@ def check_arity_only(df: DataFrame, spec: JobSpec) -> None:
     K.check_arity(df, spec.target_columns, spec.job_key)
 
 
-def commit_chunk(spark: SparkSession, spec: JobSpec, store: Store, rows: DataFrame,
-                 ranges: DataFrame, commit_id: str, run_id_base: int, first_page: int, host: str,
-                 now: Callable[[], dt.datetime] = utc_now,
-                 before_history: Callable[[str], None] | None = None) -> None:
-    """Write one chunk of paged rows, then its history rows (one per page, built on
-    the executors from ``ranges``): the history append is the commit point."""
-    t0, started = time.monotonic(), now()
-    data = rows.drop("idx", "page_no", "chunk_no")
-    K.write_commit(K.to_target(data, spec.target_columns), spec.target_location, commit_id, spec.fmt)
-    if before_history is not None:
-        before_history(commit_id)
-    hist = ranges.select(
+MAX_TREE_CHUNKS = 4096
+
+
+class ChunkFailure(Exception):
+    """A copy stopped part-way; ``totals`` holds what was committed before it."""
+
+    def __init__(self, cause: BaseException, totals: dict):
+        super().__init__(str(cause))
+        self.cause, self.totals = cause, totals
+
+
+def chunk_plan(ranges: DataFrame) -> list:
+    """Per chunk: pages, rows, first/last key, first page — one small aggregate whose
+    size is the number of chunks (run cap / (batch * pages_per_commit))."""
+    return ranges.groupBy("chunk_no").agg(
+        F.count(F.lit(1)).alias("pages"), F.sum("rows").alias("rows"),
+        F.min("key_from").alias("first"), F.max("key_to").alias("last"),
+        F.min("page_no").alias("p0")).orderBy("chunk_no").collect()
+
+
+def _history_frame(spec: JobSpec, ranges: DataFrame, commit_id: str, run_id_base: int, first_page: int,
+                   started, completed, host: str, duration: float) -> DataFrame:
+    """History rows of one chunk, one per page, built on the executors."""
+    return ranges.select(
         (F.lit(run_id_base) + F.col("page_no") - F.lit(first_page)).cast("long").alias("run_id"),
-        F.lit(spec.job_key).alias("sync_key"),
         F.lit(started).cast("timestamp_ntz").alias("started_utc"),
-        F.lit(now()).cast("timestamp_ntz").alias("completed_utc"),
+        F.lit(completed).cast("timestamp_ntz").alias("completed_utc"),
         F.lit(STATUS_SUCCESS).alias("status"),
         F.col("key_from").cast("long").alias("source_row_id_from"),
         F.col("key_to").cast("long").alias("source_row_id_to"),
@@ -168,18 +181,87 @@ def commit_chunk(spark: SparkSession, spec: JobSpec, store: Store, rows: DataFra
         F.col("rows").cast("int").alias("records_inserted"),
         F.lit(None).cast("string").alias("error_message"),
         F.lit(host).alias("host_machine"),
-        F.lit(time.monotonic() - t0).cast("double").alias("duration_seconds"),
-        F.lit(commit_id).alias("commit_id"))
-    hist.coalesce(1).write.mode("append").partitionBy("sync_key").parquet(store.history_location)
+        F.lit(duration).cast("double").alias("duration_seconds"),
+        F.lit(commit_id).alias("commit_id"),
+        F.lit(spec.job_key).alias("sync_key"))
+
+
+def copy_staged(spark: SparkSession, spec: JobSpec, store: Store, staged: DataFrame, key: str,
+                plan: P.IndexPlan, cursor: int, epoch: int, host: str,
+                now: Callable[[], dt.datetime] = utc_now, deadline: float | None = None,
+                before_history: Callable[[str], None] | None = None, tag: str = "",
+                capped: bool = True) -> dict:
+    """Copy the staged rows (key > cursor) page by page.
+
+    1. Number the keys alone (a sort of one long column) and cut pages and chunks
+       of ``pages_per_commit`` pages; only the chunk plan reaches the driver.
+    2. One data job writes every chunk into its own ``commit_id`` partition
+       (chunk chosen by a CASE tree on the chunk start keys).
+    3. History rows are appended chunk by chunk, in key order: each append is a
+       commit point, so a crash keeps the chunks committed before it and a retry
+       (same cursor → same commit ids) overwrites the uncommitted partitions.
+    """
+    t0, started = time.monotonic(), now()
+    totals = dict(read=0, inserted=0, first=None, last=None, pages=0)
+    ppc = int(spec.pages_per_commit)
+    cap = spec.max_records if capped else None
+    keys = P.assign_pages(P.apply_index(staged.select(key), key, plan), spec.batch_size, cap)
+    ranges = (P.page_ranges(keys, key).withColumn("chunk_no", F.expr(f"page_no div {ppc}"))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        chunks = chunk_plan(ranges)
+        if not chunks:
+            return totals
+        starts = [cursor] + [c["last"] for c in chunks[:-1]]
+        ids = [f"{spec.job_key}-e{epoch}{tag}-c{at}" for at in starts]
+        if deadline is not None and time.time() > deadline:
+            raise TimeoutError(f"Job {spec.job_key}: run deadline passed")
+        if len(chunks) <= MAX_TREE_CHUNKS:
+            rows = staged.filter(F.col(key) <= F.lit(chunks[-1]["last"]))
+            chunk_no = P.bucket_of(F.col(key), [c["first"] for c in chunks[1:]])
+        else:
+            paged = P.assign_pages(P.apply_index(staged, key, plan, out="_idx"), spec.batch_size,
+                                   cap, idx="_idx", out="_page")
+            rows, chunk_no = paged, F.expr(f"_page div {ppc}")
+        commit = F.element_at(F.array(*[F.lit(i) for i in ids]), chunk_no + 1)
+        K.check_arity(staged, spec.target_columns, spec.job_key)
+        data = rows.select(*[F.col(c).alias(t) for c, t in zip(staged.columns, spec.target_columns)],
+                           commit.alias(K.COMMIT_COL))
+        K.write_commits(data, spec.target_location, spec.fmt)
+        run_id = next_run_id(spark, store)
+        for part, commit_id in zip(chunks, ids):
+            if deadline is not None and time.time() > deadline:
+                raise TimeoutError(f"Job {spec.job_key}: run deadline passed")
+            if before_history is not None:
+                before_history(commit_id)
+            hist = _history_frame(spec, ranges.filter(F.col("chunk_no") == part["chunk_no"]), commit_id,
+                                  run_id, part["p0"], started, now(), host,
+                                  (time.monotonic() - t0) / max(1, len(chunks)))
+            hist.coalesce(1).write.mode("append").partitionBy("sync_key").parquet(store.history_location)
+            run_id += part["pages"]
+            totals["read"] += part["rows"]
+            totals["inserted"] += part["rows"]
+            totals["first"] = part["first"] if totals["first"] is None else totals["first"]
+            totals["last"] = part["last"]
+            totals["pages"] += part["pages"]
+        return totals
+    except Exception as exc:  # noqa: BLE001
+        raise ChunkFailure(exc, totals) from exc
+    finally:
+        ranges.unpersist()
 
 
-def chunk_plan(ranges: DataFrame) -> list:
-    """Per chunk: pages, rows, first/last key, first page — one small aggregate whose
-    size is the number of chunks (run cap / (batch * pages_per_commit))."""
-    return ranges.groupBy("chunk_no").agg(
-        F.count(F.lit(1)).alias("pages"), F.sum("rows").alias("rows"),
-        F.min("key_from").alias("first"), F.max("key_to").alias("last"),
-        F.min("page_no").alias("p0")).orderBy("chunk_no").collect()
+def stage_pending(spark: SparkSession, spec: JobSpec, pending: DataFrame, key: str, capped: bool = True):
+    """Key-only plan of the pending rows, then stage just the rows this run can copy
+    (the buckets covering ``max_records``), never the whole backlog.
+    Returns (staged frame, staged path, plan) or (None, None, plan) when empty."""
+    limit = P.cap_rows(spec.batch_size, spec.max_records) if capped else None
+    plan = P.plan_index(pending.select(key), key, limit)
+    if plan.n == 0:
+        return None, None, plan
+    cut = plan.upper_filter(key)
+    staged, path = stage(pending if cut is None else pending.filter(cut), spark, spec.job_key)
+    return staged, path, plan
 
 
 def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float | None = None,
@@ -189,14 +271,14 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
     whole pages).  Returns the run's aggregate result (not stored).  A failure is
     recorded as a ``Failed`` history row carrying the totals already committed.
 
-    Spark jobs per run: cursor (history), materialise pending (checkpoint), key
-    bounds (+ bucket counts when the set spans several buckets), then per chunk one
-    data write and one history append; the paged frame is persisted between them
-    (recomputable from the checkpoint if an executor is lost)."""
+    Spark jobs per run: cursor (history); key-only count/min/max over the extract
+    (plus quantiles and bucket counts when the keys span several buckets); one
+    staging write of the rows this run can copy; key numbering and page ranges;
+    one data write; one history append per chunk."""
     host = host or socket.gethostname()
     t0, started = time.monotonic(), now()
     totals = dict(read=0, inserted=0, first=None, last=None, pages=0)
-    paged = ranges = staged = None
+    staged_path = None
     try:
         spec.validate()
         ensure_history(spark, store)
@@ -208,50 +290,29 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
         if (spec.dedup_on_insert or spec.lookback > 0) and path_exists(spark, spec.target_location):
             done = K.read_target(spark, spec.target_location, read_history(spark, store), spec.job_key, spec.fmt)
             pending = K.insert_missing(pending, done, key, spec.target_columns[0])
-        pending, staged = stage(pending, spark, spec.job_key)
-        paged = (P.paginate(pending, key, spec.batch_size, spec.max_records)
-                 .withColumn("chunk_no", F.expr(f"page_no div {int(spec.pages_per_commit)}"))
-                 .persist(StorageLevel.MEMORY_AND_DISK))
-        ranges = (P.page_ranges(paged, key).withColumn("chunk_no", F.expr(f"page_no div {int(spec.pages_per_commit)}"))
-                  .persist(StorageLevel.MEMORY_AND_DISK))
-        chunks = chunk_plan(ranges)
-        run_id = next_run_id(spark, store)
-        if not chunks:
-            row = _history_row(spec, run_id, STATUS_NO_NEW_DATA, started, now(), host, time.monotonic() - t0)
+        staged, staged_path, plan = stage_pending(spark, spec, pending, key)
+        if staged is not None:
+            totals = copy_staged(spark, spec, store, staged, key, plan, cursor, epoch, host, now, deadline,
+                                 before_history)
+        if totals["pages"] == 0:
+            row = _history_row(spec, next_run_id(spark, store), STATUS_NO_NEW_DATA, started, now(), host,
+                               time.monotonic() - t0)
             append_history(spark, store, [row])
             return dict(row, pages=0)
-        at = cursor
-        for part in chunks:
-            if deadline is not None and time.time() > deadline:
-                raise TimeoutError(f"Job {spec.job_key}: run deadline passed")
-            # The chunk starts where the last commit ended: the value resume_cursor would
-            # re-derive from history (single writer), without another history scan.
-            commit_id = f"{spec.job_key}-e{epoch}-c{at}"
-            c = part["chunk_no"]
-            commit_chunk(spark, spec, store, paged.filter(F.col("chunk_no") == c),
-                         ranges.filter(F.col("chunk_no") == c), commit_id, run_id, part["p0"], host,
-                         now, before_history)
-            run_id += part["pages"]
-            totals["read"] += part["rows"]
-            totals["inserted"] += part["rows"]
-            totals["first"] = part["first"] if totals["first"] is None else totals["first"]
-            totals["last"] = at = part["last"]
-            totals["pages"] += part["pages"]
         return dict(_history_row(spec, 0, STATUS_SUCCESS, started, now(), host, time.monotonic() - t0,
                                  totals["first"], totals["last"], totals["read"], totals["inserted"]),
                     pages=totals["pages"])
     except Exception as exc:  # noqa: BLE001 - every failure becomes a Failed result
+        if isinstance(exc, ChunkFailure):
+            totals, exc = exc.totals, exc.cause
         err = "".join(traceback.format_exception_only(type(exc), exc)).strip()
         row = _history_row(spec, 0, STATUS_FAILED, started, now(), host, time.monotonic() - t0,
                            totals["first"], totals["last"], totals["read"], totals["inserted"], error=err)
         record_failure(spark, store, row)
         return dict(row, pages=totals["pages"])
     finally:
-        for df in (paged, ranges):
-            if df is not None:
-                df.unpersist()
-        if staged is not None:
-            remove_path(spark, staged)
+        if staged_path is not None:
+            remove_path(spark, staged_path)
 
 
 def record_failure(spark: SparkSession, store: Store, row: dict) -> None:

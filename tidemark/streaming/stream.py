@@ -14,13 +14,11 @@ from __future__ import annotations
 import socket
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import paging as P
 from ..plans import job as J
-from ..session import remove_path, stage
+from ..session import remove_path
 
 
 def stream_sync(spark: SparkSession, source: DataFrame, spec: J.JobSpec, store: J.Store,
@@ -37,20 +35,16 @@ def stream_sync(spark: SparkSession, source: DataFrame, spec: J.JobSpec, store:
         J.check_arity_only(batch, spec)
         key = batch.columns[0]
         cursor, epoch = J.current_cursor(spark, store, spec.job_key)
-        pending, staged = stage(batch.filter(F.col(key) > F.lit(cursor)), spark, spec.job_key)
-        paged = P.paginate(pending, key, spec.batch_size).persist(StorageLevel.MEMORY_AND_DISK)
-        ranges = P.page_ranges(paged, key).persist(StorageLevel.MEMORY_AND_DISK)
+        # A micro-batch is bounded by maxFilesPerTrigger; every row of it is copied.
+        staged, path, plan = J.stage_pending(spark, spec, batch.filter(F.col(key) > F.lit(cursor)), key,
+                                             capped=False)
+        if staged is None:
+            return
         try:
-            first = ranges.agg(F.min("page_no")).first()[0]
-            if first is None:
-                return
-            commit_id = f"{spec.job_key}-e{epoch}-s{batch_id}"
-            J.commit_chunk(spark, spec, store, paged, ranges, commit_id, J.next_run_id(spark, store),
-                           first, host, before_history=before_history)
+            J.copy_staged(spark, spec, store, staged, key, plan, cursor, epoch, host,
+                          before_history=before_history, tag=f"-s{batch_id}", capped=False)
         finally:
-            paged.unpersist()
-            ranges.unpersist()
-            remove_path(spark, staged)
+            remove_path(spark, path)
 
     q = (source.writeStream.foreachBatch(on_batch)
          .option("checkpointLocation", checkpoint_location)
