@@ -220,3 +220,17 @@ def test_stream_copies_each_batch_whole_and_skips_replays(spark, scratch):
     source = STR.file_source(spark, src, "key long, name string", max_files_per_trigger=1)
     STR.stream_sync(spark, source, sp, st, f"{scratch}/ckpt")
     assert target_keys(spark, sp, st) == list(range(1, 15))
+
+
+@pytest.mark.parametrize("threshold,per_bucket", [(0, 4), (0, 1000), (1 << 40, 4)])
+def test_cap_with_and_without_key_prepass(spark, scratch, threshold, per_bucket):
+    sp = J.JobSpec("PRE", rows_extract(range(1, 30)), f"{scratch}/t_pre{threshold}_{per_bucket}", ["k", "n"],
+                   batch_size=3, max_records=7, pages_per_commit=2, stage_all_below_bytes=threshold,
+                   rows_per_bucket=per_bucket)
+    st = J.Store(f"{scratch}/h_pre{threshold}_{per_bucket}")
+    r = J.run_job(spark, sp, st)
+    assert (r["records_read"], r["source_row_id_to"], r["pages"]) == (9, 9, 3)
+    assert target_keys(spark, sp, st) == list(range(1, 10))
+    r = J.run_job(spark, sp, st)
+    assert (r["source_row_id_from"], r["source_row_id_to"]) == (10, 18)
+    assert [h.commit_id for h in history(spark, st, "PRE")][-3:] == ["PRE-e0-c9", "PRE-e0-c9", "PRE-e0-c15"]

@@ -93,9 +93,18 @@ def stage(df, spark: SparkSession, *name: str):
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def estimated_bytes(df) -> int | None:
+    """Catalyst's size estimate of a plan (what it uses to decide broadcasts); None if
+    unavailable."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["spark_session", "checkpoint_root", "scratch_path", "path_exists", "make_dirs", "remove_path", "stage", "local_path",
+__all__ = ["spark_session", "checkpoint_root", "scratch_path", "path_exists", "make_dirs", "remove_path", "stage", "estimated_bytes", "local_path",
            "DEFAULT_CONF"]
