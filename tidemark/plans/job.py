@@ -35,7 +35,7 @@ from ..operators import paging as P
 from ..operators import sink as K
 from ..schemas import (HISTORY_SCHEMA, OVERRIDE_SCHEMA, STATUS_FAILED, STATUS_NO_NEW_DATA,
                        STATUS_SUCCESS)
-from ..session import estimated_bytes, make_dirs, path_exists, remove_path, stage
+from ..session import input_bytes, make_dirs, path_exists, remove_path, stage
 
 MAX_BATCH = 100_000
 MAX_RUN_RECORDS = 10_000_000
@@ -58,8 +58,9 @@ class JobSpec:
     # Re-read keys down to ``cursor - lookback`` so rows that became eligible late
     # are caught; implies dedup-on-insert so nothing is copied twice.
     lookback: int = 0
-    # Below this estimated size the pending rows are staged whole in one pass;
-    # above it a key-only pass first limits staging to what the run cap can copy.
+    # When the extract reads less than this many bytes of input, the pending rows are
+    # staged whole in one pass; above it a key-only pass first limits staging to
+    # what the run cap can copy (so a large backlog is never rewritten every run).
     stage_all_below_bytes: int = 256 * 1024 * 1024
     # Rows per numbering bucket (one sort task each).
     rows_per_bucket: int = P.DEFAULT_ROWS_PER_BUCKET
@@ -261,8 +262,8 @@ def stage_pending(spark: SparkSession, spec: JobSpec, pending: DataFrame, key: s
     (the buckets covering ``max_records``), never the whole backlog.
     Returns (staged frame, staged path, plan) or (None, None, plan) when empty."""
     limit = P.cap_rows(spec.batch_size, spec.max_records) if capped else None
-    est = estimated_bytes(pending)
-    if limit is None or (est is not None and est <= spec.stage_all_below_bytes):
+    size = input_bytes(spark, pending)
+    if limit is None or (size is not None and size <= spec.stage_all_below_bytes):
         # Small input (or no cap): one evaluation of the extract, planned on the copy.
         staged, path = stage(pending, spark, spec.job_key)
         plan = P.plan_index(staged.select(key), key, limit, spec.rows_per_bucket)

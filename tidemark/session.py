@@ -93,11 +93,20 @@ def stage(df, spark: SparkSession, *name: str):
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def estimated_bytes(df) -> int | None:
-    """Catalyst's size estimate of a plan (what it uses to decide broadcasts); None if
-    unavailable."""
+def input_bytes(spark: SparkSession, df) -> int | None:
+    """Total size of the files ``df`` reads (``DataFrame.inputFiles`` + file lengths);
+    None when unknown (e.g. a streaming or in-memory source)."""
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        files = df.inputFiles()
+        if not files:
+            return None
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        total = 0
+        for f in files:
+            p = jvm.org.apache.hadoop.fs.Path(f)
+            total += int(p.getFileSystem(conf).getFileStatus(p).getLen())
+        return total
     except Exception:  # noqa: BLE001
         return None
 
@@ -106,5 +115,5 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["spark_session", "checkpoint_root", "scratch_path", "path_exists", "make_dirs", "remove_path", "stage", "estimated_bytes", "local_path",
+__all__ = ["spark_session", "checkpoint_root", "scratch_path", "path_exists", "make_dirs", "remove_path", "stage", "input_bytes", "local_path",
            "DEFAULT_CONF"]
