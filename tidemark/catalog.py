@@ -724,7 +724,7 @@ def q_stream_history(spark, sf):
     rows = T.report_from(orders, T.load(spark, sf, "customer"), T.load(spark, sf, "nation")).select(
         "row_id", "ref_no", "cust_name", "responded_at")
     spec = J.JobSpec("STREAM", lambda s, p: rows, f"{root}/target", ["row_id", "ref_no", "name", "responded_at"],
-                     batch_size=BATCH * 10, max_records=RUN_CAP * 10)
+                     batch_size=BATCH * 10, max_records=RUN_CAP * 10, pages_per_commit=10)
     STR.stream_sync(spark, rows, spec, store, f"{root}/stream-checkpoint")
     return J.read_history(spark, store)
 
