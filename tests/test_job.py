@@ -88,10 +88,14 @@ def test_crash_before_history_hides_rows_and_retry_is_idempotent(spark, scratch)
     # the data partition exists but is not committed
     assert spark.read.parquet(sp.target_location).count() == 3
     assert target_keys(spark, sp, st) == []
+    from tidemark.operators import quality as Q
+    left = Q.uncommitted_partitions(spark, sp.target_location, J.read_history(spark, st), "JOB1").collect()
+    assert [(r.commit_id, r.rows) for r in left] == [("JOB1-e0-c0", 3)]
     r2 = J.run_job(spark, sp, st)
     assert r2["status"] == "Success"
     assert target_keys(spark, sp, st) == [1, 2, 3]
     assert spark.read.parquet(sp.target_location).count() == 3   # same commit id overwritten
+    assert Q.uncommitted_partitions(spark, sp.target_location, J.read_history(spark, st)).count() == 0
 
 
 def test_second_page_fails_then_resumes(spark, scratch):
@@ -234,3 +238,21 @@ def test_cap_with_and_without_key_prepass(spark, scratch, threshold, per_bucket)
     r = J.run_job(spark, sp, st)
     assert (r["source_row_id_from"], r["source_row_id_to"]) == (10, 18)
     assert [h.commit_id for h in history(spark, st, "PRE")][-3:] == ["PRE-e0-c9", "PRE-e0-c9", "PRE-e0-c15"]
+
+
+def test_rewind_before_first_run_and_per_job_epochs(spark, scratch):
+    st = store(scratch)
+    J.ensure_history(spark, st)
+    J.rewind(spark, st, "NEW", 7)           # job without history
+    assert J.current_cursor(spark, st, "NEW") == (7, 1)
+    J.rewind(spark, st, "NEW", 3)
+    assert J.current_cursor(spark, st, "NEW") == (3, 2)
+    assert J.current_cursor(spark, st, "OTHER") == (0, 0)
+
+
+def test_jdbc_options_are_partitioned():
+    from tidemark.sources import increment as INC
+    o = INC.jdbc_options("jdbc:sqlserver://db", "dbo.src", "RowID", 0, 1000, 8, user="u")
+    assert (o["partitionColumn"], o["numPartitions"], o["upperBound"], o["user"]) == ("RowID", "8", "1000", "u")
+    with pytest.raises(ValueError):
+        INC.jdbc_options("x", "t", "k", 5, 1, 2)

@@ -677,6 +677,33 @@ def q_gen_linked_triple(spark, sf):
     return G.gen_linked(seeds, SEED_DAY, *bases)[0]
 
 
+@query("gen_dated_parents", f"""WITH s AS (SELECT o_orderkey + 1 AS n FROM orders),
+c AS (SELECT count(*) AS total FROM orders)
+SELECT n AS row_id, 'OK' AS status,
+  CASE WHEN n <= (SELECT total // 8 FROM c) THEN {_ts(PAIR_DAYS[0])} ELSE {_ts(PAIR_DAYS[1])} END
+    + to_seconds(CAST(n % 86400 AS BIGINT)) AS responded_at
+FROM s WHERE n >= 1 AND n <= (SELECT total // 8 + (total - total // 8) FROM c)""")
+def q_gen_dated_parents(spark, sf):
+    orders = T.load(spark, sf, "orders")
+    total = orders.select(F.count(F.lit(1))).scalar()
+    day1 = orders.select(F.expr("count(1) div 8")).scalar()
+    return G.gen_dated_pairs(G.seeds_from(orders, "o_orderkey"),
+                             [(PAIR_DAYS[0], day1), (PAIR_DAYS[1], total - day1)])[0]
+
+
+@query("gen_linked_reset", f"""WITH s AS (
+  SELECT o_orderkey + 1 AS n, {_ts(SEED_DAY)} + to_seconds(CAST((o_orderkey + 1) % 86400 AS BIGINT)) AS d FROM orders)
+SELECT n AS row_id, 'OK' AS status, d AS responded_at, 2023 AS from_year, 2026 AS to_year,
+  CAST(10000 + n % 50000 AS DECIMAL(18,2)) AS total_limit,
+  CAST(5000 + n % 20000 AS DECIMAL(18,2)) AS total_outstanding FROM s""")
+def q_gen_linked_reset(spark, sf):
+    """Full reset and reseed (ids restart at 1): the raw-report parents of the linked triple."""
+    seeds = G.seeds_from(T.load(spark, sf, "orders"), "o_orderkey")
+    raw = G.gen_linked(seeds, SEED_DAY, 0, 0, 0)[1]
+    return raw.select("row_id", "status", "responded_at", "from_year", "to_year", "total_limit",
+                      "total_outstanding")
+
+
 @query("gen_target_dummy")
 def q_gen_target_dummy(spark, sf):
     return G.gen_target_dummy(G.seeds_from(T.load(spark, sf, "orders"), "o_orderkey"), 2026, 42)

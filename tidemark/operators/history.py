@@ -45,16 +45,22 @@ def resume_cursor(history: DataFrame, keys: Sequence[str] | None = None,
             .alias("cursor"),
             F.lit(0).alias("epoch"))
     else:
+        # One override row per job: a left join the planner can broadcast (a full
+        # outer join could not be, and would put a busy job's history in one task).
         ov = latest_override(for_keys(overrides, keys))
-        keyed = h.select("sync_key", "run_id", "status", "source_row_id_to").join(ov, "sync_key", "full")
+        keyed = h.select("sync_key", "run_id", "status", "source_row_id_to").join(ov, "sync_key", "left")
         newer = F.col("after_run_id").isNull() | (F.col("run_id") > F.col("after_run_id"))
-        out = keyed.groupBy("sync_key").agg(
+        seen = keyed.groupBy("sync_key").agg(
             F.max(F.when(success & newer, F.col("source_row_id_to"))).alias("_pos"),
             F.max("cursor").alias("_ov"), F.max("epoch").alias("_epoch"))
-        out = out.select(
+        seen = seen.select(
             "sync_key",
             F.coalesce("_pos", "_ov", F.lit(0).cast("long")).alias("cursor"),
             F.coalesce("_epoch", F.lit(0)).alias("epoch"))
+        # Jobs rewound before they ever ran: the override alone.
+        unseen = ov.join(h.select("sync_key").distinct(), "sync_key", "left_anti").select(
+            "sync_key", F.col("cursor").cast("long").alias("cursor"), F.col("epoch"))
+        out = seen.unionByName(unseen)
     if keys:
         spark = history.sparkSession
         wanted = spark.createDataFrame([(k,) for k in keys], "sync_key string")
@@ -68,15 +74,15 @@ def rewind(history: DataFrame, overrides: DataFrame | None, sync_key: str, curso
     """One override row lowering where ``sync_key`` resumes: a new epoch, valid for
     runs after the current newest one.  Commit records are never deleted."""
     h = history.filter(F.col("sync_key") == sync_key)
-    last_run = h.agg(F.coalesce(F.max("run_id"), F.lit(0).cast("long")).alias("after_run_id"))
+    last_run = h.select(F.coalesce(F.max("run_id"), F.lit(0).cast("long"))).scalar()
     if overrides is not None:
-        ep = overrides.filter(F.col("sync_key") == sync_key).agg(
-            (F.coalesce(F.max("epoch"), F.lit(0)) + 1).alias("epoch"))
+        epoch = overrides.filter(F.col("sync_key") == sync_key).select(
+            F.coalesce(F.max("epoch"), F.lit(0)) + 1).scalar()
     else:
-        ep = history.sparkSession.range(1).select(F.lit(1).alias("epoch"))
-    return last_run.join(ep, how="cross").select(
-        F.lit(sync_key).alias("sync_key"), F.col("epoch").cast("int").alias("epoch"),
-        col_or_lit(cursor).cast("long").alias("cursor"), F.col("after_run_id").cast("long"))
+        epoch = F.lit(1)
+    return history.sparkSession.range(1).select(
+        F.lit(sync_key).alias("sync_key"), epoch.cast("int").alias("epoch"),
+        col_or_lit(cursor).cast("long").alias("cursor"), last_run.cast("long").alias("after_run_id"))
 
 
 def run_start(c: str = "started_utc", unit: str = "hour") -> Column:

@@ -154,3 +154,16 @@ def day_counts(df: DataFrame, ts: str, days: Sequence) -> DataFrame:
 def next_base_id(df: DataFrame, key: str = "row_id") -> DataFrame:
     """``ISNULL(MAX(key), 0)``: ids of new rows start after it."""
     return df.agg(F.coalesce(F.max(key), F.lit(0).cast("long")).alias("base_id"))
+
+
+def uncommitted_partitions(spark: SparkSession, target_location: str, history: DataFrame,
+                           sync_key: str | None = None, fmt: str = "parquet") -> DataFrame:
+    """Target partitions no ``Success`` history row names: leftovers of runs that
+    stopped between the data write and the commit (invisible to ``read_target``;
+    the next run from the same cursor overwrites them)."""
+    from .sink import COMMIT_COL, committed_ids
+    parts = spark.read.format(fmt).load(target_location).groupBy(COMMIT_COL).agg(
+        F.count(F.lit(1)).alias("rows"))
+    if sync_key is not None:
+        parts = parts.filter(F.col(COMMIT_COL).startswith(f"{sync_key}-"))
+    return parts.join(committed_ids(history, sync_key), COMMIT_COL, "left_anti")

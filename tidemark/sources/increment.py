@@ -56,3 +56,22 @@ def as_extract(source: Source, batch_size: int = 2 ** 31 - 1) -> Callable[[Spark
     def fn(spark: SparkSession, params: dict) -> DataFrame:
         return read_increment(spark, source, params.get("last_row_id", -(2 ** 63)), batch_size)
     return fn
+
+
+def jdbc_options(url: str, table: str, key: str, lower: int, upper: int, partitions: int,
+                 fetch_size: int = 10_000, **extra) -> dict:
+    """Options for a partitioned JDBC read of a source table: ``partitions`` range
+    queries on ``key`` between ``lower`` and ``upper`` run in parallel on the
+    executors; a later ``filter(key > cursor)`` is pushed into each query."""
+    if partitions < 1 or upper < lower:
+        raise ValueError("need partitions >= 1 and upper >= lower")
+    opts = {"url": url, "dbtable": table, "partitionColumn": key, "lowerBound": str(lower),
+            "upperBound": str(upper), "numPartitions": str(partitions), "fetchsize": str(fetch_size)}
+    opts.update({k: str(v) for k, v in extra.items()})
+    return opts
+
+
+def jdbc_source(spark: SparkSession, cursor: int, **options) -> DataFrame:
+    """A database table as a job source (the driver jar must be on the classpath)."""
+    df = spark.read.format("jdbc").options(**options).load()
+    return df.filter(F.col(options["partitionColumn"]) > F.lit(int(cursor)))
