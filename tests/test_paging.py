@@ -41,3 +41,20 @@ def test_identity_is_dense_with_ties(spark):
     assert [g[0] for g in got] == list(range(10, 18))
     assert [(g[1], g[2]) for g in got] == [(1, "a"), (1, "b"), (5, "a"), (5, "a"), (5, "b"), (5, "b"),
                                           (9, "a"), (9, "b")]
+
+
+def test_hot_key_gets_own_bucket_and_exact_ranks(spark):
+    from pyspark.sql import functions as F
+    hot = spark.range(0, 3000).select(F.lit(500).cast("long").alias("k"))
+    rest = spark.range(0, 3000).select((F.col("id") * 2 + 1).alias("k"))
+    df = hot.unionByName(rest)
+    plan = P.plan_index(df, "k", rows_per_bucket=400)
+    assert plan.flat, plan.bounds
+    got = sorted((r.k, r.idx) for r in P.apply_index(df, "k", plan).collect())
+    keys = sorted(r.k for r in df.collect())
+    expected = []
+    for i, k in enumerate(keys):
+        expected.append((k, keys.index(k)))
+    assert got == expected
+    text = P.apply_index(df, "k", plan)._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in text

@@ -38,8 +38,13 @@ def key_bounds(df: DataFrame, key: str, rows_per_bucket: int = DEFAULT_ROWS_PER_
     if n == 0 or buckets == 1 or row["lo"] == row["hi"]:
         return n, []
     probs = [i / buckets for i in range(1, buckets)]
-    q = df.agg(F.percentile_approx(F.col(key), probs, _ACCURACY).alias("q")).first()["q"] or []
-    return n, sorted({p for p in q if p is not None})
+    q = [p for p in (df.agg(F.percentile_approx(F.col(key), probs, _ACCURACY).alias("q")).first()["q"] or [])
+         if p is not None]
+    cuts = set(q)
+    # A value that fills more than one quantile step is a heavy hitter: cut just
+    # above it too, so it gets a bucket of its own (numbered without a sort).
+    cuts |= {v + 1 for v in cuts if isinstance(v, int) and q.count(v) > 1}
+    return n, sorted(cuts)
 
 
 def bucket_of(c: Column, bounds: list) -> Column:
@@ -60,6 +65,7 @@ class IndexPlan:
     bounds: tuple
     offsets: tuple
     last: int | None
+    flat: tuple = ()   # buckets holding a single key value
 
     def bucket(self, c: Column) -> Column:
         return bucket_of(c, list(self.bounds)) if self.bounds else F.lit(0)
@@ -78,10 +84,13 @@ def plan_index(df: DataFrame, key: str, limit: int | None = None,
     than one bucket a quantile sketch and a per-bucket count (≤ max_buckets rows to
     the driver).  Pass a key-only projection: nothing else is needed."""
     n, bounds = key_bounds(df, key, rows_per_bucket, max_buckets)
+    flat: list = []
     if bounds:
-        counts = {r["_bucket"]: r["n"] for r in
-                  df.select(bucket_of(F.col(key), bounds).alias("_bucket"))
-                  .groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
+        stats = (df.select(F.col(key), bucket_of(F.col(key), bounds).alias("_bucket"))
+                 .groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"),
+                                         F.max(key).alias("hi")).collect())
+        counts = {r["_bucket"]: r["n"] for r in stats}
+        flat = sorted(r["_bucket"] for r in stats if r["n"] > 1 and r["lo"] == r["hi"])
     else:
         counts = {0: n}
     sizes = [int(counts.get(i, 0)) for i in range(len(bounds) + 1)]
@@ -90,7 +99,7 @@ def plan_index(df: DataFrame, key: str, limit: int | None = None,
     if limit is not None:
         keep = [i for i, o in enumerate(offsets) if o < limit and sizes[i] > 0]
         last = max(keep) if keep else -1
-    return IndexPlan(n, tuple(bounds), tuple(offsets), last)
+    return IndexPlan(n, tuple(bounds), tuple(offsets), last, tuple(flat))
 
 
 def apply_index(df: DataFrame, key: str, plan: IndexPlan, out: str = "idx", ties: str = "rank",
@@ -105,6 +114,13 @@ def apply_index(df: DataFrame, key: str, plan: IndexPlan, out: str = "idx", ties
     order = [F.col(key)] + [F.col(c) if isinstance(c, str) else c for c in (order_by or [])]
     w = Window.partitionBy("_bucket").orderBy(*order)
     pos = F.rank().over(w) if ties == "rank" else F.row_number().over(w)
+    if ties == "rank" and plan.flat:
+        # Every row of a single-value bucket has the bucket's offset as its rank:
+        # a hot key is numbered without moving its rows into one sorting task.
+        is_flat = F.col("_bucket").isin(list(plan.flat))
+        flat_rows = bucketed.filter(is_flat).withColumn(out, offset)
+        ranked = bucketed.filter(~is_flat).withColumn(out, offset + pos.cast("long") - 1)
+        return flat_rows.unionByName(ranked).drop("_bucket")
     return bucketed.withColumn(out, offset + pos.cast("long") - 1).drop("_bucket")
 
 
