@@ -256,3 +256,48 @@ def test_jdbc_options_are_partitioned():
     assert (o["partitionColumn"], o["numPartitions"], o["upperBound"], o["user"]) == ("RowID", "8", "1000", "u")
     with pytest.raises(ValueError):
         INC.jdbc_options("x", "t", "k", 5, 1, 2)
+
+
+def test_deadline_cancels_running_job(spark, scratch):
+    def slow(spark, params):
+        # a heavy but finite aggregation; the deadline fires long before it ends
+        big = spark.range(0, 3_000_000_000, numPartitions=64)
+        return big.groupBy((F.col("id") % 1000).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    st = store(scratch)
+    sp = J.JobSpec("SLOW", slow, f"{scratch}/t_slow", ["k", "n"], batch_size=10, max_records=100)
+    import time as _t
+    t0 = _t.time()
+    res = J.sync_tables(spark, [sp], st, deadline_seconds=3).collect()[0]
+    assert res.status == "Failed"
+    assert _t.time() - t0 < 60
+    assert history(spark, st, "SLOW")[0].status == "Failed"
+    # the session is usable afterwards
+    assert spark.range(3).count() == 3
+
+
+def test_monitoring_over_real_runs(spark, scratch):
+    from tidemark.operators import history as H
+    from tidemark.operators import monitor as M
+    st = store(scratch)
+    clock = iter([dt.datetime(2026, 8, 19, 11, m) for m in range(0, 59)])
+
+    def now():
+        return next(clock)
+    good = spec(scratch, [1, 2, 3, 4, 5], name="GOOD", batch=2)
+    J.run_job(spark, good, st, now=now)
+
+    def boom(spark, params):
+        raise RuntimeError("source down\nat step 2")
+    J.run_job(spark, spec(scratch, [], name="BAD", extract=boom), st, now=now)
+    hist = J.read_history(spark, st)
+    status = {r.sync_key: r for r in M.sync_status(hist, NOW, 60).collect()}
+    assert status["GOOD"].is_healthy and status["GOOD"].last_row_id == 5
+    assert not status["BAD"].is_healthy and status["BAD"].last_run_status == "Failed"
+    runs = H.recent_runs(hist, 2, ["GOOD"]).collect()
+    assert [r.source_row_id_to for r in runs] == [5, 4]
+    fails = M.recent_failures(hist, NOW).collect()
+    assert [r.sync_key for r in fails] == ["BAD"]
+    shown = M.run_display(hist, 50, ["BAD"]).first()
+    assert shown.error_line.startswith("RuntimeError: source down") and "\n" not in shown.error_line
+    digest = M.failure_digest(hist).collect()
+    assert [(d.failed_jobs, d.failed_count) for d in digest] == [("BAD", 1)]

@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import datetime as dt
 import socket
+import threading
 import time
 import traceback
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -294,6 +296,16 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
     t0, started = time.monotonic(), now()
     totals = dict(read=0, inserted=0, first=None, last=None, pages=0)
     staged_path = None
+    sc = spark.sparkContext
+    timer = None
+    if deadline is not None:
+        # Jobs of this run carry a group; at the deadline the group is cancelled, so a
+        # long-running stage stops instead of finishing past the run window.
+        group = f"tidemark-{spec.job_key}-{uuid.uuid4().hex[:8]}"
+        sc.setJobGroup(group, f"sync {spec.job_key}", interruptOnCancel=True)
+        timer = threading.Timer(max(0.0, deadline - time.time()), sc.cancelJobGroup, args=(group,))
+        timer.daemon = True
+        timer.start()
     try:
         spec.validate()
         ensure_history(spark, store)
@@ -318,6 +330,9 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
                                  totals["first"], totals["last"], totals["read"], totals["inserted"]),
                     pages=totals["pages"])
     except Exception as exc:  # noqa: BLE001 - every failure becomes a Failed result
+        if timer is not None:
+            timer.cancel()
+            sc.setLocalProperty("spark.jobGroup.id", None)
         if isinstance(exc, ChunkFailure):
             totals, exc = exc.totals, exc.cause
         err = "".join(traceback.format_exception_only(type(exc), exc)).strip()
@@ -326,6 +341,9 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
         record_failure(spark, store, row)
         return dict(row, pages=totals["pages"])
     finally:
+        if timer is not None:
+            timer.cancel()
+            sc.setLocalProperty("spark.jobGroup.id", None)
         if staged_path is not None:
             remove_path(spark, staged_path)
 
