@@ -24,6 +24,7 @@ from .schemas import PROFILE_TARGET
 from .plans import job as J
 from .session import scratch_path
 from .streaming import stream as STR
+from .sources import increment as INC
 from .sources import tables as T
 from .sources.views_sql import TARGET_CURSOR_SQL, with_views
 
@@ -760,7 +761,6 @@ def q_stream_history(spark, sf):
 # Source kinds (A1-A3): SQL text with named parameters, and a registered extract
 # ---------------------------------------------------------------------------
 
-from .sources import increment as INC  # noqa: E402
 
 INCREMENT_SQL = """SELECT row_id, ref_no, cust_id1, cust_name, imported_at
 FROM report WHERE status_detailed = 'OK' AND row_id > :last_row_id

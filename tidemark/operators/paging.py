@@ -1,13 +1,17 @@
 """Global row numbering and page assignment without a single-partition window.
 
 ``row_number() OVER (ORDER BY key)`` with no partition makes Spark move every row
-to one task.  ``dense_index`` numbers rows in three distributed steps instead:
-
-1. one aggregate job: row count plus ``percentile_approx`` cut points of the key;
-   the cut points become *literals* (so every later evaluation buckets alike);
-2. one aggregate job: rows per bucket (≤ ``max_buckets`` rows reach the driver);
-   running offsets are computed there and inlined as a literal array;
-3. lazily: ``offset[bucket] + rank() OVER (PARTITION BY bucket ORDER BY key) - 1``.
+to one task.  ``dense_index`` numbers rows in distributed steps instead:
+
+1. ``plan_index`` (eager, key-only): one hash aggregate for count/min/max; only
+   when the rows need more than one bucket, ``percentile_approx`` cut points
+   (turned into literals, so every later evaluation buckets alike) and one
+   aggregate of rows per bucket (at most ``max_buckets`` rows reach the driver);
+   running offsets are computed there.  A value that fills more than one quantile
+   step (a heavy hitter) gets a bucket of its own.
+2. ``apply_index`` (lazy): ``offset[bucket] + rank() OVER (PARTITION BY bucket
+   ORDER BY key) - 1``; single-value buckets take their offset directly, with no
+   sort.
 
 Buckets are ranges of the key, so all copies of one key share a bucket and
 ``rank`` gives each copy the index of its first copy (a page boundary never splits
