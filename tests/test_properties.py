@@ -2,13 +2,15 @@
 
 import uuid
 
-from hypothesis import given, settings, strategies as st
+from hypothesis import HealthCheck, given, settings, strategies as st
 
 from tidemark.operators import sink as K
 from tidemark.plans import job as J
 
 
-@settings(max_examples=4, deadline=None)
+# Each example writes below its own fresh folder, so sharing the function-scoped
+# scratch fixture across examples is safe.
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(n=st.integers(0, 23), batch=st.integers(1, 5), cap_pages=st.integers(1, 4), ppc=st.integers(1, 3),
        gap=st.integers(1, 3))
 def test_runs_drain_source_exactly_once(spark, scratch, n, batch, cap_pages, ppc, gap):
