@@ -58,3 +58,45 @@ def test_hot_key_gets_own_bucket_and_exact_ranks(spark):
     assert got == expected
     text = P.apply_index(df, "k", plan)._jdf.queryExecution().executedPlan().toString()
     assert "Union" in text
+
+
+def _strict_expected(rows, order):
+    """Brute force: sort every row by (key, tie-breakers) and number 0..n-1."""
+    return sorted(rows, key=order)
+
+
+def test_hot_key_strict_numbers_without_one_task(spark, monkeypatch):
+    monkeypatch.setattr(P, "EXPAND_CHUNK", 100)   # many chunks even at this size
+    # A key holding half of all rows, as identical copies and as distinct payloads.
+    hot_copies = spark.range(0, 3000).select(F.lit(500).cast("long").alias("k"), F.lit("x").alias("s"))
+    hot_distinct = spark.range(0, 2000).select(F.lit(700).cast("long").alias("k"),
+                                               F.concat(F.lit("p"), F.col("id").cast("string")).alias("s"))
+    rest = spark.range(0, 5000).select((F.col("id") * 2 + 1).alias("k"), F.lit("r").alias("s"))
+    df = hot_copies.unionByName(hot_distinct).unionByName(rest)
+    plan = P.plan_index(df.select("k"), "k", rows_per_bucket=400)
+    assert plan.flat, plan.bounds
+    got = P.apply_index(df, "k", plan, ties="row").collect()
+    assert sorted(r.idx for r in got) == list(range(10000))
+    # Numbers follow the key; rows of one key hold a contiguous block.
+    by_key: dict = {}
+    for r in got:
+        by_key.setdefault(r.k, []).append(r.idx)
+    keys = sorted(r.k for r in df.select("k").collect())
+    for k, ids in by_key.items():
+        first = keys.index(k)
+        assert sorted(ids) == list(range(first, first + len(ids)))
+    text = P.apply_index(df, "k", plan, ties="row")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in text
+    assert "explode(sequence" in text
+
+
+def test_hot_key_strict_numbers_follow_tie_breakers(spark):
+    hot = spark.range(0, 1500).select(F.lit(5).cast("long").alias("k"),
+                                      (F.col("id") % 37).alias("t"))
+    rest = spark.range(0, 1500).select((F.col("id") + 10).alias("k"), F.lit(0).cast("long").alias("t"))
+    df = hot.unionByName(rest)
+    out = P.dense_index(df, "k", ties="row", order_by=["t"], rows_per_bucket=300).collect()
+    got = sorted((r.idx, r.k, r.t) for r in out)
+    want = _strict_expected([(r.k, r.t) for r in df.collect()], order=lambda x: x)
+    assert [g[0] for g in got] == list(range(3000))
+    assert [(g[1], g[2]) for g in got] == want

@@ -16,6 +16,13 @@ to one task.  ``dense_index`` numbers rows in distributed steps instead:
 Buckets are ranges of the key, so all copies of one key share a bucket and
 ``rank`` gives each copy the index of its first copy (a page boundary never splits
 a key).  ``ties="row"`` gives strict 0..n-1 numbers instead (``order_by`` breaks ties).
+
+Strict numbers for a heavy-hitter key (``number_hot``) never sort the hot key's
+rows in one task: identical rows are first collapsed to one row and a count
+(combined map-side), the distinct rows are ranked by a running sum of counts, and
+each count is expanded back into its numbers in chunks spread over many tasks.
+Without tie-breakers the order among a hot key's rows is free, so its distinct
+rows are also spread over hash sub-buckets sized like the quantile buckets.
 """
 
 from __future__ import annotations
@@ -30,6 +37,9 @@ from pyspark.sql import functions as F
 DEFAULT_ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 1024
 _ACCURACY = 10_000
+# Numbers one task generates when a run of identical rows is expanded back.
+EXPAND_CHUNK = 1_000_000
+MAX_EXPAND_PARTITIONS = 10_000
 
 
 def key_bounds(df: DataFrame, key: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
@@ -70,6 +80,8 @@ class IndexPlan:
     offsets: tuple
     last: int | None
     flat: tuple = ()   # buckets holding a single key value
+    sizes: tuple = ()  # rows per bucket
+    per_bucket: int = DEFAULT_ROWS_PER_BUCKET
 
     def bucket(self, c: Column) -> Column:
         return bucket_of(c, list(self.bounds)) if self.bounds else F.lit(0)
@@ -103,7 +115,7 @@ def plan_index(df: DataFrame, key: str, limit: int | None = None,
     if limit is not None:
         keep = [i for i, o in enumerate(offsets) if o < limit and sizes[i] > 0]
         last = max(keep) if keep else -1
-    return IndexPlan(n, tuple(bounds), tuple(offsets), last, tuple(flat))
+    return IndexPlan(n, tuple(bounds), tuple(offsets), last, tuple(flat), tuple(sizes), rows_per_bucket)
 
 
 def apply_index(df: DataFrame, key: str, plan: IndexPlan, out: str = "idx", ties: str = "rank",
@@ -118,16 +130,73 @@ def apply_index(df: DataFrame, key: str, plan: IndexPlan, out: str = "idx", ties
     order = [F.col(key)] + [F.col(c) if isinstance(c, str) else c for c in (order_by or [])]
     w = Window.partitionBy("_bucket").orderBy(*order)
     pos = F.rank().over(w) if ties == "rank" else F.row_number().over(w)
-    if ties == "rank" and plan.flat:
-        # Every row of a single-value bucket has the bucket's offset as its rank:
-        # a hot key is numbered without moving its rows into one sorting task.
-        is_flat = F.col("_bucket").isin(list(plan.flat))
-        flat_rows = bucketed.filter(is_flat).withColumn(out, offset)
+    flat = [b for b in plan.flat if plan.last is None or b <= plan.last]
+    if flat:
+        is_flat = F.col("_bucket").isin(flat)
         ranked = bucketed.filter(~is_flat).withColumn(out, offset + pos.cast("long") - 1)
-        return flat_rows.unionByName(ranked).drop("_bucket")
+        if ties == "rank":
+            # Every row of a single-value bucket has the bucket's offset as its rank:
+            # a hot key is numbered without moving its rows into one sorting task.
+            flat_rows = bucketed.filter(is_flat).withColumn(out, offset)
+        else:
+            flat_rows = number_hot(bucketed.filter(is_flat), plan, flat, offset, out, order_by)
+        return ranked.unionByName(flat_rows).drop("_bucket")
     return bucketed.withColumn(out, offset + pos.cast("long") - 1).drop("_bucket")
 
 
+def number_hot(rows: DataFrame, plan: IndexPlan, flat: list, offset: Column, out: str,
+               order_by: list | None = None) -> DataFrame:
+    """Strict numbers ``offset[bucket] + 0 .. size-1`` for the rows of single-key
+    buckets (``_bucket`` column), in ``order_by`` order, with no task holding a
+    whole hot key.
+
+    1. Identical rows collapse to one row and a count (a map-side combined aggregate).
+    2. Without ``order_by`` any order is valid, so the distinct rows of each hot key
+       go to ``ceil(size / per_bucket)`` hash sub-buckets whose row totals (at most
+       about ``max_buckets`` numbers) give each sub-bucket its start.  With
+       ``order_by`` the distinct rows of one hot key are ranked together.
+    3. A running sum of counts gives each distinct row its first number; its count
+       is cut into chunks of ``EXPAND_CHUNK`` numbers, the chunks are spread over
+       tasks and each is exploded back into rows.
+    """
+    cols = [c for c in rows.columns if c != "_bucket"]
+    counted = rows.groupBy("_bucket", *cols).agg(F.count(F.lit(1)).alias("_cnt"))
+    size = {b: (plan.sizes[b] if b < len(plan.sizes) else plan.n) for b in flat}
+    subs = {b: max(1, math.ceil(size[b] / max(1, plan.per_bucket))) for b in flat}
+    if order_by or max(subs.values()) == 1:
+        counted = counted.withColumn("_sub", F.lit(0))
+        sub_start = F.lit(0).cast("long")
+    else:
+        nsub = F.element_at(F.create_map(*[x for b in flat for x in (F.lit(b), F.lit(subs[b]))]),
+                            F.col("_bucket"))
+        counted = counted.withColumn("_sub", F.pmod(F.xxhash64(*cols), nsub))
+        totals = counted.groupBy("_bucket", "_sub").agg(F.sum("_cnt").alias("n")).collect()
+        starts: dict = {}
+        for b in flat:
+            acc = 0
+            for r in sorted((r for r in totals if r["_bucket"] == b), key=lambda r: r["_sub"]):
+                starts[(b, r["_sub"])] = acc
+                acc += int(r["n"])
+        m = max(subs.values())
+        sub_start = F.coalesce(F.element_at(F.create_map(*[
+            x for (b, sb), v in starts.items() for x in (F.lit(b * m + sb).cast("long"), F.lit(v).cast("long"))]),
+            F.col("_bucket").cast("long") * F.lit(m) + F.col("_sub")), F.lit(0).cast("long"))
+    order = [F.col(c) if isinstance(c, str) else c for c in (order_by or [])] + [F.col(c) for c in cols]
+    w = (Window.partitionBy("_bucket", "_sub").orderBy(*order)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    first = (offset + sub_start + F.sum("_cnt").over(w) - F.col("_cnt")).cast("long")
+    ranked = counted.withColumn("_first", first)
+    chunks = ranked.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                             F.expr(f"(_cnt - 1) div {EXPAND_CHUNK}"))))
+    hot_rows = sum(size.values())
+    parts = max(1, min(MAX_EXPAND_PARTITIONS, math.ceil(hot_rows / EXPAND_CHUNK)))
+    # An explicit partition count: AQE does not fold these tiny chunk rows back together.
+    spread = chunks.repartition(parts, "_bucket", "_sub", "_first", "_chunk")
+    lo = F.col("_first") + F.col("_chunk") * F.lit(EXPAND_CHUNK)
+    hi = F.col("_first") + F.least(F.col("_cnt"), (F.col("_chunk") + 1) * F.lit(EXPAND_CHUNK)) - 1
+    return spread.select("_bucket", *cols, F.explode(F.sequence(lo, hi)).alias(out))
+
+
 def dense_index(df: DataFrame, key: str, out: str = "idx", ties: str = "rank",
                 order_by: list | None = None, limit: int | None = None,
                 rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
