@@ -301,3 +301,18 @@ def test_monitoring_over_real_runs(spark, scratch):
     assert shown.error_line.startswith("RuntimeError: source down") and "\n" not in shown.error_line
     digest = M.failure_digest(hist).collect()
     assert [(d.failed_jobs, d.failed_count) for d in digest] == [("BAD", 1)]
+
+
+def test_commits_per_run_are_bounded(spark, scratch, monkeypatch):
+    # Seven single-row pages with one page per commit would need seven commits; the
+    # bound groups them into at most two, while history keeps one row per page.
+    monkeypatch.setattr(J, "MAX_COMMITS_PER_RUN", 2)
+    keys = [3, 5, 8, 13, 21, 34, 55]
+    sp, st = spec(scratch, keys, batch=1, cap=100, ppc=1), store(scratch)
+    r = J.run_job(spark, sp, st)
+    assert r["status"] == "Success" and r["records_read"] == 7 and r["pages"] == 7
+    h = history(spark, st)
+    assert [(x.source_row_id_from, x.records_inserted) for x in h] == [(k, 1) for k in keys]
+    assert len({x.commit_id for x in h}) <= 2
+    assert target_keys(spark, sp, st) == keys
+    assert J.run_job(spark, sp, st)["status"] == "NoNewData"

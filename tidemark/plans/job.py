@@ -20,6 +20,7 @@ commit id; no lock is provided.
 from __future__ import annotations
 
 import datetime as dt
+import math
 import socket
 import threading
 import time
@@ -153,7 +154,10 @@ def check_arity_only(df: DataFrame, spec: JobSpec) -> None:
     K.check_arity(df, spec.target_columns, spec.job_key)
 
 
-MAX_TREE_CHUNKS = 4096
+# Commits one run makes at most.  A run whose pages would need more commits than
+# this (tiny pages and a large cap) groups more pages per commit, so the driver
+# never holds a per-page plan or issues one history append per page of a huge run.
+MAX_COMMITS_PER_RUN = 1024
 
 
 class ChunkFailure(Exception):
@@ -164,6 +168,13 @@ class ChunkFailure(Exception):
         self.cause, self.totals = cause, totals
 
 
+def commit_pages(spec: JobSpec, rows: int) -> int:
+    """Pages per commit: the job's setting, raised only as far as needed to keep a
+    run of ``rows`` rows within ``MAX_COMMITS_PER_RUN`` commits."""
+    pages = math.ceil(max(0, rows) / spec.batch_size)
+    return max(int(spec.pages_per_commit), math.ceil(pages / MAX_COMMITS_PER_RUN))
+
+
 def chunk_plan(ranges: DataFrame) -> list:
     """Per chunk: pages, rows, first/last key, first page — one small aggregate whose
     size is the number of chunks (run cap / (batch * pages_per_commit))."""
@@ -211,8 +222,9 @@ def copy_staged(spark: SparkSession, spec: JobSpec, store: Store, staged: DataFr
     """
     t0, started = time.monotonic(), now()
     totals = dict(read=0, inserted=0, first=None, last=None, pages=0)
-    ppc = int(spec.pages_per_commit)
     cap = spec.max_records if capped else None
+    rows_max = plan.n if cap is None else min(plan.n, P.cap_rows(spec.batch_size, cap))
+    ppc = commit_pages(spec, rows_max)
     keys = P.assign_pages(P.apply_index(staged.select(key), key, plan), spec.batch_size, cap)
     ranges = (P.page_ranges(keys, key).withColumn("chunk_no", F.expr(f"page_no div {ppc}"))
               .persist(StorageLevel.MEMORY_AND_DISK))
@@ -224,13 +236,9 @@ def copy_staged(spark: SparkSession, spec: JobSpec, store: Store, staged: DataFr
         ids = [f"{spec.job_key}-e{epoch}{tag}-c{at}" for at in starts]
         if deadline is not None and time.time() > deadline:
             raise TimeoutError(f"Job {spec.job_key}: run deadline passed")
-        if len(chunks) <= MAX_TREE_CHUNKS:
-            rows = staged.filter(F.col(key) <= F.lit(chunks[-1]["last"]))
-            chunk_no = P.bucket_of(F.col(key), [c["first"] for c in chunks[1:]])
-        else:
-            paged = P.assign_pages(P.apply_index(staged, key, plan, out="_idx"), spec.batch_size,
-                                   cap, idx="_idx", out="_page")
-            rows, chunk_no = paged, F.expr(f"_page div {ppc}")
+        # At most MAX_COMMITS_PER_RUN chunks: a balanced CASE tree on their start keys.
+        rows = staged.filter(F.col(key) <= F.lit(chunks[-1]["last"]))
+        chunk_no = P.bucket_of(F.col(key), [c["first"] for c in chunks[1:]])
         commit = F.element_at(F.array(*[F.lit(i) for i in ids]), chunk_no + 1)
         K.check_arity(staged, spec.target_columns, spec.job_key)
         data = rows.select(*[F.col(c).alias(t) for c, t in zip(staged.columns, spec.target_columns)],
@@ -264,7 +272,7 @@ def stage_pending(spark: SparkSession, spec: JobSpec, pending: DataFrame, key: s
     (the buckets covering ``max_records``), never the whole backlog.
     Returns (staged frame, staged path, plan) or (None, None, plan) when empty."""
     limit = P.cap_rows(spec.batch_size, spec.max_records) if capped else None
-    size = input_bytes(spark, pending)
+    size = input_bytes(spark, pending, stop_above=spec.stage_all_below_bytes)
     if limit is None or (size is not None and size <= spec.stage_all_below_bytes):
         # Small input (or no cap): one evaluation of the extract, planned on the copy.
         staged, path = stage(pending, spark, spec.job_key)

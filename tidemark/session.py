@@ -93,12 +93,18 @@ def stage(df, spark: SparkSession, *name: str):
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def input_bytes(spark: SparkSession, df) -> int | None:
+MAX_SIZED_FILES = 10_000
+
+
+def input_bytes(spark: SparkSession, df, stop_above: int | None = None,
+                max_files: int = MAX_SIZED_FILES) -> int | None:
     """Total size of the files ``df`` reads (``DataFrame.inputFiles`` + file lengths);
-    None when unknown (e.g. a streaming or in-memory source)."""
+    None when unknown (a streaming or in-memory source, or more than ``max_files``
+    files, which no small input has).  With ``stop_above`` the sum stops as soon as
+    it passes that size, so the driver never stats a large table file by file."""
     try:
         files = df.inputFiles()
-        if not files:
+        if not files or len(files) > max_files:
             return None
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -106,6 +112,8 @@ def input_bytes(spark: SparkSession, df) -> int | None:
         for f in files:
             p = jvm.org.apache.hadoop.fs.Path(f)
             total += int(p.getFileSystem(conf).getFileStatus(p).getLen())
+            if stop_above is not None and total > stop_above:
+                break
         return total
     except Exception:  # noqa: BLE001
         return None
