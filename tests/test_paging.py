@@ -100,3 +100,44 @@ def test_hot_key_strict_numbers_follow_tie_breakers(spark):
     want = _strict_expected([(r.k, r.t) for r in df.collect()], order=lambda x: x)
     assert [g[0] for g in got] == list(range(3000))
     assert [(g[1], g[2]) for g in got] == want
+
+
+def test_hot_key_tie_breaker_ranges(spark, monkeypatch):
+    # A hot key whose rows differ in a string and a numeric tie-breaker: numbers
+    # follow (key, tie-breaker) and the hot key's rows are split into range sub-buckets.
+    hot = spark.range(0, 2400).select(F.lit(9).cast("long").alias("k"),
+                                      F.concat(F.lit("t"), F.lpad((F.col("id") * 7 % 2400).cast("string"), 5, "0")).alias("s"),
+                                      (F.col("id") * 13 % 997).alias("v"))
+    nulls = spark.range(0, 30).select(F.lit(9).cast("long").alias("k"), F.lit(None).cast("string").alias("s"),
+                                      F.col("id").alias("v"))
+    rest = spark.range(0, 600).select((F.col("id") + 100).alias("k"), F.lit("r").alias("s"),
+                                      F.lit(0).cast("long").alias("v"))
+    df = hot.unionByName(nulls).unionByName(rest)
+    calls = []
+    real = P._range_subs
+
+    def spy(counted, flat, subs):
+        calls.append(dict(subs))
+        return real(counted, flat, subs)
+    monkeypatch.setattr(P, "_range_subs", spy)
+    for tie in (["s", "v"], ["v", "s"]):
+        plan = P.plan_index(df.select("k"), "k", rows_per_bucket=300)
+        assert plan.flat
+        out = P.apply_index(df, "k", plan, ties="row", order_by=tie).collect()
+        got = sorted((r.idx, r.k, r[tie[0]], r[tie[1]]) for r in out)
+        assert [g[0] for g in got] == list(range(3030))
+
+        def sort_key(x):
+            return tuple((v is not None, v) for v in x)
+        want = sorted(((r.k, r[tie[0]], r[tie[1]]) for r in df.collect()), key=sort_key)
+        assert [g[1:] for g in got] == want
+    assert len(calls) == 2 and all(max(c.values()) > 1 for c in calls)
+
+
+def test_range_key_keeps_order(spark):
+    import itertools
+    words = ["", "a", "a\x00", "ab", "abcdefg", "abcdefgh", "abcdefgz", "b", "é", "zz"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    got = {r.w: r.rk for r in df.select("w", P.range_key(F.col("w"), "string").alias("rk")).collect()}
+    for a, b in itertools.combinations(sorted(words, key=lambda w: w.encode()), 2):
+        assert got[a] <= got[b]

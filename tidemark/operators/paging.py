@@ -151,10 +151,13 @@ def number_hot(rows: DataFrame, plan: IndexPlan, flat: list, offset: Column, out
     whole hot key.
 
     1. Identical rows collapse to one row and a count (a map-side combined aggregate).
-    2. Without ``order_by`` any order is valid, so the distinct rows of each hot key
-       go to ``ceil(size / per_bucket)`` hash sub-buckets whose row totals (at most
-       about ``max_buckets`` numbers) give each sub-bucket its start.  With
-       ``order_by`` the distinct rows of one hot key are ranked together.
+    2. The distinct rows of each hot key go to about ``ceil(size / per_bucket)``
+       sub-buckets; their row totals (about ``max_buckets`` numbers in all) give each
+       sub-bucket its start.  Without ``order_by`` any order is valid and the
+       sub-bucket is a hash of the row.  With ``order_by`` the sub-buckets are
+       quantile ranges of the first tie-breaker (through an order-keeping numeric
+       form, ``range_key``), so numbers still follow the tie-breakers; a tie-breaker
+       with no such form keeps a hot key's distinct rows in one sub-bucket.
     3. A running sum of counts gives each distinct row its first number; its count
        is cut into chunks of ``EXPAND_CHUNK`` numbers, the chunks are spread over
        tasks and each is exploded back into rows.
@@ -163,13 +166,21 @@ def number_hot(rows: DataFrame, plan: IndexPlan, flat: list, offset: Column, out
     counted = rows.groupBy("_bucket", *cols).agg(F.count(F.lit(1)).alias("_cnt"))
     size = {b: (plan.sizes[b] if b < len(plan.sizes) else plan.n) for b in flat}
     subs = {b: max(1, math.ceil(size[b] / max(1, plan.per_bucket))) for b in flat}
-    if order_by or max(subs.values()) == 1:
+    sub: Column | None = None
+    if max(subs.values()) > 1 and not order_by:
+        nsub = F.element_at(F.create_map(*[x for b in flat for x in (F.lit(b), F.lit(subs[b]))]),
+                            F.col("_bucket"))
+        sub = F.pmod(F.xxhash64(*cols), nsub)
+    elif max(subs.values()) > 1 and isinstance(order_by[0], str):
+        rk = range_key(F.col(order_by[0]), dict(rows.dtypes).get(order_by[0], ""))
+        if rk is not None:
+            counted = counted.withColumn("_rk", rk)
+            sub = _range_subs(counted, flat, subs)
+    if sub is None:
         counted = counted.withColumn("_sub", F.lit(0))
         sub_start = F.lit(0).cast("long")
     else:
-        nsub = F.element_at(F.create_map(*[x for b in flat for x in (F.lit(b), F.lit(subs[b]))]),
-                            F.col("_bucket"))
-        counted = counted.withColumn("_sub", F.pmod(F.xxhash64(*cols), nsub))
+        counted = counted.withColumn("_sub", sub)
         totals = counted.groupBy("_bucket", "_sub").agg(F.sum("_cnt").alias("n")).collect()
         starts: dict = {}
         for b in flat:
@@ -177,7 +188,7 @@ def number_hot(rows: DataFrame, plan: IndexPlan, flat: list, offset: Column, out
             for r in sorted((r for r in totals if r["_bucket"] == b), key=lambda r: r["_sub"]):
                 starts[(b, r["_sub"])] = acc
                 acc += int(r["n"])
-        m = max(subs.values())
+        m = max(r["_sub"] for r in totals) + 1 if totals else 1
         sub_start = F.coalesce(F.element_at(F.create_map(*[
             x for (b, sb), v in starts.items() for x in (F.lit(b * m + sb).cast("long"), F.lit(v).cast("long"))]),
             F.col("_bucket").cast("long") * F.lit(m) + F.col("_sub")), F.lit(0).cast("long"))
@@ -197,6 +208,41 @@ def number_hot(rows: DataFrame, plan: IndexPlan, flat: list, offset: Column, out
     return spread.select("_bucket", *cols, F.explode(F.sequence(lo, hi)).alias(out))
 
 
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp",
+            "timestamp_ntz")
+
+
+def range_key(c: Column, dtype: str) -> Column | None:
+    """A numeric form of ``c`` that never reverses ascending order (ties allowed),
+    for quantile cuts: the value itself for numbers and instants, the first seven
+    UTF-8 bytes as a number for binary-ordered strings; None for other types."""
+    if dtype in _NUMERIC or dtype.startswith("decimal"):
+        return c
+    if dtype == "string":
+        head = F.substring(F.rpad(F.hex(c), 14, "0"), 1, 14)
+        return F.conv(head, 16, 10).cast("long")
+    return None
+
+
+def _range_subs(counted: DataFrame, flat: list, subs: dict) -> Column:
+    """Sub-bucket of each distinct row: quantile ranges of ``_rk`` within its hot
+    bucket (NULLs, which sort first, in sub-bucket 0).  One aggregate; one row of
+    cut points per hot bucket reaches the driver."""
+    most = max(subs.values())
+    probs = [i / most for i in range(1, most)]
+    cuts = {r["_bucket"]: [v for v in (r["q"] or []) if v is not None]
+            for r in counted.filter(F.col("_bucket").isin(flat)).groupBy("_bucket")
+            .agg(F.percentile_approx("_rk", probs, _ACCURACY).alias("q")).collect()}
+    expr = F.lit(0)
+    for b in flat:
+        q = cuts.get(b, [])
+        step = most / subs[b]
+        picked = sorted({q[min(len(q) - 1, round(j * step) - 1)] for j in range(1, subs[b])}) if q else []
+        if picked:
+            expr = F.when(F.col("_bucket") == F.lit(b), bucket_of(F.col("_rk"), picked)).otherwise(expr)
+    return F.when(F.col("_rk").isNull(), F.lit(0)).otherwise(expr)
+
+
 def dense_index(df: DataFrame, key: str, out: str = "idx", ties: str = "rank",
                 order_by: list | None = None, limit: int | None = None,
                 rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
