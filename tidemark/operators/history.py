@@ -45,10 +45,12 @@ def resume_cursor(history: DataFrame, keys: Sequence[str] | None = None,
             .alias("cursor"),
             F.lit(0).alias("epoch"))
     else:
-        # One override row per job: a left join the planner can broadcast (a full
-        # outer join could not be, and would put a busy job's history in one task).
+        # One override row per job, so its size is bounded by the number of jobs:
+        # broadcast it, so a busy job's history is never shuffled into one task by a
+        # sort-merge join on the job key (a full outer join could not be broadcast).
         ov = latest_override(for_keys(overrides, keys))
-        keyed = h.select("sync_key", "run_id", "status", "source_row_id_to").join(ov, "sync_key", "left")
+        keyed = h.select("sync_key", "run_id", "status", "source_row_id_to").join(
+            F.broadcast(ov), "sync_key", "left")
         newer = F.col("after_run_id").isNull() | (F.col("run_id") > F.col("after_run_id"))
         seen = keyed.groupBy("sync_key").agg(
             F.max(F.when(success & newer, F.col("source_row_id_to"))).alias("_pos"),
