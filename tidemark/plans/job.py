@@ -127,8 +127,13 @@ def next_run_id(spark: SparkSession, store: Store) -> int:
 def current_cursor(spark: SparkSession, store: Store, job_key: str) -> tuple[int, int]:
     """(cursor, epoch) for one job, re-derived from committed history."""
     hist = read_history(spark, store).filter(F.col("sync_key") == job_key)
-    row = H.resume_cursor(hist, [job_key], read_overrides(spark, store)).first()
-    return int(row["cursor"]), int(row["epoch"])
+    overrides = read_overrides(spark, store)
+    if overrides is not None:
+        overrides = overrides.filter(F.col("sync_key") == job_key)
+    # One job's partition only (pruned by the filter); a job with no history and no
+    # override has no row and starts at 0.
+    row = H.resume_cursor(hist, None, overrides).first()
+    return (int(row["cursor"]), int(row["epoch"])) if row is not None else (0, 0)
 
 
 def rewind(spark: SparkSession, store: Store, job_key: str, cursor: int) -> None:
