@@ -291,6 +291,11 @@ def stage_pending(spark: SparkSession, spec: JobSpec, pending: DataFrame, key: s
         return None, None, plan
     cut = plan.upper_filter(key)
     staged, path = stage(pending if cut is None else pending.filter(cut), spark, spec.job_key)
+    if cut is not None:
+        # The coarse plan has at most max_buckets buckets over the whole backlog, so
+        # one of them can be far larger than rows_per_bucket.  Re-plan the staged keys
+        # (a key-only pass over the staged files) so no numbering task sorts more.
+        plan = P.plan_index(staged.select(key), key, limit, spec.rows_per_bucket)
     return staged, path, plan
 
 
