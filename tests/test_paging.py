@@ -141,3 +141,32 @@ def test_range_key_keeps_order(spark):
     got = {r.w: r.rk for r in df.select("w", P.range_key(F.col("w"), "string").alias("rk")).collect()}
     for a, b in itertools.combinations(sorted(words, key=lambda w: w.encode()), 2):
         assert got[a] <= got[b]
+
+
+def test_capped_plan_refines_the_limit_bucket(spark):
+    # Few coarse buckets over many rows: the bucket holding the limit is cut again,
+    # so the plan keeps about `limit` rows instead of a whole coarse bucket.
+    df = spark.range(0, 20000).select((F.col("id") * 5 + 3).alias("k"))
+    coarse = P.plan_index(df, "k", limit=250, rows_per_bucket=100, max_buckets=4)
+    kept = sum(coarse.sizes[: coarse.last + 1])
+    assert 250 <= kept <= 2 * 250 + 2 * 100, (kept, coarse.sizes)
+    got = sorted((r.k, r.idx) for r in P.apply_index(df, "k", coarse).collect())
+    assert got == [(5 * i + 3, i) for i in range(len(got))]
+    assert len(got) == kept
+    paged = P.paginate(df, "k", 10, cap=250, rows_per_bucket=100)
+    assert sorted(r.idx for r in paged.collect()) == list(range(250))
+
+
+def test_refined_plan_with_a_hot_key_ranks_exactly(spark):
+    hot = spark.range(0, 3000).select(F.lit(41).cast("long").alias("k"))
+    rest = spark.range(0, 9000).select((F.col("id") * 3 + 1).alias("k"))
+    df = hot.unionByName(rest)
+    plan = P.plan_index(df, "k", limit=400, rows_per_bucket=100, max_buckets=4)
+    keys = sorted(r.k for r in df.collect())
+    kept = sum(plan.sizes[: plan.last + 1])
+    assert kept >= 400
+    got = sorted((r.k, r.idx) for r in P.apply_index(df, "k", plan).collect())
+    first = {}
+    for i, k in enumerate(keys):
+        first.setdefault(k, i)
+    assert got == sorted((k, first[k]) for k in keys[:kept])

@@ -93,28 +93,68 @@ class IndexPlan:
         return F.col(key) < F.lit(self.bounds[self.last])
 
 
+MAX_REFINE = 2
+
+
+def _bucket_sizes(df: DataFrame, key: str, bounds: list, n: int) -> tuple[list, list]:
+    """Rows per bucket and the buckets holding a single key value (one aggregate,
+    one row per bucket to the driver)."""
+    if not bounds:
+        return [n], []
+    stats = (df.select(F.col(key), bucket_of(F.col(key), bounds).alias("_bucket"))
+             .groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"),
+                                     F.max(key).alias("hi")).collect())
+    counts = {r["_bucket"]: r["n"] for r in stats}
+    flat = sorted(r["_bucket"] for r in stats if r["n"] > 1 and r["lo"] == r["hi"])
+    return [int(counts.get(i, 0)) for i in range(len(bounds) + 1)], flat
+
+
+def _last_needed(sizes: list, limit: int | None) -> int | None:
+    if limit is None:
+        return None
+    offsets = [0] + list(accumulate(sizes))[:-1]
+    keep = [i for i, o in enumerate(offsets) if o < limit and sizes[i] > 0]
+    return max(keep) if keep else -1
+
+
 def plan_index(df: DataFrame, key: str, limit: int | None = None,
                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
                max_buckets: int = MAX_BUCKETS) -> IndexPlan:
     """Eager part of the numbering: one count/min/max aggregate, and only for more
     than one bucket a quantile sketch and a per-bucket count (≤ max_buckets rows to
-    the driver).  Pass a key-only projection: nothing else is needed."""
+    the driver).  Pass a key-only projection: nothing else is needed.
+
+    With ``limit``, when the bucket holding the limit is still much larger than
+    ``rows_per_bucket`` (more than ``max_buckets * rows_per_bucket`` rows in all),
+    that bucket's key range alone is cut again by quantiles (up to ``MAX_REFINE``
+    times), so a capped run over a huge backlog plans, stages and sorts about
+    ``limit`` rows rather than a whole coarse bucket."""
     n, bounds = key_bounds(df, key, rows_per_bucket, max_buckets)
-    flat: list = []
-    if bounds:
-        stats = (df.select(F.col(key), bucket_of(F.col(key), bounds).alias("_bucket"))
-                 .groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"),
-                                         F.max(key).alias("hi")).collect())
-        counts = {r["_bucket"]: r["n"] for r in stats}
-        flat = sorted(r["_bucket"] for r in stats if r["n"] > 1 and r["lo"] == r["hi"])
-    else:
-        counts = {0: n}
-    sizes = [int(counts.get(i, 0)) for i in range(len(bounds) + 1)]
+    sizes, flat = _bucket_sizes(df, key, bounds, n)
+    for _ in range(MAX_REFINE):
+        last = _last_needed(sizes, limit)
+        if last is None or last < 0 or last in flat or sizes[last] <= 2 * rows_per_bucket:
+            break
+        lo = bounds[last - 1] if last > 0 else None
+        hi = bounds[last] if last < len(bounds) else None
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (F.col(key) >= F.lit(lo))
+        if hi is not None:
+            cond = cond & (F.col(key) < F.lit(hi))
+        part = df.filter(cond)
+        _, inner = key_bounds(part, key, rows_per_bucket, max_buckets)
+        new = sorted(c for c in inner if (lo is None or c > lo) and (hi is None or c < hi))
+        if not new:
+            break
+        # Only the refined bucket is counted again (a pass over its key range).
+        sub_sizes, sub_flat = _bucket_sizes(part, key, new, sizes[last])
+        bounds = bounds[:last] + new + bounds[last:]
+        sizes = sizes[:last] + sub_sizes + sizes[last + 1:]
+        flat = ([b for b in flat if b < last] + [last + b for b in sub_flat]
+                + [b + len(new) for b in flat if b > last])
     offsets = [0] + list(accumulate(sizes))[:-1]
-    last = None
-    if limit is not None:
-        keep = [i for i, o in enumerate(offsets) if o < limit and sizes[i] > 0]
-        last = max(keep) if keep else -1
+    last = _last_needed(sizes, limit)
     return IndexPlan(n, tuple(bounds), tuple(offsets), last, tuple(flat), tuple(sizes), rows_per_bucket)
 
 
