@@ -316,3 +316,15 @@ def test_commits_per_run_are_bounded(spark, scratch, monkeypatch):
     assert len({x.commit_id for x in h}) <= 2
     assert target_keys(spark, sp, st) == keys
     assert J.run_job(spark, sp, st)["status"] == "NoNewData"
+
+
+def test_leftover_staging_of_a_dead_run_is_removed(spark, scratch):
+    from tidemark.session import path_exists, scratch_path
+    left = scratch_path(spark, "stage", "DEAD")
+    other = scratch_path(spark, "stage", "DEAD-2")
+    spark.range(3).write.parquet(left)
+    spark.range(3).write.parquet(other)
+    sp, st = spec(scratch, [1, 2], name="DEAD"), store(scratch)
+    assert J.run_job(spark, sp, st)["status"] == "Success"
+    assert not path_exists(spark, left)
+    assert path_exists(spark, other)          # another job's folder is left alone

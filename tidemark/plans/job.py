@@ -38,7 +38,7 @@ from ..operators import paging as P
 from ..operators import sink as K
 from ..schemas import (HISTORY_SCHEMA, OVERRIDE_SCHEMA, STATUS_FAILED, STATUS_NO_NEW_DATA,
                        STATUS_SUCCESS)
-from ..session import input_bytes, make_dirs, path_exists, remove_path, stage
+from ..session import clear_stale, input_bytes, make_dirs, path_exists, remove_path, stage
 
 MAX_BATCH = 100_000
 MAX_RUN_RECORDS = 10_000_000
@@ -327,6 +327,9 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
     try:
         spec.validate()
         ensure_history(spark, store)
+        # A run whose driver died left its staging table behind; one writer per job
+        # means any staging folder of this job now is such a leftover.
+        clear_stale(spark, "stage", spec.job_key)
         src = spec.extract(spark, spec.params)
         K.check_arity(src, spec.target_columns, spec.job_key)
         key = src.columns[0]

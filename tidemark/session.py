@@ -7,6 +7,7 @@ shared storage; this module only fills it in when it is unset (local tests).
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -84,6 +85,25 @@ def remove_path(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+def clear_stale(spark: SparkSession, *parts: str) -> int:
+    """Delete the scratch folders named ``parts`` (any suffix id) that an earlier run
+    left behind when its driver died before cleaning up.  Only safe with one writer
+    per name, which the job runner requires anyway.  Returns how many were removed."""
+    name = "-".join(p for p in parts if p)
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/tidemark")
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return 0
+    pattern = re.compile(re.escape(name) + r"-[0-9a-f]{12}")
+    removed = 0
+    for st in fs.listStatus(base):
+        if st.isDirectory() and pattern.fullmatch(st.getPath().getName()):
+            fs.delete(st.getPath(), True)
+            removed += 1
+    return removed
+
+
 def stage(df, spark: SparkSession, *name: str):
     """Materialise ``df`` once as a Parquet table under the shared checkpoint folder and
     return (frame reading it, its path).  Cuts the lineage like ``checkpoint()`` but
@@ -123,5 +143,6 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["spark_session", "checkpoint_root", "scratch_path", "path_exists", "make_dirs", "remove_path", "stage", "input_bytes", "local_path",
+__all__ = ["spark_session", "checkpoint_root", "scratch_path", "path_exists", "make_dirs", "remove_path", "clear_stale",
+           "stage", "input_bytes", "local_path",
            "DEFAULT_CONF"]
