@@ -49,7 +49,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
-        # Only reached in local tests: nothing configured a shared folder.
+        if not spark.sparkContext.master.startswith("local"):
+            # A machine-local folder would vanish with its executor (or never be seen
+            # by the others): a cluster must name a shared one.
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
+        # Only reached in local runs and tests: nothing configured a shared folder.
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
