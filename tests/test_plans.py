@@ -53,3 +53,37 @@ def test_status_is_one_aggregate(spark):
     from tidemark.operators import monitor as M
     text = plan(M.sync_status(T.sync_history(spark, SF), dt.datetime(2024, 1, 31), 60))
     assert text.count("Exchange hashpartitioning") == 1
+
+
+def _before_first_exchange(text: str, op: str) -> bool:
+    """True when ``op`` appears below (map side of) some hash exchange in the plan text."""
+    lines = text.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            for below in lines[i + 1:]:
+                if len(below) - len(below.lstrip(" :+-")) <= depth:
+                    break
+                if op in below:
+                    return True
+    return False
+
+
+def test_parent_view_combines_map_side(spark):
+    # A parent key holding a third of all lines must send one partial row per map
+    # task, so the partial aggregate sits below the shuffle.
+    text = plan(T.raw_report(spark, SF))
+    assert "REPARTITION_BY_COL" not in text
+    assert _before_first_exchange(text, "partial_max(l_shipdate")
+
+
+def test_extract_winner_combines_map_side(spark):
+    ext = X.profile_extract(T.report(spark, SF), T.raw_report(spark, SF), dt.date(1998, 6, 15), 400)
+    assert _before_first_exchange(plan(ext), "partial_max_by")
+
+
+def test_override_join_is_broadcast(spark):
+    hist = T.sync_history(spark, SF)
+    ov = spark.createDataFrame([("JOB1", 1, 5, 10)], "sync_key string, epoch int, cursor long, after_run_id long")
+    text = plan(H.resume_cursor(hist, None, ov))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
