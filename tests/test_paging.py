@@ -116,9 +116,9 @@ def test_hot_key_tie_breaker_ranges(spark, monkeypatch):
     calls = []
     real = P._range_subs
 
-    def spy(counted, flat, subs):
+    def spy(counted, flat, subs, size):
         calls.append(dict(subs))
-        return real(counted, flat, subs)
+        return real(counted, flat, subs, size)
     monkeypatch.setattr(P, "_range_subs", spy)
     for tie in (["s", "v"], ["v", "s"]):
         plan = P.plan_index(df.select("k"), "k", rows_per_bucket=300)

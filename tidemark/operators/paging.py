@@ -4,7 +4,7 @@
 to one task.  ``dense_index`` numbers rows in distributed steps instead:
 
 1. ``plan_index`` (eager, key-only): one hash aggregate for count/min/max; only
-   when the rows need more than one bucket, ``percentile_approx`` cut points
+   when the rows need more than one bucket, cut points from a bounded key sample
    (turned into literals, so every later evaluation buckets alike) and one
    aggregate of rows per bucket (at most ``max_buckets`` rows reach the driver);
    running offsets are computed there.  A value that fills more than one quantile
@@ -36,24 +36,45 @@ from pyspark.sql import functions as F
 
 DEFAULT_ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 1024
-_ACCURACY = 10_000
+# Sampled keys per bucket for cut points.  A sample is used rather than
+# percentile_approx: a global quantile sketch sends one sketch per map task into a
+# single merging task, which a 100k-task scan turns into gigabytes.
+SAMPLE_PER_BUCKET = 64
+SAMPLE_SEED = 20240131
 # Numbers one task generates when a run of identical rows is expanded back.
 EXPAND_CHUNK = 1_000_000
 MAX_EXPAND_PARTITIONS = 10_000
 
 
+def order_stats(sample: list, parts: int) -> list:
+    """Cut points splitting a sorted sample into ``parts`` runs of equal length."""
+    m = len(sample)
+    if m == 0 or parts <= 1:
+        return []
+    return [sample[min(m - 1, (j * m) // parts)] for j in range(1, parts)]
+
+
+def sample_keys(df: DataFrame, key: str, n: int, want: int) -> list:
+    """About ``want`` keys of ``df`` (a Bernoulli sample with a fixed seed), sorted.
+    Every task keeps its share of the sample, so nothing funnels through one task,
+    and at most about ``max_buckets * SAMPLE_PER_BUCKET`` keys reach the driver."""
+    frac = min(1.0, want / max(1, n))
+    picked = df.select(key).where(F.col(key).isNotNull()).sample(fraction=frac, seed=SAMPLE_SEED)
+    return sorted(r[0] for r in picked.collect())
+
+
 def key_bounds(df: DataFrame, key: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
                max_buckets: int = MAX_BUCKETS) -> tuple[int, list]:
-    """(row count, sorted distinct cut points).  A hash aggregate counts first; the
-    quantile sketch runs only when the rows need more than one bucket."""
+    """(row count, sorted distinct cut points).  A hash aggregate counts first; only
+    when the rows need more than one bucket, a sample of ``SAMPLE_PER_BUCKET`` keys
+    per bucket gives the cut points (its order statistics).  Bucket sizes then vary
+    by a few tens of percent; the exact sizes come from a later count."""
     row = df.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")).first()
     n = int(row["n"])
     buckets = max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
     if n == 0 or buckets == 1 or row["lo"] == row["hi"]:
         return n, []
-    probs = [i / buckets for i in range(1, buckets)]
-    q = [p for p in (df.agg(F.percentile_approx(F.col(key), probs, _ACCURACY).alias("q")).first()["q"] or [])
-         if p is not None]
+    q = order_stats(sample_keys(df, key, n, buckets * SAMPLE_PER_BUCKET), buckets)
     cuts = set(q)
     # A value that fills more than one quantile step is a heavy hitter: cut just
     # above it too, so it gets a bucket of its own (numbered without a sort).
@@ -215,7 +236,7 @@ def number_hot(rows: DataFrame, plan: IndexPlan, flat: list, offset: Column, out
         rk = range_key(F.col(order_by[0]), dict(rows.dtypes).get(order_by[0], ""))
         if rk is not None:
             counted = counted.withColumn("_rk", rk)
-            sub = _range_subs(counted, flat, subs)
+            sub = _range_subs(counted, flat, subs, size)
     if sub is None:
         counted = counted.withColumn("_sub", F.lit(0))
         sub_start = F.lit(0).cast("long")
@@ -264,22 +285,22 @@ def range_key(c: Column, dtype: str) -> Column | None:
     return None
 
 
-def _range_subs(counted: DataFrame, flat: list, subs: dict) -> Column:
-    """Sub-bucket of each distinct row: quantile ranges of ``_rk`` within its hot
-    bucket (NULLs, which sort first, in sub-bucket 0).  One aggregate; one row of
-    cut points per hot bucket reaches the driver."""
-    most = max(subs.values())
-    probs = [i / most for i in range(1, most)]
-    cuts = {r["_bucket"]: [v for v in (r["q"] or []) if v is not None]
-            for r in counted.filter(F.col("_bucket").isin(flat)).groupBy("_bucket")
-            .agg(F.percentile_approx("_rk", probs, _ACCURACY).alias("q")).collect()}
+def _range_subs(counted: DataFrame, flat: list, subs: dict, size: dict) -> Column:
+    """Sub-bucket of each distinct row: ranges of ``_rk`` within its hot bucket, cut
+    at the order statistics of a per-bucket sample (NULLs, which sort first, in
+    sub-bucket 0).  At most about ``SAMPLE_PER_BUCKET`` keys per sub-bucket reach
+    the driver."""
+    fractions = {b: min(1.0, SAMPLE_PER_BUCKET * subs[b] / max(1, size[b])) for b in flat}
+    picked = (counted.where(F.col("_rk").isNotNull()).select("_bucket", "_rk")
+              .sampleBy("_bucket", fractions, seed=SAMPLE_SEED).collect())
+    by_bucket: dict = {}
+    for r in picked:
+        by_bucket.setdefault(r["_bucket"], []).append(r["_rk"])
     expr = F.lit(0)
     for b in flat:
-        q = cuts.get(b, [])
-        step = most / subs[b]
-        picked = sorted({q[min(len(q) - 1, round(j * step) - 1)] for j in range(1, subs[b])}) if q else []
-        if picked:
-            expr = F.when(F.col("_bucket") == F.lit(b), bucket_of(F.col("_rk"), picked)).otherwise(expr)
+        cuts = sorted(set(order_stats(sorted(by_bucket.get(b, [])), subs[b])))
+        if cuts:
+            expr = F.when(F.col("_bucket") == F.lit(b), bucket_of(F.col("_rk"), cuts)).otherwise(expr)
     return F.when(F.col("_rk").isNull(), F.lit(0)).otherwise(expr)
 
 
