@@ -286,7 +286,15 @@ def stage_pending(spark: SparkSession, spec: JobSpec, pending: DataFrame, key: s
             remove_path(spark, path)
             return None, None, plan
         return staged, path, plan
-    plan = P.plan_index(pending.select(key), key, limit, spec.rows_per_bucket)
+    # The planning passes (count, sample, bucket counts, refinements) read the keys
+    # from a cache filled by the first pass, so the extract runs once for them and
+    # once more for the staging write.  A lost cache block is recomputed from the
+    # (deterministic) extract.
+    keys = pending.select(key).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        plan = P.plan_index(keys, key, limit, spec.rows_per_bucket)
+    finally:
+        keys.unpersist()
     if plan.n == 0:
         return None, None, plan
     cut = plan.upper_filter(key)
