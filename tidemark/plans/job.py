@@ -342,9 +342,13 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
         K.check_arity(src, spec.target_columns, spec.job_key)
         key = src.columns[0]
         cursor, epoch = current_cursor(spark, store, spec.job_key)
-        pending = src.filter(F.col(key) > F.lit(cursor - max(0, spec.lookback)))
+        low = cursor - max(0, spec.lookback)
+        pending = src.filter(F.col(key) > F.lit(low))
         if (spec.dedup_on_insert or spec.lookback > 0) and path_exists(spark, spec.target_location):
             done = K.read_target(spark, spec.target_location, read_history(spark, store), spec.job_key, spec.fmt)
+            # Only target keys above the same bound can match a pending key; the filter
+            # reaches the target scan, so the anti join reads the lookback window only.
+            done = done.filter(F.col(spec.target_columns[0]) > F.lit(low))
             pending = K.insert_missing(pending, done, key, spec.target_columns[0])
         staged, staged_path, plan = stage_pending(spark, spec, pending, key)
         if staged is not None:
