@@ -42,7 +42,7 @@ MAX_BUCKETS = 1024
 SAMPLE_PER_BUCKET = 64
 SAMPLE_SEED = 20240131
 # Numbers one task generates when a run of identical rows is expanded back.
-EXPAND_CHUNK = 1_000_000
+EXPAND_CHUNK = 100_000
 MAX_EXPAND_PARTITIONS = 10_000
 
 
