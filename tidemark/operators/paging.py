@@ -64,12 +64,14 @@ def sample_keys(df: DataFrame, key: str, n: int, want: int) -> list:
 
 
 def key_bounds(df: DataFrame, key: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-               max_buckets: int = MAX_BUCKETS) -> tuple[int, list]:
-    """(row count, sorted distinct cut points).  A hash aggregate counts first; only
-    when the rows need more than one bucket, a sample of ``SAMPLE_PER_BUCKET`` keys
-    per bucket gives the cut points (its order statistics).  Bucket sizes then vary
-    by a few tens of percent; the exact sizes come from a later count."""
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+               max_buckets: int = MAX_BUCKETS, stats: dict | None = None) -> tuple[int, list]:
+    """(row count, sorted distinct cut points).  A hash aggregate counts first (or
+    ``stats`` = {n, lo, hi} already observed while writing ``df``); only when the
+    rows need more than one bucket, a sample of ``SAMPLE_PER_BUCKET`` keys per bucket
+    gives the cut points (its order statistics).  Bucket sizes then vary by a few
+    tens of percent; the exact sizes come from a later count."""
+    row = stats or df.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"),
+                          F.max(key).alias("hi")).first()
     n = int(row["n"])
     buckets = max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
     if n == 0 or buckets == 1 or row["lo"] == row["hi"]:
@@ -140,7 +142,7 @@ def _last_needed(sizes: list, limit: int | None) -> int | None:
 
 def plan_index(df: DataFrame, key: str, limit: int | None = None,
                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-               max_buckets: int = MAX_BUCKETS) -> IndexPlan:
+               max_buckets: int = MAX_BUCKETS, stats: dict | None = None) -> IndexPlan:
     """Eager part of the numbering: one count/min/max aggregate, and only for more
     than one bucket a quantile sketch and a per-bucket count (≤ max_buckets rows to
     the driver).  Pass a key-only projection: nothing else is needed.
@@ -150,7 +152,7 @@ def plan_index(df: DataFrame, key: str, limit: int | None = None,
     that bucket's key range alone is cut again by quantiles (up to ``MAX_REFINE``
     times), so a capped run over a huge backlog plans, stages and sorts about
     ``limit`` rows rather than a whole coarse bucket."""
-    n, bounds = key_bounds(df, key, rows_per_bucket, max_buckets)
+    n, bounds = key_bounds(df, key, rows_per_bucket, max_buckets, stats)
     sizes, flat = _bucket_sizes(df, key, bounds, n)
     for _ in range(MAX_REFINE):
         last = _last_needed(sizes, limit)

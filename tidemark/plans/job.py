@@ -38,7 +38,7 @@ from ..operators import paging as P
 from ..operators import sink as K
 from ..schemas import (HISTORY_SCHEMA, OVERRIDE_SCHEMA, STATUS_FAILED, STATUS_NO_NEW_DATA,
                        STATUS_SUCCESS)
-from ..session import clear_stale, input_bytes, make_dirs, path_exists, remove_path, stage
+from ..session import clear_stale, input_bytes, make_dirs, path_exists, remove_path, stage, stage_with_stats
 
 MAX_BATCH = 100_000
 MAX_RUN_RECORDS = 10_000_000
@@ -279,9 +279,10 @@ def stage_pending(spark: SparkSession, spec: JobSpec, pending: DataFrame, key: s
     limit = P.cap_rows(spec.batch_size, spec.max_records) if capped else None
     size = input_bytes(spark, pending, stop_above=spec.stage_all_below_bytes)
     if limit is None or (size is not None and size <= spec.stage_all_below_bytes):
-        # Small input (or no cap): one evaluation of the extract, planned on the copy.
-        staged, path = stage(pending, spark, spec.job_key)
-        plan = P.plan_index(staged.select(key), key, limit, spec.rows_per_bucket)
+        # Small input (or no cap): one evaluation of the extract, planned on the copy;
+        # the key's count/min/max are observed during the staging write.
+        staged, path, stats = stage_with_stats(pending, spark, key, spec.job_key)
+        plan = P.plan_index(staged.select(key), key, limit, spec.rows_per_bucket, stats=stats)
         if plan.n == 0:
             remove_path(spark, path)
             return None, None, plan

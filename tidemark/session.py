@@ -120,6 +120,19 @@ def stage(df, spark: SparkSession, *name: str):
 MAX_SIZED_FILES = 10_000
 
 
+def stage_with_stats(df, spark: SparkSession, key: str, *name: str):
+    """``stage`` that also observes the key's count, min and max while writing, so
+    no separate pass is needed for them.  Returns (frame, path, {n, lo, hi})."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+    obs = Observation(f"stage-{uuid.uuid4().hex[:12]}")
+    observed = df.observe(obs, F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"),
+                          F.max(key).alias("hi"))
+    path = scratch_path(spark, "stage", *name)
+    observed.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path, dict(obs.get)
+
+
 def input_bytes(spark: SparkSession, df, stop_above: int | None = None,
                 max_files: int = MAX_SIZED_FILES) -> int | None:
     """Total size of the files ``df`` reads (``DataFrame.inputFiles`` + file lengths);
@@ -148,5 +161,5 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["spark_session", "checkpoint_root", "scratch_path", "path_exists", "make_dirs", "remove_path", "clear_stale",
-           "stage", "input_bytes", "local_path",
+           "stage", "stage_with_stats", "input_bytes", "local_path",
            "DEFAULT_CONF"]
