@@ -328,3 +328,15 @@ def test_leftover_staging_of_a_dead_run_is_removed(spark, scratch):
     assert J.run_job(spark, sp, st)["status"] == "Success"
     assert not path_exists(spark, left)
     assert path_exists(spark, other)          # another job's folder is left alone
+
+
+def test_staging_observes_key_stats(spark):
+    from tidemark.session import remove_path, stage_with_stats
+    df = spark.range(5, 10).withColumnRenamed("id", "k")
+    staged, path, stats = stage_with_stats(df, spark, "k", "OBS")
+    assert (stats["n"], stats["lo"], stats["hi"]) == (5, 5, 9)
+    assert sorted(r.k for r in staged.collect()) == [5, 6, 7, 8, 9]
+    remove_path(spark, path)
+    _, path, stats = stage_with_stats(df.filter("k > 100"), spark, "k", "OBS")
+    assert stats["n"] == 0 and stats["lo"] is None
+    remove_path(spark, path)
