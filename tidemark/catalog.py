@@ -27,6 +27,7 @@ from .streaming import stream as STR
 from .sources import increment as INC
 from .sources import tables as T
 from .sources.views_sql import TARGET_CURSOR_SQL, with_views
+from .functions.scalars import rand_int_sql
 
 # Fixed parameters of the registered queries.
 AS_OF = dt.date(1998, 6, 15)      # extract day (rows exist at every scale)
@@ -705,7 +706,29 @@ def q_gen_linked_reset(spark, sf):
                       "total_outstanding")
 
 
-@query("gen_target_dummy")
+def _gen_target_dummy_sql(year: int = 2026, seed: int = 42) -> str:
+    def r(k, salt):
+        return rand_int_sql(k, seed, "n", salt)
+    start = f"TIMESTAMP '{year}-01-01 00:00:00'"
+    return f"""WITH s AS (SELECT o_orderkey + 1 AS n FROM orders)
+SELECT n AS cms_no,
+  right('000000000000' || CAST({r(999999999999, 5)} AS VARCHAR), 12) AS id_no1,
+  CASE WHEN n % 4 = 0 THEN 'A' || right('00000000' || CAST({r(99999999, 6)} AS VARCHAR), 8) END AS id_no2,
+  'Test Customer ' || CAST(n AS VARCHAR) AS name1,
+  strftime({start} - to_years(CAST(18 + {r(62, 3)} AS INTEGER)) - to_days(CAST({r(365, 4)} AS INTEGER)),
+           '%d/%m/%Y') AS dob,
+  CASE WHEN n % 10 = 0 THEN 'SG' WHEN n % 10 = 1 THEN 'ID' WHEN n % 10 = 2 THEN 'PH' ELSE 'MY' END AS nationality,
+  {start} + to_days(CAST({r(365, 1)} AS INTEGER)) + to_milliseconds(CAST({r(86400000, 2)} AS BIGINT)) AS create_date,
+  'BATCH' AS last_update_by,
+  right('00000000000' || CAST({r(99999999999, 7)} AS VARCHAR), 11) AS ent_key,
+  right('0000000000' || CAST(n AS VARCHAR), 10) AS ref_no,
+  CASE WHEN n % 2 = 0 THEN 'SCP' ELSE 'USC' END AS txn_code,
+  CASE WHEN n % 3 = 0 THEN 'NEW' WHEN n % 3 = 1 THEN 'SENT' ELSE 'FAILED' END AS status,
+  CASE WHEN n % 3 = 0 THEN 'PENDING' WHEN n % 3 = 1 THEN 'SUCCESS' ELSE 'ERROR' END AS cms_status
+FROM s"""
+
+
+@query("gen_target_dummy", _gen_target_dummy_sql())
 def q_gen_target_dummy(spark, sf):
     return G.gen_target_dummy(G.seeds_from(T.load(spark, sf, "orders"), "o_orderkey"), 2026, 42)
 

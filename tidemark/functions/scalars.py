@@ -75,9 +75,24 @@ def add_days(ts, n) -> Column:
     return F.timestamp_add("DAY", col_or_lit(n), ts if isinstance(ts, Column) else F.col(ts))
 
 
-def rand_int(k: int, seed: int, *cols) -> Column:
-    """Reproducible pseudo-random integer in ``[0, k)``: ``pmod(xxhash64(seed, cols…), k)``."""
-    return F.pmod(F.xxhash64(F.lit(seed), *[col_or_lit(c) for c in cols]), F.lit(k))
+# Fixed values of the portable pseudo-random integer (any SQL engine computes it the
+# same way, with no 64-bit overflow): modulus 2^31 - 1, multiplier 1000003, salt step 7919.
+RAND_MOD = 2147483647
+RAND_MUL = 1000003
+RAND_SALT = 7919
+
+
+def rand_int(k: int, seed: int, n, salt: int) -> Column:
+    """Reproducible pseudo-random integer in ``[0, k)`` for row number ``n`` (>= 0) and
+    a per-column ``salt``: ``((n mod M) * A + salt * S + seed) mod M mod k``."""
+    n = col_or_lit(n)
+    h = F.pmod(F.pmod(n, F.lit(RAND_MOD)) * F.lit(RAND_MUL) + F.lit(salt * RAND_SALT + seed), F.lit(RAND_MOD))
+    return F.pmod(h, F.lit(k))
+
+
+def rand_int_sql(k: int, seed: int, n: str, salt: int) -> str:
+    """The same value as SQL text (for the oracle), ``n`` a non-negative integer expression."""
+    return f"((({n}) % {RAND_MOD}) * {RAND_MUL} + {salt * RAND_SALT + seed}) % {RAND_MOD} % {k}"
 
 
 def minutes_since(completed, now) -> Column:

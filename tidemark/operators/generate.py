@@ -1,7 +1,7 @@
 """Set-based test-data generators.  Each takes a seed frame with a 1-based ``n``
 column (from ``spark.range`` or from a table) and derives every value from ``n``:
 no loops, no driver-side rows, and reproducible pseudo-random values
-(``pmod(xxhash64(seed, n, salt), k)``) where the original used random numbers.
+(``scalars.rand_int``: integer arithmetic any SQL engine reproduces) where the original used random numbers.
 
 Fixed values of the seed scripts: ``REF`` + 10 digits, ``ID`` + 8 digits,
 ``Test Customer <n>``, birth date ``10950 + n % 18250`` days back, ``FOREIGN``
@@ -94,15 +94,15 @@ def gen_target_dummy(seeds: DataFrame, year: int = 2026, seed: int = 42) -> Data
     18-79 years back, cyclic nationality / code / statuses."""
     n = F.col("n")
     start = dt.date(year, 1, 1)
-    day_offset = rand_int(365, seed, n, F.lit(1))
-    ms_offset = rand_int(SECONDS_PER_DAY * 1000, seed, n, F.lit(2))
+    day_offset = rand_int(365, seed, n, 1)
+    ms_offset = rand_int(SECONDS_PER_DAY * 1000, seed, n, 2)
     created = F.timestamp_add("MILLISECOND", ms_offset, add_days(ts_lit(start), day_offset))
-    years_ago = F.lit(18) + rand_int(62, seed, n, F.lit(3))
-    dob = add_days(F.timestamp_add("YEAR", -years_ago, ts_lit(start)), -rand_int(365, seed, n, F.lit(4)))
+    years_ago = F.lit(18) + rand_int(62, seed, n, 3)
+    dob = add_days(F.timestamp_add("YEAR", -years_ago, ts_lit(start)), -rand_int(365, seed, n, 4))
     return seeds.select(
         n.alias("cms_no"),
-        zero_pad(rand_int(999999999999, seed, n, F.lit(5)), 12).alias("id_no1"),
-        F.when(n % 4 == 0, F.concat(F.lit("A"), zero_pad(rand_int(99999999, seed, n, F.lit(6)), 8)))
+        zero_pad(rand_int(999999999999, seed, n, 5), 12).alias("id_no1"),
+        F.when(n % 4 == 0, F.concat(F.lit("A"), zero_pad(rand_int(99999999, seed, n, 6), 8)))
         .alias("id_no2"),
         concat_text("Test Customer ", n.cast("string")).alias("name1"),
         dmy(dob).alias("dob"),
@@ -110,7 +110,7 @@ def gen_target_dummy(seeds: DataFrame, year: int = 2026, seed: int = 42) -> Data
         .alias("nationality"),
         created.alias("create_date"),
         F.lit("BATCH").alias("last_update_by"),
-        zero_pad(rand_int(99999999999, seed, n, F.lit(7)), 11).alias("ent_key"),
+        zero_pad(rand_int(99999999999, seed, n, 7), 11).alias("ent_key"),
         zero_pad(n, 10).alias("ref_no"),
         F.when(n % 2 == 0, "SCP").otherwise("USC").alias("txn_code"),
         F.when(n % 3 == 0, "NEW").when(n % 3 == 1, "SENT").otherwise("FAILED").alias("status"),
