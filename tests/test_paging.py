@@ -170,3 +170,21 @@ def test_refined_plan_with_a_hot_key_ranks_exactly(spark):
     for i, k in enumerate(keys):
         first.setdefault(k, i)
     assert got == sorted((k, first[k]) for k in keys[:kept])
+
+
+@settings(max_examples=6, deadline=None)
+@given(hot=st.integers(0, 400), rest=st.integers(1, 300), per_bucket=st.integers(20, 120),
+       spread=st.integers(1, 40), with_tie=st.booleans())
+def test_strict_numbers_match_brute_force(spark, hot, rest, per_bucket, spread, with_tie):
+    # Brute force: sort all rows by (key, tie-breaker) in Python and number 0..n-1.
+    rows = [(7, i % spread) for i in range(hot)] + [(100 + 3 * i, i % 5) for i in range(rest)]
+    df = spark.createDataFrame(rows, "k long, t long")
+    order = ["t"] if with_tie else None
+    out = P.dense_index(df, "k", ties="row", order_by=order, rows_per_bucket=per_bucket).collect()
+    got = sorted((r.idx, r.k, r.t) for r in out)
+    assert [g[0] for g in got] == list(range(len(rows)))
+    if with_tie:
+        assert [(g[1], g[2]) for g in got] == sorted(rows)
+    else:
+        assert [g[1] for g in got] == sorted(k for k, _ in rows)
+        assert sorted((g[1], g[2]) for g in got) == sorted(rows)
