@@ -28,3 +28,8 @@ def n_words(text: Column) -> Column:
 def hash_bits(bits: int, *cols: Column) -> Column:
     """The top ``bits`` bits of a 64-bit hash, as a non-negative long."""
     return F.shiftrightunsigned(F.xxhash64(*cols), 64 - bits)
+
+
+def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Hand rows with texts to Python in batches that fit a worker's memory even if all are long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

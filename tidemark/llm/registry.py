@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("sharding", "mixing")
+MODULES = ("sharding", "mixing", "neardup")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
