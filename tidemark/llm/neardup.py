@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,15 +56,16 @@ def signature(found: np.ndarray) -> np.ndarray:
     return (mixed(least) >> np.uint64(48)).astype("<u2")
 
 
-def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
         sizes, sigs = [], []
         for text in batch["text"]:
-            found = shingles(hashes.of(lower_words(text)))
+            found = shingles(hashes.of(lower_words(text.as_py())))
             sizes.append(len(found))
             sigs.append(signature(found).tobytes() if len(found) else None)
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "digest": batch["digest"], "n": sizes, "sig": sigs})
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["digest"], pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary())],
+                                         names=["doc_id", "digest", "n", "sig"])
 
 
 def _paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -131,9 +133,9 @@ class Forest:
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
         bounded_batches(docs.sparkSession)
-        self.docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+        self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                                 F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))).alias("digest"))
-        self.rows = staged(self.docs.select("doc_id", "digest", "text").mapInPandas(
+        self.rows = staged(self.docs.select("doc_id", "digest", "text").mapInArrow(
             _sketch, "doc_id long, digest binary, n long, sig binary"), "neardup-rows")
         classes = self.rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.first("sig").alias("sig"))
         self.classes = staged(classes.withColumn("cid", F.monotonically_increasing_id()), "neardup-classes")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("sharding", "mixing", "neardup")
+MODULES = ("sharding", "mixing", "neardup", "decontam")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
