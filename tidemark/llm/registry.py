@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("sharding", "mixing", "neardup", "decontam")
+MODULES = ("sharding", "mixing", "neardup", "decontam", "repeats")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
