@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("sharding", "mixing", "neardup", "decontam", "repeats")
+MODULES = ("sharding", "mixing", "neardup", "decontam", "repeats", "licenses", "toxicity")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
