@@ -5,12 +5,15 @@ and only classes are compared.  Each of ``TREES`` trees orders the classes by it
 signature of ``DEPTH`` MinHash values.  Candidates are
 
 1. neighbours in a tree's order, whose signatures share at least ``LEAST_DEPTH`` values; of
-   these each class first tries the likeliest, which joins up a dense region of any size;
+   these each class tries the likeliest first, and then only those of other components, which
+   joins up a dense region of any size by few tests;
 2. within each region (a common prefix of ``LEAST_DEPTH`` values) that then still holds
-   several components: pairs from different components.  A region of many members goes
-   deeper by components and blocks of members, so no task holds it.
+   several components: pairs from different components.  In a crowded region the shingles
+   that no other text there has bound a text's similarity to all others, which rules most
+   strays out at once; what is left is compared by blocks of members, so no task holds a
+   region, and the blocks of one component are never compared with each other.
 
-Candidates whose whole signatures agree too little (``LEAST_ESTIMATE``, over five standard
+Candidates whose whole signatures agree too little (``LEAST_ESTIMATE``, over four standard
 deviations below the threshold) are dropped; the rest are confirmed on the full shingle
 sets.  Links within a component that is already joined up need no test.  A pair at the
 threshold shares a region in some tree with probability 0.99998.
@@ -36,10 +39,10 @@ from tidemark.llm.common import bounded_batches, staged, table
 from tidemark.llm.components import connected_components
 from tidemark.llm.words import WordHashes, lower_words, mixed, shingles
 
-TREES, DEPTH, LEAST_DEPTH = 20, 6, 3
-LEAST_ESTIMATE = 0.5
-#: Members of a region's component that are paired at once.
-BLOCK = 128
+TREES, DEPTH, LEAST_DEPTH = 20, 7, 3
+LEAST_ESTIMATE = 0.6
+#: Members of a region that are paired at once; a region of more than CROWD gets bounds first.
+BLOCK, CROWD = 128, 16
 #: A table of needed ids of at most this many rows may be broadcast (24 bytes each).
 BROADCAST_ROWS = 1_000_000
 THRESHOLD = 75
@@ -74,8 +77,9 @@ def _paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         if len(batch):
             v = np.frombuffer(b"".join(batch["sig"]), dtype="<u2").reshape(len(batch), TREES, DEPTH).astype(np.int64)
-            fold = lambda part: (part[..., 0] << 32) | (part[..., 1] << 16) | part[..., 2]
-            yield pd.DataFrame({"region": ((tree << 48) | fold(v[..., :3])).ravel(), "deep": fold(v[..., 3:]).ravel(),
+            region = (tree << 48) | (v[..., 0] << 32) | (v[..., 1] << 16) | v[..., 2]
+            deep = (v[..., 3] << 48) | (v[..., 4] << 32) | (v[..., 5] << 16) | v[..., 6]
+            yield pd.DataFrame({"region": region.ravel(), "deep": deep.ravel(),
                                 "cid": np.repeat(batch["cid"].to_numpy(), TREES)})
 
 
@@ -128,6 +132,37 @@ def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[np.array(linked, dtype=bool), ["a", "b"]]
 
 
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = WordHashes()
+    for batch in batches:
+        found = [shingles(hashes.of(lower_words(t))).view(np.int64) for t in batch["text"].to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch["cid"], pa.array(found, pa.list_(pa.int64()))], names=["cid", "shingles"])
+
+
+def _columns(rows: pa.Array) -> list[np.ndarray]:
+    """A block's members as arrays: cid, component, n, shared and the signatures' matrix."""
+    cid, component, n, shared = (rows.field(k).to_numpy(zero_copy_only=False) for k in ("cid", "component", "n", "shared"))
+    return [cid, component, n, shared, np.frombuffer(b"".join(rows.field("sig").to_pylist()), dtype="<u2").reshape(len(cid), -1)]
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of two blocks from different components that could be linked and likely are."""
+    for batch in batches:
+        found = [np.empty((2, 0), dtype=np.int64)]
+        for left, right in zip(batch["left"], batch["right"]):
+            cid, component, n, shared, sig = _columns(left.values)
+            cid2, component2, n2, shared2, sig2 = _columns(right.values)
+            common = np.minimum.outer(shared, shared2)
+            could = (component[:, None] != component2) & (100 * common >= THRESHOLD * (n[:, None] + n2 - common))
+            a, b = np.nonzero(could & (cid[:, None] != cid2))
+            for i in range(0, len(a), 8192):
+                p, q = a[i:i + 8192], b[i:i + 8192]
+                likely = (sig[p] == sig2[q]).mean(axis=1) >= LEAST_ESTIMATE
+                found.append(np.stack([np.minimum(cid[p[likely]], cid2[q[likely]]), np.maximum(cid[p[likely]], cid2[q[likely]])]))
+        pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+
 class Forest:
     """The classes of one corpus with their signatures, and the searches over them."""
 
@@ -163,37 +198,54 @@ class Forest:
         across = ends.withColumn("b", F.lead("a").over(seam)).where("b is not null")
         return found.where("b is not null").union(across).select("a", "b").where("a <> b")
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose full shingle sets are similar enough."""
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-        need = staged(ids.join(self.classes, "cid").select("cid", "doc_id", "digest"), "neardup-needed")
+    def texts(self, cids: DataFrame) -> DataFrame:
+        """(cid, text), one row for each of the distinct ``cids``."""
+        need = staged(cids.join(self.classes, "cid").select("cid", "doc_id", "digest"), "neardup-needed")
         if need.count() <= BROADCAST_ROWS:
             need = F.broadcast(need)
         same = F.col("d.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("d.digest") == F.col("n.digest"))
-        texts = staged(self.docs.alias("d").join(need.alias("n"), same).select("cid", "text"), "neardup-texts")
+        return staged(self.docs.alias("d").join(need.alias("n"), same).select("cid", "text"), "neardup-texts").dropDuplicates(["cid"])
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose full shingle sets are similar enough."""
+        texts = self.texts(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
         both = pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a")), "a")
         both = both.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b")), "b")
-        return staged(both.select("a", "b", "text_a", "text_b").mapInPandas(_confirm, "a long, b long").distinct(), "neardup-links")
+        return staged(both.select("a", "b", "text_a", "text_b").mapInPandas(_confirm, "a long, b long"), "neardup-links")
+
+    def shared(self, cids: DataFrame) -> DataFrame:
+        """How many of its shingles a class shares with any other of the ``cids``."""
+        text = self.texts(cids)
+        found = text.mapInArrow(_exploded, "cid long, shingles array<long>").select("cid", F.explode("shingles").alias("shingle"))
+        own = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("m"), F.max("cid").alias("cid")).where("m = 1")
+        return own.groupBy("cid").agg(F.count(F.lit(1)).alias("own"))
 
     def across(self, joined: DataFrame) -> DataFrame:
-        """Pairs of a region from different components (``joined``: node, component)."""
+        """Likely pairs of a region from different components (``joined``: node, component)."""
         crowded = self.paths.groupBy("region").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("region")
-        member = self.paths.select("region", "cid").join(crowded, "region").join(
+        member = staged(self.paths.select("region", "cid").join(crowded, "region").join(
             joined.select(F.col("node").alias("cid"), "component"), "cid", "left").select(
-            "region", "cid", F.coalesce("component", "cid").alias("component"))
-        member = staged(member, "neardup-members")
-        mixed_regions = member.groupBy("region").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("region")
-        member = member.join(mixed_regions, "region")
-        # Blocks hold members of one component, or hashed parts of it; whole blocks are paired.
+            "region", "cid", F.coalesce("component", "cid").alias("component")), "neardup-members")
+        several = member.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+        member = staged(member.join(several.select("region", "size"), "region"), "neardup-several")
+        # In a crowded region, a text's shingles that no other text there has bound its links.
+        own = self.shared(member.where(F.col("size") > CROWD).select("cid").distinct())
+        facts = self.classes.select("cid", "n", "sig").join(own, "cid", "left").select(
+            "cid", "n", "sig", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
+        member = member.join(facts, "cid").where(100 * F.col("shared") >= THRESHOLD * F.col("n"))
+        # A large component's members stand in blocks of their own, which are never paired
+        # with each other; the others are mixed by hash.
         sizes = member.groupBy("region", "component").agg(F.count(F.lit(1)).alias("m"))
-        block = F.pmod(F.xxhash64("cid"), F.ceil(F.col("m") / BLOCK).cast("long"))
-        blocks = member.join(sizes, ["region", "component"]).groupBy("region", "component", block.alias("block")).agg(
-            F.collect_list("cid").alias("cids"))
-        blocks = staged(blocks, "neardup-blocks")
+        totals = sizes.groupBy("region").agg(F.sum(F.when(F.col("m") <= BLOCK, F.col("m")).otherwise(0)).alias("rest"))
+        large = F.col("m") > BLOCK
+        block = F.struct(F.when(large, F.col("component")).alias("of"),
+                         F.pmod(F.xxhash64("cid"), F.greatest(F.lit(1), F.ceil(F.when(large, F.col("m")).otherwise(F.col("rest")) / BLOCK)).cast("long")).alias("part"))
+        blocks = staged(member.join(sizes, ["region", "component"]).join(totals, "region").groupBy("region", block.alias("block")).agg(
+            F.collect_list(F.struct("cid", "component", "n", "shared", "sig")).alias("rows")), "neardup-blocks")
         x, y = blocks.alias("x"), blocks.alias("y")
-        pairs = x.join(y, (F.col("x.region") == F.col("y.region")) & (F.col("x.component") < F.col("y.component"))).select(
-            F.col("x.cids").alias("left"), F.col("y.cids").alias("right"))
-        return pairs.select(F.explode("left").alias("a"), "right").select("a", F.explode("right").alias("b"))
+        meet = x.join(y, (F.col("x.region") == F.col("y.region")) & (F.col("x.block") <= F.col("y.block"))
+                      & ~F.coalesce(F.col("x.block.of") == F.col("y.block.of"), F.lit(False)))
+        return staged(meet.select(F.col("x.rows").alias("left"), F.col("y.rows").alias("right")).mapInArrow(_meet, "a long, b long"), "neardup-across").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -201,14 +253,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``component_id`` (least id of its component) and ``kept``."""
     forest = Forest(docs, id_col, text_col)
     near = staged(forest.estimated(forest.neighbours()), "neardup-near")
-    # The likeliest neighbour of each class joins up dense regions.
-    best = near.groupBy("a").agg(F.max_by("b", "est").alias("b")).union(
-        near.groupBy("b").agg(F.max_by("a", "est").alias("a")).select("a", "b")).distinct()
-    links = forest.links(staged(best, "neardup-best"))
-    joined = staged(connected_components(links), "neardup-joined")
-    rest = forest.estimated(forest.across(joined)).join(best, ["a", "b"], "left_anti").select("a", "b")
-    more = forest.links(staged(rest, "neardup-rest"))
-    joined = connected_components(links.union(more))
+    links, joined, tested = None, None, None
+    # Each class tries its likeliest neighbour, then up to 4, up to 16, and then all: only
+    # those of another component, so a dense region is joined up by few tests.
+    for most in (1, 4, 16, None):
+        open_pairs = near
+        if joined is not None:
+            part = joined.select("node", "component")
+            open_pairs = (near.join(tested, ["a", "b"], "left_anti")
+                          .join(part.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
+                          .join(part.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
+                          .where(~F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))).select("a", "b", "est"))
+        if most:
+            best = [open_pairs.select(F.col(p).alias("node"), F.struct(F.col("est"), F.col(q).alias("other")).alias("s")) for p, q in ("ab", "ba")]
+            best = best[0].union(best[1]).groupBy("node").agg(F.max("s").alias("s")) if most == 1 else best[0].union(best[1]).withColumn(
+                "r", F.row_number().over(Window.partitionBy("node").orderBy(F.col("s").desc()))).where(F.col("r") <= most)
+            now = best.select(F.least("node", "s.other").alias("a"), F.greatest("node", "s.other").alias("b")).distinct()
+        else:
+            now = open_pairs.select("a", "b")
+        now = staged(now, "neardup-now")
+        if now.isEmpty():
+            break
+        found = forest.links(now)
+        links = found if links is None else links.union(found)
+        tested = now if tested is None else tested.union(now)
+        joined = staged(connected_components(links), "neardup-joined")
+    if links is None:
+        links = near.select("a", "b").limit(0)
+        joined, tested = links.toDF("node", "component"), links
+    rest = staged(forest.across(joined).join(tested, ["a", "b"], "left_anti"), "neardup-rest")
+    if not rest.isEmpty():
+        joined = connected_components(links.union(forest.links(rest)))
 
     named = forest.classes.select("cid", "digest", "doc_id").join(
         joined.select(F.col("node").alias("cid"), "component"), "cid", "left").select(
