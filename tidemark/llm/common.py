@@ -33,3 +33,13 @@ def hash_bits(bits: int, *cols: Column) -> Column:
 def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
     """Hand rows with texts to Python in batches that fit a worker's memory even if all are long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+#: Key tables of up to this many rows (some tens of MB) may be broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(keys: DataFrame) -> DataFrame:
+    """A staged table of a few narrow columns, marked for broadcast if counting proves it small;
+    beyond that the join shuffles."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, staged, table
+from tidemark.llm.common import bounded_batches, broadcast_if_small, staged, table
 from tidemark.llm.components import connected_components
 from tidemark.llm.words import WordHashes, lower_words, mixed, shingles
 
@@ -43,8 +43,6 @@ TREES, DEPTH, LEAST_DEPTH = 20, 7, 3
 LEAST_ESTIMATE = 0.6
 #: Members of a region that are paired at once; a region of more than CROWD gets bounds first.
 BLOCK, CROWD = 128, 16
-#: A table of needed ids of at most this many rows may be broadcast (24 bytes each).
-BROADCAST_ROWS = 1_000_000
 THRESHOLD = 75
 
 _rng = np.random.default_rng(75)
@@ -200,9 +198,7 @@ class Forest:
 
     def texts(self, cids: DataFrame) -> DataFrame:
         """(cid, text), one row for each of the distinct ``cids``."""
-        need = staged(cids.join(self.classes, "cid").select("cid", "doc_id", "digest"), "neardup-needed")
-        if need.count() <= BROADCAST_ROWS:
-            need = F.broadcast(need)
+        need = broadcast_if_small(staged(cids.join(self.classes, "cid").select("cid", "doc_id", "digest"), "neardup-needed"))
         same = F.col("d.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("d.digest") == F.col("n.digest"))
         return staged(self.docs.alias("d").join(need.alias("n"), same).select("cid", "text"), "neardup-texts").dropDuplicates(["cid"])
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, staged, table
+from tidemark.llm.common import bounded_batches, broadcast_if_small, staged, table
 
 #: Documents of each label that the weights are fitted on (by lowest hash of their id), and
 #: the words of each of their windows.
@@ -183,7 +183,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # Copies of a text would make its every word telling: one row for each text and label.
     rows = docs.where(F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).select(F.col(id_col).alias("id"), digest.alias("digest"), F.col(text_col).alias("text"))
     one = rows.select("id", "digest").join(known, "id").groupBy("digest", "toxic").agg(F.min("id").alias("id"))
-    rows = staged(rows.dropDuplicates(["id"]).join(one, ["id", "digest"]), "toxic-train")
+    one = broadcast_if_small(staged(one.join(rows.groupBy("id", "digest").agg(F.count(F.lit(1)).alias("rows")), ["id", "digest"]), "toxic-ids"))
+    rows = rows.join(one, ["id", "digest"]).select("id", "digest", "text", "toxic", "rows")
+    rows = staged(rows.where("rows = 1").union(rows.where("rows > 1").dropDuplicates(["id", "digest"])).select("id", "text", "toxic"), "toxic-train")
     n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if not n.get(1):
         return Field({}, 0.0, np.zeros((2, 2)), 0.0)
