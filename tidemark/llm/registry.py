@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("sharding", "mixing", "neardup", "language", "licenses", "toxicity", "repeats", "decontam")
+MODULES = ("sharding", "mixing", "neardup", "language", "licenses", "chat", "topk", "toxicity", "repeats", "decontam")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
