@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hash_bits, n_words, staged, table
+from tidemark.llm.common import broadcast_if_small, hash_bits, n_words, staged, table
 
 SEED = 20240
 #: Sampling weight by the quality label; unlabelled documents weigh 1.
@@ -58,7 +58,8 @@ def source_targets(sizes: DataFrame, budget: float, weights: tuple[int, ...], ma
             .withColumn("_budget", F.sum("source_size").over(all_rows) * float(budget))
             .withColumn("_level", (F.col("_budget") - F.coalesce(F.sum("_cap").over(before), zero))
                         / (F.sum("_w").over(all_rows) - F.coalesce(F.sum("_w").over(before), zero)))
-            .withColumn("_level", F.min(F.when(F.col("_cap") > F.col("_level") * F.col("_w"), F.col("_level"))).over(all_rows))
+            .withColumn("_first", F.min(F.when(F.col("_cap") > F.col("_level") * F.col("_w"), F.struct(F.row_number().over(order).alias("r"), F.col("_level").alias("level")))).over(all_rows))
+            .withColumn("_level", F.col("_first.level"))
             .withColumn("target", F.least(F.col("_cap"), F.coalesce(F.col("_level") * F.col("_w"), F.col("_cap"))))
             .select("source", "source_size", "target"))
 
@@ -77,7 +78,8 @@ def mix_sources(docs: DataFrame, quality: DataFrame | None = None, budget: float
     rows = docs.select(*keep, F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), n_words(F.col(text_col)).alias("_size"),
                        hash_bits(12, F.monotonically_increasing_id()).alias("_salt"))
     if quality is not None:
-        rows = rows.join(quality.select(F.col("doc_id").alias("_id"), F.col("quality_weight").alias("_q")), "_id", "left")
+        weights_of = staged(quality.select(F.col("doc_id").alias("_id"), F.col("quality_weight").alias("_q")), "mix-quality")
+        rows = rows.join(broadcast_if_small(weights_of), "_id", "left")
     else:
         rows = rows.withColumn("_q", F.lit(None).cast("double"))
     rows = staged(rows.withColumn("_key", exponential_key(F.col("_id"), F.coalesce("_q", F.lit(1.0)), F.col("_salt"), seed)).drop("_q", "_salt"), "mix")
