@@ -21,7 +21,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         # Large star: each node links its larger neighbours to the least node around it.
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        now = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        now = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # Small star: each node links its smaller neighbours and itself to the least of them.
         least = now.groupBy("a").agg(F.min("b").alias("m"))
         now = staged(now.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
@@ -32,3 +32,21 @@ def connected_components(edges: DataFrame) -> DataFrame:
         mark = seen
     # All edges are stars now: every node has one edge, to the least node.
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
+
+
+def merged(joined: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``joined`` (node, component) after ``links`` (a, b) more: only the graph of the
+    components that the links touch is searched."""
+    if joined is None:
+        return staged(connected_components(links), "components")
+    of = joined.select("node", "component")
+    ends = links.join(of.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
+        of.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left").select(
+        "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
+    ends = staged(ends, "component-links")
+    over = staged(connected_components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b"))), "component-map")
+    # Nodes without a component so far stand for themselves.
+    new = ends.where("a = ca").select(F.col("a").alias("node")).union(ends.where("b = cb").select("b")).distinct()
+    new = new.join(of, "node", "left_anti").select("node", F.col("node").alias("component"))
+    out = of.union(new).join(over.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left")
+    return staged(out.select("node", F.coalesce("top", "component").alias("component")), "components")

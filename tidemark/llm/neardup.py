@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_batches, broadcast_if_small, staged, table
-from tidemark.llm.components import connected_components
+from tidemark.llm.components import merged
 from tidemark.llm.words import WordHashes, lower_words, mixed, shingles
 
 TREES, DEPTH, LEAST_DEPTH = 20, 7, 3
@@ -200,7 +200,9 @@ class Forest:
         """(cid, text), one row for each of the distinct ``cids``."""
         need = broadcast_if_small(staged(cids.join(self.classes, "cid").select("cid", "doc_id", "digest"), "neardup-needed"))
         same = F.col("d.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("d.digest") == F.col("n.digest"))
-        return staged(self.docs.alias("d").join(need.alias("n"), same).select("cid", "text"), "neardup-texts").dropDuplicates(["cid"])
+        found = staged(self.docs.alias("d").join(need.alias("n"), same).select("cid", "text"), "neardup-texts")
+        # Only repeated rows of one id and text give more rows than classes.
+        return found.dropDuplicates(["cid"]) if found.count() > need.count() else found
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose full shingle sets are similar enough."""
@@ -218,8 +220,7 @@ class Forest:
 
     def across(self, joined: DataFrame) -> DataFrame:
         """Likely pairs of a region from different components (``joined``: node, component)."""
-        crowded = self.paths.groupBy("region").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("region")
-        member = staged(self.paths.select("region", "cid").join(crowded, "region").join(
+        member = staged(self.paths.select("region", "cid").join(
             joined.select(F.col("node").alias("cid"), "component"), "cid", "left").select(
             "region", "cid", F.coalesce("component", "cid").alias("component")), "neardup-members")
         several = member.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
@@ -249,37 +250,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``component_id`` (least id of its component) and ``kept``."""
     forest = Forest(docs, id_col, text_col)
     near = staged(forest.estimated(forest.neighbours()), "neardup-near")
-    links, joined, tested = None, None, None
-    # Each class tries its likeliest neighbour, then up to 4, up to 16, and then all: only
-    # those of another component, so a dense region is joined up by few tests.
-    for most in (1, 4, 16, None):
-        open_pairs = near
-        if joined is not None:
-            part = joined.select("node", "component")
-            open_pairs = (near.join(tested, ["a", "b"], "left_anti")
-                          .join(part.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
-                          .join(part.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
-                          .where(~F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))).select("a", "b", "est"))
+    joined, tested = None, None
+    # Each class tries its two likeliest neighbours, which joins up a dense region, and then
+    # all of other components.
+    for most in (2, None):
+        open_pairs = near if joined is None else (
+            near.join(tested, ["a", "b"], "left_anti")
+            .join(joined.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
+            .join(joined.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
+            .where(~F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))).select("a", "b", "est"))
+        now = open_pairs.select("a", "b")
         if most:
-            best = [open_pairs.select(F.col(p).alias("node"), F.struct(F.col("est"), F.col(q).alias("other")).alias("s")) for p, q in ("ab", "ba")]
-            best = best[0].union(best[1]).groupBy("node").agg(F.max("s").alias("s")) if most == 1 else best[0].union(best[1]).withColumn(
-                "r", F.row_number().over(Window.partitionBy("node").orderBy(F.col("s").desc()))).where(F.col("r") <= most)
-            now = best.select(F.least("node", "s.other").alias("a"), F.greatest("node", "s.other").alias("b")).distinct()
-        else:
-            now = open_pairs.select("a", "b")
+            ends = [open_pairs.select(F.col(p).alias("node"), F.col(q).alias("other"), "est") for p, q in ("ab", "ba")]
+            rank = F.row_number().over(Window.partitionBy("node").orderBy(F.col("est").desc(), "other"))
+            best = ends[0].union(ends[1]).withColumn("r", rank).where(F.col("r") <= most)
+            now = best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         now = staged(now, "neardup-now")
-        if now.isEmpty():
-            break
-        found = forest.links(now)
-        links = found if links is None else links.union(found)
+        if not now.isEmpty():
+            joined = merged(joined, forest.links(now))
         tested = now if tested is None else tested.union(now)
-        joined = staged(connected_components(links), "neardup-joined")
-    if links is None:
-        links = near.select("a", "b").limit(0)
-        joined, tested = links.toDF("node", "component"), links
+    if joined is None:
+        joined = near.select(F.col("a").alias("node"), F.col("b").alias("component")).limit(0)
     rest = staged(forest.across(joined).join(tested, ["a", "b"], "left_anti"), "neardup-rest")
     if not rest.isEmpty():
-        joined = connected_components(links.union(forest.links(rest)))
+        joined = merged(joined, forest.links(rest))
 
     named = forest.classes.select("cid", "digest", "doc_id").join(
         joined.select(F.col("node").alias("cid"), "component"), "cid", "left").select(
