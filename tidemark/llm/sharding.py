@@ -27,7 +27,7 @@ from tidemark.llm.common import hash_bits, staged, table
 #: never cuts a text's copies; below that it divides them by id (13 bits) and salt (12).
 SHIFTS = (51, 38, 25, 12, 0)
 #: A splitter may miss its wanted weight by this part of a shard.
-TOLERANCE = 0.002
+TOLERANCE = 0.01
 #: A bin is divided while it has more rows than this and than 1/2048 of all.
 LEAF_ROWS = 1000
 
