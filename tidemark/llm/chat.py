@@ -61,19 +61,19 @@ def paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     # jump: the ancestor 2^k above; depth and total: steps and scores on the way to it.
     now = nodes.select("tree", "node", F.col("parent").alias("jump"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth"),
                        F.coalesce("score", F.lit(0.0)).cast("double").alias("total"))
-    jumps, most, rows = [], None, None
+    jumps, rows = [], nodes.count()
     while True:
         now = staged(now, "chat-jumps")
-        open_rows = now.where("jump is not null").count()
+        open_rows = now.where("jump is not null")
         # A cycle's messages never reach a root: they jump on for ever, so stop once 2^k exceeds the rows.
-        rows = now.count() if rows is None else rows
-        if not open_rows or 1 << len(jumps) > rows:
+        if open_rows.isEmpty() or 1 << len(jumps) > rows:
             break
-        jumps.append(now.select("node", "jump"))
+        jumps.append(open_rows.select("node", "jump"))
         up = now.select(F.col("node").alias("jump"), F.col("jump").alias("_jump"), F.col("depth").alias("_depth"), F.col("total").alias("_total"))
-        now = now.join(up, "jump", "left").select(
-            "tree", "node", F.col("_jump").alias("jump"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
-            (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total"))
+        # Only messages that have not reached their root jump on.
+        moved = open_rows.join(up, "jump").select(
+            "tree", "node", F.col("_jump").alias("jump"), (F.col("depth") + F.col("_depth")).alias("depth"), (F.col("total") + F.col("_total")).alias("total"))
+        now = now.where("jump is null").unionByName(moved)
     done = now.where("jump is null")
     parents = nodes.where("parent is not null").select(F.col("parent").alias("node")).distinct()
     leaves = done.join(parents, "node", "left_anti")

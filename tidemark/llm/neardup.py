@@ -8,10 +8,11 @@ signature of ``DEPTH`` MinHash values.  Candidates are
    these each class tries the likeliest first, and then only those of other components, which
    joins up a dense region of any size by few tests;
 2. within each region (a common prefix of ``LEAST_DEPTH`` values) that then still holds
-   several components: pairs from different components.  In a crowded region the shingles
-   that no other text there has bound a text's similarity to all others, which rules most
-   strays out at once; what is left is compared by blocks of members, so no task holds a
-   region, and the blocks of one component are never compared with each other.
+   several components: pairs from different components, compared by blocks of members, so no
+   task holds a region; the blocks of one component are never compared with each other.  In a
+   crowded region the shingles that no other text there has bound a text's similarity to all
+   others, which rules many strays out at once; the members' full sets go along, and only
+   confirmed links leave a task, one for two components.
 
 Candidates whose whole signatures agree too little (``LEAST_ESTIMATE``, over four standard
 deviations below the threshold) are dropped; the rest are confirmed on the full shingle
@@ -42,7 +43,7 @@ from tidemark.llm.words import WordHashes, lower_words, mixed, shingles
 TREES, DEPTH, LEAST_DEPTH = 20, 7, 3
 LEAST_ESTIMATE = 0.6
 #: Members of a region that are paired at once; a region of more than CROWD gets bounds first.
-BLOCK, CROWD = 128, 16
+BLOCK, CROWD = 32, 16
 THRESHOLD = 75
 
 _rng = np.random.default_rng(75)
@@ -130,37 +131,63 @@ def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[np.array(linked, dtype=bool), ["a", "b"]]
 
 
-def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
         found = [shingles(hashes.of(lower_words(t))).view(np.int64) for t in batch["text"].to_pylist()]
         yield pa.RecordBatch.from_arrays([batch["cid"], pa.array(found, pa.list_(pa.int64()))], names=["cid", "shingles"])
 
 
-def _columns(rows: pa.Array) -> list[np.ndarray]:
-    """A block's members as arrays: cid, component, n, shared and the signatures' matrix."""
-    cid, component, n, shared = (rows.field(k).to_numpy(zero_copy_only=False) for k in ("cid", "component", "n", "shared"))
-    return [cid, component, n, shared, np.frombuffer(b"".join(rows.field("sig").to_pylist()), dtype="<u2").reshape(len(cid), -1)]
+def _columns(rows: pa.Array, *names: str) -> list[np.ndarray]:
+    """A block's members as arrays, the signatures as windows of trees and depths."""
+    sig = np.frombuffer(b"".join(rows.field("sig").to_pylist()), dtype="<u2").reshape(len(rows), TREES, DEPTH)
+    return [*(rows.field(k).to_numpy(zero_copy_only=False) for k in names), sig]
+
+
+def _linkable(common: np.ndarray, n: np.ndarray, n2: np.ndarray) -> np.ndarray:
+    return 100 * common >= THRESHOLD * (n + n2 - common)
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of two blocks from different components that could be linked and likely are."""
+    """Pairs of two blocks from different components that are likely linked."""
     for batch in batches:
         found = [np.empty((2, 0), dtype=np.int64)]
         for left, right in zip(batch["left"], batch["right"]):
-            cid, component, n, shared, sig = _columns(left.values)
-            cid2, component2, n2, shared2, sig2 = _columns(right.values)
-            common = np.minimum.outer(shared, shared2)
-            could = (component[:, None] != component2) & (100 * common >= THRESHOLD * (n[:, None] + n2 - common))
-            a, b = np.nonzero(could & (cid[:, None] != cid2))
-            for i in range(0, len(a), 8192):
-                p, q = a[i:i + 8192], b[i:i + 8192]
-                likely = (sig[p] == sig2[q]).mean(axis=1) >= LEAST_ESTIMATE
-                found.append(np.stack([np.minimum(cid[p[likely]], cid2[q[likely]]), np.maximum(cid[p[likely]], cid2[q[likely]])]))
+            cid, component, n, sig = _columns(left.values, "cid", "component", "n")
+            cid2, component2, n2, sig2 = _columns(right.values, "cid", "component", "n")
+            a, b = np.nonzero((component[:, None] != component2) & _linkable(np.minimum.outer(n, n2), n[:, None], n2))
+            likely = (sig[a] == sig2[b]).mean(axis=(1, 2)) >= LEAST_ESTIMATE
+            found.append(np.stack([np.minimum(cid[a[likely]], cid2[b[likely]]), np.maximum(cid[a[likely]], cid2[b[likely]])]))
         pairs = np.unique(np.concatenate(found, axis=1), axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
 
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the components of two blocks, confirmed on the full sets: one link for two
+    components is enough.  A pair is tested in the first tree whose region it shares."""
+    for batch in batches:
+        links: list[tuple[int, int]] = []
+        for region, left, right in zip(batch["region"].to_pylist(), batch["left"], batch["right"]):
+            names = ("cid", "component", "n", "shared", "shingles")
+            cid, component, n, shared, sets, sig = _columns(left.values, *names)
+            cid2, component2, n2, shared2, sets2, sig2 = _columns(right.values, *names)
+            a, b = np.nonzero((component[:, None] != component2) & _linkable(np.minimum.outer(shared, shared2), n[:, None], n2))
+            tree, joined = region >> 48, set()
+            for i in range(0, len(a), 8192):
+                p, q = a[i:i + 8192], b[i:i + 8192]
+                same = sig[p] == sig2[q]
+                before = same[:, :tree, :LEAST_DEPTH].all(axis=2).any(axis=1)
+                test = (same.mean(axis=(1, 2)) >= LEAST_ESTIMATE) & ~before
+                for j, k in zip(p[test].tolist(), q[test].tolist()):
+                    ends = (component[j], component2[k])
+                    if ends not in joined:
+                        common = len(np.intersect1d(sets[j], sets2[k], assume_unique=True))
+                        if _linkable(common, n[j], n2[k]):
+                            joined.add(ends)
+                            links.append((int(cid[j]), int(cid2[k])))
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
+
+
 class Forest:
     """The classes of one corpus with their signatures, and the searches over them."""
 
@@ -211,38 +238,45 @@ class Forest:
         both = both.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b")), "b")
         return staged(both.select("a", "b", "text_a", "text_b").mapInPandas(_confirm, "a long, b long"), "neardup-links")
 
-    def shared(self, cids: DataFrame) -> DataFrame:
-        """How many of its shingles a class shares with any other of the ``cids``."""
-        text = self.texts(cids)
-        found = text.mapInArrow(_exploded, "cid long, shingles array<long>").select("cid", F.explode("shingles").alias("shingle"))
-        own = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("m"), F.max("cid").alias("cid")).where("m = 1")
-        return own.groupBy("cid").agg(F.count(F.lit(1)).alias("own"))
-
-    def across(self, joined: DataFrame) -> DataFrame:
-        """Likely pairs of a region from different components (``joined``: node, component)."""
+    def across(self, joined: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Pairs of a region from different components (``joined``: node, component): likely
+        pairs of small regions, and links of crowded ones."""
         member = staged(self.paths.select("region", "cid").join(
             joined.select(F.col("node").alias("cid"), "component"), "cid", "left").select(
             "region", "cid", F.coalesce("component", "cid").alias("component")), "neardup-members")
         several = member.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
         member = staged(member.join(several.select("region", "size"), "region"), "neardup-several")
-        # In a crowded region, a text's shingles that no other text there has bound its links.
-        own = self.shared(member.where(F.col("size") > CROWD).select("cid").distinct())
-        facts = self.classes.select("cid", "n", "sig").join(own, "cid", "left").select(
-            "cid", "n", "sig", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
-        member = member.join(facts, "cid").where(100 * F.col("shared") >= THRESHOLD * F.col("n"))
-        # A large component's members stand in blocks of their own, which are never paired
-        # with each other; the others are mixed by hash.
+        facts = self.classes.select("cid", "n", "sig")
+        few = self._meetings(member.where(F.col("size") <= CROWD).join(facts, "cid"), ["cid", "component", "n", "sig"])
+        pairs = staged(few.mapInArrow(_meet, "a long, b long"), "neardup-across").distinct()
+
+        # In a crowded region the shingles that no other text there has bound a text's links.
+        many = member.where(F.col("size") > CROWD)
+        sets = staged(self.texts(many.select("cid").distinct()).mapInArrow(_sets, "cid long, shingles array<long>"), "neardup-sets")
+        own = sets.select("cid", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
+            F.count(F.lit(1)).alias("m"), F.max("cid").alias("cid")).where("m = 1").groupBy("cid").agg(F.count(F.lit(1)).alias("own"))
+        facts = facts.join(sets, "cid").join(own, "cid", "left").withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0)))
+        crowd = many.join(facts.where(100 * F.col("shared") >= THRESHOLD * F.col("n")), "cid")
+        settled = self._meetings(crowd, ["cid", "component", "n", "shared", "sig", "shingles"])
+        bounded_batches(self.spark, 8)
+        links = staged(settled.mapInArrow(_settle, "a long, b long"), "neardup-settled")
+        bounded_batches(self.spark)
+        return pairs, links
+
+    def _meetings(self, member: DataFrame, carried: list[str]) -> DataFrame:
+        """Pairs of blocks of a region's members.  A large component's members stand in blocks
+        of their own, which are never paired with each other; the others are mixed by hash."""
         sizes = member.groupBy("region", "component").agg(F.count(F.lit(1)).alias("m"))
         totals = sizes.groupBy("region").agg(F.sum(F.when(F.col("m") <= BLOCK, F.col("m")).otherwise(0)).alias("rest"))
         large = F.col("m") > BLOCK
         block = F.struct(F.when(large, F.col("component")).alias("of"),
                          F.pmod(F.xxhash64("cid"), F.greatest(F.lit(1), F.ceil(F.when(large, F.col("m")).otherwise(F.col("rest")) / BLOCK)).cast("long")).alias("part"))
         blocks = staged(member.join(sizes, ["region", "component"]).join(totals, "region").groupBy("region", block.alias("block")).agg(
-            F.collect_list(F.struct("cid", "component", "n", "shared", "sig")).alias("rows")), "neardup-blocks")
+            F.collect_list(F.struct(*carried)).alias("rows")), "neardup-blocks")
         x, y = blocks.alias("x"), blocks.alias("y")
         meet = x.join(y, (F.col("x.region") == F.col("y.region")) & (F.col("x.block") <= F.col("y.block"))
                       & ~F.coalesce(F.col("x.block.of") == F.col("y.block.of"), F.lit(False)))
-        return staged(meet.select(F.col("x.rows").alias("left"), F.col("y.rows").alias("right")).mapInArrow(_meet, "a long, b long"), "neardup-across").distinct()
+        return meet.select(F.col("x.region").alias("region"), F.col("x.rows").alias("left"), F.col("y.rows").alias("right"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -271,9 +305,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         tested = now if tested is None else tested.union(now)
     if joined is None:
         joined = near.select(F.col("a").alias("node"), F.col("b").alias("component")).limit(0)
-    rest = staged(forest.across(joined).join(tested, ["a", "b"], "left_anti"), "neardup-rest")
-    if not rest.isEmpty():
-        joined = merged(joined, forest.links(rest))
+    pairs, settled = forest.across(joined)
+    rest = staged(pairs.join(tested, ["a", "b"], "left_anti"), "neardup-rest")
+    found = settled if rest.isEmpty() else settled.union(forest.links(rest))
+    if not found.isEmpty():
+        joined = merged(joined, found)
 
     named = forest.classes.select("cid", "digest", "doc_id").join(
         joined.select(F.col("node").alias("cid"), "component"), "cid", "left").select(
