@@ -226,12 +226,10 @@ def test_stream_copies_each_batch_whole_and_skips_replays(spark, scratch):
     assert target_keys(spark, sp, st) == list(range(1, 15))
 
 
-@pytest.mark.parametrize("threshold,per_bucket", [(0, 4), (0, 1000), (1 << 40, 4)])
-def test_cap_with_and_without_key_prepass(spark, scratch, threshold, per_bucket):
-    sp = J.JobSpec("PRE", rows_extract(range(1, 30)), f"{scratch}/t_pre{threshold}_{per_bucket}", ["k", "n"],
-                   batch_size=3, max_records=7, pages_per_commit=2, stage_all_below_bytes=threshold,
-                   rows_per_bucket=per_bucket)
-    st = J.Store(f"{scratch}/h_pre{threshold}_{per_bucket}")
+def test_cap_rounds_to_whole_pages_and_commits(spark, scratch):
+    sp = J.JobSpec("PRE", rows_extract(range(1, 30)), f"{scratch}/t_pre", ["k", "n"],
+                   batch_size=3, max_records=7, pages_per_commit=2)
+    st = J.Store(f"{scratch}/h_pre")
     r = J.run_job(spark, sp, st)
     assert (r["records_read"], r["source_row_id_to"], r["pages"]) == (9, 9, 3)
     assert target_keys(spark, sp, st) == list(range(1, 10))
@@ -240,6 +238,16 @@ def test_cap_with_and_without_key_prepass(spark, scratch, threshold, per_bucket)
     assert [h.commit_id for h in history(spark, st, "PRE")][-3:] == ["PRE-e0-c9", "PRE-e0-c9", "PRE-e0-c15"]
 
 
+def test_uncapped_run_drains_the_source(spark, scratch):
+    sp = J.JobSpec("ALL", rows_extract(range(1, 30)), f"{scratch}/t_all", ["k", "n"], batch_size=2, max_records=None)
+    st = J.Store(f"{scratch}/h_all")
+    assert J.run_job(spark, sp, st)["records_read"] == 29
+    h = history(spark, st, "ALL")
+    assert len(h) == len({x.commit_id for x in h}) == 15      # one commit per page, as the spec says
+    assert target_keys(spark, sp, st) == list(range(1, 30))
+    assert J.run_job(spark, sp, st)["status"] == "NoNewData"
+
+
 def test_rewind_before_first_run_and_per_job_epochs(spark, scratch):
     st = store(scratch)
     J.ensure_history(spark, st)
@@ -303,40 +311,189 @@ def test_monitoring_over_real_runs(spark, scratch):
     assert [(d.failed_jobs, d.failed_count) for d in digest] == [("BAD", 1)]
 
 
-def test_commits_per_run_are_bounded(spark, scratch, monkeypatch):
-    # Seven single-row pages with one page per commit would need seven commits; the
-    # bound groups them into at most two, while history keeps one row per page.
-    monkeypatch.setattr(J, "MAX_COMMITS_PER_RUN", 2)
+def test_history_follows_in_doubling_steps(spark, scratch):
     keys = [3, 5, 8, 13, 21, 34, 55]
     sp, st = spec(scratch, keys, batch=1, cap=100, ppc=1), store(scratch)
-    r = J.run_job(spark, sp, st)
+    first = []
+    r = J.run_job(spark, sp, st, before_history=first.append)
     assert r["status"] == "Success" and r["records_read"] == 7 and r["pages"] == 7
     h = history(spark, st)
     assert [(x.source_row_id_from, x.records_inserted) for x in h] == [(k, 1) for k in keys]
-    assert len({x.commit_id for x in h}) <= 2
+    assert [x.commit_id for x in h] == [f"JOB1-e0-c{k}" for k in [0, *keys[:-1]]]
+    assert first == ["JOB1-e0-c0", "JOB1-e0-c3", "JOB1-e0-c5", "JOB1-e0-c13"]       # chunks 0, 1, 2-3, 4-6
+    assert abs(sum(x.duration_seconds for x in h) - r["duration_seconds"]) < r["duration_seconds"] / 2
     assert target_keys(spark, sp, st) == keys
     assert J.run_job(spark, sp, st)["status"] == "NoNewData"
 
 
+def late_spec(scratch, keys, **kw):
+    def extract(spark, params):
+        return spark.createDataFrame([(k, f"Row{k}") for k in keys["now"]], "key long, name string")
+    return J.JobSpec("LATE", extract, f"{scratch}/t_late", ["k", "n"], batch_size=10, max_records=100, lookback=10, **kw)
+
+
+def test_late_row_then_new_rows_keeps_both(spark, scratch):
+    keys, st = {"now": [1, 2, 4, 5]}, store(scratch)
+    sp = late_spec(scratch, keys)
+    for now in ([1, 2, 4, 5], [1, 2, 3, 4, 5], [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11]):
+        keys["now"] = now
+        J.run_job(spark, sp, st)
+        assert target_keys(spark, sp, st) == now
+
+
+def test_two_late_only_runs_keep_both(spark, scratch):
+    keys, st = {"now": [1, 9]}, store(scratch)
+    sp = late_spec(scratch, keys)
+    for now in ([1, 9], [1, 5, 9], [1, 3, 5, 7, 9], [1, 3, 5, 7, 9]):
+        keys["now"] = now
+        J.run_job(spark, sp, st)
+        assert target_keys(spark, sp, st) == now
+
+
+def test_lookback_crash_and_retry(spark, scratch):
+    keys, st = {"now": [1, 9]}, store(scratch)
+    sp = late_spec(scratch, keys)
+    J.run_job(spark, sp, st)
+    keys["now"] = [1, 4, 9]
+
+    def crash(commit_id):
+        raise RuntimeError("lost")
+    assert J.run_job(spark, sp, st, before_history=crash)["status"] == "Failed"
+    assert target_keys(spark, sp, st) == [1, 9]
+    assert J.run_job(spark, sp, st)["status"] == "Success"
+    assert target_keys(spark, sp, st) == [1, 4, 9]
+    assert spark.read.parquet(sp.target_location).count() == 3      # the retry replaced its own leftover
+
+
+def stream_files(spark, src, ranges):
+    for lo, hi in ranges:
+        spark.range(lo, hi).selectExpr("id AS key", "concat('Row', id) AS name").coalesce(1).write.mode("append").parquet(src)
+
+
+def test_stream_files_out_of_key_order(spark, scratch):
+    from tidemark.streaming import stream as STR
+    src, st = f"{scratch}/incoming", store(scratch)
+    stream_files(spark, src, [(101, 201), (1, 101)])
+    sp = J.JobSpec("STREAM", rows_extract([]), f"{scratch}/t_stream", ["k", "n"], batch_size=20, max_records=20)
+    assert STR.stream_sync(spark, STR.file_source(spark, src, "key long, name string"), sp, st, f"{scratch}/ckpt") == 2
+    assert target_keys(spark, sp, st) == list(range(1, 201))
+
+
+def test_stream_crash_in_a_batch_and_retry(spark, scratch):
+    from tidemark.streaming import stream as STR
+    src, st = f"{scratch}/incoming", store(scratch)
+    stream_files(spark, src, [(101, 111), (1, 11)])
+    sp = J.JobSpec("STREAM", rows_extract([]), f"{scratch}/t_stream", ["k", "n"], batch_size=2, max_records=2)
+    calls = []
+
+    def crash(commit_id):
+        calls.append(commit_id)
+        if len(calls) == 6:
+            raise RuntimeError("lost in the second batch")
+    with pytest.raises(Exception):
+        STR.stream_sync(spark, STR.file_source(spark, src, "key long, name string"), sp, st, f"{scratch}/ckpt", before_history=crash)
+    assert history(spark, st, "STREAM")[-1].status == "Failed"
+    assert target_keys(spark, sp, st) == [1, 2, *range(101, 111)]
+    STR.stream_sync(spark, STR.file_source(spark, src, "key long, name string"), sp, st, f"{scratch}/ckpt")
+    assert target_keys(spark, sp, st) == [*range(1, 11), *range(101, 111)]
+
+
+def test_target_types_fail_a_too_long_value_and_add_unfilled_columns(spark, scratch):
+    def typed(name, width):
+        return J.JobSpec(name, rows_extract([1, 2, 300]), f"{scratch}/t_{name}", ["k", "n"], batch_size=10, max_records=100,
+                         target_types=[("k", "bigint"), ("n", f"string({width})"), ("note", "string(9)")])
+    st = store(scratch)
+    r = J.run_job(spark, typed("NARROW", 5), st)
+    assert r["status"] == "Failed" and "exceeds 5" in r["error_message"]
+    assert J.run_job(spark, typed("WIDE", 6), st)["status"] == "Success"
+    df = K.read_target(spark, f"{scratch}/t_WIDE", J.read_history(spark, st), "WIDE")
+    assert sorted(tuple(x) for x in df.select("k", "n", "note").collect()) == [(1, "Row1", None), (2, "Row2", None), (300, "Row300", None)]
+
+
+def test_key_must_be_an_integer(spark, scratch):
+    def text_key(spark, params):
+        return spark.createDataFrame([("a", "b")], "key string, name string")
+    r = J.run_job(spark, spec(scratch, [], extract=text_key), store(scratch))
+    assert r["status"] == "Failed" and "not an integer" in r["error_message"]
+
+
+def test_cursor_reaches_the_source(spark, scratch):
+    from tidemark.sources import increment as INC
+    spark.range(1, 21).selectExpr("id AS row_id", "id * 2 AS v").createOrReplaceTempView("cursor_rows")
+    src = INC.Source(INC.KIND_TEXT, text="SELECT row_id, v FROM cursor_rows WHERE row_id > :last_row_id")
+    seen = []
+
+    def extract(s, params):
+        seen.append(params)
+        df = INC.as_extract(src)(s, params)
+        assert "SinglePartition" not in df._jdf.queryExecution().executedPlan().toString()
+        return df
+    sp, st = J.JobSpec("TEXT", extract, f"{scratch}/t_text", ["k", "v"], batch_size=4, max_records=8), store(scratch)
+    J.run_job(spark, sp, st)
+    J.run_job(spark, sp, st)
+    assert [(p["last_row_id"], p["batch_size"]) for p in seen] == [(0, 8), (8, 8)]
+    assert target_keys(spark, sp, st) == list(range(1, 17))
+
+
+def test_runs_have_ids(spark, scratch):
+    from tidemark.operators import history as H
+
+    def boom(spark, params):
+        raise RuntimeError("down")
+    st = store(scratch)
+    good, bad = spec(scratch, range(1, 8), name="GOOD", batch=2), spec(scratch, [], name="BAD", extract=boom)
+    # Two runs in one hour, one across the hour.
+    for clock in ([(11, 0)] * 40, [(11, 30)] * 40, [(11, 59)] * 3 + [(12, 1)] * 40):
+        it = iter([dt.datetime(2026, 8, 19, h, m) for h, m in clock])
+        J.sync_tables(spark, [good, bad], st, now=lambda: next(it))
+    hist = J.read_history(spark, st)
+    runs = [r.asDict() for r in H.job_runs(hist).orderBy("first_run_id").collect()]
+    assert [(r["sync_key"], r["pages"], r["records_read"], r["any_failed"]) for r in runs] == [
+        ("GOOD", 4, 7, False), ("BAD", 0, 0, True), ("GOOD", 0, 0, False), ("BAD", 0, 0, True), ("GOOD", 0, 0, False), ("BAD", 0, 0, True)]
+    assert len({r["sync_run"] for r in runs}) == 3
+    out = H.sync_outcomes(hist).collect()
+    assert [(r.jobs, r.failed_jobs, r.failed_keys, r.exit_code) for r in out] == [(2, 1, "BAD", 1)] * 3
+
+
+def test_a_partly_failed_run_counts_its_committed_pages_once(spark, scratch):
+    from tidemark.operators import history as H
+    calls = []
+
+    def fail_third(commit_id):
+        calls.append(commit_id)
+        if len(calls) == 3:
+            raise RuntimeError("page failed")
+    sp, st = spec(scratch, range(1, 11), batch=2), store(scratch)
+    J.run_job(spark, sp, st, before_history=fail_third)
+    r = H.job_runs(J.read_history(spark, st)).first()
+    assert (r.pages, r.records_read, r.records_inserted, r.any_failed) == (2, 4, 4, True) and "page failed" in r.error_message
+
+
+def test_stores_with_the_same_job_key_leave_each_other_alone(spark, scratch):
+    from tidemark.session import path_exists, scratch_path
+    other = J.Store(f"{scratch}/other")
+    live = scratch_path(spark, "stage", "JOB1", J.store_name(other))
+    spark.range(3).write.parquet(live)
+    J.run_job(spark, spec(scratch, [1]), store(scratch))
+    assert path_exists(spark, live)
+
+
+def test_new_files_are_seen_in_one_session(spark, scratch):
+    from tidemark.sources import tables as T
+    spark.range(10).write.parquet(f"{scratch}/orders.parquet")
+    assert T.load(spark, scratch, "orders").count() == 10
+    spark.range(10).write.mode("append").parquet(f"{scratch}/orders.parquet")
+    assert T.load(spark, scratch, "orders").count() == 20
+
+
 def test_leftover_staging_of_a_dead_run_is_removed(spark, scratch):
     from tidemark.session import path_exists, scratch_path
-    left = scratch_path(spark, "stage", "DEAD")
-    other = scratch_path(spark, "stage", "DEAD-2")
+    st = store(scratch)
+    left = scratch_path(spark, "stage", "DEAD", J.store_name(st))
+    other = scratch_path(spark, "stage", "DEAD.2", J.store_name(st))
     spark.range(3).write.parquet(left)
     spark.range(3).write.parquet(other)
-    sp, st = spec(scratch, [1, 2], name="DEAD"), store(scratch)
+    sp = spec(scratch, [1, 2], name="DEAD")
     assert J.run_job(spark, sp, st)["status"] == "Success"
     assert not path_exists(spark, left)
     assert path_exists(spark, other)          # another job's folder is left alone
-
-
-def test_staging_observes_key_stats(spark):
-    from tidemark.session import remove_path, stage_with_stats
-    df = spark.range(5, 10).withColumnRenamed("id", "k")
-    staged, path, stats = stage_with_stats(df, spark, "k", "OBS")
-    assert (stats["n"], stats["lo"], stats["hi"]) == (5, 5, 9)
-    assert sorted(r.k for r in staged.collect()) == [5, 6, 7, 8, 9]
-    remove_path(spark, path)
-    _, path, stats = stage_with_stats(df.filter("k > 100"), spark, "k", "OBS")
-    assert stats["n"] == 0 and stats["lo"] is None
-    remove_path(spark, path)

@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -9,11 +10,11 @@ from tidemark.operators import paging as P
 
 
 @settings(max_examples=8, deadline=None)
-@given(n=st.integers(0, 60), batch=st.integers(1, 9), cap=st.integers(1, 40), per_bucket=st.integers(3, 50))
-def test_pages(spark, n, batch, cap, per_bucket):
+@given(n=st.integers(0, 60), batch=st.integers(1, 9), cap=st.integers(1, 40))
+def test_pages(spark, n, batch, cap):
     cap = max(cap, batch)
     df = spark.range(1, n + 1).select((F.col("id") * 3).alias("k"))
-    paged = P.paginate(df, "k", batch, cap, rows_per_bucket=per_bucket)
+    paged = P.paginate(df, "k", batch, cap)
     rows = sorted((r.k, r.idx, r.page_no) for r in paged.collect())
     copied = min(n, batch * math.ceil(cap / batch))
     assert len(rows) == copied
@@ -27,7 +28,7 @@ def test_pages(spark, n, batch, cap, per_bucket):
 
 def test_duplicate_keys_share_a_page(spark):
     df = spark.createDataFrame([(k,) for k in [1, 2, 2, 3, 4, 4, 5]], "k long")
-    rows = sorted((r.k, r.page_no) for r in P.paginate(df, "k", 2, rows_per_bucket=2).collect())
+    rows = sorted((r.k, r.page_no) for r in P.paginate(df, "k", 2).collect())
     pages = {}
     for k, p in rows:
         pages.setdefault(k, set()).add(p)
@@ -36,155 +37,56 @@ def test_duplicate_keys_share_a_page(spark):
 
 def test_identity_is_dense_with_ties(spark):
     df = spark.createDataFrame([(k, s) for k in [5, 5, 1, 9] for s in "ab"], "k long, s string")
-    got = sorted((r.ident, r.k, r.s) for r in P.assign_identity(df, "k", 10, tie_breakers=["s"],
-                                                                rows_per_bucket=3).collect())
+    got = sorted((r.ident, r.k, r.s) for r in P.assign_identity(df, "k", 10, tie_breakers=["s"]).collect())
     assert [g[0] for g in got] == list(range(10, 18))
     assert [(g[1], g[2]) for g in got] == [(1, "a"), (1, "b"), (5, "a"), (5, "a"), (5, "b"), (5, "b"),
                                           (9, "a"), (9, "b")]
 
 
-def test_hot_key_gets_own_bucket_and_exact_ranks(spark):
-    from pyspark.sql import functions as F
-    hot = spark.range(0, 3000).select(F.lit(500).cast("long").alias("k"))
-    rest = spark.range(0, 3000).select((F.col("id") * 2 + 1).alias("k"))
-    df = hot.unionByName(rest)
-    plan = P.plan_index(df, "k", rows_per_bucket=400)
-    assert plan.flat, plan.bounds
-    got = sorted((r.k, r.idx) for r in P.apply_index(df, "k", plan).collect())
-    keys = sorted(r.k for r in df.collect())
-    expected = []
-    for i, k in enumerate(keys):
-        expected.append((k, keys.index(k)))
-    assert got == expected
-    text = P.apply_index(df, "k", plan)._jdf.queryExecution().executedPlan().toString()
-    assert "Union" in text
-
-
-def _strict_expected(rows, order):
-    """Brute force: sort every row by (key, tie-breakers) and number 0..n-1."""
-    return sorted(rows, key=order)
-
-
-def test_hot_key_strict_numbers_without_one_task(spark, monkeypatch):
-    monkeypatch.setattr(P, "EXPAND_CHUNK", 100)   # many chunks even at this size
-    # A key holding half of all rows, as identical copies and as distinct payloads.
-    hot_copies = spark.range(0, 3000).select(F.lit(500).cast("long").alias("k"), F.lit("x").alias("s"))
-    hot_distinct = spark.range(0, 2000).select(F.lit(700).cast("long").alias("k"),
-                                               F.concat(F.lit("p"), F.col("id").cast("string")).alias("s"))
-    rest = spark.range(0, 5000).select((F.col("id") * 2 + 1).alias("k"), F.lit("r").alias("s"))
-    df = hot_copies.unionByName(hot_distinct).unionByName(rest)
-    plan = P.plan_index(df.select("k"), "k", rows_per_bucket=400)
-    assert plan.flat, plan.bounds
-    got = P.apply_index(df, "k", plan, ties="row").collect()
-    assert sorted(r.idx for r in got) == list(range(10000))
-    # Numbers follow the key; rows of one key hold a contiguous block.
-    by_key: dict = {}
-    for r in got:
-        by_key.setdefault(r.k, []).append(r.idx)
-    keys = sorted(r.k for r in df.select("k").collect())
-    for k, ids in by_key.items():
-        first = keys.index(k)
-        assert sorted(ids) == list(range(first, first + len(ids)))
-    text = P.apply_index(df, "k", plan, ties="row")._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in text
-    assert "explode(sequence" in text
-
-
-def test_hot_key_strict_numbers_follow_tie_breakers(spark):
-    hot = spark.range(0, 1500).select(F.lit(5).cast("long").alias("k"),
-                                      (F.col("id") % 37).alias("t"))
-    rest = spark.range(0, 1500).select((F.col("id") + 10).alias("k"), F.lit(0).cast("long").alias("t"))
-    df = hot.unionByName(rest)
-    out = P.dense_index(df, "k", ties="row", order_by=["t"], rows_per_bucket=300).collect()
-    got = sorted((r.idx, r.k, r.t) for r in out)
-    want = _strict_expected([(r.k, r.t) for r in df.collect()], order=lambda x: x)
-    assert [g[0] for g in got] == list(range(3000))
-    assert [(g[1], g[2]) for g in got] == want
-
-
-def test_hot_key_tie_breaker_ranges(spark, monkeypatch):
-    # A hot key whose rows differ in a string and a numeric tie-breaker: numbers
-    # follow (key, tie-breaker) and the hot key's rows are split into range sub-buckets.
-    hot = spark.range(0, 2400).select(F.lit(9).cast("long").alias("k"),
-                                      F.concat(F.lit("t"), F.lpad((F.col("id") * 7 % 2400).cast("string"), 5, "0")).alias("s"),
-                                      (F.col("id") * 13 % 997).alias("v"))
-    nulls = spark.range(0, 30).select(F.lit(9).cast("long").alias("k"), F.lit(None).cast("string").alias("s"),
-                                      F.col("id").alias("v"))
-    rest = spark.range(0, 600).select((F.col("id") + 100).alias("k"), F.lit("r").alias("s"),
-                                      F.lit(0).cast("long").alias("v"))
-    df = hot.unionByName(nulls).unionByName(rest)
-    calls = []
-    real = P._range_subs
-
-    def spy(counted, flat, subs, size):
-        calls.append(dict(subs))
-        return real(counted, flat, subs, size)
-    monkeypatch.setattr(P, "_range_subs", spy)
-    for tie in (["s", "v"], ["v", "s"]):
-        plan = P.plan_index(df.select("k"), "k", rows_per_bucket=300)
-        assert plan.flat
-        out = P.apply_index(df, "k", plan, ties="row", order_by=tie).collect()
-        got = sorted((r.idx, r.k, r[tie[0]], r[tie[1]]) for r in out)
-        assert [g[0] for g in got] == list(range(3030))
-
-        def sort_key(x):
-            return tuple((v is not None, v) for v in x)
-        want = sorted(((r.k, r[tie[0]], r[tie[1]]) for r in df.collect()), key=sort_key)
-        assert [g[1:] for g in got] == want
-    assert len(calls) == 2 and all(max(c.values()) > 1 for c in calls)
-
-
-def test_range_key_keeps_order(spark):
-    import itertools
-    words = ["", "a", "a\x00", "ab", "abcdefg", "abcdefgh", "abcdefgz", "b", "é", "zz"]
-    df = spark.createDataFrame([(w,) for w in words], "w string")
-    got = {r.w: r.rk for r in df.select("w", P.range_key(F.col("w"), "string").alias("rk")).collect()}
-    for a, b in itertools.combinations(sorted(words, key=lambda w: w.encode()), 2):
-        assert got[a] <= got[b]
-
-
-def test_capped_plan_refines_the_limit_bucket(spark):
-    # Few coarse buckets over many rows: the bucket holding the limit is cut again,
-    # so the plan keeps about `limit` rows instead of a whole coarse bucket.
-    df = spark.range(0, 20000).select((F.col("id") * 5 + 3).alias("k"))
-    coarse = P.plan_index(df, "k", limit=250, rows_per_bucket=100, max_buckets=4)
-    kept = sum(coarse.sizes[: coarse.last + 1])
-    assert 250 <= kept <= 2 * 250 + 2 * 100, (kept, coarse.sizes)
-    got = sorted((r.k, r.idx) for r in P.apply_index(df, "k", coarse).collect())
-    assert got == [(5 * i + 3, i) for i in range(len(got))]
-    assert len(got) == kept
-    paged = P.paginate(df, "k", 10, cap=250, rows_per_bucket=100)
-    assert sorted(r.idx for r in paged.collect()) == list(range(250))
-
-
-def test_refined_plan_with_a_hot_key_ranks_exactly(spark):
-    hot = spark.range(0, 3000).select(F.lit(41).cast("long").alias("k"))
-    rest = spark.range(0, 9000).select((F.col("id") * 3 + 1).alias("k"))
-    df = hot.unionByName(rest)
-    plan = P.plan_index(df, "k", limit=400, rows_per_bucket=100, max_buckets=4)
-    keys = sorted(r.k for r in df.collect())
-    kept = sum(plan.sizes[: plan.last + 1])
-    assert kept >= 400
-    got = sorted((r.k, r.idx) for r in P.apply_index(df, "k", plan).collect())
-    first = {}
-    for i, k in enumerate(keys):
-        first.setdefault(k, i)
-    assert got == sorted((k, first[k]) for k in keys[:kept])
+@pytest.mark.parametrize("copies", [False, True])
+def test_a_hot_key_is_spread_and_ranked_exactly(spark, copies):
+    hot = spark.range(0, 3000).select(F.lit(500).cast("long").alias("k"), (F.lit(0).cast("long") if copies else F.col("id")).alias("v"))
+    rest = spark.range(0, 3000).select((F.col("id") * 2 + 1).alias("k"), F.col("id").alias("v"))
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")       # partitions as they are with many rows
+    try:
+        staged, _ = P.stage_ordered(hot.unionByName(rest), "k", "hot")
+    finally:
+        spark.conf.set(name, before)
+    # No partition holds the whole key.
+    assert staged.where("k = 500").groupBy("_part").count().count() > 1
+    keys = sorted(r.k for r in staged.collect())
+    assert sorted((r.k, r.idx) for r in P.number_staged(staged, "k").collect()) == [(k, keys.index(k)) for k in keys]
+    got = sorted(P.number_staged(staged, "k", ties="row").select("idx", "k").collect())
+    assert [tuple(r) for r in got] == list(enumerate(keys))
+
+
+def test_numbering_has_no_single_task_window(spark):
+    df = spark.range(0, 3000).withColumnRenamed("id", "k")
+    text = P.dense_index(df, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and "SinglePartition" not in text
 
 
 @settings(max_examples=6, deadline=None)
-@given(hot=st.integers(0, 400), rest=st.integers(1, 300), per_bucket=st.integers(20, 120),
-       spread=st.integers(1, 40), with_tie=st.booleans())
-def test_strict_numbers_match_brute_force(spark, hot, rest, per_bucket, spread, with_tie):
-    # Brute force: sort all rows by (key, tie-breaker) in Python and number 0..n-1.
-    rows = [(7, i % spread) for i in range(hot)] + [(100 + 3 * i, i % 5) for i in range(rest)]
+@given(hot=st.integers(0, 400), rest=st.integers(1, 300), spread=st.integers(1, 40), nulls=st.integers(0, 5), with_tie=st.booleans())
+def test_strict_numbers_match_brute_force(spark, hot, rest, spread, nulls, with_tie):
+    # Sort all rows by (key, tie-breaker) in Python, NULL keys first, and number 0..n-1.
+    rows = [(7, i % spread) for i in range(hot)] + [(100 + 3 * i, i % 5) for i in range(rest)] + [(None, i) for i in range(nulls)]
     df = spark.createDataFrame(rows, "k long, t long")
-    order = ["t"] if with_tie else None
-    out = P.dense_index(df, "k", ties="row", order_by=order, rows_per_bucket=per_bucket).collect()
+    out = P.dense_index(df, "k", ties="row", order_by=["t"] if with_tie else None).collect()
     got = sorted((r.idx, r.k, r.t) for r in out)
     assert [g[0] for g in got] == list(range(len(rows)))
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     if with_tie:
-        assert [(g[1], g[2]) for g in got] == sorted(rows)
+        assert [(g[1], g[2]) for g in got] == order
     else:
-        assert [g[1] for g in got] == sorted(k for k, _ in rows)
-        assert sorted((g[1], g[2]) for g in got) == sorted(rows)
+        assert [g[1] for g in got] == [k for k, _ in order]
+
+
+def test_hot_string_keys_with_a_long_common_prefix(spark):
+    words = [f"REF0000000{i % 7}" for i in range(900)] + [f"REF0000{i:05d}" for i in range(100)] + [None] * 3
+    df = spark.createDataFrame([(w, i) for i, w in enumerate(words)], "w string, i long").repartition(3)
+    order = sorted(words, key=lambda w: (w is not None, w or ""))
+    assert sorted((r.idx, r.w or "") for r in P.dense_index(df, "w").collect()) == sorted((order.index(w), w or "") for w in words)
+    assert [r.w for r in sorted(P.dense_index(df, "w", ties="row").collect(), key=lambda r: r.idx)] == order

@@ -37,7 +37,7 @@ def test_extract_reads_each_table_once_and_projects(spark):
 
 def test_dense_index_has_no_single_partition(spark):
     df = spark.range(0, 5000).withColumnRenamed("id", "k")
-    idx = P.dense_index(df, "k", rows_per_bucket=1000)
+    idx = P.dense_index(df, "k")
     text = full_plan(idx)
     assert "SinglePartition" not in text
     got = sorted(r[0] for r in idx.select("idx").collect())
@@ -82,8 +82,18 @@ def test_extract_winner_combines_map_side(spark):
     assert _before_first_exchange(plan(ext), "partial_max_by")
 
 
-def test_override_join_is_broadcast(spark):
+def test_override_join_is_broadcast_at_run_time(spark):
+    # No hint: AQE sees one override row per job and broadcasts it.
     hist = T.sync_history(spark, SF)
     ov = spark.createDataFrame([("JOB1", 1, 5, 10)], "sync_key string, epoch int, cursor long, after_run_id long")
-    text = plan(H.resume_cursor(hist, None, ov))
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    text = full_plan(H.resume_cursor(hist, None, ov))
+    assert "BroadcastHashJoin" in text.split("Initial Plan")[0]
+
+
+def test_run_job_pushes_the_cursor_to_the_scan(spark, scratch):
+    from tidemark import catalog as C
+    from tidemark.plans import job as J
+    spec = C.profile_job(spark, SF, scratch)
+    src = spec.extract(spark, dict(spec.params, last_row_id=700, batch_size=1000))
+    assert "GreaterThan(o_orderkey,700)" in plan(src).replace(" ", "")
+    J.run_job(spark, spec, J.Store(f"{scratch}/history"))

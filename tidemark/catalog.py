@@ -20,7 +20,7 @@ from .operators import monitor as M
 from .operators import sink as K
 from .operators import quality as Q
 from .operators import generate as G
-from .schemas import PROFILE_TARGET
+from .schemas import PROFILE_TARGET, PROFILE_UNFILLED
 from .plans import job as J
 from .session import scratch_path
 from .streaming import stream as STR
@@ -156,23 +156,28 @@ def q_profile_branch_top(spark, sf):
     return X.branch_top(_extract(spark, sf, dedup=False, keep_branch=True), "cms_no", BATCH)
 
 
-def _response_sql(branch: int) -> str:
+def _response_select(branch: int) -> str:
     months_h = ", ".join(f"h.m{i} AS rsp_mom{i}" for i in range(1, 13))
     months_r = ", ".join(f"r.m{i} AS rsp_mom{i}" for i in range(1, 13))
     if branch == 1:
-        return (extract_rows_sql(branches=("direct",)).replace(
-            "WITH ", "WITH " + with_views("detail_header")[5:].rstrip() + ",\n", 1)
-            + f"""SELECT x.row_id AS rsp_cms_no, x.responded_at AS rsp_entry_date, h.status AS rsp_mode,
+        return f"""SELECT x.row_id AS rsp_cms_no, x.responded_at AS rsp_entry_date, h.status AS rsp_mode,
   h.error AS rsp_error, h.warning AS rsp_warning, h.from_year AS rsp_from_year, h.to_year AS rsp_to_year,
   {months_h}, CAST(h.lim_tot AS VARCHAR) AS rsp_lim_tot, CAST(h.bal_tot AS VARCHAR) AS rsp_bal_tot,
   h.special_name AS rsp_special_name
-FROM x JOIN detail_header h ON x.dtl_row_id = h.row_id""")
-    return (extract_rows_sql(branches=("joined",))
-            + f"""SELECT x.row_id AS rsp_cms_no, r.responded_at AS rsp_entry_date, r.status AS rsp_mode,
+FROM x JOIN detail_header h ON x.dtl_row_id = h.row_id WHERE x.branch = 1"""
+    return f"""SELECT x.row_id AS rsp_cms_no, r.responded_at AS rsp_entry_date, r.status AS rsp_mode,
   r.error_message AS rsp_error, r.b2b_error_message AS rsp_warning, r.from_year AS rsp_from_year,
   r.to_year AS rsp_to_year, {months_r}, CAST(r.total_limit AS VARCHAR) AS rsp_lim_tot,
   CAST(r.total_outstanding AS VARCHAR) AS rsp_bal_tot, r.special_name AS rsp_special_name
-FROM x JOIN raw_report r ON x.raw_report_id = r.row_id""")
+FROM x JOIN raw_report r ON x.raw_report_id = r.row_id WHERE x.branch = 2"""
+
+
+def _response_sql(*branches: int) -> str:
+    names = tuple({1: "direct", 2: "joined"}[b] for b in branches)
+    views = extract_rows_sql(branches=names)
+    if 1 in branches:
+        views = views.replace("WITH ", "WITH " + with_views("detail_header")[5:].rstrip() + ",\n", 1)
+    return views + " UNION ALL ".join(_response_select(b) for b in branches)
 
 
 def _response(spark, sf, branches):
@@ -737,12 +742,18 @@ def q_gen_target_dummy(spark, sf):
 # Jobs with state (rows-only: they write targets and history)
 # ---------------------------------------------------------------------------
 
+# The whole target: the key with its type, texts with their widths, and two columns no job fills.
+PROFILE_TYPES = ([(TARGET_NAMES[0], "bigint")]
+                 + [(n, f"string({w})") for n, (_, w) in zip(TARGET_NAMES, PROFILE_TARGET) if w]
+                 + [(n, f"string({w})") for n, w in PROFILE_UNFILLED])
+
+
 def profile_job(spark, sf, root: str, pages_per_commit: int = 4) -> J.JobSpec:
     def extract(s, params):
-        return K.to_target(X.profile_extract(T.report(s, sf), T.raw_report(s, sf), AS_OF, WINDOW_DAYS),
-                           TARGET_NAMES)
+        return K.to_target(X.profile_extract(T.report(s, sf), T.raw_report(s, sf), AS_OF, WINDOW_DAYS,
+                                             cursor=params["last_row_id"]), TARGET_NAMES)
     return J.JobSpec("PROFILE", extract, f"{root}/target_profile", TARGET_NAMES, batch_size=BATCH,
-                     max_records=RUN_CAP, pages_per_commit=pages_per_commit)
+                     max_records=RUN_CAP, pages_per_commit=pages_per_commit, target_types=PROFILE_TYPES)
 
 
 def response_job(spark, sf, root: str) -> J.JobSpec:
@@ -750,34 +761,131 @@ def response_job(spark, sf, root: str) -> J.JobSpec:
 
     def extract(s, params):
         return X.response_extract(T.report(s, sf), T.raw_report(s, sf), T.detail_header(s, sf),
-                                  AS_OF, WINDOW_DAYS)
+                                  AS_OF, WINDOW_DAYS, cursor=params["last_row_id"])
     return J.JobSpec("RESPONSE", extract, f"{root}/target_response", RESPONSE_COLUMNS,
                      batch_size=BATCH, max_records=RUN_CAP * 4, pages_per_commit=8)
 
 
-@query("run_job_history")
-def q_run_job_history(spark, sf):
-    """Two scheduled runs of both jobs over the whole extract; the history they leave."""
+def drain(spark, specs, store) -> None:
+    """Scheduled runs until no job finds new data."""
+    while True:
+        results = J.sync_tables(spark, specs, store).collect()
+        failed = [r.error_message for r in results if r.status == "Failed"]
+        if failed:
+            raise RuntimeError(failed[0])
+        if all(r.status == "NoNewData" for r in results):
+            return
+
+
+def _drained(spark, sf, job):
     root = scratch_path(spark, "run-job")
     store = J.Store(f"{root}/history", f"{root}/overrides")
-    specs = [profile_job(spark, sf, root), response_job(spark, sf, root)]
-    J.sync_tables(spark, specs, store)
-    J.sync_tables(spark, specs, store)
-    return J.read_history(spark, store)
+    spec = job(spark, sf, root)
+    drain(spark, [spec], store)
+    return spec, J.read_history(spark, store)
 
 
-@query("stream_history")
-def q_stream_history(spark, sf):
-    """The child table's source file read as a stream and copied page by page."""
+def _target_of(spark, spec, history):
+    return K.read_target(spark, spec.target_location, history, spec.job_key).drop(K.COMMIT_COL)
+
+
+HISTORY_PAGES = ("sync_key", "status", "source_row_id_from", "source_row_id_to", "records_read", "records_inserted")
+
+
+@query("run_job_history", extract_rows_sql()
+       + f"""SELECT 'PROFILE' AS sync_key, 'Success' AS status, min(row_id) AS source_row_id_from, max(row_id) AS source_row_id_to,
+  CAST(count(*) AS INTEGER) AS records_read, CAST(count(*) AS INTEGER) AS records_inserted
+FROM (SELECT row_id, ({_IDX_SQL}) // {BATCH} AS page_no FROM x) GROUP BY page_no
+UNION ALL SELECT 'PROFILE', 'NoNewData', NULL, NULL, 0, 0""")
+def q_run_job_history(spark, sf):
+    """The profile job run until nothing is left: its pages in the history, and the empty run."""
+    return _drained(spark, sf, profile_job)[1].select(*HISTORY_PAGES)
+
+
+@query("job_target", extract_rows_sql()
+       + f"SELECT {_TARGET_SELECT}, CAST(NULL AS VARCHAR) AS status, CAST(NULL AS VARCHAR) AS cms_status FROM x")
+def q_job_target(spark, sf):
+    """What the profile job leaves in its 13-column target after all its runs."""
+    return _target_of(spark, *_drained(spark, sf, profile_job))
+
+
+@query("response_job_target", _response_sql(1, 2))
+def q_response_job_target(spark, sf):
+    """What the response job leaves in its target after all its runs."""
+    return _target_of(spark, *_drained(spark, sf, response_job))
+
+
+@query("lookback_target", with_views("report") + "SELECT row_id, ref_no FROM report")
+def q_lookback_target(spark, sf):
+    """Rows that become eligible late, alone and together with new ones, all end up in the target."""
+    root = scratch_path(spark, "lookback")
+    store = J.Store(f"{root}/history")
+    rows = T.report(spark, sf).select("row_id", "ref_no")
+    old, late = F.col("row_id") <= T.target_cursor(rows), F.col("row_id") % 17 == 0
+    for seen in (old & ~late, old, F.lit(True)):
+        spec = J.JobSpec("LATE", lambda s, p, seen=seen: rows.filter(seen & (F.col("row_id") > p["last_row_id"])), f"{root}/target",
+                         ["row_id", "ref_no"], batch_size=BATCH * 10, max_records=None, pages_per_commit=4, lookback=1 << 60)
+        J.run_job(spark, spec, store)
+    return _target_of(spark, spec, J.read_history(spark, store))
+
+
+@query("rewind_target", with_views("report") + """SELECT row_id, ref_no FROM report WHERE row_id > 0
+UNION ALL SELECT row_id, ref_no FROM report WHERE row_id > (SELECT max(row_id) * 4 // 5 FROM report)""")
+def q_rewind_target(spark, sf):
+    """A rewound job copies everything above the position again; committed rows stay.  (A job
+    without history starts after key 0.)"""
+    root = scratch_path(spark, "rewind")
+    store = J.Store(f"{root}/history", f"{root}/overrides")
+    rows = T.report(spark, sf).select("row_id", "ref_no")
+    spec = J.JobSpec("AGAIN", lambda s, p: rows.filter(F.col("row_id") > p["last_row_id"]), f"{root}/target", ["row_id", "ref_no"],
+                     batch_size=BATCH * 10, max_records=None, pages_per_commit=4)
+    J.run_job(spark, spec, store)
+    J.rewind(spark, store, "AGAIN", rows.select(F.expr("max(row_id) * 4 div 5")).first()[0])
+    J.run_job(spark, spec, store)
+    return _target_of(spark, spec, J.read_history(spark, store))
+
+
+TEXT_SQL = "SELECT row_id, ref_no, cust_name FROM report_rows WHERE status_detailed = 'OK' AND row_id > :last_row_id"
+
+
+@query("text_job_target", with_views("report") + "SELECT row_id, ref_no, cust_name FROM report WHERE status_detailed = 'OK' AND row_id > 0")
+def q_text_job_target(spark, sf):
+    """A job whose source is SQL text, drained in capped runs."""
+    T.report(spark, sf).createOrReplaceTempView("report_rows")
+
+    def job(s, d, root):
+        return J.JobSpec("TEXT", INC.as_extract(INC.Source(INC.KIND_TEXT, text=TEXT_SQL)), f"{root}/target", ["row_id", "ref_no", "cust_name"],
+                         batch_size=BATCH * 50, max_records=J.MAX_RUN_RECORDS)
+    return _target_of(spark, *_drained(spark, sf, job))
+
+
+def _streamed(spark, sf):
+    """The order table as two files, the higher keys first, copied file by file."""
     root = scratch_path(spark, "stream")
     store = J.Store(f"{root}/history")
-    orders = STR.file_source(spark, sf, T.load(spark, sf, "orders").schema, name_glob="orders.parquet")
-    rows = T.report_from(orders, T.load(spark, sf, "customer"), T.load(spark, sf, "nation")).select(
+    orders = T.load(spark, sf, "orders")
+    middle = orders.select(F.expr("max(o_orderkey) div 2")).first()[0]
+    for part in (F.col("o_orderkey") > middle, F.col("o_orderkey") <= middle):
+        orders.filter(part).write.mode("append").parquet(f"{root}/incoming")
+    source = STR.file_source(spark, f"{root}/incoming", orders.schema)
+    rows = T.report_from(source, T.load(spark, sf, "customer"), T.load(spark, sf, "nation")).select(
         "row_id", "ref_no", "cust_name", "responded_at")
     spec = J.JobSpec("STREAM", lambda s, p: rows, f"{root}/target", ["row_id", "ref_no", "name", "responded_at"],
                      batch_size=BATCH * 10, max_records=RUN_CAP * 10, pages_per_commit=10)
     STR.stream_sync(spark, rows, spec, store, f"{root}/stream-checkpoint")
-    return J.read_history(spark, store)
+    return spec, J.read_history(spark, store)
+
+
+@query("stream_history", with_views("report") + "SELECT 'Success' AS status, count(*) AS rows FROM report")
+def q_stream_history(spark, sf):
+    """Rows that the streaming copy's history accounts for."""
+    return _streamed(spark, sf)[1].groupBy("status").agg(F.sum("records_inserted").cast("long").alias("rows"))
+
+
+@query("stream_target", with_views("report") + "SELECT row_id, ref_no, cust_name AS name, responded_at FROM report")
+def q_stream_target(spark, sf):
+    """What the streaming copy leaves in its target."""
+    return _target_of(spark, *_streamed(spark, sf))
 
 
 # ---------------------------------------------------------------------------
@@ -803,7 +911,7 @@ def q_sql_text_increment(spark, sf):
 def _profile_procedure(spark, params):
     sf = params["sf_dir"]
     return X.profile_extract(T.report(spark, sf), T.raw_report(spark, sf), params.get("as_of", AS_OF),
-                             params.get("window_days", WINDOW_DAYS))
+                             params.get("window_days", WINDOW_DAYS), cursor=params.get("last_row_id"))
 
 
 @query("procedure_increment",

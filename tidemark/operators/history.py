@@ -45,12 +45,11 @@ def resume_cursor(history: DataFrame, keys: Sequence[str] | None = None,
             .alias("cursor"),
             F.lit(0).alias("epoch"))
     else:
-        # One override row per job, so its size is bounded by the number of jobs:
-        # broadcast it, so a busy job's history is never shuffled into one task by a
-        # sort-merge join on the job key (a full outer join could not be broadcast).
+        # One override row per job.  AQE broadcasts it where it is small; a busy job's
+        # skewed side is split where it is not.
         ov = latest_override(for_keys(overrides, keys))
         keyed = h.select("sync_key", "run_id", "status", "source_row_id_to").join(
-            F.broadcast(ov), "sync_key", "left")
+            ov, "sync_key", "left")
         newer = F.col("after_run_id").isNull() | (F.col("run_id") > F.col("after_run_id"))
         seen = keyed.groupBy("sync_key").agg(
             F.max(F.when(success & newer, F.col("source_row_id_to"))).alias("_pos"),
@@ -93,7 +92,7 @@ def run_start(c: str = "started_utc", unit: str = "hour") -> Column:
 
 
 def run_rollup(history: DataFrame, unit: str = "hour") -> DataFrame:
-    """Roll-up of page rows to one row per (job, run)."""
+    """Roll-up of page rows to one row per (job, start hour), for histories without run ids."""
     return history.groupBy("sync_key", run_start(unit=unit).alias("run_start")).agg(
         F.count(F.lit(1)).alias("pages"),
         F.sum("records_read").cast("long").alias("records_read"),
@@ -114,6 +113,31 @@ def run_outcome(history: DataFrame, unit: str = "hour") -> DataFrame:
     ).withColumn("exit_code", F.when(F.col("any_failed"), 1).otherwise(0))
 
 
+def job_runs(history: DataFrame) -> DataFrame:
+    """One row per (job, run): committed pages and rows (``Success`` rows only), the key range
+    they cover, the run's seconds, whether the job failed in it and why."""
+    ok, failed = F.col("status") == STATUS_SUCCESS, F.col("status") == STATUS_FAILED
+    return history.groupBy("sync_key", "sync_run").agg(
+        F.min("run_id").alias("first_run_id"),
+        F.count_if(ok).alias("pages"),
+        F.coalesce(F.sum(F.when(ok, F.col("records_read"))), F.lit(0)).cast("long").alias("records_read"),
+        F.coalesce(F.sum(F.when(ok, F.col("records_inserted"))), F.lit(0)).cast("long").alias("records_inserted"),
+        F.min(F.when(ok, F.col("source_row_id_from"))).alias("source_row_id_from"),
+        F.max(F.when(ok, F.col("source_row_id_to"))).alias("source_row_id_to"),
+        # A failure row's seconds cover the whole attempt, its committed pages included.
+        F.coalesce(F.max(F.when(failed, F.col("duration_seconds"))), F.sum("duration_seconds")).alias("duration_seconds"),
+        F.max(failed).alias("any_failed"),
+        F.max_by("error_message", F.when(failed, F.col("run_id"))).alias("error_message"))
+
+
+def sync_outcomes(history: DataFrame) -> DataFrame:
+    """One row per run: jobs seen, failed jobs and their names, and the exit code."""
+    return job_runs(history).groupBy("sync_run").agg(
+        F.min("first_run_id").alias("first_run_id"), F.count(F.lit(1)).alias("jobs"), F.count_if("any_failed").alias("failed_jobs"),
+        F.array_join(F.sort_array(F.collect_list(F.when(F.col("any_failed"), F.col("sync_key")))), ", ").alias("failed_keys"),
+        F.max(F.when(F.col("any_failed"), 1).otherwise(0)).alias("exit_code"))
+
+
 def latest_run(history: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Newest run per job, whatever its outcome."""
     h = for_keys(history, keys)

@@ -1,324 +1,66 @@
 """Global row numbering and page assignment without a single-partition window.
 
-``row_number() OVER (ORDER BY key)`` with no partition makes Spark move every row
-to one task.  ``dense_index`` numbers rows in distributed steps instead:
-
-1. ``plan_index`` (eager, key-only): one hash aggregate for count/min/max; only
-   when the rows need more than one bucket, cut points from a bounded key sample
-   (turned into literals, so every later evaluation buckets alike) and one
-   aggregate of rows per bucket (at most ``max_buckets`` rows reach the driver);
-   running offsets are computed there.  A value that fills more than one quantile
-   step (a heavy hitter) gets a bucket of its own.
-2. ``apply_index`` (lazy): ``offset[bucket] + rank() OVER (PARTITION BY bucket
-   ORDER BY key) - 1``; single-value buckets take their offset directly, with no
-   sort.
-
-Buckets are ranges of the key, so all copies of one key share a bucket and
-``rank`` gives each copy the index of its first copy (a page boundary never splits
-a key).  ``ties="row"`` gives strict 0..n-1 numbers instead (``order_by`` breaks ties).
-
-Strict numbers for a heavy-hitter key (``number_hot``) never sort the hot key's
-rows in one task: identical rows are first collapsed to one row and a count
-(combined map-side), the distinct rows are ranked by a running sum of counts, and
-each count is expanded back into its numbers in chunks spread over many tasks.
-Without tie-breakers the order among a hot key's rows is free, so its distinct
-rows are also spread over hash sub-buckets sized like the quantile buckets.
+``row_number() OVER (ORDER BY key)`` with no partition makes Spark move every row to one
+task.  Here the rows are range-partitioned by the key and a hash of the row, sorted within
+the partitions and written once under ``spark.checkpoint.dir``, each with its partition and
+its place in it.  A row's number is its partition's offset (from one count per partition)
+plus that place.
+
+The hash (and a salt for repeated rows) is part of the range key, so a key that holds most
+rows is spread over many partitions.  Any orderable key type works; NULL keys come first, at every size.  The number
+of partitions is Spark's own (``spark.sql.shuffle.partitions``, coalesced by AQE), so nothing
+is capped.
+
+With ``ties="rank"`` all copies of a key get the index of its first copy (a page boundary
+never splits a key); with ``ties="row"`` numbers are 0..n-1 (``order_by`` breaks ties, then
+the row's hash).
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
-from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 1024
-# Sampled keys per bucket for cut points.  A sample is used rather than
-# percentile_approx: a global quantile sketch sends one sketch per map task into a
-# single merging task, which a 100k-task scan turns into gigabytes.
-SAMPLE_PER_BUCKET = 64
-SAMPLE_SEED = 20240131
-# Numbers one task generates when a run of identical rows is expanded back.
-EXPAND_CHUNK = 100_000
-MAX_EXPAND_PARTITIONS = 10_000
-
-
-def order_stats(sample: list, parts: int) -> list:
-    """Cut points splitting a sorted sample into ``parts`` runs of equal length."""
-    m = len(sample)
-    if m == 0 or parts <= 1:
-        return []
-    return [sample[min(m - 1, (j * m) // parts)] for j in range(1, parts)]
-
-
-def sample_keys(df: DataFrame, key: str, n: int, want: int) -> list:
-    """About ``want`` keys of ``df`` (a Bernoulli sample with a fixed seed), sorted.
-    Every task keeps its share of the sample, so nothing funnels through one task,
-    and at most about ``max_buckets * SAMPLE_PER_BUCKET`` keys reach the driver."""
-    frac = min(1.0, want / max(1, n))
-    picked = df.select(key).where(F.col(key).isNotNull()).sample(fraction=frac, seed=SAMPLE_SEED)
-    return sorted(r[0] for r in picked.collect())
-
-
-def key_bounds(df: DataFrame, key: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-               max_buckets: int = MAX_BUCKETS, stats: dict | None = None) -> tuple[int, list]:
-    """(row count, sorted distinct cut points).  A hash aggregate counts first (or
-    ``stats`` = {n, lo, hi} already observed while writing ``df``); only when the
-    rows need more than one bucket, a sample of ``SAMPLE_PER_BUCKET`` keys per bucket
-    gives the cut points (its order statistics).  Bucket sizes then vary by a few
-    tens of percent; the exact sizes come from a later count."""
-    row = stats or df.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"),
-                          F.max(key).alias("hi")).first()
-    n = int(row["n"])
-    buckets = max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
-    if n == 0 or buckets == 1 or row["lo"] == row["hi"]:
-        return n, []
-    q = order_stats(sample_keys(df, key, n, buckets * SAMPLE_PER_BUCKET), buckets)
-    cuts = set(q)
-    # A value that fills more than one quantile step is a heavy hitter: cut just
-    # above it too, so it gets a bucket of its own (numbered without a sort).
-    cuts |= {v + 1 for v in cuts if isinstance(v, int) and q.count(v) > 1}
-    return n, sorted(cuts)
-
-
-def bucket_of(c: Column, bounds: list) -> Column:
-    """Number of cut points ``<= c`` as a balanced CASE tree (O(log k) per row)."""
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(c < F.lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-    return build(0, len(bounds))
-
-
-@dataclass(frozen=True)
-class IndexPlan:
-    """Literal bucket plan of a key set: cut points, rows before each bucket, and the
-    last bucket a position limit needs (``None``: all)."""
-    n: int
-    bounds: tuple
-    offsets: tuple
-    last: int | None
-    flat: tuple = ()   # buckets holding a single key value
-    sizes: tuple = ()  # rows per bucket
-    per_bucket: int = DEFAULT_ROWS_PER_BUCKET
-
-    def bucket(self, c: Column) -> Column:
-        return bucket_of(c, list(self.bounds)) if self.bounds else F.lit(0)
-
-    def upper_filter(self, key: str) -> Column | None:
-        """``key < first cut point past the last needed bucket`` (pushable), if any."""
-        if self.last is None or self.last >= len(self.bounds):
-            return None
-        return F.col(key) < F.lit(self.bounds[self.last])
-
-
-MAX_REFINE = 2
-
+from ..session import stage
 
-def _bucket_sizes(df: DataFrame, key: str, bounds: list, n: int) -> tuple[list, list]:
-    """Rows per bucket and the buckets holding a single key value (one aggregate,
-    one row per bucket to the driver)."""
-    if not bounds:
-        return [n], []
-    stats = (df.select(F.col(key), bucket_of(F.col(key), bounds).alias("_bucket"))
-             .groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"),
-                                     F.max(key).alias("hi")).collect())
-    counts = {r["_bucket"]: r["n"] for r in stats}
-    flat = sorted(r["_bucket"] for r in stats if r["n"] > 1 and r["lo"] == r["hi"])
-    return [int(counts.get(i, 0)) for i in range(len(bounds) + 1)], flat
+_PLACE_BITS = 33     # monotonically_increasing_id keeps the place in its low 33 bits
 
 
-def _last_needed(sizes: list, limit: int | None) -> int | None:
-    if limit is None:
-        return None
-    offsets = [0] + list(accumulate(sizes))[:-1]
-    keep = [i for i, o in enumerate(offsets) if o < limit and sizes[i] > 0]
-    return max(keep) if keep else -1
-
-
-def plan_index(df: DataFrame, key: str, limit: int | None = None,
-               rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-               max_buckets: int = MAX_BUCKETS, stats: dict | None = None) -> IndexPlan:
-    """Eager part of the numbering: one count/min/max aggregate, and only for more
-    than one bucket a quantile sketch and a per-bucket count (≤ max_buckets rows to
-    the driver).  Pass a key-only projection: nothing else is needed.
+def stage_ordered(df: DataFrame, key: str, *name: str, order_by: list | None = None) -> tuple[DataFrame, str]:
+    """``df`` written once in key order; (frame with ``_part`` and ``_place``, its path)."""
+    order = [F.col(key), *(F.col(c) if isinstance(c, str) else c for c in (order_by or []))]
+    # The salt divides repeated rows, which have the same hash.
+    spread = [*order, F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_salt")]
+    rows = df.withColumn("_salt", F.monotonically_increasing_id()).repartitionByRange(*spread).sortWithinPartitions(*spread).drop("_salt")
+    place = F.monotonically_increasing_id()
+    return stage(rows.withColumn("_part", F.spark_partition_id())
+                 .withColumn("_place", place.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))), df.sparkSession, *name)
 
-    With ``limit``, when the bucket holding the limit is still much larger than
-    ``rows_per_bucket`` (more than ``max_buckets * rows_per_bucket`` rows in all),
-    that bucket's key range alone is cut again by quantiles (up to ``MAX_REFINE``
-    times), so a capped run over a huge backlog plans, stages and sorts about
-    ``limit`` rows rather than a whole coarse bucket."""
-    n, bounds = key_bounds(df, key, rows_per_bucket, max_buckets, stats)
-    sizes, flat = _bucket_sizes(df, key, bounds, n)
-    for _ in range(MAX_REFINE):
-        last = _last_needed(sizes, limit)
-        if last is None or last < 0 or last in flat or sizes[last] <= 2 * rows_per_bucket:
-            break
-        lo = bounds[last - 1] if last > 0 else None
-        hi = bounds[last] if last < len(bounds) else None
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col(key) >= F.lit(lo))
-        if hi is not None:
-            cond = cond & (F.col(key) < F.lit(hi))
-        part = df.filter(cond)
-        _, inner = key_bounds(part, key, rows_per_bucket, max_buckets)
-        new = sorted(c for c in inner if (lo is None or c > lo) and (hi is None or c < hi))
-        if not new:
-            break
-        # Only the refined bucket is counted again (a pass over its key range).
-        sub_sizes, sub_flat = _bucket_sizes(part, key, new, sizes[last])
-        bounds = bounds[:last] + new + bounds[last:]
-        sizes = sizes[:last] + sub_sizes + sizes[last + 1:]
-        flat = ([b for b in flat if b < last] + [last + b for b in sub_flat]
-                + [b + len(new) for b in flat if b > last])
-    offsets = [0] + list(accumulate(sizes))[:-1]
-    last = _last_needed(sizes, limit)
-    return IndexPlan(n, tuple(bounds), tuple(offsets), last, tuple(flat), tuple(sizes), rows_per_bucket)
 
-
-def apply_index(df: DataFrame, key: str, plan: IndexPlan, out: str = "idx", ties: str = "rank",
-                order_by: list | None = None) -> DataFrame:
-    """Lazy part: ``offset[bucket] + rank() OVER (PARTITION BY bucket ORDER BY key) - 1``."""
+def number_staged(staged: DataFrame, key: str, out: str = "idx", ties: str = "rank") -> DataFrame:
+    """Numbers for rows that ``stage_ordered`` wrote."""
     if ties not in ("rank", "row"):
         raise ValueError("ties must be 'rank' or 'row'")
-    bucketed = df.withColumn("_bucket", plan.bucket(F.col(key)))
-    if plan.last is not None:
-        bucketed = bucketed.filter(F.col("_bucket") <= F.lit(plan.last))
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in plan.offsets]), F.col("_bucket") + 1)
-    order = [F.col(key)] + [F.col(c) if isinstance(c, str) else c for c in (order_by or [])]
-    w = Window.partitionBy("_bucket").orderBy(*order)
-    pos = F.rank().over(w) if ties == "rank" else F.row_number().over(w)
-    flat = [b for b in plan.flat if plan.last is None or b <= plan.last]
-    if flat:
-        is_flat = F.col("_bucket").isin(flat)
-        ranked = bucketed.filter(~is_flat).withColumn(out, offset + pos.cast("long") - 1)
-        if ties == "rank":
-            # Every row of a single-value bucket has the bucket's offset as its rank:
-            # a hot key is numbered without moving its rows into one sorting task.
-            flat_rows = bucketed.filter(is_flat).withColumn(out, offset)
-        else:
-            flat_rows = number_hot(bucketed.filter(is_flat), plan, flat, offset, out, order_by)
-        return ranked.unionByName(flat_rows).drop("_bucket")
-    return bucketed.withColumn(out, offset + pos.cast("long") - 1).drop("_bucket")
-
-
-def number_hot(rows: DataFrame, plan: IndexPlan, flat: list, offset: Column, out: str,
-               order_by: list | None = None) -> DataFrame:
-    """Strict numbers ``offset[bucket] + 0 .. size-1`` for the rows of single-key
-    buckets (``_bucket`` column), in ``order_by`` order, with no task holding a
-    whole hot key.
-
-    1. Identical rows collapse to one row and a count (a map-side combined aggregate).
-    2. The distinct rows of each hot key go to about ``ceil(size / per_bucket)``
-       sub-buckets; their row totals (about ``max_buckets`` numbers in all) give each
-       sub-bucket its start.  Without ``order_by`` any order is valid and the
-       sub-bucket is a hash of the row.  With ``order_by`` the sub-buckets are
-       quantile ranges of the first tie-breaker (through an order-keeping numeric
-       form, ``range_key``), so numbers still follow the tie-breakers; a tie-breaker
-       with no such form keeps a hot key's distinct rows in one sub-bucket.
-    3. A running sum of counts gives each distinct row its first number; its count
-       is cut into chunks of ``EXPAND_CHUNK`` numbers, the chunks are spread over
-       tasks and each is exploded back into rows.
-    """
-    cols = [c for c in rows.columns if c != "_bucket"]
-    counted = rows.groupBy("_bucket", *cols).agg(F.count(F.lit(1)).alias("_cnt"))
-    size = {b: (plan.sizes[b] if b < len(plan.sizes) else plan.n) for b in flat}
-    subs = {b: max(1, math.ceil(size[b] / max(1, plan.per_bucket))) for b in flat}
-    sub: Column | None = None
-    if max(subs.values()) > 1 and not order_by:
-        nsub = F.element_at(F.create_map(*[x for b in flat for x in (F.lit(b), F.lit(subs[b]))]),
-                            F.col("_bucket"))
-        sub = F.pmod(F.xxhash64(*cols), nsub)
-    elif max(subs.values()) > 1 and isinstance(order_by[0], str):
-        rk = range_key(F.col(order_by[0]), dict(rows.dtypes).get(order_by[0], ""))
-        if rk is not None:
-            counted = counted.withColumn("_rk", rk)
-            sub = _range_subs(counted, flat, subs, size)
-    if sub is None:
-        counted = counted.withColumn("_sub", F.lit(0))
-        sub_start = F.lit(0).cast("long")
-    else:
-        counted = counted.withColumn("_sub", sub)
-        totals = counted.groupBy("_bucket", "_sub").agg(F.sum("_cnt").alias("n")).collect()
-        starts: dict = {}
-        for b in flat:
-            acc = 0
-            for r in sorted((r for r in totals if r["_bucket"] == b), key=lambda r: r["_sub"]):
-                starts[(b, r["_sub"])] = acc
-                acc += int(r["n"])
-        m = max(r["_sub"] for r in totals) + 1 if totals else 1
-        sub_start = F.coalesce(F.element_at(F.create_map(*[
-            x for (b, sb), v in starts.items() for x in (F.lit(b * m + sb).cast("long"), F.lit(v).cast("long"))]),
-            F.col("_bucket").cast("long") * F.lit(m) + F.col("_sub")), F.lit(0).cast("long"))
-    order = [F.col(c) if isinstance(c, str) else c for c in (order_by or [])] + [F.col(c) for c in cols]
-    w = (Window.partitionBy("_bucket", "_sub").orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    first = (offset + sub_start + F.sum("_cnt").over(w) - F.col("_cnt")).cast("long")
-    ranked = counted.withColumn("_first", first)
-    chunks = ranked.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                             F.expr(f"(_cnt - 1) div {EXPAND_CHUNK}"))))
-    hot_rows = sum(size.values())
-    parts = max(1, min(MAX_EXPAND_PARTITIONS, math.ceil(hot_rows / EXPAND_CHUNK)))
-    # An explicit partition count: AQE does not fold these tiny chunk rows back together.
-    spread = chunks.repartition(parts, "_bucket", "_sub", "_first", "_chunk")
-    lo = F.col("_first") + F.col("_chunk") * F.lit(EXPAND_CHUNK)
-    hi = F.col("_first") + F.least(F.col("_cnt"), (F.col("_chunk") + 1) * F.lit(EXPAND_CHUNK)) - 1
-    return spread.select("_bucket", *cols, F.explode(F.sequence(lo, hi)).alias(out))
-
-
-_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp",
-            "timestamp_ntz")
-
-
-def range_key(c: Column, dtype: str) -> Column | None:
-    """A numeric form of ``c`` that never reverses ascending order (ties allowed),
-    for quantile cuts: the value itself for numbers and instants, the first seven
-    UTF-8 bytes as a number for binary-ordered strings; None for other types."""
-    if dtype in _NUMERIC or dtype.startswith("decimal"):
-        return c
-    if dtype == "string":
-        head = F.substring(F.rpad(F.hex(c), 14, "0"), 1, 14)
-        return F.conv(head, 16, 10).cast("long")
-    return None
-
-
-def _range_subs(counted: DataFrame, flat: list, subs: dict, size: dict) -> Column:
-    """Sub-bucket of each distinct row: ranges of ``_rk`` within its hot bucket, cut
-    at the order statistics of a per-bucket sample (NULLs, which sort first, in
-    sub-bucket 0).  At most about ``SAMPLE_PER_BUCKET`` keys per sub-bucket reach
-    the driver."""
-    fractions = {b: min(1.0, SAMPLE_PER_BUCKET * subs[b] / max(1, size[b])) for b in flat}
-    picked = (counted.where(F.col("_rk").isNotNull()).select("_bucket", "_rk")
-              .sampleBy("_bucket", fractions, seed=SAMPLE_SEED).collect())
-    by_bucket: dict = {}
-    for r in picked:
-        by_bucket.setdefault(r["_bucket"], []).append(r["_rk"])
-    expr = F.lit(0)
-    for b in flat:
-        cuts = sorted(set(order_stats(sorted(by_bucket.get(b, [])), subs[b])))
-        if cuts:
-            expr = F.when(F.col("_bucket") == F.lit(b), bucket_of(F.col("_rk"), cuts)).otherwise(expr)
-    return F.when(F.col("_rk").isNull(), F.lit(0)).otherwise(expr)
-
-
-def dense_index(df: DataFrame, key: str, out: str = "idx", ties: str = "rank",
-                order_by: list | None = None, limit: int | None = None,
-                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-                max_buckets: int = MAX_BUCKETS) -> DataFrame:
-    """Add ``out`` = 0-based position of the row in key order.
-
-    Runs small eager jobs over ``df`` (see ``plan_index``; stage ``df`` first when
-    it is costly); the returned frame is lazy.  ``limit`` drops whole buckets that
-    lie entirely at or beyond that position, so a capped run never sorts the rest
-    of a backlog.
-    """
-    plan = plan_index(df.select(key), key, limit, rows_per_bucket, max_buckets)
-    return apply_index(df, key, plan, out, ties, order_by)
+    # One row per partition reaches the driver, as few as the job that wrote them had tasks.
+    offsets, at = [], 0
+    for r in sorted(staged.groupBy("_part").count().collect()):
+        offsets.append((r["_part"], at))
+        at += r["count"]
+    before = staged.sparkSession.createDataFrame(offsets, "_part int, _offset long")
+    rows = staged.join(F.broadcast(before), "_part").withColumn(out, F.col("_offset") + F.col("_place")).drop("_part", "_place", "_offset")
+    if ties == "row":
+        return rows
+    # Only keys that occur more than once need another number than their own.
+    again = rows.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), F.min(out).alias("_first")).where("_n > 1")
+    return rows.join(again, F.col(key).eqNullSafe(F.col("_key")), "left").withColumn(
+        out, F.coalesce("_first", out)).drop("_key", "_n", "_first")
+
+
+def dense_index(df: DataFrame, key: str, out: str = "idx", ties: str = "rank", order_by: list | None = None) -> DataFrame:
+    """Add ``out`` = 0-based position of the row in key order (stages ``df`` in that order)."""
+    return number_staged(stage_ordered(df, key, "index", order_by=order_by)[0], key, out, ties)
 
 
 def cap_rows(batch: int, cap: int | None) -> int | None:
@@ -339,12 +81,9 @@ def assign_pages(indexed: DataFrame, batch: int, cap: int | None = None, idx: st
     return indexed.withColumn(out, F.expr(f"{idx} div {int(batch)}"))
 
 
-def paginate(df: DataFrame, key: str, batch: int, cap: int | None = None,
-             rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, plan: IndexPlan | None = None) -> DataFrame:
-    """F6 + F7: index by key then cut pages, numbering only what the cap lets through."""
-    if plan is None:
-        plan = plan_index(df.select(key), key, cap_rows(batch, cap), rows_per_bucket)
-    return assign_pages(apply_index(df, key, plan), batch, cap)
+def paginate(df: DataFrame, key: str, batch: int, cap: int | None = None) -> DataFrame:
+    """F6 + F7: index by key then cut pages."""
+    return assign_pages(dense_index(df, key), batch, cap)
 
 
 def page_ranges(paged: DataFrame, key: str, page: str = "page_no") -> DataFrame:
@@ -354,10 +93,13 @@ def page_ranges(paged: DataFrame, key: str, page: str = "page_no") -> DataFrame:
         F.count(F.lit(1)).alias("rows"))
 
 
+def key_at(indexed: DataFrame, key: str, limit: int, idx: str = "idx"):
+    """Highest key among the first ``limit`` positions (None: no rows)."""
+    return indexed.filter(F.col(idx) < F.lit(limit)).agg(F.max(key)).first()[0]
+
+
 def assign_identity(df: DataFrame, order_by: str, start: int = 1, out: str = "ident",
-                    tie_breakers: list | None = None,
-                    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+                    tie_breakers: list | None = None) -> DataFrame:
     """Dense surrogate ids ``start, start+1, …`` in ``order_by`` order (an IDENTITY column)."""
-    indexed = dense_index(df, order_by, out="_pos", ties="row", order_by=tie_breakers,
-                          rows_per_bucket=rows_per_bucket)
+    indexed = dense_index(df, order_by, out="_pos", ties="row", order_by=tie_breakers)
     return indexed.withColumn(out, F.col("_pos") + F.lit(start)).drop("_pos")

@@ -4,6 +4,8 @@ aggregates or anti joins; results are small report frames."""
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -165,5 +167,5 @@ def uncommitted_partitions(spark: SparkSession, target_location: str, history: D
     parts = spark.read.format(fmt).load(target_location).groupBy(COMMIT_COL).agg(
         F.count(F.lit(1)).alias("rows"))
     if sync_key is not None:
-        parts = parts.filter(F.col(COMMIT_COL).startswith(f"{sync_key}-"))
+        parts = parts.filter(F.col(COMMIT_COL).rlike(f"^{re.escape(sync_key)}-e[0-9]+-"))
     return parts.join(committed_ids(history, sync_key), COMMIT_COL, "left_anti")

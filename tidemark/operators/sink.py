@@ -10,6 +10,7 @@ history row (a semi join Spark turns into dynamic partition pruning).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +30,30 @@ def check_arity(df: DataFrame, columns: Sequence[str], job: str = "") -> None:
     """Column counts must match (no Spark job: schema only)."""
     n, m = len(df.columns), len(columns)
     if n != m:
-        raise ArityError(
-            f"Job {job}: source query returned {n} column(s) but the target lists {m}. "
-            "Fix the job's target column list or the source query.")
+        raise ArityError(f"{job}: the extract has {n} column(s), target_columns lists {m}; they are paired by position")
+
+
+def check_key(df: DataFrame, job: str = "") -> None:
+    """The first source column is the key and must be an integer type (schema only)."""
+    kind = df.schema[0].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"{job}: the key column {df.columns[0]!r} is {kind.simpleString()}, not an integer type")
+
+
+def to_types(df: DataFrame, types: Sequence[tuple[str, str]]) -> DataFrame:
+    """Cast to a target's types (a bad value fails under ANSI).  ``string(n)`` and ``char(n)``
+    also fail on a longer value; listed columns that ``df`` lacks are added as NULL."""
+    for name, kind in types:
+        m = re.fullmatch(r"(?:string|varchar|char)\((\d+)\)", kind.strip().lower())
+        if name not in df.columns:
+            df = df.withColumn(name, F.lit(None).cast("string" if m else kind))
+        elif m:
+            value = F.col(name).cast("string")
+            wide = F.concat(F.lit(f"column {name}: value of "), F.length(value).cast("string"), F.lit(f" characters exceeds {m[1]}"))
+            df = df.withColumn(name, F.when(F.length(value) > int(m[1]), F.raise_error(wide).cast("string")).otherwise(value))
+        else:
+            df = df.withColumn(name, F.col(name).cast(kind))
+    return df
 
 
 def to_target(df: DataFrame, columns: Sequence[str], target_schema: T.StructType | None = None) -> DataFrame:
@@ -52,13 +74,6 @@ def with_unfilled(df: DataFrame, unfilled: Sequence[tuple[str, str]]) -> DataFra
     return df
 
 
-def write_commit(df: DataFrame, location: str, commit_id: str, fmt: str = "parquet") -> None:
-    """Write ``df`` as partition ``commit_id`` of ``location``; rewriting an id replaces it."""
-    (df.withColumn(COMMIT_COL, F.lit(commit_id))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(COMMIT_COL).format(fmt).save(location))
-
-
 def write_commits(df: DataFrame, location: str, fmt: str = "parquet") -> None:
     """Write rows that carry their own ``commit_id`` column, one partition per id;
     each id present replaces its partition, other partitions stay."""
@@ -78,15 +93,10 @@ def read_target(spark: SparkSession, location: str, history: DataFrame, sync_key
     return data.join(committed_ids(history, sync_key), COMMIT_COL, "left_semi")
 
 
-def full_reload(df: DataFrame, location: str, fmt: str = "parquet") -> None:
-    """Delete everything and load again (ids restart with the data)."""
-    df.write.mode("overwrite").format(fmt).save(location)
-
-
 def insert_missing(rows: DataFrame, target: DataFrame, key: str, target_key: str | None = None) -> DataFrame:
     """Rows whose key is not yet in the target (dedup-on-insert)."""
     tk = target_key or key
-    keys = target.select(F.col(tk).alias(key)).distinct()
+    keys = target.select(F.col(tk).alias(key))
     return rows.join(keys, key, "left_anti")
 
 

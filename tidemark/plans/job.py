@@ -1,17 +1,22 @@
 """The incremental copy job: extract → rows above the resume cursor → pages →
 commit-logged writes → history.
 
-Per run, Spark does the work in a few distributed jobs rather than one round trip
-per page.  The keys above the cursor are counted and bucketed first (key-only
-passes), so only the rows this run may copy (``max_records``, rounded to whole
-pages and buckets) are staged: written once as a Parquet table under
-``spark.checkpoint.dir``, which cuts the lineage (a lost executor does not rerun
-the extract) and keeps numbering and writes on one snapshot.  The staged keys
-are numbered with the distributed ``dense_index``, cut into pages and chunks of
-``pages_per_commit`` pages; one job writes every chunk into its own partition
-``commit_id=job-e<epoch>-c<cursor>``; then one history append per chunk, in key
-order, commits it.  A retry after a crash derives the same ids from the same
-cursor and overwrites the uncommitted partitions instead of duplicating them.
+Per run, Spark does the work in a few distributed jobs rather than one round trip per
+page.  The cursor is handed to the extract, so it reaches the scan.  With a run cap the keys
+above the cursor are staged and numbered first, which gives the key the run stops at; then
+the rows the run copies are staged in key order (``paging.stage_ordered``), which cuts the
+lineage and keeps numbering and writes on one snapshot: pages are always cut from the rows
+that were staged.  One job writes every chunk of ``pages_per_commit`` pages into its own
+partition ``commit_id=…``.  History rows follow in key order, in steps of 1, 1, 2, 4, 8, …
+chunks; each step is one append and commits its chunks.
+
+What a crash loses: the chunks of the steps that were not appended yet, at most about half
+of a run's pages.  They are invisible to readers and copied again by the next run.  A retry
+derives the same ids and overwrites uncommitted partitions instead of duplicating them.
+
+A commit id names the job, its epoch and the key before its first row.  With a lookback a
+run may copy late rows without moving the cursor, so the id then also holds the number of
+pages that the job had committed before: it advances with every commit.
 
 Single writer per job: two concurrent runs of one job would race on the same
 commit id; no lock is provided.
@@ -20,17 +25,17 @@ commit id; no lock is provided.
 from __future__ import annotations
 
 import datetime as dt
-import math
+import re
 import socket
 import threading
 import time
 import traceback
 import uuid
+import zlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import history as H
@@ -38,22 +43,26 @@ from ..operators import paging as P
 from ..operators import sink as K
 from ..schemas import (HISTORY_SCHEMA, OVERRIDE_SCHEMA, STATUS_FAILED, STATUS_NO_NEW_DATA,
                        STATUS_SUCCESS)
-from ..session import clear_stale, input_bytes, make_dirs, path_exists, remove_path, stage, stage_with_stats
+from ..session import clear_stale, make_dirs, path_exists, remove_path, stage
 
 MAX_BATCH = 100_000
 MAX_RUN_RECORDS = 10_000_000
+JOB_KEY = re.compile(r"[A-Za-z0-9_.]+")
 
 
 @dataclass(frozen=True)
 class JobSpec:
     """One table to keep in sync.  ``extract(spark, params)`` returns the source rows;
-    its first column is the integer key, copied to ``target_columns[0]``."""
+    its first column is the integer key, copied to ``target_columns[0]``.  ``params`` has
+    ``last_row_id`` (only greater keys are wanted) and, for a capped run, ``batch_size`` (how
+    many of them); a source that uses them reads less, one that does not is cut here."""
     job_key: str
     extract: Callable[[SparkSession, dict], DataFrame]
     target_location: str
     target_columns: Sequence[str]
     batch_size: int = 100
-    max_records: int = 1000
+    # None: no cap, the run drains the source.
+    max_records: int | None = 1000
     pages_per_commit: int = 1
     params: dict = field(default_factory=dict)
     dedup_on_insert: bool = False
@@ -61,20 +70,17 @@ class JobSpec:
     # Re-read keys down to ``cursor - lookback`` so rows that became eligible late
     # are caught; implies dedup-on-insert so nothing is copied twice.
     lookback: int = 0
-    # When the extract reads less than this many bytes of input, the pending rows are
-    # staged whole in one pass; above it a key-only pass first limits staging to
-    # what the run cap can copy (so a large backlog is never rewritten every run).
-    stage_all_below_bytes: int = 256 * 1024 * 1024
-    # Rows per numbering bucket (one sort task each).
-    rows_per_bucket: int = P.DEFAULT_ROWS_PER_BUCKET
+    # Types of the target columns: (name, type) pairs, e.g. ("name1", "string(255)").  Values
+    # are cast, too long strings fail the run; names beyond target_columns stay NULL.
+    target_types: Sequence[tuple[str, str]] = ()
 
     def validate(self) -> None:
-        if not self.job_key or not self.job_key.strip():
-            raise ValueError("job_key must not be blank")
+        if not self.job_key or not JOB_KEY.fullmatch(self.job_key):
+            raise ValueError("job_key must be letters, digits, '_' or '.'")
         if not 1 <= self.batch_size <= MAX_BATCH:
             raise ValueError(f"batch_size must be in 1..{MAX_BATCH}")
-        if not self.batch_size <= self.max_records <= MAX_RUN_RECORDS:
-            raise ValueError(f"max_records must be in batch_size..{MAX_RUN_RECORDS}")
+        if self.max_records is not None and not self.batch_size <= self.max_records <= MAX_RUN_RECORDS:
+            raise ValueError(f"max_records must be None or in batch_size..{MAX_RUN_RECORDS}")
         if not self.target_columns or any(not c or not c.strip() for c in self.target_columns):
             raise ValueError("target_columns must be non-blank names")
         if self.pages_per_commit < 1:
@@ -136,6 +142,12 @@ def current_cursor(spark: SparkSession, store: Store, job_key: str) -> tuple[int
     return (int(row["cursor"]), int(row["epoch"])) if row is not None else (0, 0)
 
 
+def committed_pages(spark: SparkSession, store: Store, job_key: str) -> int:
+    """Pages the job has committed so far (one history row each)."""
+    hist = read_history(spark, store)
+    return hist.filter((F.col("sync_key") == job_key) & (F.col("status") == STATUS_SUCCESS)).count()
+
+
 def rewind(spark: SparkSession, store: Store, job_key: str, cursor: int) -> None:
     """Lower the position ``job_key`` resumes from (re-sync).  Appends an override;
     history and committed data stay."""
@@ -147,24 +159,18 @@ def rewind(spark: SparkSession, store: Store, job_key: str, cursor: int) -> None
 
 def _history_row(spec: JobSpec, run_id: int, status: str, started, completed, host: str,
                  duration: float | None, key_from=None, key_to=None, read=0, inserted=0,
-                 error=None, commit_id=None) -> dict:
+                 error=None, commit_id=None, sync_run=None) -> dict:
     return dict(run_id=run_id, sync_key=spec.job_key, started_utc=started, completed_utc=completed,
                 status=status, source_row_id_from=key_from, source_row_id_to=key_to,
                 target_key_from=key_from, target_key_to=key_to, records_read=int(read),
                 records_inserted=int(inserted), error_message=error, host_machine=host,
-                duration_seconds=duration, commit_id=commit_id)
+                duration_seconds=duration, commit_id=commit_id, sync_run=sync_run)
 
 
 def check_arity_only(df: DataFrame, spec: JobSpec) -> None:
     K.check_arity(df, spec.target_columns, spec.job_key)
 
 
-# Commits one run makes at most.  A run whose pages would need more commits than
-# this (tiny pages and a large cap) groups more pages per commit, so the driver
-# never holds a per-page plan or issues one history append per page of a huge run.
-MAX_COMMITS_PER_RUN = 1024
-
-
 class ChunkFailure(Exception):
     """A copy stopped part-way; ``totals`` holds what was committed before it."""
 
@@ -173,27 +179,22 @@ class ChunkFailure(Exception):
         self.cause, self.totals = cause, totals
 
 
-def commit_pages(spec: JobSpec, rows: int) -> int:
-    """Pages per commit: the job's setting, raised only as far as needed to keep a
-    run of ``rows`` rows within ``MAX_COMMITS_PER_RUN`` commits."""
-    pages = math.ceil(max(0, rows) / spec.batch_size)
-    return max(int(spec.pages_per_commit), math.ceil(pages / MAX_COMMITS_PER_RUN))
+def check_deadline(spec: JobSpec, deadline: float | None) -> None:
+    if deadline is not None and time.time() > deadline:
+        raise TimeoutError(f"Job {spec.job_key}: run deadline passed")
 
 
-def chunk_plan(ranges: DataFrame) -> list:
-    """Per chunk: pages, rows, first/last key, first page — one small aggregate whose
-    size is the number of chunks (run cap / (batch * pages_per_commit))."""
-    return ranges.groupBy("chunk_no").agg(
-        F.count(F.lit(1)).alias("pages"), F.sum("rows").alias("rows"),
-        F.min("key_from").alias("first"), F.max("key_to").alias("last"),
-        F.min("page_no").alias("p0")).orderBy("chunk_no").collect()
+def step_of(chunk: Column) -> Column:
+    """Commit step of a chunk: 0, 1, then doubling runs (2-3, 4-7, …), so that a run of any
+    number of chunks takes a few history appends."""
+    return F.when(chunk == 0, 0).otherwise(F.floor(F.log2(chunk)) + 1).cast("int")
 
 
-def _history_frame(spec: JobSpec, ranges: DataFrame, commit_id: str, run_id_base: int, first_page: int,
-                   started, completed, host: str, duration: float) -> DataFrame:
-    """History rows of one chunk, one per page, built on the executors."""
+def _history_frame(spec: JobSpec, ranges: DataFrame, run_id_base: int, started, completed, host: str,
+                   duration: float, sync_run: str | None) -> DataFrame:
+    """History rows of one step, one per page, built on the executors."""
     return ranges.select(
-        (F.lit(run_id_base) + F.col("page_no") - F.lit(first_page)).cast("long").alias("run_id"),
+        (F.lit(run_id_base) + F.col("page_no")).cast("long").alias("run_id"),
         F.lit(started).cast("timestamp_ntz").alias("started_utc"),
         F.lit(completed).cast("timestamp_ntz").alias("completed_utc"),
         F.lit(STATUS_SUCCESS).alias("status"),
@@ -206,120 +207,116 @@ def _history_frame(spec: JobSpec, ranges: DataFrame, commit_id: str, run_id_base
         F.lit(None).cast("string").alias("error_message"),
         F.lit(host).alias("host_machine"),
         F.lit(duration).cast("double").alias("duration_seconds"),
-        F.lit(commit_id).alias("commit_id"),
+        F.col("commit_id"),
+        F.lit(sync_run).cast("string").alias("sync_run"),
         F.lit(spec.job_key).alias("sync_key"))
 
 
+def name_commits(spec: JobSpec, ranges: DataFrame, cursor: int, epoch: int, committed: int, tag: str) -> DataFrame:
+    """``ranges`` with each page's ``chunk_no`` and ``commit_id``: the key before the chunk,
+    and with a lookback the pages committed before it."""
+    ranges = ranges.withColumn("chunk_no", F.expr(f"page_no div {int(spec.pages_per_commit)}"))
+    last = ranges.groupBy((F.col("chunk_no") + 1).alias("chunk_no")).agg(F.max("key_to").alias("_before"))
+    name = [F.lit(f"{spec.job_key}-e{epoch}{tag}-c"), F.coalesce("_before", F.lit(cursor)).cast("string")]
+    if spec.lookback > 0:
+        name += [F.lit("-p"), (F.lit(committed) + F.col("chunk_no") * F.lit(int(spec.pages_per_commit))).cast("string")]
+    return ranges.join(last, "chunk_no", "left").withColumn(K.COMMIT_COL, F.concat(*name)).drop("_before")
+
+
 def copy_staged(spark: SparkSession, spec: JobSpec, store: Store, staged: DataFrame, key: str,
-                plan: P.IndexPlan, cursor: int, epoch: int, host: str,
+                cursor: int, epoch: int, host: str,
                 now: Callable[[], dt.datetime] = utc_now, deadline: float | None = None,
                 before_history: Callable[[str], None] | None = None, tag: str = "",
-                capped: bool = True) -> dict:
-    """Copy the staged rows (key > cursor) page by page.
-
-    1. Number the keys alone (a sort of one long column) and cut pages and chunks
-       of ``pages_per_commit`` pages; only the chunk plan reaches the driver.
-    2. One data job writes every chunk into its own ``commit_id`` partition
-       (chunk chosen by a CASE tree on the chunk start keys).
-    3. History rows are appended chunk by chunk, in key order: each append is a
-       commit point, so a crash keeps the chunks committed before it and a retry
-       (same cursor → same commit ids) overwrites the uncommitted partitions.
+                capped: bool = True, sync_run: str | None = None, t0: float | None = None) -> dict:
+    """Copy rows staged in key order, page by page.
+
+    1. Number them and cut pages and chunks of ``pages_per_commit`` pages.
+    2. One data job writes every chunk into its own ``commit_id`` partition; staged files hold
+       contiguous keys, so a task writes few of them.
+    3. History rows are appended step by step (``step_of``), in key order: each append is a
+       commit point.
     """
-    t0, started = time.monotonic(), now()
+    t0, started = time.monotonic() if t0 is None else t0, now()
     totals = dict(read=0, inserted=0, first=None, last=None, pages=0)
     cap = spec.max_records if capped else None
-    rows_max = plan.n if cap is None else min(plan.n, P.cap_rows(spec.batch_size, cap))
-    ppc = commit_pages(spec, rows_max)
-    keys = P.assign_pages(P.apply_index(staged.select(key), key, plan), spec.batch_size, cap)
-    ranges = (P.page_ranges(keys, key).withColumn("chunk_no", F.expr(f"page_no div {ppc}"))
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    paths = []
     try:
-        chunks = chunk_plan(ranges)
-        if not chunks:
+        paged = P.assign_pages(P.number_staged(staged, key), spec.batch_size, cap)
+        committed = committed_pages(spark, store, spec.job_key) if spec.lookback > 0 else 0
+        ranges, path = stage(name_commits(spec, P.page_ranges(paged, key), cursor, epoch, committed, tag), spark, spec.job_key, store_name(store))
+        paths.append(path)
+        # One row per step: a few dozen at most.
+        steps = ranges.withColumn("step", step_of(F.col("chunk_no"))).groupBy("step").agg(
+            F.count(F.lit(1)).alias("pages"), F.sum("rows").alias("rows"), F.min("key_from").alias("first"),
+            F.max("key_to").alias("last"), F.min_by(K.COMMIT_COL, "page_no").alias("commit_id")).orderBy("step").collect()
+        if not steps:
             return totals
-        starts = [cursor] + [c["last"] for c in chunks[:-1]]
-        ids = [f"{spec.job_key}-e{epoch}{tag}-c{at}" for at in starts]
-        if deadline is not None and time.time() > deadline:
-            raise TimeoutError(f"Job {spec.job_key}: run deadline passed")
-        # At most MAX_COMMITS_PER_RUN chunks: a balanced CASE tree on their start keys.
-        rows = staged.filter(F.col(key) <= F.lit(chunks[-1]["last"]))
-        chunk_no = P.bucket_of(F.col(key), [c["first"] for c in chunks[1:]])
-        commit = F.element_at(F.array(*[F.lit(i) for i in ids]), chunk_no + 1)
-        K.check_arity(staged, spec.target_columns, spec.job_key)
-        data = rows.select(*[F.col(c).alias(t) for c, t in zip(staged.columns, spec.target_columns)],
-                           commit.alias(K.COMMIT_COL))
-        K.write_commits(data, spec.target_location, spec.fmt)
-        run_id = next_run_id(spark, store)
-        for part, commit_id in zip(chunks, ids):
-            if deadline is not None and time.time() > deadline:
-                raise TimeoutError(f"Job {spec.job_key}: run deadline passed")
+        check_deadline(spec, deadline)
+        data = paged.join(ranges.select("page_no", K.COMMIT_COL), "page_no")
+        source = [c for c in staged.columns if c not in ("_part", "_place")]
+        K.check_arity(staged.select(*source), spec.target_columns, spec.job_key)
+        rows = K.to_types(data.select(*[F.col(c).alias(t) for c, t in zip(source, spec.target_columns)], K.COMMIT_COL), spec.target_types)
+        K.write_commits(rows, spec.target_location, spec.fmt)
+        base, at = next_run_id(spark, store), t0
+        for step in steps:
+            check_deadline(spec, deadline)
             if before_history is not None:
-                before_history(commit_id)
-            hist = _history_frame(spec, ranges.filter(F.col("chunk_no") == part["chunk_no"]), commit_id,
-                                  run_id, part["p0"], started, now(), host,
-                                  (time.monotonic() - t0) / max(1, len(chunks)))
-            hist.coalesce(1).write.mode("append").partitionBy("sync_key").parquet(store.history_location)
-            run_id += part["pages"]
-            totals["read"] += part["rows"]
-            totals["inserted"] += part["rows"]
-            totals["first"] = part["first"] if totals["first"] is None else totals["first"]
-            totals["last"] = part["last"]
-            totals["pages"] += part["pages"]
+                before_history(step["commit_id"])
+            took = time.monotonic()
+            part = ranges.filter(step_of(F.col("chunk_no")) == step["step"])
+            _history_frame(spec, part, base, started, now(), host, (took - at) / step["pages"], sync_run).orderBy("run_id").coalesce(
+                1).write.mode("append").partitionBy("sync_key").parquet(store.history_location)
+            at = took
+            totals["read"] += step["rows"]
+            totals["inserted"] += step["rows"]
+            totals["first"] = step["first"] if totals["first"] is None else totals["first"]
+            totals["last"] = step["last"]
+            totals["pages"] += step["pages"]
         return totals
     except Exception as exc:  # noqa: BLE001
         raise ChunkFailure(exc, totals) from exc
     finally:
-        ranges.unpersist()
-
-
-def stage_pending(spark: SparkSession, spec: JobSpec, pending: DataFrame, key: str, capped: bool = True):
-    """Key-only plan of the pending rows, then stage just the rows this run can copy
-    (the buckets covering ``max_records``), never the whole backlog.
-    Returns (staged frame, staged path, plan) or (None, None, plan) when empty."""
-    limit = P.cap_rows(spec.batch_size, spec.max_records) if capped else None
-    size = input_bytes(spark, pending, stop_above=spec.stage_all_below_bytes)
-    if limit is None or (size is not None and size <= spec.stage_all_below_bytes):
-        # Small input (or no cap): one evaluation of the extract, planned on the copy;
-        # the key's count/min/max are observed during the staging write.
-        staged, path, stats = stage_with_stats(pending, spark, key, spec.job_key)
-        plan = P.plan_index(staged.select(key), key, limit, spec.rows_per_bucket, stats=stats)
-        if plan.n == 0:
+        for path in paths:
             remove_path(spark, path)
-            return None, None, plan
-        return staged, path, plan
-    # The planning passes (count, sample, bucket counts, refinements) read the keys
-    # from a cache filled by the first pass, so the extract runs once for them and
-    # once more for the staging write.  A lost cache block is recomputed from the
-    # (deterministic) extract.
-    keys = pending.select(key).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        plan = P.plan_index(keys, key, limit, spec.rows_per_bucket)
-    finally:
-        keys.unpersist()
-    if plan.n == 0:
-        return None, None, plan
-    cut = plan.upper_filter(key)
-    staged, path = stage(pending if cut is None else pending.filter(cut), spark, spec.job_key)
-    if cut is not None:
-        # The coarse plan has at most max_buckets buckets over the whole backlog, so
-        # one of them can be far larger than rows_per_bucket.  Re-plan the staged keys
-        # (a key-only pass over the staged files) so no numbering task sorts more.
-        plan = P.plan_index(staged.select(key), key, limit, spec.rows_per_bucket)
-    return staged, path, plan
+
+
+def store_name(store: Store) -> str:
+    """A short name of the store for its staging folders: stores may share job keys."""
+    return f"{zlib.crc32(store.history_location.encode()):08x}"
+
+
+def stage_pending(spark: SparkSession, spec: JobSpec, pending: DataFrame, key: str, store: Store,
+                  capped: bool = True, deadline: float | None = None):
+    """Stage the rows this run copies, in key order: (staged frame, its path), or (None, None)
+    when there are none.  A capped run stages and numbers the keys first, to know the key it
+    stops at, so a large backlog is never rewritten every run."""
+    name = (spec.job_key, store_name(store))
+    if capped and spec.max_records is not None:
+        keys, path = P.stage_ordered(pending.select(key), key, *name)
+        try:
+            check_deadline(spec, deadline)
+            last = P.key_at(P.number_staged(keys, key), key, P.cap_rows(spec.batch_size, spec.max_records))
+        finally:
+            remove_path(spark, path)
+        if last is None:
+            return None, None
+        pending = pending.filter(F.col(key) <= F.lit(last))
+        check_deadline(spec, deadline)
+    staged, path = P.stage_ordered(pending, key, *name)
+    if staged.isEmpty():
+        remove_path(spark, path)
+        return None, None
+    return staged, path
 
 
 def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float | None = None,
             now: Callable[[], dt.datetime] = utc_now, host: str | None = None,
-            before_history: Callable[[str], None] | None = None) -> dict:
+            before_history: Callable[[str], None] | None = None, sync_run: str | None = None) -> dict:
     """Copy the rows above the job's cursor, at most ``max_records`` (rounded up to
     whole pages).  Returns the run's aggregate result (not stored).  A failure is
-    recorded as a ``Failed`` history row carrying the totals already committed.
-
-    Spark jobs per run: cursor (history); key-only count/min/max over the extract
-    (plus quantiles and bucket counts when the keys span several buckets); one
-    staging write of the rows this run can copy; key numbering and page ranges;
-    one data write; one history append per chunk."""
-    host = host or socket.gethostname()
+    recorded as a ``Failed`` history row; pages committed before it have rows of their own.
+    ``sync_run`` names the run that the history rows belong to."""
+    host, sync_run = host or socket.gethostname(), sync_run or uuid.uuid4().hex
     t0, started = time.monotonic(), now()
     totals = dict(read=0, inserted=0, first=None, last=None, pages=0)
     staged_path = None
@@ -338,12 +335,17 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
         ensure_history(spark, store)
         # A run whose driver died left its staging table behind; one writer per job
         # means any staging folder of this job now is such a leftover.
-        clear_stale(spark, "stage", spec.job_key)
-        src = spec.extract(spark, spec.params)
-        K.check_arity(src, spec.target_columns, spec.job_key)
-        key = src.columns[0]
+        clear_stale(spark, "stage", spec.job_key, store_name(store))
         cursor, epoch = current_cursor(spark, store, spec.job_key)
+        check_deadline(spec, deadline)
         low = cursor - max(0, spec.lookback)
+        wanted = dict(spec.params, last_row_id=low)
+        if spec.max_records is not None:
+            wanted["batch_size"] = P.cap_rows(spec.batch_size, spec.max_records)
+        src = spec.extract(spark, wanted)
+        K.check_arity(src, spec.target_columns, spec.job_key)
+        K.check_key(src, spec.job_key)
+        key = src.columns[0]
         pending = src.filter(F.col(key) > F.lit(low))
         if (spec.dedup_on_insert or spec.lookback > 0) and path_exists(spark, spec.target_location):
             done = K.read_target(spark, spec.target_location, read_history(spark, store), spec.job_key, spec.fmt)
@@ -351,13 +353,13 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
             # reaches the target scan, so the anti join reads the lookback window only.
             done = done.filter(F.col(spec.target_columns[0]) > F.lit(low))
             pending = K.insert_missing(pending, done, key, spec.target_columns[0])
-        staged, staged_path, plan = stage_pending(spark, spec, pending, key)
+        staged, staged_path = stage_pending(spark, spec, pending, key, store, deadline=deadline)
         if staged is not None:
-            totals = copy_staged(spark, spec, store, staged, key, plan, cursor, epoch, host, now, deadline,
-                                 before_history)
+            totals = copy_staged(spark, spec, store, staged, key, cursor, epoch, host, now, deadline,
+                                 before_history, sync_run=sync_run, t0=t0)
         if totals["pages"] == 0:
             row = _history_row(spec, next_run_id(spark, store), STATUS_NO_NEW_DATA, started, now(), host,
-                               time.monotonic() - t0)
+                               time.monotonic() - t0, sync_run=sync_run)
             append_history(spark, store, [row])
             return dict(row, pages=0)
         return dict(_history_row(spec, 0, STATUS_SUCCESS, started, now(), host, time.monotonic() - t0,
@@ -371,7 +373,7 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
             totals, exc = exc.totals, exc.cause
         err = "".join(traceback.format_exception_only(type(exc), exc)).strip()
         row = _history_row(spec, 0, STATUS_FAILED, started, now(), host, time.monotonic() - t0,
-                           totals["first"], totals["last"], totals["read"], totals["inserted"], error=err)
+                           totals["first"], totals["last"], totals["read"], totals["inserted"], error=err, sync_run=sync_run)
         record_failure(spark, store, row)
         return dict(row, pages=totals["pages"])
     finally:
@@ -401,9 +403,10 @@ def sync_tables(spark: SparkSession, specs: Sequence[JobSpec], store: Store,
                 deadline_seconds: float | None = None, now: Callable[[], dt.datetime] = utc_now,
                 before_history: Callable[[str], None] | None = None) -> DataFrame:
     """Run every job in order; one failing job does not stop the others.  The deadline
-    is checked between commits.  Returns one result row per job."""
-    deadline = time.time() + deadline_seconds if deadline_seconds else None
-    results = [run_job(spark, s, store, deadline, now, before_history=before_history) for s in specs]
+    is checked before each step.  All history rows of the jobs carry the same ``sync_run``.
+    Returns one result row per job."""
+    deadline, sync_run = time.time() + deadline_seconds if deadline_seconds else None, uuid.uuid4().hex
+    results = [run_job(spark, s, store, deadline, now, before_history=before_history, sync_run=sync_run) for s in specs]
     schema = ("sync_key string, status string, started_utc timestamp_ntz, completed_utc timestamp_ntz, "
               "source_row_id_from long, source_row_id_to long, records_read int, records_inserted int, "
               "pages int, error_message string, duration_seconds double")

@@ -25,9 +25,11 @@ HISTORY_SCHEMA = T.StructType([
     T.StructField("host_machine", T.StringType(), True),
     T.StructField("duration_seconds", T.DoubleType(), True),
     T.StructField("commit_id", T.StringType(), True),
+    # The scheduled run that the row belongs to (all jobs of one sync_tables call).
+    T.StructField("sync_run", T.StringType(), True),
 ])
 
-HISTORY_COLUMNS = [f.name for f in HISTORY_SCHEMA.fields if f.name != "commit_id"]
+HISTORY_COLUMNS = [f.name for f in HISTORY_SCHEMA.fields if f.name not in ("commit_id", "sync_run")]
 
 # The three run outcomes the history records.
 STATUS_SUCCESS = "Success"

@@ -117,49 +117,5 @@ def stage(df, spark: SparkSession, *name: str):
     return spark.read.schema(df.schema).parquet(path), path
 
 
-MAX_SIZED_FILES = 10_000
-
-
-def stage_with_stats(df, spark: SparkSession, key: str, *name: str):
-    """``stage`` that also observes the key's count, min and max while writing, so
-    no separate pass is needed for them.  Returns (frame, path, {n, lo, hi})."""
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
-    obs = Observation(f"stage-{uuid.uuid4().hex[:12]}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"),
-                          F.max(key).alias("hi"))
-    path = scratch_path(spark, "stage", *name)
-    observed.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path, dict(obs.get)
-
-
-def input_bytes(spark: SparkSession, df, stop_above: int | None = None,
-                max_files: int = MAX_SIZED_FILES) -> int | None:
-    """Total size of the files ``df`` reads (``DataFrame.inputFiles`` + file lengths);
-    None when unknown (a streaming or in-memory source, or more than ``max_files``
-    files, which no small input has).  With ``stop_above`` the sum stops as soon as
-    it passes that size, so the driver never stats a large table file by file."""
-    try:
-        files = df.inputFiles()
-        if not files or len(files) > max_files:
-            return None
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        total = 0
-        for f in files:
-            p = jvm.org.apache.hadoop.fs.Path(f)
-            total += int(p.getFileSystem(conf).getFileStatus(p).getLen())
-            if stop_above is not None and total > stop_above:
-                break
-        return total
-    except Exception:  # noqa: BLE001
-        return None
-
-
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 __all__ = ["spark_session", "checkpoint_root", "scratch_path", "path_exists", "make_dirs", "remove_path", "clear_stale",
-           "stage", "stage_with_stats", "input_bytes", "local_path",
-           "DEFAULT_CONF"]
+           "stage", "DEFAULT_CONF"]

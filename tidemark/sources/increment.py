@@ -50,11 +50,14 @@ def read_increment(spark: SparkSession, source: Source, cursor: int, batch_size:
     return df.filter(F.col(df.columns[0]) > F.lit(int(cursor)))
 
 
-def as_extract(source: Source, batch_size: int = 2 ** 31 - 1) -> Callable[[SparkSession, dict], DataFrame]:
-    """Adapter for ``JobSpec.extract``: the whole increment above the run's start
-    (the runner applies its own cursor, pages and cap)."""
+def as_extract(source: Source) -> Callable[[SparkSession, dict], DataFrame]:
+    """Adapter for ``JobSpec.extract``: the rows above the cursor that the runner hands over.
+    SQL text that names ``:batch_size`` gets the run's cap for it (an uncapped run has none, so
+    its text must do without)."""
     def fn(spark: SparkSession, params: dict) -> DataFrame:
-        return read_increment(spark, source, params.get("last_row_id", -(2 ** 63)), batch_size)
+        more = {k: v for k, v in params.items() if k not in ("last_row_id", "batch_size")}
+        own = Source(source.kind, source.text, source.name, source.fn, {**source.params, **more})
+        return read_increment(spark, own, params["last_row_id"], params.get("batch_size"))
     return fn
 
 

@@ -19,19 +19,9 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "conversations")
 
 
-_LOADED: dict = {}
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table.  The DataFrame (not its data) is reused per session and
-    path, so a query that names a table twice lists and plans its files once."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    k = (id(spark), path)
-    df = _LOADED.get(k)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _LOADED[k] = df
-    return df
+    """Read one driver table, listing its files anew: files added since are seen."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,55 +3,84 @@
 The growing source (new files in a folder) is read in bounded micro-batches
 (``maxFilesPerTrigger``); ``trigger(availableNow=True)`` drains what is there
 and stops, which is the scheduled-run shape of the batch job.  Each micro-batch
-goes through ``foreachBatch``: rows above the job's cursor (re-derived from the
-history, so a replayed batch copies nothing twice) are paged and committed with
-the same commit log as ``run_job``.  ``foreachBatch`` is at-least-once; the
-commit id carries the batch id, so a replayed batch rewrites its own partition.
+goes through ``foreachBatch``: its rows are paged and committed with the same commit log
+as ``run_job``, in whatever key order the files arrive.  ``foreachBatch`` is at-least-once;
+the commit id carries the query's id and the batch id, so a replayed batch skips what it
+committed before and rewrites its own uncommitted partitions.
 """
 
 from __future__ import annotations
 
+import json
 import socket
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import job as J
+from ..schemas import STATUS_FAILED, STATUS_SUCCESS
 from ..session import remove_path
 
 
+def query_id(spark: SparkSession, checkpoint_location: str) -> str:
+    """The query's id from its checkpoint: it stays through restarts, and a new checkpoint has a new one."""
+    line = spark.read.text(f"{checkpoint_location}/metadata").first()[0]
+    return json.loads(line)["id"].replace("-", "")[:12]
+
+
+def copied_upto(spark: SparkSession, store: J.Store, job_key: str, tag: str) -> int | None:
+    """Highest key of a batch that an earlier attempt at it committed.  Pages of a batch are
+    committed in key order, so these keys are exactly what that attempt copied."""
+    hist = J.read_history(spark, store)
+    own = hist.filter((F.col("sync_key") == job_key) & (F.col("status") == STATUS_SUCCESS) & F.col("commit_id").contains(f"{tag}-c"))
+    return own.agg(F.max("source_row_id_to")).first()[0]
+
+
 def stream_sync(spark: SparkSession, source: DataFrame, spec: J.JobSpec, store: J.Store,
                 checkpoint_location: str, host: str | None = None,
                 before_history: Callable[[str], None] | None = None) -> int:
-    """Run the streaming copy until the available input is drained; returns batches seen."""
+    """Run the streaming copy until the available input is drained; returns batches seen.
+    A failure leaves a ``Failed`` history row and is raised."""
     spec.validate()
     J.ensure_history(spark, store)
-    host = host or socket.gethostname()
+    host, sync_run = host or socket.gethostname(), uuid.uuid4().hex
     seen = []
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         seen.append(batch_id)
         J.check_arity_only(batch, spec)
         key = batch.columns[0]
-        cursor, epoch = J.current_cursor(spark, store, spec.job_key)
+        # The batch id is in the commit ids.  Files may arrive in any key order, so only what
+        # this very batch committed before is skipped, not all keys below the cursor.
+        tag = f"-s{query_id(spark, checkpoint_location)}b{batch_id}"
+        _, epoch = J.current_cursor(spark, store, spec.job_key)
+        done = copied_upto(spark, store, spec.job_key, tag)
+        rows = batch if done is None else batch.filter(F.col(key) > F.lit(done))
         # A micro-batch is bounded by maxFilesPerTrigger; every row of it is copied.
-        staged, path, plan = J.stage_pending(spark, spec, batch.filter(F.col(key) > F.lit(cursor)), key,
-                                             capped=False)
+        staged, path = J.stage_pending(spark, spec, rows, key, store, capped=False)
         if staged is None:
             return
         try:
-            J.copy_staged(spark, spec, store, staged, key, plan, cursor, epoch, host,
-                          before_history=before_history, tag=f"-s{batch_id}", capped=False)
+            J.copy_staged(spark, spec, store, staged, key, 0 if done is None else done, epoch, host,
+                          before_history=before_history, tag=tag, capped=False, sync_run=sync_run)
         finally:
             remove_path(spark, path)
 
-    q = (source.writeStream.foreachBatch(on_batch)
-         .option("checkpointLocation", checkpoint_location)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    started, t0 = J.utc_now(), time.monotonic()
+    try:
+        q = (source.writeStream.foreachBatch(on_batch)
+             .option("checkpointLocation", checkpoint_location)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    except Exception as exc:
+        J.record_failure(spark, store, J._history_row(spec, 0, STATUS_FAILED, started, J.utc_now(), host, time.monotonic() - t0,
+                                                      error=f"{type(exc).__name__}: {exc}"[:4000], sync_run=sync_run))
+        raise
     return len(seen)
 
 
