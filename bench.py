@@ -68,7 +68,7 @@ def main() -> None:
     # The newest NEW_ROWS keys arrive after the backlog was copied.
     from pyspark.sql import functions as F
     cut = rows.select("row_id").orderBy(F.col("row_id").desc()).limit(NEW_ROWS).agg(F.min("row_id")).first()[0]
-    backlog, incremental, rerun, profile, copied, added = [], [], [], [], 0, 0
+    backlog, incremental, rerun, profile, defaults, copied, added = [], [], [], [], [], 0, 0
     for _ in range(RUNS):
         # End-to-end backlog sync: every older child row copied in pages of 5000, 10 pages per
         # commit, into a fresh target and history each time; then an incremental run picks up
@@ -76,13 +76,13 @@ def main() -> None:
         root = scratch_path(spark, "bench")
         store = J.Store(f"{root}/history")
         columns = ["cms_no", "ref_no", "id_no1", "name1", "create_date"]
-        spec = J.JobSpec("BACKLOG", lambda s, p: rows.filter(F.col("row_id") < F.lit(cut)), f"{root}/target",
+        spec = J.JobSpec("BACKLOG", lambda s, p: rows.filter((F.col("row_id") > p["last_row_id"]) & (F.col("row_id") < F.lit(cut))), f"{root}/target",
                          columns, batch_size=5000, max_records=J.MAX_RUN_RECORDS, pages_per_commit=10)
         t0 = time.perf_counter()
         res = J.run_job(spark, spec, store)
         backlog.append(round(time.perf_counter() - t0, 3))
         copied = res["records_read"]
-        later = J.JobSpec("BACKLOG", lambda s, p: rows, f"{root}/target", columns, batch_size=5000,
+        later = J.JobSpec("BACKLOG", lambda s, p: rows.filter(F.col("row_id") > p["last_row_id"]), f"{root}/target", columns, batch_size=5000,
                           max_records=J.MAX_RUN_RECORDS, pages_per_commit=10)
         t0 = time.perf_counter()
         added = J.run_job(spark, later, store)["records_read"]
@@ -92,11 +92,15 @@ def main() -> None:
         pstore = J.Store(f"{root}/history_profile")
         pspec = J.JobSpec(
             "PROFILE",
-            lambda s, p: X.profile_extract(T.report(s, sf_dir), T.raw_report(s, sf_dir), AS_OF, WINDOW_DAYS),
+            lambda s, p: X.profile_extract(T.report(s, sf_dir), T.raw_report(s, sf_dir), AS_OF, WINDOW_DAYS, cursor=p["last_row_id"]),
             f"{root}/target_profile", [f"c{i}" for i in range(11)], batch_size=100, max_records=1000,
             pages_per_commit=10)
         profile.append(timed(lambda: J.run_job(spark, pspec, pstore)))
+        # The same backlog with the default pages: 100 rows, each page a commit of its own.
+        small = J.JobSpec("DEFAULTS", spec.extract, f"{root}/target_defaults", columns, max_records=None)
+        defaults.append(timed(lambda: J.run_job(spark, small, J.Store(f"{root}/history_defaults"))))
     record("backlog_sync", backlog)
+    record("backlog_sync_default_pages", defaults)
     record("incremental_run", incremental)
     record("rerun_no_new_data", rerun)
     record("profile_job_run", profile)
@@ -107,6 +111,7 @@ def main() -> None:
            "first_run": first, "first_run_total": round(sum(first.values()), 3),
            "sf": sf, "backlog_rows": copied, "incremental_rows": added,
            "backlog_rows_per_sec": round(copied / times["backlog_sync"], 1) if times["backlog_sync"] else None,
+           "default_pages_rows_per_sec": round(copied / times["backlog_sync_default_pages"], 1),
            "cpus": int(cpus)}
     print(json.dumps(out))
     spark.stop()
