@@ -36,7 +36,7 @@ def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
 
 
 #: Key tables of up to this many rows (some tens of MB) may be broadcast.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 250_000
 
 
 def broadcast_if_small(keys: DataFrame) -> DataFrame:

@@ -179,7 +179,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """The field, learned from the labelled documents that are not held out."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(
         F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"))
-    digest = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    digest = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
     # Copies of a text would make its every word telling: one row for each text and label.
     rows = docs.where(F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).select(F.col(id_col).alias("id"), digest.alias("digest"), F.col(text_col).alias("text"))
     one = rows.select("id", "digest").join(known, "id").groupBy("digest", "toxic").agg(F.min("id").alias("id"))
@@ -245,7 +245,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(toxic, pa.int32())], names=["words", "toxic"])
 
     order = F.xxhash64("id", F.lit("crf"))
-    chosen = rows.where("toxic = 1").orderBy(order, "id").limit(SAMPLE_DOCS).union(rows.where("toxic = 0").orderBy(order, "id").limit(SAMPLE_DOCS))
+    # Only ids are ranked; the chosen ones' texts follow by a join with these few rows.
+    ids = rows.select("id", "toxic")
+    ids = ids.where("toxic = 1").orderBy(order, "id").limit(SAMPLE_DOCS).union(ids.where("toxic = 0").orderBy(order, "id").limit(SAMPLE_DOCS))
+    chosen = rows.join(F.broadcast(ids), ["id", "toxic"])
     picked = chosen.select("text", "toxic").mapInArrow(sample, "words string, toxic int").collect()
     # How often is a document toxic that shows no evidence (over all training rows)?
     quiet_clean, quiet_toxic = (rows.where(F.col("toxic") == k).select("text").mapInArrow(silent(everything), "text string").count() for k in (0, 1))
