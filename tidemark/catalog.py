@@ -139,7 +139,7 @@ def q_profile_extract(spark, sf):
 def q_profile_after_cursor(spark, sf):
     rep = _rep(spark, sf)
     return X.profile_extract(rep, T.raw_report(spark, sf), AS_OF, WINDOW_DAYS,
-                             cursor=T.target_cursor(rep))
+                             cursor=T.target_cursor(spark, sf))
 
 
 @query("profile_first_batch",
@@ -210,7 +210,7 @@ _IDX_SQL = "row_number() OVER (ORDER BY row_id) - 1"
 def q_pending_pages(spark, sf):
     rep = _rep(spark, sf)
     pending = X.profile_extract(rep, T.raw_report(spark, sf), AS_OF, WINDOW_DAYS,
-                                cursor=T.target_cursor(rep)).select("cms_no", "ref_no")
+                                cursor=T.target_cursor(spark, sf)).select("cms_no", "ref_no")
     return P.paginate(pending, "cms_no", BATCH)
 
 
@@ -556,7 +556,7 @@ WHERE row_id > 0 AND row_id <= {TARGET_CURSOR_SQL}
   AND NOT EXISTS (SELECT 1 FROM target_profile t WHERE t.cms_no = r.row_id)""")
 def q_key_gaps(spark, sf):
     rep = _rep(spark, sf)
-    return Q.key_gaps(rep.select("row_id"), T.target_profile(spark, sf, rep), T.target_cursor(rep))
+    return Q.key_gaps(rep.select("row_id"), T.target_profile(spark, sf, rep), T.target_cursor(spark, sf))
 
 
 @query("late_eligible", extract_rows_sql(extra_views=("target_profile",)) + f"""SELECT {PROFILE_SELECT} FROM x
@@ -564,7 +564,7 @@ WHERE row_id <= {TARGET_CURSOR_SQL} AND NOT EXISTS (SELECT 1 FROM target_profile
 def q_late_eligible(spark, sf):
     rep = _rep(spark, sf)
     ext = X.profile_extract(rep, T.raw_report(spark, sf), AS_OF, WINDOW_DAYS)
-    return Q.late_eligible(ext, T.target_profile(spark, sf, rep), T.target_cursor(rep))
+    return Q.late_eligible(ext, T.target_profile(spark, sf, rep), T.target_cursor(spark, sf))
 
 
 @query("extract_contract", extract_rows_sql(cursor=TARGET_CURSOR_SQL) + f""", b AS (
@@ -575,12 +575,22 @@ SELECT count(*) AS rows, count(DISTINCT row_id) AS distinct_keys, min(row_id) AS
   true AS arity_ok, true AS key_numeric FROM b""")
 def q_extract_contract(spark, sf):
     rep = _rep(spark, sf)
-    cur = T.target_cursor(rep)
+    cur = T.target_cursor(spark, sf)
     ext = X.first_batch(X.profile_extract(rep, T.raw_report(spark, sf), AS_OF, WINDOW_DAYS, cursor=cur),
                         "cms_no", BATCH)
     return Q.extract_contract(ext, "cms_no", cur, BATCH, len(TARGET_NAMES))
 
 
+@query("contract_violated", extract_rows_sql(dedup=False) + f"""SELECT count(*) AS rows, count(DISTINCT row_id) AS distinct_keys,
+  min(row_id) AS min_key, max(row_id) AS max_key, count(*) = count(DISTINCT row_id) AS keys_unique,
+  coalesce(min(row_id) > {TARGET_CURSOR_SQL}, true) AS above_cursor, count(*) <= 10 AS within_batch,
+  false AS arity_ok, true AS key_numeric FROM x""")
+def q_contract_violated(spark, sf):
+    """The whole extract with branch duplicates kept: it breaks every promise but the key's type."""
+    ext = _extract(spark, sf, dedup=False)
+    return Q.extract_contract(ext, "cms_no", T.target_cursor(spark, sf), 10, len(TARGET_NAMES) + 1)
+
+
 _WIDTHS = {c: w for c, w in PROFILE_TARGET if w is not None}
 _WIDTH_SRC = {"id_no1": "cust_id1", "id_no2": "cust_id2", "name1": "cust_name",
               "dob": "strftime(cust_dob, '%d/%m/%Y')", "nationality": "nationality",
@@ -815,13 +825,65 @@ def q_response_job_target(spark, sf):
     return _target_of(spark, *_drained(spark, sf, response_job))
 
 
+@query("job_reconcile", extract_rows_sql() + """SELECT 'whole' AS part, count(*) AS target_rows, count(*) AS distinct_keys, count(*) AS logged_inserted,
+  true AS agree, CAST(0 AS BIGINT) AS drift, true AS in_sync FROM x
+UNION ALL SELECT 'cut', count(*) FILTER (WHERE row_id < m), count(*) FILTER (WHERE row_id < m), count(*), false,
+  max(row_id) FILTER (WHERE row_id < m) - m, false FROM x, (SELECT max(row_id) AS m FROM x) GROUP BY m""")
+def q_job_reconcile(spark, sf):
+    """The profile job's own history against its target, and against a target that lost its last row."""
+    spec, history = _drained(spark, sf, profile_job)
+    target = _target_of(spark, spec, history)
+    key = TARGET_NAMES[0]
+    cut = target.filter(F.col(key) < target.select(F.max(key)).scalar())
+
+    def row(part, rows):
+        drift = Q.cursor_drift(H.resume_cursor(history), {spec.job_key: (rows, key)}).select("drift", "in_sync")
+        return Q.reconcile_counts(rows, history, key, spec.job_key).select(
+            F.lit(part).alias("part"), "*", drift.select("drift").scalar().alias("drift"), drift.select("in_sync").scalar().alias("in_sync"))
+    return row("whole", target).unionByName(row("cut", cut))
+
+
+# Forty history rows make a run: several runs share an hour and some cross into the next.
+_RUN_SQL = "'run' || lpad(CAST(run_id // 40 AS VARCHAR), 9, '0')"
+
+
+def _hist_runs(spark, sf):
+    run = F.concat(F.lit("run"), F.lpad(F.expr("run_id div 40").cast("string"), 9, "0"))
+    return _hist(spark, sf).withColumn("sync_run", run)
+
+
+_JOB_RUNS_SQL = f"""SELECT sync_key, {_RUN_SQL} AS sync_run, min(run_id) AS first_run_id,
+  count(*) FILTER (WHERE status = 'Success') AS pages,
+  CAST(coalesce(sum(records_read) FILTER (WHERE status = 'Success'), 0) AS BIGINT) AS records_read,
+  CAST(coalesce(sum(records_inserted) FILTER (WHERE status = 'Success'), 0) AS BIGINT) AS records_inserted,
+  min(source_row_id_from) FILTER (WHERE status = 'Success') AS source_row_id_from,
+  max(source_row_id_to) FILTER (WHERE status = 'Success') AS source_row_id_to,
+  coalesce(max(duration_seconds) FILTER (WHERE status = 'Failed'), sum(duration_seconds)) AS duration_seconds,
+  bool_or(status = 'Failed') AS any_failed,
+  arg_max(error_message, run_id) FILTER (WHERE status = 'Failed') AS error_message
+FROM sync_history GROUP BY ALL"""
+
+
+@query("job_runs", with_views("sync_history") + _JOB_RUNS_SQL)
+def q_job_runs(spark, sf):
+    return H.job_runs(_hist_runs(spark, sf))
+
+
+@query("sync_outcomes", with_views("sync_history") + f"""SELECT sync_run, min(first_run_id) AS first_run_id, count(*) AS jobs,
+  count(*) FILTER (WHERE any_failed) AS failed_jobs,
+  coalesce(string_agg(sync_key, ', ' ORDER BY sync_key) FILTER (WHERE any_failed), '') AS failed_keys,
+  CAST(max(CASE WHEN any_failed THEN 1 ELSE 0 END) AS INTEGER) AS exit_code FROM ({_JOB_RUNS_SQL}) GROUP BY sync_run""")
+def q_sync_outcomes(spark, sf):
+    return H.sync_outcomes(_hist_runs(spark, sf))
+
+
 @query("lookback_target", with_views("report") + "SELECT row_id, ref_no FROM report")
 def q_lookback_target(spark, sf):
     """Rows that become eligible late, alone and together with new ones, all end up in the target."""
     root = scratch_path(spark, "lookback")
     store = J.Store(f"{root}/history")
     rows = T.report(spark, sf).select("row_id", "ref_no")
-    old, late = F.col("row_id") <= T.target_cursor(rows), F.col("row_id") % 17 == 0
+    old, late = F.col("row_id") <= T.target_cursor(spark, sf), F.col("row_id") % 17 == 0
     for seen in (old & ~late, old, F.lit(True)):
         spec = J.JobSpec("LATE", lambda s, p, seen=seen: rows.filter(seen & (F.col("row_id") > p["last_row_id"])), f"{root}/target",
                          ["row_id", "ref_no"], batch_size=BATCH * 10, max_records=None, pages_per_commit=4, lookback=1 << 60)

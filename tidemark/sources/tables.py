@@ -131,15 +131,16 @@ def sync_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def target_cursor(rep: DataFrame) -> Column:
-    """Position the target was copied up to: four fifths of the highest key (lazy scalar)."""
-    return rep.select(F.expr("max(row_id) * 4 div 5")).scalar()
+def target_cursor(spark: SparkSession, sf_dir: str) -> Column:
+    """Position the target was copied up to: four fifths of the highest key (lazy scalar).
+    The key's own table holds it; the joins of ``report`` are not needed."""
+    return load(spark, sf_dir, "orders").select(F.expr("max(o_orderkey) * 4 div 5")).scalar()
 
 
 def target_profile(spark: SparkSession, sf_dir: str, rep: DataFrame | None = None) -> DataFrame:
     """Copied target rows below the cursor, with gaps (key % 13 = 0) and duplicates (key % 170 = 1)."""
     rep = rep if rep is not None else report(spark, sf_dir)
-    below = rep.filter((F.col("row_id") > 0) & (F.col("row_id") <= target_cursor(rep)))
+    below = rep.filter((F.col("row_id") > 0) & (F.col("row_id") <= target_cursor(spark, sf_dir)))
     cols = [F.col("row_id").alias("cms_no"), "ref_no", F.col("imported_at").alias("create_date")]
     copied = below.filter(F.col("row_id") % 13 != 0).select(*cols)
     doubled = below.filter(F.col("row_id") % 170 == 1).select(*cols)
