@@ -264,8 +264,8 @@ def copy_staged(spark: SparkSession, spec: JobSpec, store: Store, staged: DataFr
                 before_history(step["commit_id"])
             took = time.monotonic()
             part = ranges.filter(step_of(F.col("chunk_no")) == step["step"])
-            _history_frame(spec, part, base, started, now(), host, (took - at) / step["pages"], sync_run).orderBy("run_id").coalesce(
-                1).write.mode("append").partitionBy("sync_key").parquet(store.history_location)
+            _history_frame(spec, part, base, started, now(), host, (took - at) / step["pages"], sync_run).coalesce(1).sortWithinPartitions(
+                "run_id").write.mode("append").partitionBy("sync_key").parquet(store.history_location)
             at = took
             totals["read"] += step["rows"]
             totals["inserted"] += step["rows"]
