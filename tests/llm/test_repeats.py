@@ -40,6 +40,19 @@ def test_a_passage_in_the_middle_of_lines_is_found(documents):
     assert [rows[2][1][s["start"]:s["start"] + s["chars"]] for s in removed[2]] == re.findall(r"Every.*?\.", PASSAGE)
 
 
+def test_a_passage_without_marks_is_found_between_other_words(documents):
+    rng = random.Random(11)
+    passage = " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))
+    rows = [(i, " ".join(f"own{i}x{k}" for k in range(30)) + " " + passage + " " + " ".join(f"end{i}x{k}" for k in range(30))) for i in range(6)]
+    rows.append((9, " ".join(f"clean{k}" for k in range(200))))
+    out = {r["doc_id"]: r for r in repeats.remove_repeats(documents(rows)).collect()}
+    for i in range(1, 6):
+        left = set(out[i]["text"].split()) & set(passage.split())
+        assert len(left) <= 30 and all(f"own{i}x{k}" in out[i]["text"] for k in range(20))
+        assert "".join(rows[i][1][s["start"]:s["start"] + s["chars"]] for s in out[i]["removed"]).split()
+    assert out[0]["text"] == rows[0][1] and out[9]["text"] == rows[6][1]
+
+
 def test_odd_input(documents):
     line = "this very line is there again"
     docs = documents([(None, line), (1, None), (2, ""), (3, line), (3, line), (4, "Too short.\nToo short."), (5, (line + "\n") * 3000), (6, "\n \n")])

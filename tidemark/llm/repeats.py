@@ -1,7 +1,8 @@
 """Substring dedup by hashing lines and the sentences in them.
 
 A text's units are its lines, cut after sentence marks, so that a passage is found at the
-start, the end or the middle of a line.  A unit is normalised (lower case, words only) and
+start, the end or the middle of a line; a unit that stays long is cut further at places that
+its words decide, so that a passage without marks is found between other words.  A unit is normalised (lower case, words only) and
 digested to 128 bits; digests are grouped over the whole corpus.  Of each repeated unit the
 earliest occurrence stays (by id, then row, then place; null ids last), the others go, with
 their offsets in the original text.  Units of fewer than ``LEAST_WORDS`` words are too common
@@ -29,19 +30,40 @@ from tidemark.llm.common import bounded_batches, staged, table
 from tidemark.llm.decontam import match_words
 
 LEAST_WORDS = 5
+#: A unit of more words is cut further, after one word in so many.
+LONG_WORDS, CUT_ONE_IN = 20, 8
+TOKEN = re.compile(r"\S+")
 #: A sentence ends after marks that white space follows; a line ends at its line feed.
 CUT = re.compile(r"(?<=[.!?])[ \t\r\f\v]+|[ \t\r\f\v]*\n\s*")
 
 
+def pieces(text: str, begin: int, end: int) -> Iterator[tuple[int, int, list[bytes]]]:
+    """A unit as it is, or a long one cut after words that their hash marks: the same words
+    are cut alike wherever they stand."""
+    words = match_words(text[begin:end])
+    if len(words) <= LONG_WORDS:
+        yield begin, end, words
+        return
+    start, held = begin, []
+    for m in TOKEN.finditer(text, begin, end):
+        found = match_words(m[0])
+        held += found
+        if len(held) >= LEAST_WORDS and found and xxhash.xxh3_64_intdigest(found[-1]) % CUT_ONE_IN == 0:
+            yield start, m.end(), held
+            start, held = m.end(), []
+    if held:
+        yield start, end, held
+
+
 def units(text: str | None) -> Iterator[tuple[int, int, bytes, int]]:
     """(start, length in code points, digest, words) of every unit that counts."""
     if not text:
         return
     begin = 0
     for end, after in [*((m.start(), m.end()) for m in CUT.finditer(text)), (len(text), len(text))]:
-        words = match_words(text[begin:end])
-        if len(words) >= LEAST_WORDS:
-            yield begin, end - begin, xxhash.xxh3_128_digest(b" ".join(words)), len(words)
+        for first, last, words in pieces(text, begin, end):
+            if len(words) >= LEAST_WORDS:
+                yield first, last - first, xxhash.xxh3_128_digest(b" ".join(words)), len(words)
         begin = after
 
 
