@@ -497,3 +497,33 @@ def test_leftover_staging_of_a_dead_run_is_removed(spark, scratch):
     assert J.run_job(spark, sp, st)["status"] == "Success"
     assert not path_exists(spark, left)
     assert path_exists(spark, other)          # another job's folder is left alone
+
+
+def test_full_reload_replaces_what_readers_see(spark, scratch):
+    st = store(scratch)
+    first = spec(scratch, [1, 2, 3], batch=2)
+    J.run_job(spark, first, st)
+    second = spec(scratch, [2, 3, 4, 5], batch=2, cap=2)
+    epoch = J.full_reload(spark, second, st)
+    df = K.read_target(spark, second.target_location, J.read_history(spark, st), "JOB1", since_epoch=epoch)
+    assert sorted(r.key_col for r in df.collect()) == [2, 3, 4, 5]
+    # A reload that fails leaves the older epoch as it was, and the next run continues the reload.
+    with pytest.raises(RuntimeError):
+        J.full_reload(spark, second, st, before_history=lambda c: (_ for _ in ()).throw(RuntimeError("lost")))
+    df = K.read_target(spark, second.target_location, J.read_history(spark, st), "JOB1", since_epoch=epoch)
+    assert sorted(r.key_col for r in df.collect()) == [2, 3, 4, 5]
+
+
+def test_sent_log_follows_commits(spark, scratch):
+    from dataclasses import replace
+    calls = []
+
+    def fail_second(commit_id):
+        calls.append(commit_id)
+        if len(calls) == 2:
+            raise RuntimeError("page 2 failed")
+    sp, st = replace(spec(scratch, range(1, 6), batch=2), sent_log=f"{scratch}/sent"), store(scratch)
+    J.run_job(spark, sp, st, before_history=fail_second)
+    assert sorted(r.row_id for r in spark.read.parquet(sp.sent_log).collect()) == [1, 2]
+    J.run_job(spark, sp, st)
+    assert sorted(r.row_id for r in spark.read.parquet(sp.sent_log).collect()) == [1, 2, 3, 4, 5]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -907,6 +908,29 @@ def q_rewind_target(spark, sf):
     return _target_of(spark, spec, J.read_history(spark, store))
 
 
+@query("reload_target", with_views("report") + "SELECT row_id, ref_no FROM report WHERE row_id > 0")
+def q_reload_target(spark, sf):
+    """A target that was filled from an older source, then reloaded in full."""
+    root = scratch_path(spark, "reload")
+    store = J.Store(f"{root}/history", f"{root}/overrides")
+    rows = T.report(spark, sf).select("row_id", "ref_no")
+    old = J.JobSpec("RELOAD", lambda s, p: rows.filter("row_id % 3 = 0").withColumn("ref_no", F.lit("old")), f"{root}/target",
+                    ["row_id", "ref_no"], batch_size=BATCH * 10, max_records=None, pages_per_commit=10)
+    J.run_job(spark, old, store)
+    new = J.JobSpec("RELOAD", lambda s, p: rows, f"{root}/target", ["row_id", "ref_no"], batch_size=BATCH * 10, pages_per_commit=10)
+    epoch = J.full_reload(spark, new, store)
+    return K.read_target(spark, new.target_location, J.read_history(spark, store), "RELOAD", since_epoch=epoch).drop(K.COMMIT_COL)
+
+
+@query("sent_log_of_job", extract_rows_sql() + "SELECT row_id FROM x")
+def q_sent_log_of_job(spark, sf):
+    """The keys that the profile job logged as sent, after each of its commits."""
+    def job(s, d, root):
+        return replace(profile_job(s, d, root), sent_log=f"{root}/sent")
+    spec, _ = _drained(spark, sf, job)
+    return spark.read.parquet(spec.sent_log).select("row_id")
+
+
 TEXT_SQL = "SELECT row_id, ref_no, cust_name FROM report_rows WHERE status_detailed = 'OK' AND row_id > :last_row_id"
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import col_or_lit
 from ..schemas import HISTORY_COLUMNS, STATUS_FAILED, STATUS_SUCCESS
+from .paging import dense_index
 
 TAKE_DEFAULT, TAKE_MIN, TAKE_MAX = 50, 1, 500
 
@@ -178,9 +179,8 @@ def replay_first(history: DataFrame, n: int) -> DataFrame:
     first = history.columns[0] if history.columns[0] != "run_id" else "sync_key"
     picked = history.orderBy(F.col(first), F.col("run_id")).limit(n)
     base = history.select(F.coalesce(F.max("run_id"), F.lit(0).cast("long"))).scalar()
-    # ``picked`` holds at most n rows, so this small window is bounded by n.
-    w = Window.orderBy(F.col(first), F.col("run_id"))
-    return picked.withColumn("run_id", base + F.row_number().over(w).cast("long")).select(*HISTORY_COLUMNS)
+    placed = dense_index(picked, first, out="_nth", ties="row", order_by=["run_id"])
+    return placed.withColumn("run_id", base + F.col("_nth") + 1).select(*HISTORY_COLUMNS)
 
 
 def migrate_duration(history: DataFrame) -> DataFrame:

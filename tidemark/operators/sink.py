@@ -81,16 +81,20 @@ def write_commits(df: DataFrame, location: str, fmt: str = "parquet") -> None:
        .partitionBy(COMMIT_COL).format(fmt).save(location))
 
 
-def committed_ids(history: DataFrame, sync_key: str | None = None) -> DataFrame:
+def committed_ids(history: DataFrame, sync_key: str | None = None, since_epoch: int = 0) -> DataFrame:
     h = history if sync_key is None else history.filter(F.col("sync_key") == sync_key)
-    return h.filter((F.col("status") == STATUS_SUCCESS) & F.col(COMMIT_COL).isNotNull()).select(COMMIT_COL).distinct()
+    ids = h.filter((F.col("status") == STATUS_SUCCESS) & F.col(COMMIT_COL).isNotNull()).select(COMMIT_COL).distinct()
+    if since_epoch:
+        ids = ids.filter(F.regexp_extract(COMMIT_COL, r"-e([0-9]+)-", 1).try_cast("int") >= since_epoch)
+    return ids
 
 
 def read_target(spark: SparkSession, location: str, history: DataFrame, sync_key: str | None = None,
-                fmt: str = "parquet") -> DataFrame:
-    """Committed rows only: partitions without a ``Success`` history row are invisible."""
+                fmt: str = "parquet", since_epoch: int = 0) -> DataFrame:
+    """Committed rows only: partitions without a ``Success`` history row are invisible.
+    ``since_epoch`` hides what was committed before a full reload (``job.full_reload``)."""
     data = spark.read.format(fmt).load(location)
-    return data.join(committed_ids(history, sync_key), COMMIT_COL, "left_semi")
+    return data.join(committed_ids(history, sync_key, since_epoch), COMMIT_COL, "left_semi")
 
 
 def insert_missing(rows: DataFrame, target: DataFrame, key: str, target_key: str | None = None) -> DataFrame:

@@ -33,7 +33,7 @@ import traceback
 import uuid
 import zlib
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +73,8 @@ class JobSpec:
     # Types of the target columns: (name, type) pairs, e.g. ("name1", "string(255)").  Values
     # are cast, too long strings fail the run; names beyond target_columns stay NULL.
     target_types: Sequence[tuple[str, str]] = ()
+    # Folder of the log of sent keys; a step's keys are logged after its commit.
+    sent_log: str | None = None
 
     def validate(self) -> None:
         if not self.job_key or not JOB_KEY.fullmatch(self.job_key):
@@ -267,6 +269,9 @@ def copy_staged(spark: SparkSession, spec: JobSpec, store: Store, staged: DataFr
             _history_frame(spec, part, base, started, now(), host, (took - at) / step["pages"], sync_run).coalesce(1).sortWithinPartitions(
                 "run_id").write.mode("append").partitionBy("sync_key").parquet(store.history_location)
             at = took
+            if spec.sent_log is not None:
+                sent = paged.join(part.select("page_no"), "page_no", "left_semi").select(key)
+                K.append_sent_log(sent, spec.sent_log, key, now())
             totals["read"] += step["rows"]
             totals["inserted"] += step["rows"]
             totals["first"] = step["first"] if totals["first"] is None else totals["first"]
@@ -384,6 +389,18 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
             remove_path(spark, staged_path)
 
 
+def full_reload(spark: SparkSession, spec: JobSpec, store: Store, **kw) -> int:
+    """Copy everything again from the start, in one uncapped run under a new epoch.  Returns
+    the epoch to read the target from (``read_target(…, since_epoch=…)``): the older commits
+    stay in the log and are no longer read.  A failed reload raises and changes nothing that
+    readers of the older epoch see."""
+    rewind(spark, store, spec.job_key, 0)
+    result = run_job(spark, replace(spec, max_records=None, lookback=0, dedup_on_insert=False), store, **kw)
+    if result["status"] == STATUS_FAILED:
+        raise RuntimeError(result["error_message"])
+    return current_cursor(spark, store, spec.job_key)[1]
+
+
 def record_failure(spark: SparkSession, store: Store, row: dict) -> None:
     """Best effort: the failure row is written outside any data commit; its own
     error is swallowed so it cannot hide the original one."""
