@@ -25,7 +25,7 @@ from tidemark.llm.common import hash_bits, staged, table
 
 #: Bits of the key below each histogram's prefixes, coarsest first.  Down to 25 bits a bin
 #: never cuts a text's copies; below that it divides them by id (13 bits) and salt (12).
-SHIFTS = (51, 38, 25, 12, 0)
+SHIFTS = (51, 45, 38, 31, 25, 19, 12, 6, 0)
 #: A splitter may miss its wanted weight by this part of a shard.
 TOLERANCE = 0.01
 #: A bin is divided while it has more rows than this and than 1/2048 of all.
@@ -45,7 +45,7 @@ def refined_histogram(keyed: DataFrame, n_shards: int, tolerance: float) -> tupl
     """Splitters (the first key of shard 1, 2, ...) and, for each shift, the prefixes that
     were divided further.
 
-    The driver receives one count per non-empty bin: at most 4096 first, then at most 8192
+    The driver receives one count per non-empty bin: at most 4096 first, then at most 128
     for each divided bin, whose number is bounded by the shards and by 2048.
     """
     rows, weight = keyed.agg(F.count(F.lit(1)), F.coalesce(F.sum("_size"), F.lit(0))).first()
