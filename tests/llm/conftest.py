@@ -3,6 +3,16 @@ import pytest
 DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Small fixtures: two tasks a stage are enough to cross partitions."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2")
+    yield
+    spark.conf.set(name, before)
+
+
 @pytest.fixture()
 def documents(spark):
     """A documents table from (doc_id, text) or (doc_id, text, lang, source) rows, with columns
