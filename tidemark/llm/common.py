@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import stage
+from tidemark.session import remove_path, stage
 
 #: A word is a run of anything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -15,9 +18,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_open: list[list[str]] = []
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read back."""
-    return stage(df, df.sparkSession, name)[0]
+    out, path = stage(df, df.sparkSession, name)
+    if _open:
+        _open[-1].append(path)
+    return out
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside once the block ends; nothing lazy may read it then."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            remove_path(spark, path)
 
 
 def n_words(text: Column) -> Column:

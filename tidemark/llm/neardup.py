@@ -36,9 +36,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, broadcast_if_small, staged, table
+from tidemark.llm.common import bounded_batches, broadcast_if_small, staged, table, temporary
 from tidemark.llm.components import merged
 from tidemark.llm.words import WordHashes, lower_words, mixed, shingles
+from tidemark.session import stage
 
 TREES, DEPTH, LEAST_DEPTH = 20, 7, 3
 LEAST_ESTIMATE = 0.6
@@ -326,8 +327,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group, with all its columns."""
-    kept = near_duplicates(docs, id_col, text_col).where(F.col("kept") | F.col("doc_id").isNull())
-    ids = staged(kept.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("_rows"), F.max("n_shingles").alias("_n")), "neardup-kept")
+    spark = docs.sparkSession
+    with temporary(spark):
+        kept = near_duplicates(docs, id_col, text_col).where(F.col("kept") | F.col("doc_id").isNull())
+        # Only this table outlives the search.
+        ids = stage(kept.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("_rows"), F.max("n_shingles").alias("_n")), spark, "neardup-kept")[0]
     digest = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
     found = docs.withColumn("_digest", digest).join(
         ids.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_kept"), "_rows", "_n"),

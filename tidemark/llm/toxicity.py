@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, broadcast_if_small, staged, table
+from tidemark.llm.common import bounded_batches, broadcast_if_small, staged, table, temporary
 
 #: Documents of each label that the weights are fitted on (by lowest hash of their id), and
 #: the words of each of their windows.
@@ -177,6 +177,11 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Field:
     """The field, learned from the labelled documents that are not held out."""
+    with temporary(docs.sparkSession):
+        return _train(docs, labels, id_col, text_col)
+
+
+def _train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> Field:
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(
         F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"))
     digest = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
