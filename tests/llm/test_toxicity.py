@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from tidemark.llm import toxicity
 
@@ -71,6 +72,27 @@ def test_marginals_are_those_of_all_tag_sequences():
         assert np.allclose(toxicity.marginals(places, e, n, field), (toxic / total)[places])
 
 
+@pytest.mark.parametrize("n", [9000, 18000])
+def test_a_lexicon_of_many_rare_terms(spark, documents, n):
+    """Each term is in well under 2 % of the toxic documents; more documents must not lose any."""
+    rng, terms = random.Random(5), 300
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))
+    lexicon, common = [word() for _ in range(terms)], [word() for _ in range(400)]
+    rows, truth = [], {}
+    for i in range(n):
+        truth[i] = int(rng.random() < 0.25)
+        words = rng.choices(common, k=rng.randrange(5, 30)) + rng.choices(lexicon, k=truth[i] * rng.randrange(1, 4))
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+    docs = documents(rows)
+    field = toxicity.train(docs, label_table(spark, [(i, 1, t) for i, t in truth.items()]))
+    assert sum(any(field.weights.get(f) for f in toxicity.features(t)) for t in lexicon) >= 0.95 * terms
+    got = {r["doc_id"]: int(r["score"] >= 0.3) for r in toxicity.score_toxicity(docs, field).collect() if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2}
+    for t in (0, 1):
+        of = [i for i in got if truth[i] == t]
+        assert sum(got[i] == t for i in of) >= 0.97 * len(of)
+
+
 def test_odd_input(spark, documents):
     rows, labels = corpus(400)
     rows += [(1000, None), (1001, ""), (None, "GROBIEN"), (1002, "wort " * 20_000 + "fiesua"), (1003, "GROBI a"), (1003, "GROBI a"), (1004, "!!!")]

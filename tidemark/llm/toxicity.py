@@ -3,12 +3,15 @@
 A word is tagged clean (0) or toxic (1).  Labels are per document, so words are labelled
 first: features of words (the word, its first 3 to 5 and its last 4 letters) are counted over
 all labelled training documents, by label, in Spark; a feature found far more often in toxic
-documents than in clean ones is telling.  Counting starts again over the toxic documents that
-no telling feature explains, so that a toxic document's other words do not become telling.  In a toxic document the words with a telling
+documents than in clean ones is telling, if chance is ruled out by a log-likelihood test on its
+counts.  The test asks for a few documents, however many there are, so a rare term is found
+once the corpus holds enough of it.  Counting starts again over the toxic documents that
+no telling feature explains, until no feature is added, so that a toxic document's other words
+do not become telling.  In a toxic document the words with a telling
 feature are labelled toxic, all other words clean.  The field (a weight for each telling
 feature, a bias, four transitions) is then fitted by gradient descent on the exact
 conditional likelihood, on windows of a bounded sample of the labelled documents
-(``SAMPLE_DOCS`` for each label).
+(``SAMPLE_DOCS`` for each label) and one window more for each telling feature outside it.
 
 Scoring covers every word of the whole text: forward-backward gives each word's marginal.
 Words without a telling feature all have the same potentials, so a run of them is a power of
@@ -24,6 +27,7 @@ training row all scores are 0; repeated rows are reported each; an empty table g
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -39,14 +43,14 @@ from tidemark.llm.common import bounded_batches, broadcast_if_small, staged, tab
 #: Documents of each label that the weights are fitted on (by lowest hash of their id), and
 #: the words of each of their windows.
 SAMPLE_DOCS, WINDOW = 1500, 48
-#: A feature is telling if so many toxic documents have it, so large a share of them, at so
-#: many times the rate of clean ones (one clean document is added to the count).  Shares are
-#: of the toxic documents that no telling feature explains yet, round by round).
-#: And at most one clean document may have it for ``LEAST_ODDS`` toxic ones.
-LEAST_TOXIC, LEAST_SHARE, LEAST_RATIO, LEAST_ODDS, MOST_ROUNDS = 3, 0.02, 20.0, 10, 4
+#: A feature is telling if so many toxic documents have it, at so many times the rate of clean
+#: ones, with at most one clean document for ``LEAST_ODDS`` toxic ones, and if its counts are so
+#: unlikely under the common rate of toxic documents that chance explains at most
+#: ``FALSE_SHARE`` of a round's features.
+LEAST_TOXIC, LEAST_RATIO, LEAST_ODDS, FALSE_SHARE = 3, 20, 10, 0.02
 PREFIXES, SUFFIX = (3, 4, 5), 4
-#: The model's size: the most telling features.
-MOST_FEATURES = 20_000
+#: Telling features taken in one round; what they leave unexplained is for the next rounds.
+ROUND_FEATURES = 20_000
 THRESHOLD = 0.3
 
 WORD = re.compile(r"[^\W_]+")
@@ -138,6 +142,9 @@ def _fit(windows: np.ndarray, toxic: np.ndarray, mask: np.ndarray, lists: list[l
     w, bias, trans = np.zeros(size), -2.0, np.array([[0.5, -0.5], [0.0, 0.0]])
     moment = [np.zeros(size), 0.0, np.zeros((2, 2))]
     square = [np.zeros(size), 0.0, np.zeros((2, 2))]
+    # A rare feature's evidence is small beside the whole sample, and so must be its penalty.
+    held = np.bincount(flat, weights=np.bincount(windows.ravel(), weights=mask.ravel(), minlength=len(lists))[owner], minlength=size) if len(flat) else np.zeros(size)
+    pull = l2 * np.minimum(1.0, 100 * held / n)
     for r in range(1, rounds + 1):
         per_word = np.bincount(owner, weights=w[flat], minlength=len(lists)) if len(flat) else np.zeros(len(lists))
         e = per_word[windows] + bias
@@ -159,7 +166,7 @@ def _fit(windows: np.ndarray, toxic: np.ndarray, mask: np.ndarray, lists: list[l
         both = mask[:, 1:]
         seen = np.array([[((toxic[:, :-1] == x) & (toxic[:, 1:] == y) & (both > 0)).sum() for y in (0, 1)] for x in (0, 1)], dtype=float)
         by_word = np.bincount(windows.ravel(), weights=off.ravel(), minlength=len(lists))
-        grads = [np.bincount(flat, weights=by_word[owner], minlength=size) / n - l2 * w if len(flat) else np.zeros(size),
+        grads = [np.bincount(flat, weights=by_word[owner], minlength=size) / n - pull * w if len(flat) else np.zeros(size),
                  off.sum() / n, (seen - (pair * both[:, :, None, None]).sum(axis=(0, 1))) / n - l2 * trans]
         new = []
         for k, (value, g) in enumerate(zip((w, bias, trans), grads)):
@@ -175,6 +182,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def least_evidence(levels: dict[int, int]) -> float:
+    """The least evidence at which chance explains at most ``FALSE_SHARE`` of the features that
+    have it (Benjamini-Hochberg), from the number of features at each tenth of evidence."""
+    tests, passed, least = sum(levels.values()), 0, math.inf
+    for level in sorted(levels, reverse=True):
+        passed += levels[level]
+        if tests * math.exp(-level / 10) <= FALSE_SHARE * passed:
+            least = level / 10
+    return least
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Field:
     """The field, learned from the labelled documents that are not held out."""
     with temporary(docs.sparkSession):
@@ -212,28 +230,35 @@ def _train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> Fi
 
     words = lambda part: part.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     clean = staged(words(rows.where("toxic = 0")).withColumnRenamed("n", "clean"), "toxic-clean-words")
-    telling: list[str] = []
+    telling: dict[str, int] = {}
     left = rows.where("toxic = 1").select("text", "toxic")
-    for _ in range(MOST_ROUNDS):
-        unexplained = left.count()
-        if unexplained <= LEAST_SHARE * n[1]:
-            break
+    while unexplained := left.count():
         # Counts of a feature: the sums over its words.
         word = F.col("word")
         each = F.array_compact(F.array(word, *[F.when(F.length(word) > k, F.concat(F.substring(word, 1, k), F.lit("*"))) for k in PREFIXES],
                                        F.when(F.length(word) > SUFFIX, F.concat(F.lit("*"), F.substring(word, -SUFFIX, SUFFIX)))))
         counts = words(left).join(clean, "word", "full").select(F.explode(each).alias("f"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("clean", F.lit(0)).alias("clean"))
-        sums = counts.groupBy("f").agg(F.sum("n").alias("n"), F.sum("clean").alias("clean"))
-        ratio = (F.col("n") / unexplained) / ((F.col("clean") + 1) / (n.get(0, 0) + 1))
-        found = sums.where((F.col("n") >= max(LEAST_TOXIC, LEAST_SHARE * unexplained)) & (ratio >= LEAST_RATIO)
-                           & (F.col("n") >= LEAST_ODDS * F.col("clean"))).orderBy(ratio.desc(), "f").limit(MOST_FEATURES).collect()
-        found = [r["f"] for r in found if r["f"] not in telling]
-        if not found:
+        n_clean = n.get(0, 0)
+        rate = unexplained / (unexplained + n_clean)
+        if rate == 1:
+            break
+        # Chernoff: documents of the common rate look like this with a chance of exp(-evidence) at most.
+        share = F.col("n") / (F.col("n") + F.col("clean"))
+        against = F.when(F.col("clean") > 0, F.col("clean") * F.log((1 - share) / (1 - rate))).otherwise(0.0)
+        evidence = F.when(share > rate, F.col("n") * F.log(share / rate) + against).otherwise(0.0)
+        sums = counts.groupBy("f").agg(F.sum("n").alias("n"), F.sum("clean").alias("clean")).where(F.col("n") + F.col("clean") >= LEAST_TOXIC)
+        sums = staged(sums.withColumn("evidence", evidence), "toxic-features")
+        least = least_evidence({r["level"]: r["count"] for r in sums.groupBy(F.floor(10 * F.least("evidence", F.lit(100.0))).alias("level")).count().collect()})
+        found = sums.where((F.col("n") >= LEAST_TOXIC) & (F.col("n") * n_clean >= LEAST_RATIO * F.col("clean") * unexplained)
+                           & (F.col("n") >= LEAST_ODDS * F.col("clean")) & (F.col("evidence") >= least)).orderBy(
+            F.col("evidence").desc(), "f").limit(ROUND_FEATURES).collect()
+        before = len(telling)
+        for r in found:
+            telling.setdefault(r["f"], len(telling))
+        if len(telling) == before:
             break
-        telling += found
         left = staged(left.mapInArrow(silent(frozenset(telling)), left.schema), "toxic-unexplained")
-    number = {f: i for i, f in enumerate(telling)}
-    everything = frozenset(telling)
+    number, everything = telling, frozenset(telling)
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Windows around the first and the middle telling word, or in the middle, as space-joined words."""
@@ -249,12 +274,34 @@ def _train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> Fi
                     toxic.append(label)
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(toxic, pa.int32())], names=["words", "toxic"])
 
+    def window_of_each(unseen: frozenset) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """For each feature the window of a task's first text by order, around its first place."""
+            tells, least = Telling(unseen), {}
+            for batch in batches:
+                for rank, text in zip(batch["rank"].to_pylist(), batch["text"].to_pylist()):
+                    found = text_words(text)
+                    for i, w in enumerate(found):
+                        for f in unseen.intersection(features(w)) if tells[w] else ():
+                            if f not in least or rank < least[f][0]:
+                                begin = max(0, i - WINDOW // 2)
+                                least[f] = (rank, " ".join(found[begin:begin + WINDOW]))
+            yield pa.RecordBatch.from_arrays([pa.array(list(least), pa.string()), pa.array([r for r, _ in least.values()], pa.int64()),
+                                              pa.array([t for _, t in least.values()], pa.string())], names=["f", "rank", "words"])
+        return choose
+
     order = F.xxhash64("id", F.lit("crf"))
     # Only ids are ranked; the chosen ones' texts follow by a join with these few rows.
     ids = rows.select("id", "toxic")
     ids = ids.where("toxic = 1").orderBy(order, "id").limit(SAMPLE_DOCS).union(ids.where("toxic = 0").orderBy(order, "id").limit(SAMPLE_DOCS))
     chosen = rows.join(F.broadcast(ids), ["id", "toxic"])
     picked = chosen.select("text", "toxic").mapInArrow(sample, "words string, toxic int").collect()
+    # A telling feature outside these windows would get no weight.
+    unseen = everything.difference(*(features(w) for r in picked if r["toxic"] for w in r["words"].split()))
+    if unseen:
+        more = rows.where("toxic = 1").select("text", order.alias("rank")).mapInArrow(window_of_each(unseen), "f string, rank long, words string")
+        more = more.groupBy("f").agg(F.min(F.struct("rank", "words")).alias("least")).select(F.col("least.words").alias("words"), F.lit(1).alias("toxic"))
+        picked += more.distinct().collect()
     # How often is a document toxic that shows no evidence (over all training rows)?
     quiet_clean, quiet_toxic = (rows.where(F.col("toxic") == k).select("text").mapInArrow(silent(everything), "text string").count() for k in (0, 1))
 
