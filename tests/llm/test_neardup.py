@@ -91,6 +91,20 @@ def test_one_document_of_each_group_stays(documents):
     assert sorted(r["doc_id"] for r in out.collect()) == [5, 7, 8, 8, 9]
 
 
+def test_one_document_of_each_group_stays_with_null_and_repeated_ids(documents):
+    base = {k: [f"{k}{i}" for i in range(100)] for k in "abcd"}
+    near = lambda k, *tail: " ".join([*base[k], *tail])
+    rows = [(None, near("a", "x")), (None, near("a", "y")), (None, near("a", "y")),  # null ids alone
+            (3, near("b")), (None, near("b", "x")), (None, near("b")),  # near and exact copies of a document with an id
+            (5, near("c", "x")), (5, near("c", "y")), (5, near("c", "y")), (6, near("c")),  # one id, two texts
+            (None, near("d")), (None, None), (None, None), (7, "")]
+    docs = documents(rows)
+    left = [(r["doc_id"], (r["text"] or "-")[0]) for r in neardup.drop_near_duplicates(docs).collect()]
+    assert sorted(left, key=str) == sorted([(None, "a"), (3, "b"), (5, "c"), (None, "d"), (None, "-"), (None, "-"), (7, "-")], key=str)
+    found = neardup.near_duplicates(docs).where("n_shingles > 0 and kept").select("doc_id", "digest").distinct().collect()
+    assert sorted(r["doc_id"] for r in found) == [3, 5]
+
+
 def test_seams_between_sorted_partitions(spark):
     """The last row of a task and the first of the next are neighbours too."""
     import pandas as pd

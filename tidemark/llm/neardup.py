@@ -282,7 +282,9 @@ class Forest:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``digest`` (of its text), ``n_shingles``,
-    ``component_id`` (least id of its component) and ``kept``."""
+    ``component_id`` (least id of its component), ``stays`` (it is its component's survivor: the
+    least by id, null ids last, then by digest; repeated rows of the survivor all are) and
+    ``kept`` (it stays and has an id)."""
     forest = Forest(docs, id_col, text_col)
     near = staged(forest.estimated(forest.neighbours()), "neardup-near")
     joined, tested = None, None
@@ -316,20 +318,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         joined.select(F.col("node").alias("cid"), "component"), "cid", "left").select(
         "digest", "doc_id", F.coalesce("component", "cid").alias("component"))
     named = staged(named, "neardup-named")
-    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    ids = named.join(least, "component").select("digest", F.col("component_id"))
+    # Null ids rank last: the struct's first field says so.
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("digest").alias("digest"))
+    least = named.groupBy("component").agg(F.min(rank).alias("first"))
+    ids = named.join(least, "component").select("digest", F.col("first.id").alias("component_id"), (F.col("digest") == F.col("first.digest")).alias("chosen"))
     # A text without words is linked with nothing, its copies included.
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    stays = (F.col("n") == 0) | (F.col("chosen") & F.col("doc_id").eqNullSafe(F.col("component_id")))
     return forest.rows.select("doc_id", "digest", "n").join(ids, "digest").select(
-        "doc_id", "digest", F.col("n").alias("n_shingles"), own.alias("component_id"),
-        F.coalesce(F.col("doc_id") == own, F.lit(False)).alias("kept"))
+        "doc_id", "digest", F.col("n").alias("n_shingles"), own.alias("component_id"), stays.alias("stays"),
+        (stays & F.col("doc_id").isNotNull()).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group, with all its columns."""
+    """One document of each group, with all its columns: the survivor, of whose repeated rows a
+    single one stays.  Texts without words all stay."""
     spark = docs.sparkSession
     with temporary(spark):
-        kept = near_duplicates(docs, id_col, text_col).where(F.col("kept") | F.col("doc_id").isNull())
+        kept = near_duplicates(docs, id_col, text_col).where("stays")
         # Only this table outlives the search.
         ids = stage(kept.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("_rows"), F.max("n_shingles").alias("_n")), spark, "neardup-kept")[0]
     digest = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
