@@ -53,6 +53,32 @@ def test_a_passage_without_marks_is_found_between_other_words(documents):
     assert out[0]["text"] == rows[0][1] and out[9]["text"] == rows[6][1]
 
 
+def test_a_long_passage_goes_but_for_a_few_words_at_its_ends(documents):
+    rng = random.Random(12)
+    some = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passages = [some(n) for n in (51, 60, 80) for _ in range(40)]
+    rows = [(2 * i + k, " ".join(some(30) + p + some(30))) for i, p in enumerate(passages) for k in (0, 1)]
+    out = {r["doc_id"]: r["text"].split() for r in repeats.remove_repeats(documents(rows)).collect()}
+    lost = []
+    for i, p in enumerate(passages):
+        assert " ".join(out[2 * i]) == rows[2 * i][1]
+        words = rows[2 * i + 1][1].split()
+        assert out[2 * i + 1][:30] == words[:30] and out[2 * i + 1][-30:] == words[-30:]
+        middle = out[2 * i + 1][30:-30]
+        head = next((k for k, (x, y) in enumerate(zip(middle, p)) if x != y), len(middle))
+        assert middle == p[:head] + p[len(p) - (len(middle) - head):]  # only the ends stay
+        lost.append(len(middle))
+    assert max(lost) <= 30 and sum(lost) <= 8 * len(lost) and sum(n <= 12 for n in lost) >= 0.85 * len(lost)
+
+
+def test_a_repeated_long_line_goes_wholly(documents):
+    rng = random.Random(13)
+    line = " ".join(f"w{rng.randrange(10**6)}" for _ in range(200))
+    rows = [(1, line), (2, f"own words of two\n{line}"), (3, f"{line}\nlast words of three")]
+    out = {r["doc_id"]: r["text"].strip() for r in repeats.remove_repeats(documents(rows)).collect()}
+    assert out == {1: line, 2: "own words of two", 3: "last words of three"}
+
+
 def test_odd_input(documents):
     line = "this very line is there again"
     docs = documents([(None, line), (1, None), (2, ""), (3, line), (3, line), (4, "Too short.\nToo short."), (5, (line + "\n") * 3000), (6, "\n \n")])

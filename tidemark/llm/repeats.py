@@ -1,11 +1,13 @@
 """Substring dedup by hashing lines and the sentences in them.
 
 A text's units are its lines, cut after sentence marks, so that a passage is found at the
-start, the end or the middle of a line; a unit that stays long is cut further at places that
-its words decide, so that a passage without marks is found between other words.  A unit is normalised (lower case, words only) and
+start, the end or the middle of a line.  A unit that stays long is a unit as a whole, and is
+also cut finely at places that its words decide: each run of ``RUN`` neighbouring pieces is a
+unit of its own, so that a passage without marks is found between other words but for the few
+words before its first and after its last cut.  A unit is normalised (lower case, words only) and
 digested to 128 bits; digests are grouped over the whole corpus.  Of each repeated unit the
 earliest occurrence stays (by id, then row, then place; null ids last), the others go, with
-their offsets in the original text.  Units of fewer than ``LEAST_WORDS`` words are too common
+their offsets in the original text.  Units of a long one overlap; what any of them covers goes.  Units of fewer than ``LEAST_WORDS`` words are too common
 to mean anything by themselves and always stay.
 
 Grouping is a plain aggregate with partial sums before the shuffle, so a line that a third
@@ -30,29 +32,39 @@ from tidemark.llm.common import bounded_batches, staged, table
 from tidemark.llm.decontam import match_words
 
 LEAST_WORDS = 5
-#: A unit of more words is cut further, after one word in so many.
-LONG_WORDS, CUT_ONE_IN = 20, 8
+#: A unit of more words is cut further, after one word in so many; so many pieces make a run.
+LONG_WORDS, CUT_ONE_IN, RUN = 20, 3, 4
 TOKEN = re.compile(r"\S+")
 #: A sentence ends after marks that white space follows; a line ends at its line feed.
 CUT = re.compile(r"(?<=[.!?])[ \t\r\f\v]+|[ \t\r\f\v]*\n\s*")
 
 
 def pieces(text: str, begin: int, end: int) -> Iterator[tuple[int, int, list[bytes]]]:
-    """A unit as it is, or a long one cut after words that their hash marks: the same words
-    are cut alike wherever they stand."""
+    """A unit as it is, and the runs of pieces of a long one, cut after words whose hash, with
+    that of the word before, marks them: the same words are cut alike wherever they stand."""
     words = match_words(text[begin:end])
+    yield begin, end, words
     if len(words) <= LONG_WORDS:
-        yield begin, end, words
         return
-    start, held = begin, []
+    cuts, before, start, held = [], b"", begin, []
     for m in TOKEN.finditer(text, begin, end):
         found = match_words(m[0])
-        held += found
-        if len(held) >= LEAST_WORDS and found and xxhash.xxh3_64_intdigest(found[-1]) % CUT_ONE_IN == 0:
-            yield start, m.end(), held
-            start, held = m.end(), []
+        if found:
+            held += found
+            if xxhash.xxh3_64_intdigest((found[-2] if len(found) > 1 else before) + b" " + found[-1]) % CUT_ONE_IN == 0:
+                cuts.append((start, m.end(), held))
+                start, held = m.end(), []
+            before = found[-1]
     if held:
-        yield start, end, held
+        cuts.append((start, end, held))
+    # Each piece begins a run, which goes on until it counts; all pieces are the unit itself.
+    for i in range(len(cuts)):
+        j, words = i, []
+        while j < len(cuts) and (j < i + RUN or len(words) < LEAST_WORDS):
+            words += cuts[j][2]
+            j += 1
+        if j >= i + RUN and (i, j) != (0, len(cuts)):
+            yield cuts[i][0], cuts[j - 1][1], words
 
 
 def units(text: str | None) -> Iterator[tuple[int, int, bytes, int]]:
@@ -103,8 +115,8 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if gone:
                 parts, begin = [], 0
                 for g in sorted(gone, key=lambda g: g["start"]):
-                    parts.append(text[begin:g["start"]])
-                    begin = g["start"] + g["chars"]
+                    parts.append(text[begin:max(begin, g["start"])])
+                    begin = max(begin, g["start"] + g["chars"])
                 text = "".join([*parts, text[begin:]])
             texts.append(text)
         yield pa.RecordBatch.from_arrays([batch["_row"], pa.array(texts, pa.string())], names=["_row", "_clean"])
