@@ -47,7 +47,7 @@ SAMPLE_DOCS, WINDOW = 1500, 48
 #: ones, with at most one clean document for ``LEAST_ODDS`` toxic ones, and if its counts are so
 #: unlikely under the common rate of toxic documents that chance explains at most
 #: ``FALSE_SHARE`` of a round's features.
-LEAST_TOXIC, LEAST_RATIO, LEAST_ODDS, FALSE_SHARE = 3, 20, 10, 0.02
+LEAST_TOXIC, LEAST_RATIO, LEAST_ODDS, FALSE_SHARE = 3, 20, 10, 0.1
 PREFIXES, SUFFIX = (3, 4, 5), 4
 #: Telling features taken in one round; what they leave unexplained is for the next rounds.
 ROUND_FEATURES = 20_000
