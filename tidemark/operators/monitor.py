@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..schemas import STATUS_FAILED
+from ..schemas import STATUS_FAILED, STATUS_SUCCESS
 from .history import for_keys, recent_runs, run_start
 
 
@@ -82,3 +82,25 @@ def failure_digest(history: DataFrame, unit: str = "hour",
         "run_start",
         F.array_join(F.transform("jobs", lambda s: s["k"]), ", ").alias("failed_jobs"),
         F.size("jobs").alias("failed_count"))
+
+
+def failure_notices(history: DataFrame) -> DataFrame:
+    """What a notice about a failed run lists: one row per (run, failed job) with the job's
+    place among the run's failed jobs (in the order they ran), host, times, the rows its
+    committed pages hold and the error, and with all failed jobs of the run in that order."""
+    failed, ok = F.col("status") == STATUS_FAILED, F.col("status") == STATUS_SUCCESS
+    jobs = history.groupBy("sync_run", "sync_key").agg(
+        F.max_by(F.struct("run_id", "host_machine", "started_utc", "completed_utc", "error_message"), F.when(failed, F.col("run_id"))).alias("f"),
+        F.coalesce(F.sum(F.when(ok, F.col("records_read"))), F.lit(0)).cast("long").alias("records_read"),
+        F.coalesce(F.sum(F.when(ok, F.col("records_inserted"))), F.lit(0)).cast("long").alias("records_inserted"),
+    ).filter(F.col("f").isNotNull())
+    # A run has as many rows here as it has failed jobs.
+    run = Window.partitionBy("sync_run").orderBy("f.run_id")
+    whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return jobs.select(
+        "sync_run", F.row_number().over(run).alias("place"), "sync_key",
+        F.array_join(F.collect_list("sync_key").over(whole), ", ").alias("failed_jobs"),
+        F.count(F.lit(1)).over(whole).alias("failed_count"),
+        F.col("f.host_machine").alias("host_machine"), F.col("f.started_utc").alias("started_utc"),
+        F.col("f.completed_utc").alias("completed_utc"), "records_read", "records_inserted",
+        F.col("f.error_message").alias("error_message"))

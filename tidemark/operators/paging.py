@@ -19,8 +19,9 @@ the row's hash).
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -28,12 +29,16 @@ from ..session import stage
 _PLACE_BITS = 33     # monotonically_increasing_id keeps the place in its low 33 bits
 
 
-def stage_ordered(df: DataFrame, key: str, *name: str, order_by: list | None = None) -> tuple[DataFrame, str]:
-    """``df`` written once in key order; (frame with ``_part`` and ``_place``, its path)."""
+def stage_ordered(df: DataFrame, key: str, *name: str, order_by: list | None = None,
+                  watch: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, str]:
+    """``df`` written once in key order; (frame with ``_part`` and ``_place``, its path).
+    ``watch`` may attach an observation to the rows that are written."""
     order = [F.col(key), *(F.col(c) if isinstance(c, str) else c for c in (order_by or []))]
     # The salt divides repeated rows, which have the same hash.
     spread = [*order, F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_salt")]
     rows = df.withColumn("_salt", F.monotonically_increasing_id()).repartitionByRange(*spread).sortWithinPartitions(*spread).drop("_salt")
+    if watch is not None:
+        rows = watch(rows)
     place = F.monotonically_increasing_id()
     return stage(rows.withColumn("_part", F.spark_partition_id())
                  .withColumn("_place", place.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))), df.sparkSession, *name)
@@ -93,6 +98,22 @@ def page_ranges(paged: DataFrame, key: str, page: str = "page_no") -> DataFrame:
         F.count(F.lit(1)).alias("rows"))
 
 
+def few_page_ranges(staged: DataFrame, key: str, batch: int, cap: int | None = None, page: str = "page_no") -> DataFrame:
+    """``page_ranges`` of rows with few keys, in any order: the keys are counted first, and only
+    those counts, one row per key, go through a window of one task."""
+    counts = staged.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    before = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("idx", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+    return assign_pages(placed, batch, cap, out=page).groupBy(page).agg(
+        F.min(key).alias("key_from"), F.max(key).alias("key_to"), F.sum("rows").alias("rows"))
+
+
+def nth_key(df: DataFrame, key: str, n: int):
+    """The ``n``-th lowest key, or the last one (None: no rows): every task keeps its ``n``
+    lowest keys, so the cost beyond one scan of the key column grows with ``n`` alone."""
+    return df.select(key).orderBy(key).limit(n).agg(F.max(key)).first()[0]
+
+
 def key_at(indexed: DataFrame, key: str, limit: int, idx: str = "idx"):
     """Highest key among the first ``limit`` positions (None: no rows)."""
     return indexed.filter(F.col(idx) < F.lit(limit)).agg(F.max(key)).first()[0]

@@ -8,10 +8,11 @@ import re
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import col_or_lit
+from .history import live
 
 
 def _scalars(spark: SparkSession, **named) -> DataFrame:
@@ -88,7 +89,7 @@ def reconcile_counts(target: DataFrame, history: DataFrame, key: str,
                      sync_key: str | None = None) -> DataFrame:
     """Target rows, distinct target keys and rows the history says were inserted."""
     spark = target.sparkSession
-    h = history if sync_key is None else history.filter(F.col("sync_key") == sync_key)
+    h = live(history if sync_key is None else history.filter(F.col("sync_key") == sync_key))
     rows = count_of(target)
     keys = target.select(F.count_distinct(key)).scalar()
     logged = h.filter(F.col("status") == "Success").select(
@@ -98,10 +99,26 @@ def reconcile_counts(target: DataFrame, history: DataFrame, key: str,
                           & (F.col("target_rows") == F.col("logged_inserted")))
 
 
+def key_order(df: DataFrame, key: str) -> DataFrame:
+    """One row, ``ordered``: the rows come in ascending key order (NULL first, equal keys
+    allowed).  Each partition is checked in place, row against row before; its first and last
+    key then meet those of its neighbours, so one row per partition is all that one task sees."""
+    placed = df.select(F.col(key).cast("long").alias("_key"), F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at"))
+    inside = Window.partitionBy("_part").orderBy("_at")
+    steps = placed.withColumn("_before", F.lag("_key").over(inside)).withColumn("_first", F.row_number().over(inside) == 1)
+    # A NULL after a key is out of order; a key after a NULL is not.
+    back = ~F.col("_first") & F.coalesce(F.col("_key") < F.col("_before"), F.col("_key").isNull() & F.col("_before").isNotNull())
+    parts = steps.groupBy("_part").agg(F.count_if(back).alias("_back"), F.min_by("_key", "_at").alias("_low"), F.max_by("_key", "_at").alias("_high"))
+    seam = Window.orderBy("_part")
+    parts = parts.withColumn("_seam", F.lag("_high").over(seam)).withColumn("_n", F.row_number().over(seam))
+    torn = (F.col("_n") > 1) & F.coalesce(F.col("_low") < F.col("_seam"), F.col("_low").isNull() & F.col("_seam").isNotNull())
+    return parts.agg((F.count_if(torn | (F.col("_back") > 0)) == 0).alias("ordered"))
+
+
 def extract_contract(extract: DataFrame, key: str, cursor, batch: int,
                      expected_columns: int) -> DataFrame:
     """The extract's promises, checked in one aggregate: keys unique and above the
-    cursor, at most ``batch`` rows, right width, numeric key."""
+    cursor, at most ``batch`` rows, in key order, right width, numeric key."""
     numeric = dict(extract.dtypes)[key] in ("tinyint", "smallint", "int", "bigint")
     agg = extract.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("distinct_keys"),
                       F.min(key).alias("min_key"), F.max(key).alias("max_key"))
@@ -111,7 +128,8 @@ def extract_contract(extract: DataFrame, key: str, cursor, batch: int,
         F.coalesce(F.col("min_key") > col_or_lit(cursor), F.lit(True)).alias("above_cursor"),
         (F.col("rows") <= F.lit(batch)).alias("within_batch"),
         F.lit(len(extract.columns) == expected_columns).alias("arity_ok"),
-        F.lit(numeric).alias("key_numeric"))
+        F.lit(numeric).alias("key_numeric"),
+        key_order(extract, key).scalar().alias("ordered"))
 
 
 def width_fit(df: DataFrame, widths: Mapping[str, int]) -> DataFrame:

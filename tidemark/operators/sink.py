@@ -1,11 +1,11 @@
 """Writing extracted rows to targets.
 
-Parquet has no multi-table transaction, so a page commit is a commit log: the
-rows go to partition ``commit_id=<id>`` of the target (dynamic partition
-overwrite, so a retry with the same id replaces its own orphan), then one
-history row per page is appended — that append is the commit point.  Readers go
-through ``read_target``, which keeps only partitions named by a ``Success``
-history row (a semi join Spark turns into dynamic partition pruning).
+Parquet has no multi-table transaction, so the history is the manifest of the targets: a
+commit step writes its rows to one folder ``commit_id=<id>`` of the target (overwriting it, so
+a retry with the same id replaces its own orphan), then appends one history row per page, with
+the page's key range and the folder that holds it — that append is the commit point.  Readers
+go through ``read_target``, which keeps only folders named by a ``Success`` history row that
+counts (a semi join Spark turns into dynamic partition pruning).
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import STATUS_SUCCESS
+from .history import live
 
 COMMIT_COL = "commit_id"
 
@@ -40,11 +41,19 @@ def check_key(df: DataFrame, job: str = "") -> None:
         raise TypeError(f"{job}: the key column {df.columns[0]!r} is {kind.simpleString()}, not an integer type")
 
 
+_TEXT_TYPE = re.compile(r"(?:string|varchar|char)\((\d+)\)")
+
+
+def widths(types: Sequence[tuple[str, str]]) -> dict[str, int]:
+    """Declared widths of a target's text columns."""
+    return {name: int(m[1]) for name, kind in types if (m := _TEXT_TYPE.fullmatch(kind.strip().lower()))}
+
+
 def to_types(df: DataFrame, types: Sequence[tuple[str, str]]) -> DataFrame:
     """Cast to a target's types (a bad value fails under ANSI).  ``string(n)`` and ``char(n)``
     also fail on a longer value; listed columns that ``df`` lacks are added as NULL."""
     for name, kind in types:
-        m = re.fullmatch(r"(?:string|varchar|char)\((\d+)\)", kind.strip().lower())
+        m = _TEXT_TYPE.fullmatch(kind.strip().lower())
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None).cast("string" if m else kind))
         elif m:
@@ -74,16 +83,17 @@ def with_unfilled(df: DataFrame, unfilled: Sequence[tuple[str, str]]) -> DataFra
     return df
 
 
-def write_commits(df: DataFrame, location: str, fmt: str = "parquet") -> None:
-    """Write rows that carry their own ``commit_id`` column, one partition per id;
-    each id present replaces its partition, other partitions stay."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(COMMIT_COL).format(fmt).save(location))
+def write_commit(df: DataFrame, location: str, commit_id: str, fmt: str = "parquet") -> None:
+    """Write the rows of one commit step into its own folder, replacing what is there."""
+    df.write.mode("overwrite").format(fmt).save(f"{location}/{COMMIT_COL}={commit_id}")
 
 
 def committed_ids(history: DataFrame, sync_key: str | None = None, since_epoch: int = 0) -> DataFrame:
-    h = history if sync_key is None else history.filter(F.col("sync_key") == sync_key)
-    ids = h.filter((F.col("status") == STATUS_SUCCESS) & F.col(COMMIT_COL).isNotNull()).select(COMMIT_COL).distinct()
+    """Folders whose rows are committed and count: not those that a finished full reload
+    replaced, nor those of an unfinished one (``history.live``)."""
+    h = live(history if sync_key is None else history.filter(F.col("sync_key") == sync_key))
+    folder = F.coalesce("data_id", COMMIT_COL) if "data_id" in h.columns else F.col(COMMIT_COL)
+    ids = h.filter((F.col("status") == STATUS_SUCCESS) & F.col(COMMIT_COL).isNotNull()).select(folder.alias(COMMIT_COL)).distinct()
     if since_epoch:
         ids = ids.filter(F.regexp_extract(COMMIT_COL, r"-e([0-9]+)-", 1).try_cast("int") >= since_epoch)
     return ids
@@ -91,8 +101,9 @@ def committed_ids(history: DataFrame, sync_key: str | None = None, since_epoch:
 
 def read_target(spark: SparkSession, location: str, history: DataFrame, sync_key: str | None = None,
                 fmt: str = "parquet", since_epoch: int = 0) -> DataFrame:
-    """Committed rows only: partitions without a ``Success`` history row are invisible.
-    ``since_epoch`` hides what was committed before a full reload (``job.full_reload``)."""
+    """Committed rows only: folders without a ``Success`` history row are invisible, and so
+    are those that a full reload replaced (``job.full_reload``).  ``since_epoch`` also hides
+    what was committed before that epoch."""
     data = spark.read.format(fmt).load(location)
     return data.join(committed_ids(history, sync_key, since_epoch), COMMIT_COL, "left_semi")
 
@@ -133,8 +144,26 @@ def unflag(queue: DataFrame, keys: DataFrame, key: str = "row_id", flag: str = "
 
 def append_sent_log(keys: DataFrame, location: str, key: str, sent_at=None) -> None:
     """Ack-based marking: after the target commit, log the batch keys as sent."""
+    _sent(keys, key, sent_at).write.mode("append").parquet(location)
+
+
+def _sent(keys: DataFrame, key: str, sent_at, *more: str) -> DataFrame:
     from ..functions.scalars import ts_lit
-    out = keys.select(F.col(key).alias("row_id")).distinct()
-    if sent_at is not None:
-        out = out.withColumn("sent_utc", ts_lit(sent_at))
-    out.write.mode("append").parquet(location)
+    out = keys.select(F.col(key).alias("row_id"), *more).distinct()
+    return out if sent_at is None else out.withColumn("sent_utc", ts_lit(sent_at))
+
+
+def log_sent(keys: DataFrame, location: str, key: str, commit_id: str, sent_at=None) -> None:
+    """The sent log of a job has one folder per commit step: logging a step twice changes nothing."""
+    _sent(keys, key, sent_at).write.mode("overwrite").parquet(f"{location}/{COMMIT_COL}={commit_id}")
+
+
+def unlogged_commits(committed: DataFrame, sent_log: DataFrame | None) -> DataFrame:
+    """Committed folders that the sent log does not hold yet (a run died between the two)."""
+    return committed if sent_log is None else committed.join(sent_log.select(COMMIT_COL).distinct(), COMMIT_COL, "left_anti")
+
+
+def log_unsent(target: DataFrame, missing: DataFrame, location: str, key: str, sent_at=None) -> None:
+    """Log the keys of the ``missing`` commits, each into its own folder."""
+    _sent(target.join(missing, COMMIT_COL, "left_semi"), key, sent_at, COMMIT_COL).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(COMMIT_COL).parquet(location)

@@ -2,21 +2,30 @@
 commit-logged writes → history.
 
 Per run, Spark does the work in a few distributed jobs rather than one round trip per
-page.  The cursor is handed to the extract, so it reaches the scan.  With a run cap the keys
-above the cursor are staged and numbered first, which gives the key the run stops at; then
-the rows the run copies are staged in key order (``paging.stage_ordered``), which cuts the
-lineage and keeps numbering and writes on one snapshot: pages are always cut from the rows
-that were staged.  One job writes every chunk of ``pages_per_commit`` pages into its own
-partition ``commit_id=…``.  History rows follow in key order, in steps of 1, 1, 2, 4, 8, …
-chunks; each step is one append and commits its chunks.
-
-What a crash loses: the chunks of the steps that were not appended yet, at most about half
-of a run's pages.  They are invisible to readers and copied again by the next run.  A retry
-derives the same ids and overwrites uncommitted partitions instead of duplicating them.
-
-A commit id names the job, its epoch and the key before its first row.  With a lookback a
-run may copy late rows without moving the cursor, so the id then also holds the number of
-pages that the job had committed before: it advances with every commit.
+page.  The cursor is handed to the extract, so it reaches the scan.
+
+1. Stop key.  A capped run takes the n lowest keys above the cursor (``paging.nth_key``), so
+   its cost follows the cap, not the backlog.
+2. Stage.  The rows up to that key are written once, which cuts the lineage and keeps
+   numbering and writes on one snapshot: pages are always cut from the rows that were staged.
+   Many rows are staged in key order (``paging.stage_ordered``).  The same pass observes the
+   longest value of every column with a declared width.
+3. Steps.  Pages form chunks of ``pages_per_commit``, chunks form steps of 1, 1, 2, 4, 8, …
+   chunks.  Step by step, the rows are cast and written to a folder of the target, and the
+   history rows of its pages are appended: one append is one commit point.
+
+What a failure loses: the step it happens in, so at most about half of a run's pages; earlier
+steps are committed, and the next run starts after them with a step of one chunk.  A value that
+cannot be written therefore stops a job at its own chunk, not before.  Uncommitted folders are
+invisible to readers; a retry derives the same id and overwrites its leftover.
+
+A commit id names the job, its epoch and the key before its first row; a folder bears the id
+of its first commit.  With a lookback a run may copy late rows without moving the cursor, so
+the id then also holds the number of pages that the job had committed before: it advances with
+every commit.
+
+A full reload runs under an epoch of its own.  Its pages count, for the cursor and for readers,
+from the row on that ends it (``history.live``); a failed reload leaves everything as it was.
 
 Single writer per job: two concurrent runs of one job would race on the same
 commit id; no lock is provided.
@@ -35,9 +44,10 @@ import zlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import valid_status
 from ..operators import history as H
 from ..operators import paging as P
 from ..operators import sink as K
@@ -48,6 +58,13 @@ from ..session import clear_stale, make_dirs, path_exists, remove_path, stage
 MAX_BATCH = 100_000
 MAX_RUN_RECORDS = 10_000_000
 JOB_KEY = re.compile(r"[A-Za-z0-9_.]+")
+# Up to this many keys are cut into pages by one task (a table of keys and counts); a run cap
+# of up to this many rows is found as the n-th lowest key.  More are staged in key order.
+FEW_KEYS = 100_000
+# Chunks that one task looks at in a row.
+BUCKET = 4096
+# Gaps whose key ranges go into one filter.
+GAPS_AT_ONCE = 500
 
 
 @dataclass(frozen=True)
@@ -73,7 +90,8 @@ class JobSpec:
     # Types of the target columns: (name, type) pairs, e.g. ("name1", "string(255)").  Values
     # are cast, too long strings fail the run; names beyond target_columns stay NULL.
     target_types: Sequence[tuple[str, str]] = ()
-    # Folder of the log of sent keys; a step's keys are logged after its commit.
+    # Folder of the log of sent keys: each committed step's keys, logged after its commit, or by
+    # the next run if this one dies between the two.
     sent_log: str | None = None
 
     def validate(self) -> None:
@@ -123,6 +141,8 @@ def append_history(spark: SparkSession, store: Store, rows: list[dict]) -> None:
         return
     names = [f.name for f in HISTORY_SCHEMA.fields]
     df = spark.createDataFrame([tuple(r.get(c) for c in names) for r in rows], HISTORY_SCHEMA)
+    df = df.withColumn("status", F.when(valid_status("status"), F.col("status")).otherwise(
+        F.raise_error(F.concat(F.lit("unknown run status "), F.col("status")))))
     df.coalesce(1).write.mode("append").partitionBy("sync_key").parquet(store.history_location)
 
 
@@ -161,12 +181,12 @@ def rewind(spark: SparkSession, store: Store, job_key: str, cursor: int) -> None
 
 def _history_row(spec: JobSpec, run_id: int, status: str, started, completed, host: str,
                  duration: float | None, key_from=None, key_to=None, read=0, inserted=0,
-                 error=None, commit_id=None, sync_run=None) -> dict:
+                 error=None, commit_id=None, sync_run=None, reload=None) -> dict:
     return dict(run_id=run_id, sync_key=spec.job_key, started_utc=started, completed_utc=completed,
                 status=status, source_row_id_from=key_from, source_row_id_to=key_to,
                 target_key_from=key_from, target_key_to=key_to, records_read=int(read),
                 records_inserted=int(inserted), error_message=error, host_machine=host,
-                duration_seconds=duration, commit_id=commit_id, sync_run=sync_run)
+                duration_seconds=duration, commit_id=commit_id, sync_run=sync_run, reload=reload)
 
 
 def check_arity_only(df: DataFrame, spec: JobSpec) -> None:
@@ -193,7 +213,7 @@ def step_of(chunk: Column) -> Column:
 
 
 def _history_frame(spec: JobSpec, ranges: DataFrame, run_id_base: int, started, completed, host: str,
-                   duration: float, sync_run: str | None) -> DataFrame:
+                   duration: float, sync_run: str | None, data_id: str, reload: int | None) -> DataFrame:
     """History rows of one step, one per page, built on the executors."""
     return ranges.select(
         (F.lit(run_id_base) + F.col("page_no")).cast("long").alias("run_id"),
@@ -211,72 +231,109 @@ def _history_frame(spec: JobSpec, ranges: DataFrame, run_id_base: int, started,
         F.lit(duration).cast("double").alias("duration_seconds"),
         F.col("commit_id"),
         F.lit(sync_run).cast("string").alias("sync_run"),
+        F.lit(data_id).alias("data_id"),
+        F.lit(reload).cast("int").alias("reload"),
         F.lit(spec.job_key).alias("sync_key"))
 
 
-def name_commits(spec: JobSpec, ranges: DataFrame, cursor: int, epoch: int, committed: int, tag: str) -> DataFrame:
+def key_before(ranges: DataFrame, few: bool) -> DataFrame:
+    """The last key of the chunk before each chunk (``chunk_no``, ``_before``).  Chunk numbers may
+    leave some out, where the copies of one key fill more than a page.  Many chunks are looked at
+    in buckets, and one row per bucket gives the key before each bucket."""
+    chunks = ranges.groupBy("chunk_no").agg(F.max("key_to").alias("_to"))
+    if few:
+        return chunks.select("chunk_no", F.lag("_to").over(Window.orderBy("chunk_no")).alias("_before"))
+    chunks = chunks.withColumn("_bucket", F.expr(f"chunk_no div {BUCKET}"))
+    buckets = chunks.groupBy("_bucket").agg(F.max("_to").alias("_high")).select(
+        "_bucket", F.lag("_high").over(Window.orderBy("_bucket")).alias("_high"))
+    inside = F.lag("_to").over(Window.partitionBy("_bucket").orderBy("chunk_no"))
+    return chunks.withColumn("_inside", inside).join(buckets, "_bucket").select("chunk_no", F.coalesce("_inside", "_high").alias("_before"))
+
+
+def name_commits(spec: JobSpec, ranges: DataFrame, cursor: int, epoch: int, committed: int, tag: str, few: bool = False) -> DataFrame:
     """``ranges`` with each page's ``chunk_no`` and ``commit_id``: the key before the chunk,
     and with a lookback the pages committed before it."""
     ranges = ranges.withColumn("chunk_no", F.expr(f"page_no div {int(spec.pages_per_commit)}"))
-    last = ranges.groupBy((F.col("chunk_no") + 1).alias("chunk_no")).agg(F.max("key_to").alias("_before"))
+    last = key_before(ranges, few)
     name = [F.lit(f"{spec.job_key}-e{epoch}{tag}-c"), F.coalesce("_before", F.lit(cursor)).cast("string")]
     if spec.lookback > 0:
         name += [F.lit("-p"), (F.lit(committed) + F.col("chunk_no") * F.lit(int(spec.pages_per_commit))).cast("string")]
     return ranges.join(last, "chunk_no", "left").withColumn(K.COMMIT_COL, F.concat(*name)).drop("_before")
 
 
-def copy_staged(spark: SparkSession, spec: JobSpec, store: Store, staged: DataFrame, key: str,
+@dataclass(frozen=True)
+class Staged:
+    """The rows of a run, written once.  ``few``: few keys, in any order; otherwise in key order."""
+    rows: DataFrame
+    path: str
+    few: bool
+    # Longest value of each column with a declared width, as the staging pass saw it.
+    longest: dict = field(default_factory=dict)
+
+    @property
+    def columns(self) -> list[str]:
+        return [c for c in self.rows.columns if c not in ("_part", "_place")]
+
+
+def cut_pages(staged: Staged, key: str, batch: int, cap: int | None) -> DataFrame:
+    if staged.few:
+        return P.few_page_ranges(staged.rows, key, batch, cap)
+    keys = staged.rows.select(key, "_part", "_place")
+    return P.page_ranges(P.assign_pages(P.number_staged(keys, key), batch, cap), key)
+
+
+def too_wide(spec: JobSpec, longest: dict) -> list[tuple[str, int, int]]:
+    """(column, longest staged value, declared width) of every column with a too long value."""
+    widths = K.widths(spec.target_types)
+    return [(c, longest[c], widths[c]) for c in widths if longest.get(c) is not None and longest[c] > widths[c]]
+
+
+def copy_staged(spark: SparkSession, spec: JobSpec, store: Store, staged: Staged, key: str,
                 cursor: int, epoch: int, host: str,
                 now: Callable[[], dt.datetime] = utc_now, deadline: float | None = None,
                 before_history: Callable[[str], None] | None = None, tag: str = "",
-                capped: bool = True, sync_run: str | None = None, t0: float | None = None) -> dict:
-    """Copy rows staged in key order, page by page.
-
-    1. Number them and cut pages and chunks of ``pages_per_commit`` pages.
-    2. One data job writes every chunk into its own ``commit_id`` partition; staged files hold
-       contiguous keys, so a task writes few of them.
-    3. History rows are appended step by step (``step_of``), in key order: each append is a
-       commit point.
-    """
+                capped: bool = True, sync_run: str | None = None, t0: float | None = None,
+                reload: int | None = None) -> dict:
+    """Copy staged rows step by step: per step one folder of the target is written, then the
+    history rows of its pages are appended, which commits them."""
     t0, started = time.monotonic() if t0 is None else t0, now()
     totals = dict(read=0, inserted=0, first=None, last=None, pages=0)
     cap = spec.max_records if capped else None
     paths = []
     try:
-        paged = P.assign_pages(P.number_staged(staged, key), spec.batch_size, cap)
+        K.check_arity(staged.rows.select(*staged.columns), spec.target_columns, spec.job_key)
         committed = committed_pages(spark, store, spec.job_key) if spec.lookback > 0 else 0
-        ranges, path = stage(name_commits(spec, P.page_ranges(paged, key), cursor, epoch, committed, tag), spark, spec.job_key, store_name(store))
+        ranges = name_commits(spec, cut_pages(staged, key, spec.batch_size, cap), cursor, epoch, committed, tag, staged.few)
+        ranges, path = stage(ranges.withColumn("step", step_of(F.col("chunk_no"))), spark, spec.job_key, store_name(store))
         paths.append(path)
         # One row per step: a few dozen at most.
-        steps = ranges.withColumn("step", step_of(F.col("chunk_no"))).groupBy("step").agg(
+        steps = ranges.groupBy("step").agg(
             F.count(F.lit(1)).alias("pages"), F.sum("rows").alias("rows"), F.min("key_from").alias("first"),
             F.max("key_to").alias("last"), F.min_by(K.COMMIT_COL, "page_no").alias("commit_id")).orderBy("step").collect()
         if not steps:
             return totals
-        check_deadline(spec, deadline)
-        data = paged.join(ranges.select("page_no", K.COMMIT_COL), "page_no")
-        source = [c for c in staged.columns if c not in ("_part", "_place")]
-        K.check_arity(staged.select(*source), spec.target_columns, spec.job_key)
-        rows = K.to_types(data.select(*[F.col(c).alias(t) for c, t in zip(source, spec.target_columns)], K.COMMIT_COL), spec.target_types)
-        K.write_commits(rows, spec.target_location, spec.fmt)
         base, at = next_run_id(spark, store), t0
         for step in steps:
+            check_deadline(spec, deadline)
+            part = staged.rows.filter(F.col(key).between(step["first"], step["last"]))
+            rows = part.select(*[F.col(c).alias(t) for c, t in zip(staged.columns, spec.target_columns)])
+            rows = K.to_types(rows.sortWithinPartitions(spec.target_columns[0]) if staged.few else rows, spec.target_types)
+            K.write_commit(rows, spec.target_location, step["commit_id"], spec.fmt)
             check_deadline(spec, deadline)
             if before_history is not None:
                 before_history(step["commit_id"])
             took = time.monotonic()
-            part = ranges.filter(step_of(F.col("chunk_no")) == step["step"])
-            _history_frame(spec, part, base, started, now(), host, (took - at) / step["pages"], sync_run).coalesce(1).sortWithinPartitions(
-                "run_id").write.mode("append").partitionBy("sync_key").parquet(store.history_location)
+            pages = ranges.filter(F.col("step") == step["step"])
+            _history_frame(spec, pages, base, started, now(), host, (took - at) / step["pages"], sync_run, step["commit_id"], reload).coalesce(
+                1).sortWithinPartitions("run_id").write.mode("append").partitionBy("sync_key").parquet(store.history_location)
             at = took
-            if spec.sent_log is not None:
-                sent = paged.join(part.select("page_no"), "page_no", "left_semi").select(key)
-                K.append_sent_log(sent, spec.sent_log, key, now())
             totals["read"] += step["rows"]
             totals["inserted"] += step["rows"]
             totals["first"] = step["first"] if totals["first"] is None else totals["first"]
             totals["last"] = step["last"]
             totals["pages"] += step["pages"]
+            if spec.sent_log is not None and reload is None:
+                K.log_sent(part, spec.sent_log, key, step["commit_id"], now())
         return totals
     except Exception as exc:  # noqa: BLE001
         raise ChunkFailure(exc, totals) from exc
@@ -285,46 +342,75 @@ def copy_staged(spark: SparkSession, spec: JobSpec, store: Store, staged: DataFr
             remove_path(spark, path)
 
 
+def log_unsent(spark: SparkSession, spec: JobSpec, store: Store, now: Callable[[], dt.datetime] = utc_now) -> None:
+    """Log the commits that the sent log lacks: it is derived from the history, so a run that
+    died between a commit and its log entry loses nothing."""
+    if spec.sent_log is None or not path_exists(spark, spec.target_location):
+        return
+    log = spark.read.parquet(spec.sent_log) if path_exists(spark, spec.sent_log) else None
+    history = read_history(spark, store)
+    missing = K.unlogged_commits(K.committed_ids(history, spec.job_key), log)
+    if not missing.isEmpty():
+        target = K.read_target(spark, spec.target_location, history, spec.job_key, spec.fmt)
+        K.log_unsent(target, missing, spec.sent_log, spec.target_columns[0], now())
+
+
 def store_name(store: Store) -> str:
     """A short name of the store for its staging folders: stores may share job keys."""
     return f"{zlib.crc32(store.history_location.encode()):08x}"
 
 
 def stage_pending(spark: SparkSession, spec: JobSpec, pending: DataFrame, key: str, store: Store,
-                  capped: bool = True, deadline: float | None = None):
-    """Stage the rows this run copies, in key order: (staged frame, its path), or (None, None)
-    when there are none.  A capped run stages and numbers the keys first, to know the key it
-    stops at, so a large backlog is never rewritten every run."""
+                  capped: bool = True, deadline: float | None = None) -> Staged | None:
+    """Stage the rows this run copies; None when there are none.  A capped run finds the key it
+    stops at first, so a large backlog is never rewritten every run."""
     name = (spec.job_key, store_name(store))
-    if capped and spec.max_records is not None:
-        keys, path = P.stage_ordered(pending.select(key), key, *name)
-        try:
-            check_deadline(spec, deadline)
-            last = P.key_at(P.number_staged(keys, key), key, P.cap_rows(spec.batch_size, spec.max_records))
-        finally:
-            remove_path(spark, path)
-        if last is None:
-            return None, None
+    cap = P.cap_rows(spec.batch_size, spec.max_records) if capped else None
+    few = cap is not None and cap <= FEW_KEYS
+    last = P.nth_key(pending, key, cap) if few else None
+    if not few:
+        waiting = pending.select(key).count()
+        few = waiting <= FEW_KEYS
+        if not waiting:
+            return None
+        if cap is not None and waiting > cap:
+            keys, path = P.stage_ordered(pending.select(key), key, *name)
+            try:
+                check_deadline(spec, deadline)
+                last = P.key_at(P.number_staged(keys, key), key, cap)
+            finally:
+                remove_path(spark, path)
+    elif last is None:
+        return None
+    check_deadline(spec, deadline)
+    if last is not None:
         pending = pending.filter(F.col(key) <= F.lit(last))
-        check_deadline(spec, deadline)
-    staged, path = P.stage_ordered(pending, key, *name)
-    if staged.isEmpty():
-        remove_path(spark, path)
-        return None, None
-    return staged, path
+    widths, seen = K.widths(spec.target_types), Observation()
+    longest = [F.max(F.length(F.col(c).cast("string"))).alias(t) for c, t in zip(pending.columns, spec.target_columns) if t in widths]
+
+    def watch(df: DataFrame) -> DataFrame:
+        return df.observe(seen, *longest) if longest else df
+    if few:
+        staged, path = stage(watch(pending), spark, *name)
+    else:
+        staged, path = P.stage_ordered(pending, key, *name, watch=watch)
+    return Staged(staged, path, few, seen.get if longest else {})
 
 
 def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float | None = None,
             now: Callable[[], dt.datetime] = utc_now, host: str | None = None,
-            before_history: Callable[[str], None] | None = None, sync_run: str | None = None) -> dict:
+            before_history: Callable[[str], None] | None = None, sync_run: str | None = None,
+            reload: int | None = None) -> dict:
     """Copy the rows above the job's cursor, at most ``max_records`` (rounded up to
     whole pages).  Returns the run's aggregate result (not stored).  A failure is
     recorded as a ``Failed`` history row; pages committed before it have rows of their own.
-    ``sync_run`` names the run that the history rows belong to."""
+    ``sync_run`` names the run that the history rows belong to; ``reload`` the epoch of a full
+    reload, which starts at key 0.  The result's ``too_wide`` lists every column with a value
+    beyond its declared width, known before anything is written."""
     host, sync_run = host or socket.gethostname(), sync_run or uuid.uuid4().hex
     t0, started = time.monotonic(), now()
     totals = dict(read=0, inserted=0, first=None, last=None, pages=0)
-    staged_path = None
+    staged, wide = None, []
     sc = spark.sparkContext
     timer = None
     if deadline is not None:
@@ -340,8 +426,9 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
         ensure_history(spark, store)
         # A run whose driver died left its staging table behind; one writer per job
         # means any staging folder of this job now is such a leftover.
-        clear_stale(spark, "stage", spec.job_key, store_name(store))
-        cursor, epoch = current_cursor(spark, store, spec.job_key)
+        clear_stale(spark, spec.job_key, store_name(store))
+        log_unsent(spark, spec, store, now)
+        cursor, epoch = current_cursor(spark, store, spec.job_key) if reload is None else (0, reload)
         check_deadline(spec, deadline)
         low = cursor - max(0, spec.lookback)
         wanted = dict(spec.params, last_row_id=low)
@@ -358,18 +445,19 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
             # reaches the target scan, so the anti join reads the lookback window only.
             done = done.filter(F.col(spec.target_columns[0]) > F.lit(low))
             pending = K.insert_missing(pending, done, key, spec.target_columns[0])
-        staged, staged_path = stage_pending(spark, spec, pending, key, store, deadline=deadline)
+        staged = stage_pending(spark, spec, pending, key, store, deadline=deadline)
         if staged is not None:
+            wide = too_wide(spec, staged.longest)
             totals = copy_staged(spark, spec, store, staged, key, cursor, epoch, host, now, deadline,
-                                 before_history, sync_run=sync_run, t0=t0)
+                                 before_history, sync_run=sync_run, t0=t0, reload=reload)
         if totals["pages"] == 0:
             row = _history_row(spec, next_run_id(spark, store), STATUS_NO_NEW_DATA, started, now(), host,
                                time.monotonic() - t0, sync_run=sync_run)
             append_history(spark, store, [row])
-            return dict(row, pages=0)
+            return dict(row, pages=0, too_wide=wide)
         return dict(_history_row(spec, 0, STATUS_SUCCESS, started, now(), host, time.monotonic() - t0,
                                  totals["first"], totals["last"], totals["read"], totals["inserted"]),
-                    pages=totals["pages"])
+                    pages=totals["pages"], too_wide=wide)
     except Exception as exc:  # noqa: BLE001 - every failure becomes a Failed result
         if timer is not None:
             timer.cancel()
@@ -377,28 +465,90 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
         if isinstance(exc, ChunkFailure):
             totals, exc = exc.totals, exc.cause
         err = "".join(traceback.format_exception_only(type(exc), exc)).strip()
+        if wide:
+            err += "\ntoo wide: " + ", ".join(f"{c} ({n} > {w})" for c, n, w in wide)
         row = _history_row(spec, 0, STATUS_FAILED, started, now(), host, time.monotonic() - t0,
                            totals["first"], totals["last"], totals["read"], totals["inserted"], error=err, sync_run=sync_run)
         record_failure(spark, store, row)
-        return dict(row, pages=totals["pages"])
+        return dict(row, pages=totals["pages"], too_wide=wide)
     finally:
         if timer is not None:
             timer.cancel()
             sc.setLocalProperty("spark.jobGroup.id", None)
-        if staged_path is not None:
-            remove_path(spark, staged_path)
+        if staged is not None:
+            remove_path(spark, staged.path)
 
 
 def full_reload(spark: SparkSession, spec: JobSpec, store: Store, **kw) -> int:
-    """Copy everything again from the start, in one uncapped run under a new epoch.  Returns
-    the epoch to read the target from (``read_target(…, since_epoch=…)``): the older commits
-    stay in the log and are no longer read.  A failed reload raises and changes nothing that
-    readers of the older epoch see."""
-    rewind(spark, store, spec.job_key, 0)
-    result = run_job(spark, replace(spec, max_records=None, lookback=0, dedup_on_insert=False), store, **kw)
+    """Copy everything again from the start, in one uncapped run under a new epoch; returns it.
+    The reload becomes current, for readers and the cursor, with the history row that ends it;
+    the older commits stay in the log and are no longer read.  A failed reload raises and
+    changes nothing: readers and the next run go on as if it had never started."""
+    ensure_history(spark, store)
+    history = read_history(spark, store)
+    epoch = history.sparkSession.range(1).select(H.next_epoch(history, read_overrides(spark, store), spec.job_key)).first()[0]
+    t0, sync_run, now = time.monotonic(), kw.pop("sync_run", None) or uuid.uuid4().hex, kw.get("now", utc_now)
+    started = now()
+    result = run_job(spark, replace(spec, max_records=None, lookback=0, dedup_on_insert=False), store, reload=epoch, sync_run=sync_run, **kw)
     if result["status"] == STATUS_FAILED:
         raise RuntimeError(result["error_message"])
-    return current_cursor(spark, store, spec.job_key)[1]
+    append_history(spark, store, [_history_row(spec, next_run_id(spark, store), STATUS_SUCCESS, started, now(), result["host_machine"],
+                                               time.monotonic() - t0, sync_run=sync_run, reload=epoch)])
+    log_unsent(spark, spec, store, now)
+    return epoch
+
+
+def repair_gaps(spark: SparkSession, spec: JobSpec, store: Store, ranges: Sequence[tuple[int, int]] | None = None, **kw) -> dict:
+    """Copy the rows that the target lacks in key ranges below the cursor: those that no commit
+    covers (``history.copied_gaps``), or the given ``ranges`` (both ends included).  Commits with
+    the usual steps; the cursor stays where it is, as it is the highest committed position.
+    One row per gap reaches the driver; gaps are repaired ``GAPS_AT_ONCE`` at a time."""
+    ensure_history(spark, store)
+    history = read_history(spark, store)
+    cursor, epoch = current_cursor(spark, store, spec.job_key)
+    if ranges is None:
+        ranges = [(r["gap_from"], r["gap_to"]) for r in H.copied_gaps(history, spec.job_key).orderBy("gap_from").collect()]
+    ranges = [(lo, min(hi, cursor)) for lo, hi in ranges if lo <= min(hi, cursor)]
+    host, sync_run, now = kw.get("host") or socket.gethostname(), kw.get("sync_run") or uuid.uuid4().hex, kw.get("now", utc_now)
+    t0, started = time.monotonic(), now()
+    totals = dict(read=0, inserted=0, first=None, last=None, pages=0)
+    try:
+        for i in range(0, len(ranges), GAPS_AT_ONCE):
+            some = ranges[i:i + GAPS_AT_ONCE]
+            low = min(lo for lo, _ in some) - 1
+            src = spec.extract(spark, dict(spec.params, last_row_id=low))
+            K.check_arity(src, spec.target_columns, spec.job_key)
+            K.check_key(src, spec.job_key)
+            key = src.columns[0]
+            wanted = F.lit(False)
+            for lo, hi in some:
+                wanted = wanted | F.col(key).between(lo, hi)
+            rows = src.filter(wanted)
+            if path_exists(spark, spec.target_location):
+                done = K.read_target(spark, spec.target_location, read_history(spark, store), spec.job_key, spec.fmt)
+                rows = K.insert_missing(rows, done.filter(F.col(spec.target_columns[0]) > F.lit(low)), key, spec.target_columns[0])
+            staged = stage_pending(spark, spec, rows, key, store, capped=False)
+            if staged is None:
+                continue
+            try:
+                # The pages committed before make the ids of this repair its own.
+                tag = f"-g{committed_pages(spark, store, spec.job_key)}"
+                got = copy_staged(spark, spec, store, staged, key, low, epoch, host, now, capped=False, tag=tag, sync_run=sync_run,
+                                  before_history=kw.get("before_history"))
+            except ChunkFailure as exc:
+                totals = {**exc.totals, "read": totals["read"] + exc.totals["read"], "inserted": totals["inserted"] + exc.totals["inserted"]}
+                raise exc.cause
+            finally:
+                remove_path(spark, staged.path)
+            totals = dict(read=totals["read"] + got["read"], inserted=totals["inserted"] + got["inserted"],
+                          first=got["first"] if totals["first"] is None else totals["first"], last=got["last"], pages=totals["pages"] + got["pages"])
+    except Exception as exc:  # noqa: BLE001 - recorded, then raised
+        err = "".join(traceback.format_exception_only(type(exc), exc)).strip()
+        record_failure(spark, store, _history_row(spec, 0, STATUS_FAILED, started, now(), host, time.monotonic() - t0, totals["first"],
+                                                  totals["last"], totals["read"], totals["inserted"], error=err, sync_run=sync_run))
+        raise
+    log_unsent(spark, spec, store, now)
+    return totals
 
 
 def record_failure(spark: SparkSession, store: Store, row: dict) -> None:

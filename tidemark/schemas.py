@@ -27,9 +27,15 @@ HISTORY_SCHEMA = T.StructType([
     T.StructField("commit_id", T.StringType(), True),
     # The scheduled run that the row belongs to (all jobs of one sync_tables call).
     T.StructField("sync_run", T.StringType(), True),
+    # The target folder that holds the page's rows; several commits share one.  NULL (older
+    # rows): the folder is named by the commit.
+    T.StructField("data_id", T.StringType(), True),
+    # Epoch of the full reload that wrote the row.  A reload ends with a Success row without
+    # a commit: only from then on its pages count, and older ones no longer do.
+    T.StructField("reload", T.IntegerType(), True),
 ])
 
-HISTORY_COLUMNS = [f.name for f in HISTORY_SCHEMA.fields if f.name not in ("commit_id", "sync_run")]
+HISTORY_COLUMNS = [f.name for f in HISTORY_SCHEMA.fields if f.name not in ("commit_id", "sync_run", "data_id", "reload")]
 
 # The three run outcomes the history records.
 STATUS_SUCCESS = "Success"

@@ -60,14 +60,14 @@ def stream_sync(spark: SparkSession, source: DataFrame, spec: J.JobSpec, store:
         done = copied_upto(spark, store, spec.job_key, tag)
         rows = batch if done is None else batch.filter(F.col(key) > F.lit(done))
         # A micro-batch is bounded by maxFilesPerTrigger; every row of it is copied.
-        staged, path = J.stage_pending(spark, spec, rows, key, store, capped=False)
+        staged = J.stage_pending(spark, spec, rows, key, store, capped=False)
         if staged is None:
             return
         try:
             J.copy_staged(spark, spec, store, staged, key, 0 if done is None else done, epoch, host,
                           before_history=before_history, tag=tag, capped=False, sync_run=sync_run)
         finally:
-            remove_path(spark, path)
+            remove_path(spark, staged.path)
 
     started, t0 = J.utc_now(), time.monotonic()
     try:
