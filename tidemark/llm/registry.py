@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = ("sharding", "mixing", "neardup", "language", "licenses", "chat", "topk", "toxicity", "repeats", "decontam", "hardneg",
-           "alignment")
+           "mixing_lm", "alignment")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
