@@ -25,6 +25,7 @@ most 10,000 of them) are broadcast and the others shuffled, so no key is hot.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -55,11 +56,22 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+#: Fixed value: the pattern by which byte-level BPE cuts texts into words.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Characters that every version of Unicode puts into the same classes of that pattern.
+OLD_CHARACTERS = re.compile(r"[\x00-\u024f\u2010-\u2027\u2030-\u205e\u20ac]*")
+
+
 class BytePieces:
-    """Tokenizer A: byte-level BPE in the JSON format of the tokenizers library."""
+    """Tokenizer A: byte-level BPE in the JSON format of the tokenizers library.  Where the file
+    says no more than a vocabulary whose ids are its merges' ranks, texts of old characters are
+    encoded by those ranks with tiktoken, which gives the same tokens several times faster."""
 
     def __init__(self, spec: bytes):
+        import json
+
         from tokenizers import Tokenizer
+        model = json.loads(spec)
         self.tokenizer = Tokenizer.from_str(spec.decode("utf-8"))
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
@@ -67,9 +79,22 @@ class BytePieces:
         self.size, byte = self.tokenizer.get_vocab_size(), byte_of_char()
         entries = [self.tokenizer.id_to_token(i) or "" for i in range(self.size)]
         self.bytes = [bytes(byte[c] for c in e) if all(c in byte for c in e) else e.encode() for e in entries]
+        self.ranked, cut, bpe = None, model.get("pre_tokenizer") or {}, model["model"]
+        vocab, special = bpe["vocab"], {t["content"] for t in model.get("added_tokens", [])}
+        merges = ["".join(m.split(" ") if isinstance(m, str) else m) for m in bpe.get("merges", [])]
+        plain = (bpe.get("type") in (None, "BPE") and not any(bpe.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+                 and model.get("normalizer") is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space"))
+        if plain and all(vocab.get(c, 256) < 256 for c in byte) and all(vocab.get(m) == 256 + i for i, m in enumerate(merges)):
+            import tiktoken
+            ranks = {self.bytes[i]: i for e, i in vocab.items() if e not in special}
+            self.ranked = tiktoken.Encoding("ranks", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        out: list = [self.ranked.encode_ordinary(" " + t) if self.ranked and OLD_CHARACTERS.fullmatch(t) else None for t in texts]
+        rest = [k for k, ids in enumerate(out) if ids is None]
+        for k, e in zip(rest, self.tokenizer.encode_batch_fast([" " + texts[k] for k in rest], add_special_tokens=False)):
+            out[k] = e.ids
+        return out
 
 
 class SentencePieces:
