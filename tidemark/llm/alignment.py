@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged, table
+from tidemark.llm.common import small_batches, staged, table
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
 TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -268,7 +268,8 @@ def align_tokenizers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     spec_a, spec_b = _read(f"{folder}/{TOKENIZER_A}"), _read(f"{folder}/{TOKENIZER_B}")
     size_b = SentencePieces(spec_b).size
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = staged(slim.mapInArrow(_aligner(spec_a, spec_b), ALIGNED), "aligned")
+    with small_batches(spark):
+        rows = staged(slim.mapInArrow(_aligner(spec_a, spec_b), ALIGNED), "aligned")
     counts = rows.select("pairs", "times").mapInArrow(_pair_counts, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     counts = staged(counts, "align-pairs")
     of_b = F.expr(f"pair % {size_b}")

@@ -55,6 +55,18 @@ def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 512) -> Iterator[None]:
+    """The same for what is computed (staged) inside the block; the session's setting comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 #: Key tables of up to this many rows (some tens of MB) may be broadcast.
 BROADCAST_ROWS = 250_000
 
