@@ -31,6 +31,12 @@ def brute(rows):
     return out
 
 
+def test_roles_with_any_character(spark):
+    roles = ["us\x00er", "\\n", "\\\\n", "\n", "\\\n\\", "a\\", "\\\\", "<|x\\n|>", "n\\\\\\n"]
+    rows = [(c, 0, r, "hello") for c, r in enumerate(roles)]
+    assert digests(spark, rows) == brute(rows)
+
+
 def test_round_trip_of_nasty_texts(spark):
     rng = random.Random(6)
     rows = [(c, t, rng.choice(["user", "assistant", "system", "a\nb", "x\\n<|y", None]), rng.choice([None, "".join(rng.choice(NASTY) for _ in range(rng.randrange(6)))]))

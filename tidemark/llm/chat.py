@@ -43,9 +43,10 @@ def safe_role(role: Column) -> Column:
 
 
 def plain_role(role: Column) -> Column:
-    """Undo ``safe_role``: an odd backslash before n is a line feed."""
-    kept = F.replace(restored(role), F.lit("\\\\"), F.lit("\u0000"))
-    return F.replace(F.replace(kept, F.lit("\\n"), F.lit("\n")), F.lit("\u0000"), F.lit("\\"))
+    """Undo ``safe_role``: pairs of backslashes, from the left, are one; between them a backslash
+    stands before n alone, and is a line feed."""
+    parts = F.split(restored(role), r"\\\\", -1)
+    return F.array_join(F.transform(parts, lambda p: F.replace(p, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
 def paths(messages: DataFrame, branches: int = 1) -> DataFrame:
