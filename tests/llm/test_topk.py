@@ -35,7 +35,6 @@ def got(df):
 def test_matches_all_pairs(spark, monkeypatch, kind):
     monkeypatch.setattr(topk, "ROWS_PER_PIVOT", 40)
     monkeypatch.setattr(topk, "BLOCK_ROWS", 64)
-    monkeypatch.setattr(topk, "BLOCK_QUERIES", 7)
     rng = random.Random(7)
     rows = []
     for i in range(900):
@@ -69,3 +68,14 @@ def test_few_rows_and_none(spark):
     assert got(table(spark, [(0, [1.0])])) == []
     assert got(table(spark, [(0, [1.0]), (0, [2.0])])) == [(0, 1, 0, 131072), (0, 1, 0, 131072)]
     assert got(table(spark, [])) == [] and got(table(spark, [(0, None)])) == []
+
+
+def test_large_components_are_exact(spark):
+    """Components beyond 31 bits, and scores beyond what floating point holds."""
+    rows = [(0, [9e6, 1.0]), (1, [9e6, 2.0]), (2, [9e6 + 1, 1.0]), (3, [1.0, 9e6]), (50, [-9e6, 3.0]), (4, [2.0 ** 20, 0.01])]
+    assert got(table(spark, rows)) == brute(rows)
+
+
+def test_scores_beyond_64_bits_are_the_nearest_number(spark):
+    out = got(table(spark, [(0, [1e12]), (1, [1e12]), (2, [-1e30]), (3, [1.0])]))
+    assert out == [(0, 1, 1, 2 ** 63 - 1), (0, 2, 3, 256 * int(256 * float(__import__("numpy").float32(1e12)))), (0, 3, 2, -2 ** 63 + 1)]

@@ -5,12 +5,13 @@ Pivots, a bounded sample of the vectors, divide all vectors into cells (nearest
 cell's summary (rows, greatest distance to its pivot) bounds every score in it from above:
 q.x <= q.p + |q| * radius.  A query's k-th best score against the pivots, which are rows
 themselves, bounds its result from below.  A query is sent only to the cells whose upper
-bound reaches that.  Cells are solved in blocks of rows (a cell may hold most rows), each by
-one matrix product, and the blocks' best are merged per query.
+bound reaches that.  Cells are solved in blocks of rows (a cell may hold most rows): a block's
+rows are read first, then the queries that need it stream by in batches, each one matrix product.
+No row is copied for the queries, and the blocks' best are merged per query.
 
 Nulls and odd input: vectors that are null or hold null or non-finite components, and rows
-without an id, take no part; shorter vectors count as padded with zeros; quantised components
-beyond 31 bits are clipped; repeated ids are rows of their own, as queries too; ties go to the
+without an id, take no part; shorter vectors count as padded with zeros; scores are exact
+up to 64 bits, beyond which they count as the nearest number of 64 bits; repeated ids are rows of their own, as queries too; ties go to the
 smaller id; an empty table gives no rows.
 """
 
@@ -28,8 +29,12 @@ from tidemark.llm.common import staged, table
 
 #: One pivot for so many rows, at least 8 and at most 512 of them.
 ROWS_PER_PIVOT, MOST_PIVOTS = 4096, 512
-#: Rows and queries that are solved at once.
-BLOCK_ROWS, BLOCK_QUERIES = 8192, 2048
+#: Larger components count as this: every score with them is beyond 64 bits, or 0.
+LARGEST = 2.0 ** 300
+#: The least score stands for none.
+LONG = np.iinfo(np.int64)
+#: Rows that are solved at once.
+BLOCK_ROWS = 8192
 
 
 def _quantised(dims: int):
@@ -41,8 +46,9 @@ def _quantised(dims: int):
                 if not np.isfinite(x).all():
                     out.append(None)
                     continue
-                q = np.zeros(dims, dtype="<i4")
-                q[:len(x)] = np.clip(np.floor(256 * x), -(1 << 31), (1 << 31) - 1)
+                # float64 holds floor(256 x) exactly: a shift of the exponent, then a whole number.
+                q = np.zeros(dims, dtype="<f8")
+                q[:len(x)] = np.floor(256 * np.clip(x, -LARGEST, LARGEST))
                 out.append(q.tobytes())
             whole = pa.RecordBatch.from_arrays([batch["uid"], batch["vec_id"], batch["q"], pa.array(out, pa.binary())], names=["uid", "vec_id", "q", "vec"])
             yield whole.filter(whole["vec"].is_valid())
@@ -50,13 +56,20 @@ def _quantised(dims: int):
 
 
 def _matrix(vecs, dims: int) -> np.ndarray:
-    return np.frombuffer(b"".join(vecs), dtype="<i4").reshape(-1, dims).astype(np.float64)
+    return np.frombuffer(b"".join(vecs), dtype="<f8").reshape(-1, dims)
+
+
+def _whole(a: np.ndarray) -> np.ndarray:
+    return np.array([int(x) for x in a.ravel()], dtype=object).reshape(a.shape)
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products (in floating point where that is exact)."""
+    """Exact integer inner products: in floating point where that is exact, else in Python's
+    integers; beyond 64 bits the nearest number of 64 bits."""
     most = max(1.0, np.abs(a).max(initial=0)) * max(1.0, np.abs(b).max(initial=0)) * a.shape[1]
-    return (a @ b.T).astype(np.int64) if most < 1 << 53 else a.astype(np.int64) @ b.astype(np.int64).T
+    if most < 1 << 53:
+        return (a @ b.T).astype(np.int64)
+    return np.clip(_whole(a) @ _whole(b).T, LONG.min + 1, LONG.max).astype(np.int64)
 
 
 def _cells(pivots: np.ndarray):
@@ -121,6 +134,32 @@ def _solve(dims: int, k: int):
     return run
 
 
+def _streamed(dims: int, k: int):
+    """Blocks one after the other, each block's rows before the queries that need it."""
+    solve = _solve(dims, k)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, parts, rows = None, [], None
+        for batch in batches:
+            keys = list(zip(batch["cell"].to_pylist(), batch["block"].to_pylist(), batch["ask"].to_pylist()))
+            cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+            for i, j in zip(cuts, cuts[1:]):
+                if i == j:
+                    continue
+                cell, block, ask = keys[i]
+                part = batch.slice(i, j - i).to_pandas()
+                if key != (cell, block):
+                    key, parts, rows = (cell, block), [], None
+                if not ask:
+                    parts.append(part)
+                    continue
+                if rows is None and parts:
+                    rows, parts = pd.concat(parts, ignore_index=True), []
+                if rows is not None:
+                    yield pa.RecordBatch.from_pandas(solve(part, rows), preserve_index=False)
+    return run
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: each query's k best other rows."""
     spark = vectors.sparkSession
@@ -147,15 +186,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
 
     asked = staged(rows.where("q").select("uid", "vec_id", "vec").mapInArrow(
         _needed(pivots, pivot_uids, radius, k), "uid long, vec_id long, vec binary, floor long, cells array<int>"), "topk-queries")
-    q_parts = max(1, -(-asked.count() // BLOCK_QUERIES))
-    queries = (asked.withColumn("qblock", F.pmod(F.xxhash64("uid"), F.lit(q_parts)).cast("int")).withColumn("cell", F.explode("cells"))
-               .where(parts > 0).withColumn("block", F.explode(F.sequence(F.lit(0), parts - 1)))
-               .select("cell", "block", "qblock", "uid", "vec_id", "vec", "floor"))
-    data = (rows.withColumn("block", F.pmod(F.xxhash64("uid"), parts).cast("int"))
-            .withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(q_parts - 1)))).select("cell", "block", "qblock", "uid", "vec_id", "vec"))
-    key = ["cell", "block", "qblock"]
-    found = queries.groupBy(*key).cogroup(data.groupBy(*key)).applyInPandas(
-        _solve(dims, k), "quid long, query_id long, uid long, vec_id long, score long")
+    queries = asked.withColumn("cell", F.explode("cells")).where(parts > 0).withColumn("block", F.explode(F.sequence(F.lit(0), parts - 1))).select(
+        "cell", "block", F.lit(1).alias("ask"), "uid", "vec_id", "vec", "floor")
+    data = rows.select("cell", F.pmod(F.xxhash64("uid"), parts).cast("int").alias("block"), F.lit(0).alias("ask"), "uid", "vec_id", "vec",
+                       F.lit(0).cast("long").alias("floor"))
+    found = data.unionByName(queries).repartition("cell", "block").sortWithinPartitions("cell", "block", "ask").mapInArrow(
+        _streamed(dims, k), "quid long, query_id long, uid long, vec_id long, score long")
     best = Window.partitionBy("quid").orderBy(F.col("score").desc(), "vec_id", "uid")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
