@@ -101,8 +101,27 @@ def test_one_document_of_each_group_stays_with_null_and_repeated_ids(documents):
     docs = documents(rows)
     left = [(r["doc_id"], (r["text"] or "-")[0]) for r in neardup.drop_near_duplicates(docs).collect()]
     assert sorted(left, key=str) == sorted([(None, "a"), (3, "b"), (5, "c"), (None, "d"), (None, "-"), (None, "-"), (7, "-")], key=str)
-    found = neardup.near_duplicates(docs).where("n_shingles > 0 and kept").select("doc_id", "digest").distinct().collect()
-    assert sorted(r["doc_id"] for r in found) == [3, 5]
+    found = neardup.near_duplicates(docs).where("n_shingles > 0").select("doc_id", "digest", "component_id", "kept", "stays").distinct().collect()
+    assert all(r["kept"] == (r["doc_id"] is not None and r["doc_id"] == r["component_id"]) for r in found)
+    assert sorted(r["doc_id"] for r in found if r["stays"] and r["doc_id"]) == [3, 5]
+
+
+def test_near_copies_under_one_id_are_both_kept_rows(documents):
+    """``kept`` compares ids alone; ``stays`` names the one survivor."""
+    base = " ".join(f"w{i}" for i in range(100))
+    out = neardup.near_duplicates(documents([(1, base + " x"), (1, base + " y")])).collect()
+    assert [(r["doc_id"], r["component_id"], r["kept"]) for r in out] == [(1, 1, True)] * 2 and sum(r["stays"] for r in out) == 1
+
+
+def test_columns_of_any_name_come_back(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "other words stand in this one")], "doc_id long, text string")
+    names = ["_digest", "_id", "_rows", "_n", "_kept", "_own", "_doc", "digest", "a.b"]
+    for name in names:
+        df = df.withColumn(name, F.lit("mine"))
+    left = neardup.drop_near_duplicates(df)
+    assert left.columns == df.columns
+    assert sorted(tuple(r) for r in left.collect()) == [(i, t, *["mine"] * len(names)) for i, t in [(1, "a b c d e f g"), (3, "other words stand in this one")]]
 
 
 def test_seams_between_sorted_partitions(spark):

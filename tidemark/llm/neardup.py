@@ -284,7 +284,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: ``doc_id``, ``digest`` (of its text), ``n_shingles``,
     ``component_id`` (least id of its component), ``stays`` (it is its component's survivor: the
     least by id, null ids last, then by digest; repeated rows of the survivor all are) and
-    ``kept`` (it stays and has an id)."""
+    ``kept`` (its id is its component's)."""
     forest = Forest(docs, id_col, text_col)
     near = staged(forest.estimated(forest.neighbours()), "neardup-near")
     joined, tested = None, None
@@ -327,7 +327,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stays = (F.col("n") == 0) | (F.col("chosen") & F.col("doc_id").eqNullSafe(F.col("component_id")))
     return forest.rows.select("doc_id", "digest", "n").join(ids, "digest").select(
         "doc_id", "digest", F.col("n").alias("n_shingles"), own.alias("component_id"), stays.alias("stays"),
-        (stays & F.col("doc_id").isNotNull()).alias("kept"))
+        F.coalesce(F.col("doc_id") == own, F.lit(False)).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -339,12 +339,14 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         # Only this table outlives the search.
         ids = stage(kept.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("_rows"), F.max("n_shingles").alias("_n")), spark, "neardup-kept")[0]
     digest = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
-    found = docs.withColumn("_digest", digest).join(
+    # The caller's columns travel in one: no name can clash.
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(id_col).alias("_own"), digest.alias("_digest"))
+    found = packed.join(
         ids.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_kept"), "_rows", "_n"),
-        F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_kept")))
-    single = found.where("_rows = 1 or _n = 0").select(*docs.columns)
+        F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_kept")))
+    single = found.where("_rows = 1 or _n = 0").select("_doc.*")
     # Repeated rows of one id and text: a single one stays.
-    repeated = found.where("_rows > 1 and _n > 0").dropDuplicates(["_id", "_digest"]).select(*docs.columns)
+    repeated = found.where("_rows > 1 and _n > 0").dropDuplicates(["_id", "_digest"]).select("_doc.*")
     return single.union(repeated)
 
 
