@@ -89,3 +89,15 @@ def test_odd_input(documents):
     text = sorted((r["doc_id"] or 0, (r["text"] or "").strip()) for r in out.collect())
     assert text == [(0, ""), (1, ""), (2, ""), (3, ""), (3, line), (4, "Too short.\nToo short."), (5, ""), (6, "")]
     assert repeats.remove_repeats(documents([])).collect() == []
+
+
+def test_columns_of_any_name_come_back(spark):
+    from pyspark.sql import functions as F
+    unit = "This very line is repeated here."
+    df = spark.createDataFrame([(1, unit), (2, unit + "\nAnd here is something else again.")], "doc_id long, text string")
+    names = ["_row", "_gone", "_clean", "_text", "_doc"]
+    for name in names:
+        df = df.withColumn(name, F.lit("mine"))
+    out = {r["doc_id"]: r for r in repeats.remove_repeats(df).collect()}
+    assert all(out[i][n] == "mine" for i in out for n in names)
+    assert out[1]["text"] == unit and out[1]["removed"] is None and unit not in out[2]["text"]

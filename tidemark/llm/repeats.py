@@ -125,15 +125,18 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without the units to remove; ``removed`` has their offsets in the original
     text (null: nothing went)."""
-    base = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "repeats-docs")
-    gone = repeated_units(base, id_col, text_col, "_row").where(~F.col("kept")).groupBy(F.col("row").alias("_row")).agg(
+    # The caller's columns travel in one: no name can clash.
+    base = staged(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"),
+                              F.monotonically_increasing_id().alias("_row")), "repeats-docs")
+    gone = repeated_units(base, "doc_id", "_text", "_row").where(~F.col("kept")).groupBy(F.col("row").alias("_row")).agg(
         F.sort_array(F.collect_list(F.struct("start", "chars"))).alias("_gone"))
     gone = staged(gone, "repeats-gone")
-    hit = base.join(gone, "_row").select("_row", F.col(text_col).alias("_text"), "_gone")
+    hit = base.join(gone, "_row").select("_row", "_text", "_gone")
     clean = hit.mapInArrow(_without, "_row long, _clean string")
     kept = [c for c in docs.columns if c not in (text_col, "removed")]
     return base.join(clean, "_row", "left").join(gone, "_row", "left").select(
-        *kept, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.col("_clean")).alias(text_col), F.col("_gone").alias("removed"))
+        *[F.col("_doc")[c].alias(c) for c in kept], F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.col("_clean")).alias(text_col),
+        F.col("_gone").alias("removed"))
 
 
 def op9_line_hash_dedup(spark, sf_dir: str) -> DataFrame:
