@@ -24,7 +24,7 @@ copied for them.
 
 Nulls and odd input: rows with a null id, label or vector, or with a null or non-finite component,
 take no part; shorter vectors count as padded with zeros; repeated ids are rows of their own, as
-anchors too; ties go to the smaller id; a score beyond 64 bits fails the job; an empty table, or
+anchors too; ties go to the smaller id; scores beyond 64 bits count as the nearest number of 64 bits; an empty table, or
 one without anchors, gives no rows.
 """
 
@@ -47,6 +47,8 @@ BLOCK_ROWS, LEAF_ROWS, NODE_LEAVES = 8192, 128, 8
 #: Components that the leaves of a block are sorted by.
 LEAF_AXES = 3
 EXACT = 1 << 53
+#: Larger components count as this: every score with them is beyond 64 bits, or 0.
+LARGEST = 2.0 ** 300
 LONG = np.iinfo(np.int64)
 
 ROW = "uid long, vec_id long, label long, anchor boolean, vec binary"
@@ -58,12 +60,11 @@ def _quantised(dims: int):
             out = []
             for v in batch["embedding"]:
                 x = v.as_py()
-                # float64 holds floor(256 x) exactly: a shift of the exponent, then whole numbers.
                 x = np.array(x, dtype=np.float64) if None not in x else np.array([np.nan])
                 q = np.zeros(dims)
-                with np.errstate(over="ignore"):
-                    q[:len(x)] = np.floor(256 * x) if np.isfinite(x).all() else np.nan
-                out.append(q.tobytes() if np.isfinite(q).all() else None)
+                # float64 holds floor(256 x) exactly: a shift of the exponent, then whole numbers.
+                q[:len(x)] = np.floor(256 * np.clip(x, -LARGEST, LARGEST))
+                out.append(q.tobytes() if np.isfinite(x).all() else None)
             whole = pa.RecordBatch.from_arrays([batch[c] for c in ("uid", "vec_id", "label", "anchor")] + [pa.array(out, pa.binary())],
                                                names=["uid", "vec_id", "label", "anchor", "vec"])
             yield whole.filter(whole["vec"].is_valid())
@@ -75,12 +76,12 @@ def matrix(vecs, dims: int) -> np.ndarray:
 
 
 def products(rows: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-    """Exact inner products: in floating point where that is exact, else in Python's integers."""
+    """Exact inner products: in floating point where that is exact, else in Python's integers;
+    beyond 64 bits the nearest number of 64 bits."""
     if len(rows) and np.abs(rows).max() * max(1.0, np.abs(anchor).sum()) < EXACT:
         return (rows @ anchor).astype(np.int64)
     whole = [int(a) for a in anchor]
-    found = [sum(int(r) * a for r, a in zip(row, whole)) for row in rows]
-    return np.array(found, dtype=np.int64) if all(LONG.min <= x <= LONG.max for x in found) else np.array(found, dtype=object)
+    return np.array([max(LONG.min, min(LONG.max, sum(int(r) * a for r, a in zip(row, whole)))) for row in rows], dtype=np.int64)
 
 
 def slabs(order: np.ndarray, values: np.ndarray, axes: list[int], tiles: int) -> list[np.ndarray]:
@@ -200,7 +201,7 @@ class Tree:
         """Per window (least, greatest score) the k best rows as (score, vec_id, uid)."""
         found: list[list] = [[] for _ in windows]
         floor = [w[0] for w in windows]
-        ceiling = [w[1] for w in windows]
+        ceiling = [w[1] if w[1] < LONG.max else np.inf for w in windows]
 
         def wanted(node: int) -> bool:
             return any(low[node] <= c and high[node] >= f for f, c in zip(floor, ceiling))
@@ -280,7 +281,7 @@ def _routes(boxes: tuple, same: bool, only_best: bool):
             for a, (label, floors, ceilings) in enumerate(zip(*(batch[c].to_pylist() for c in ("alabel", "floors", "ceilings")))):
                 use = np.zeros(len(tiles), dtype=bool)
                 for f, c in zip(floors, ceilings):
-                    use |= (least[a] <= c) & (most[a] >= f)
+                    use |= (least[a] <= (c if c < LONG.max else np.inf)) & (most[a] >= f)
                 use &= may_hold(low[:, 0], high[:, 0], label, same)
                 some = np.flatnonzero(use)
                 out.append([int(tiles[t]) for t in (some[np.argsort(-most[a][some], kind="stable")[:1]] if only_best else some)])
