@@ -16,6 +16,7 @@ from .plans import job as J
 from .session import scratch_path
 from .sources import tables as T
 from .sources.views_sql import with_views
+from .streaming import stream as STR
 
 REPORT_COLUMNS = ["row_id", "ref_no"]
 
@@ -195,3 +196,49 @@ def q_target_key_order(spark, sf):
     keys = T.target_profile(spark, sf).select("cms_no")
     return Q._scalars(spark, sorted_ordered=Q.key_order(keys.orderBy("cms_no"), "cms_no").scalar(),
                       reversed_ordered=Q.key_order(keys.orderBy(F.col("cms_no").desc()), "cms_no").scalar())
+
+
+_STREAM_BATCHES = 5
+
+
+def _streamed_by_key(spark, sf):
+    """The orders above the cursor's start, key 0, in key order as a stream, a fifth of them a
+    batch; the run is lost in the middle of its third batch and started again."""
+    root, store = _store(spark, "key-stream")
+    orders = T.load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    bound = orders.filter("o_orderkey > 0").count() // _STREAM_BATCHES + 1
+    orders.sort("o_orderkey").write.parquet(f"{root}/incoming")
+    spec = J.JobSpec("KEYSTREAM", lambda s, p: orders, f"{root}/target", orders.columns, batch_size=BATCH * 10, pages_per_commit=1)
+    seen = []
+
+    def lost(commit_id: str) -> None:
+        seen.append("b2-c" in commit_id)
+        if seen[-2:] == [True, True]:
+            raise RuntimeError("driver lost")
+
+    def run(hook=None):
+        STR.stream_sync_by_key(spark, f"{root}/incoming", orders.schema, spec, store, f"{root}/checkpoint", bound, before_history=hook)
+    try:
+        run(lost)
+    except Exception as exc:  # noqa: BLE001
+        if "driver lost" not in str(exc):
+            raise
+    run()
+    return spec, J.read_history(spark, store)
+
+
+@query("key_stream_target", "SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderkey > 0")
+def q_key_stream_target(spark, sf):
+    """What a stream by key, lost in the middle of a batch, leaves in its target."""
+    return _target_of(spark, *_streamed_by_key(spark, sf))
+
+
+@query("key_stream_batches", f"""SELECT CAST(batch AS BIGINT) AS batch, count(*) AS rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
+FROM (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // (count(*) OVER () // {_STREAM_BATCHES} + 1) AS batch FROM orders WHERE o_orderkey > 0)
+GROUP BY batch""")
+def q_key_stream_batches(spark, sf):
+    """The batches of that stream by its commits: bounded rows, in key order, each key once."""
+    ok = _streamed_by_key(spark, sf)[1].filter("status = 'Success'")
+    return ok.groupBy(F.regexp_extract("commit_id", r"b(\d+)-c", 1).cast("long").alias("batch")).agg(
+        F.sum("records_inserted").cast("long").alias("rows"), F.min("source_row_id_from").alias("first_key"),
+        F.max("source_row_id_to").alias("last_key"))

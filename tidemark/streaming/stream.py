@@ -7,6 +7,9 @@ goes through ``foreachBatch``: its rows are paged and committed with the same co
 as ``run_job``, in whatever key order the files arrive.  ``foreachBatch`` is at-least-once;
 the commit id carries the query's id and the batch id, so a replayed batch skips what it
 committed before and rewrites its own uncommitted partitions.
+
+``stream_sync_by_key`` reads the source in key order instead, in batches bounded by rows whose
+offsets are keys (``key_source``): the stream's own log then says how far it has come.
 """
 
 from __future__ import annotations
@@ -19,10 +22,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..plans import job as J
 from ..schemas import STATUS_FAILED, STATUS_SUCCESS
 from ..session import remove_path
+from .key_source import key_source, planned_keys
 
 
 def query_id(spark: SparkSession, checkpoint_location: str) -> str:
@@ -41,9 +46,11 @@ def copied_upto(spark: SparkSession, store: J.Store, job_key: str, tag: str) ->
 
 def stream_sync(spark: SparkSession, source: DataFrame, spec: J.JobSpec, store: J.Store,
                 checkpoint_location: str, host: str | None = None,
-                before_history: Callable[[str], None] | None = None) -> int:
+                before_history: Callable[[str], None] | None = None, available_now: bool = True) -> int:
     """Run the streaming copy until the available input is drained; returns batches seen.
-    A failure leaves a ``Failed`` history row and is raised."""
+    A failure leaves a ``Failed`` history row and is raised.  Without ``available_now`` the
+    query runs batch after batch until the source has nothing more, for sources that bound
+    their batches themselves."""
     spec.validate()
     J.ensure_history(spark, store)
     host, sync_run = host or socket.gethostname(), uuid.uuid4().hex
@@ -71,10 +78,16 @@ def stream_sync(spark: SparkSession, source: DataFrame, spec: J.JobSpec, store:
 
     started, t0 = J.utc_now(), time.monotonic()
     try:
-        q = (source.writeStream.foreachBatch(on_batch)
-             .option("checkpointLocation", checkpoint_location)
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
+        writer = source.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_location)
+        if available_now:
+            q = writer.trigger(availableNow=True).start()
+            q.awaitTermination()
+        else:
+            q = writer.start()
+            try:
+                q.processAllAvailable()
+            finally:
+                q.stop()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
     except Exception as exc:
@@ -84,6 +97,23 @@ def stream_sync(spark: SparkSession, source: DataFrame, spec: J.JobSpec, store:
     return len(seen)
 
 
+def stream_sync_by_key(spark: SparkSession, path: str, schema: StructType, spec: J.JobSpec, store: J.Store,
+                       checkpoint_location: str, max_rows: int, host: str | None = None,
+                       before_history: Callable[[str], None] | None = None) -> int:
+    """Copy Parquet files as a stream in key order, at most ``max_rows`` rows a batch (one key's
+    rows stay together); returns batches seen.  A new checkpoint starts after the job's cursor,
+    an old one goes on where it was, repeating a batch that it had planned but not finished.
+    After a rewind the stream needs a new checkpoint, and is refused with the old one."""
+    planned = planned_keys(spark, checkpoint_location)
+    J.ensure_history(spark, store)
+    cursor, _ = J.current_cursor(spark, store, spec.job_key)
+    if len(planned) == 2 and cursor < planned[1]:
+        raise ValueError(f"job {spec.job_key}: cursor {cursor} lies before the stream's key {planned[1]}; use a new checkpoint")
+    # A first batch that is repeated starts at the cursor: what it had committed lies below.
+    source = key_source(spark, path, schema, max_rows, min([cursor, *planned[:1]]), planned[0] if planned else None)
+    return stream_sync(spark, source, spec, store, checkpoint_location, host, before_history, available_now=False)
+
+
 def file_source(spark: SparkSession, folder: str, schema, max_files_per_trigger: int = 1,
                 name_glob: str | None = None, fmt: str = "parquet") -> DataFrame:
     """A growing folder of files as a stream, a bounded number of files per batch;
