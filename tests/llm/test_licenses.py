@@ -48,3 +48,69 @@ def test_words_of_any_text(text):
     words = licenses.scan_words(text)
     assert len(words) == brute(text)[0]
     index.find(words)
+
+
+def brute_alignments(index, words):
+    """Every template tried at every place, without the index."""
+    out = []
+    for t, template in enumerate(licenses.TEMPLATES):
+        for begin in range(-len(template.words), len(words)):
+            if all(begin + p >= 0 and tuple(words[begin + p:begin + p + len(key)]) == key for p, key in template.keys):
+                there = [x for j, x in enumerate(template.words) if begin + j >= 0 and words[begin + j:begin + j + 1] == [x]]
+                out.append((t, begin + template.keys[0][0], min(1.0, sum(index.idf[x] for x in there) / index.weight[t])))
+    return sorted(out, key=lambda x: (x[1], x[0]))
+
+
+def license_text(rng):
+    """Runs out of the templates, whole, cut or with a word changed, between other words."""
+    out = []
+    for _ in range(rng.randrange(6)):
+        words = [w.decode() for w in rng.choice(licenses.TEMPLATES).words]
+        kind = rng.randrange(4)
+        if kind == 1:
+            words = words[rng.randrange(len(words)):]
+        elif kind == 2:
+            words = words[:rng.randrange(1, len(words) + 1)]
+        elif kind == 3:
+            words[rng.randrange(len(words))] = rng.choice(PIECES)
+        out += words + [rng.choice(PIECES) for _ in range(rng.randrange(3))]
+    return " ".join(out)
+
+
+def test_all_labels_places_and_scores_against_every_alignment(documents):
+    rng = random.Random(7)
+    rows = [(i, license_text(rng)) for i in range(250)]
+    index = licenses.RareTokenIndex(*licenses.document_frequencies(documents(rows).select("text")))
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(documents(rows)).collect()}
+    for i, text in rows:
+        want = brute_alignments(index, licenses.scan_words(text))
+        assert [(p["label"], p["word"], round(p["score"], 9)) for p in got[i]["places"]] == \
+            [(licenses.TEMPLATES[t].label, at, round(score, 9)) for t, at, score in want]
+        assert got[i]["labels"] == ",".join(sorted({licenses.TEMPLATES[t].label for t, _, _ in want}))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.randoms(use_true_random=False))
+def test_rarity_changes_no_place(rng):
+    words = licenses.scan_words(license_text(rng))
+    index = licenses.RareTokenIndex(1000, {w: rng.randrange(1000) for w in licenses.VOCABULARY})
+    assert index.find(words) == brute_alignments(index, words)
+
+
+def test_rare_words_are_looked_up_first():
+    held = {w: 900 for w in licenses.VOCABULARY} | {b"mozilla": 1}
+    index = licenses.RareTokenIndex(1000, held)
+    words = licenses.scan_words("public license " * 500 + "the mozilla public license " + "public license " * 500)
+    mpl = next(t for t, x in enumerate(licenses.TEMPLATES) if x.label == "mpl-2.0")
+    assert len(index.alignments(words)[mpl]) == 1
+    assert min(index.rank, key=index.rank.get) == b"mozilla"
+
+
+def test_whole_licence_texts(documents):
+    whole = {t.label: " ".join(w.decode() for w in t.words) for t in licenses.TEMPLATES if not t.base}
+    out = {r["doc_id"]: r for r in licenses.scan_licenses(documents(list(enumerate(whole.values())))).collect()}
+    for i, label in enumerate(whole):
+        assert label in out[i]["labels"].split(",") and out[i]["score"] == 1.0
+    cut = "Redistributions of source code must retain the above copyright notice,\nthis list of conditions"
+    got = licenses.scan_licenses(documents([(1, cut)])).first()
+    assert got["labels"] == "bsd" and 0 < got["score"] < 1
