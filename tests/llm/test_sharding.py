@@ -76,3 +76,25 @@ def test_query_columns(spark, documents, folder):
     out = sharding.op1_histogram_sort_shards(spark, folder(documents=documents([(1, "a"), (2, None)])))
     assert out.columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
     assert out.count() == 2
+
+
+def test_shards_and_slots_follow_a_full_sort(documents, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.common import hash_bits
+    docs = documents([(i, f"text {i % 700} " * (i % 7 + 1)) for i in range(3000)] + [(None, "one text")] * 300)
+    keys = {(r["doc_id"], r["crc"]): (r["t"], r["d"]) for r in docs.select(
+        "doc_id", F.crc32(F.col("text").cast("binary")).alias("crc"), hash_bits(38, F.col("text")).alias("t"),
+        hash_bits(13, F.col("doc_id")).alias("d")).collect()}
+
+    def ordered():
+        got = sorted(shards(docs), key=lambda r: (r["shard"], r["slot"]))
+        check(got, 8)
+        # Copies of a row differ in nothing but their place, so the order of the keys is all there is.
+        order = [keys[r["doc_id"], r["text_crc32"]] for r in got]
+        assert order == sorted(order) and len(order) == 3300
+        return [(r["doc_id"], r["text_crc32"], r["shard"], r["slot"]) for r in got]
+    whole = ordered()
+    monkeypatch.setattr(sharding, "MOST_LEAF_ROWS", 20)
+    finer = ordered()
+    assert sorted(x[:2] for x in finer if x[0]) == sorted(x[:2] for x in whole if x[0])

@@ -28,8 +28,9 @@ from tidemark.llm.common import hash_bits, staged, table
 SHIFTS = (51, 45, 38, 31, 25, 19, 12, 6, 0)
 #: A splitter may miss its wanted weight by this part of a shard.
 TOLERANCE = 0.01
-#: A bin is divided while it has more rows than this and than 1/2048 of all.
-LEAF_ROWS = 1000
+#: A bin is divided while it has more rows than this and than 1/2048 of all, or than the most
+#: that one task is to sort whole (with their texts, in the pipeline) at any size of the input.
+LEAF_ROWS, MOST_LEAF_ROWS = 1000, 500_000
 
 
 def sort_key(text: Column, doc_id: Column) -> Column:
@@ -46,11 +47,12 @@ def refined_histogram(keyed: DataFrame, n_shards: int, tolerance: float) -> tupl
     were divided further.
 
     The driver receives one count per non-empty bin: at most 4096 first, then at most 128
-    for each divided bin, whose number is bounded by the shards and by 2048.
+    for each divided bin, whose number is bounded by the shards, by 2048 and, for more than a
+    billion rows, by one bin in ``MOST_LEAF_ROWS`` of them.
     """
     rows, weight = keyed.agg(F.count(F.lit(1)), F.coalesce(F.sum("_size"), F.lit(0))).first()
     wanted = [weight * i / n_shards for i in range(1, n_shards)]
-    slack, most_rows = tolerance * weight / n_shards, max(LEAF_ROWS, rows // 2048)
+    slack, most_rows = tolerance * weight / n_shards, min(max(LEAF_ROWS, rows // 2048), MOST_LEAF_ROWS)
     bins: dict[int, tuple[int, int]] = {}
     divided: list[tuple[int, list[int]]] = []
     part = keyed
