@@ -75,3 +75,12 @@ def test_a_source_of_repeated_rows_is_narrowed_down(documents):
     for s, n in (("a", 18_000), ("b", 900)):
         of = [r for r in got if r["source"] == s]
         assert abs(sum(r["taken"] for r in of) - of[0]["target"]) <= 2
+
+
+def test_rows_without_an_id_draw_by_their_text(documents):
+    rows = [(None, f"w{i} a b", "en", "a") for i in range(1200)]
+
+    def drawn(parts):
+        got = mixing.mix_sources(documents(rows, parts=parts), budget=0.5, carry=["text"]).collect()
+        return sorted(r["text"] for r in got if r["copies"])
+    assert drawn(3) == drawn(5) and abs(len(drawn(3)) - 600) <= 1

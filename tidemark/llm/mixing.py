@@ -3,7 +3,7 @@
 Each source gets a token target: its weight's share of the budget, at most ``max_epochs``
 times its size, the excess shared again by weight.  Whole epochs come first (every document
 once or twice); the fractional rest is a weighted sample without replacement: each document
-draws an exponential key -ln(u) / quality, u from a hash of its id and a seed, and a source
+draws an exponential key -ln(u) / quality, u from a hash of its id, text and a seed, and a source
 takes documents by ascending key until its rest is spent.
 
 A source may hold a third of all rows, so no task ranks a source: a histogram over key
@@ -11,7 +11,7 @@ prefixes gives, by exact sums, the bin where the rest runs out; it is refined un
 is small.  Bins below it are taken whole, and only its rows are ordered.
 
 Nulls and odd input: a null text has size 0; a null source is a source of its own, last in
-order; a null quality counts as 1; repeated rows are documents of their own; a source of
+order; rows with a null id draw by their text; a null quality counts as 1; repeated rows are documents of their own; a source of
 size 0 has target 0; an empty table gives no rows.
 """
 
@@ -32,9 +32,9 @@ SHIFTS = (51, 39, 27, 12, 0)
 BOUNDARY_ROWS = 2000
 
 
-def exponential_key(doc_id: Column, quality: Column, salt: Column, seed: int) -> Column:
-    """63 bits that order rows as -ln(u) / quality does, copies of an id by a 12-bit salt."""
-    u = (hash_bits(52, doc_id, F.lit(seed)).cast("double") + 0.5) / float(1 << 52)
+def exponential_key(identity: Column, quality: Column, salt: Column, seed: int) -> Column:
+    """63 bits that order rows as -ln(u) / quality does, copies of a row by a 12-bit salt."""
+    u = (hash_bits(52, identity, F.lit(seed)).cast("double") + 0.5) / float(1 << 52)
     # 1 - exp(-key) = 1 - u ** (1 / quality) rises with the key and lies between 0 and 1.
     fraction = F.lit(1.0) - F.pow(u, F.lit(1.0) / quality)
     scaled = F.least(F.floor(fraction * float(1 << 51)), F.lit((1 << 51) - 1))
@@ -76,13 +76,14 @@ def mix_sources(docs: DataFrame, quality: DataFrame | None = None, budget: float
     made = {"size", "source_size", "target", "copies", "taken"}
     keep = [c for c in (carry if carry is not None else [id_col]) if c not in made]
     rows = docs.select(*keep, F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), n_words(F.col(text_col)).alias("_size"),
-                       hash_bits(12, F.monotonically_increasing_id()).alias("_salt"))
+                       F.xxhash64(F.col(id_col), F.col(text_col)).alias("_identity"), hash_bits(12, F.monotonically_increasing_id()).alias("_salt"))
     if quality is not None:
         weights_of = staged(quality.select(F.col("doc_id").alias("_id"), F.col("quality_weight").alias("_q")), "mix-quality")
         rows = rows.join(broadcast_if_small(weights_of), "_id", "left")
     else:
         rows = rows.withColumn("_q", F.lit(None).cast("double"))
-    rows = staged(rows.withColumn("_key", exponential_key(F.col("_id"), F.coalesce("_q", F.lit(1.0)), F.col("_salt"), seed)).drop("_q", "_salt"), "mix")
+    rows = staged(rows.withColumn("_key", exponential_key(F.col("_identity"), F.coalesce("_q", F.lit(1.0)), F.col("_salt"), seed))
+                  .drop("_q", "_salt", "_identity"), "mix")
 
     sizes = rows.groupBy(F.col("_source").alias("source")).agg(F.sum("_size").alias("source_size"))
     # A row for each source; from here on sources go by number, as null does not join.
