@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -76,3 +78,61 @@ def test_empty_tables(spark, documents):
     docs = documents([(1, " ".join(ITEM))])
     assert leaked(docs, benchmark(spark, [])) == set()
     assert decontam.decontaminate(docs, benchmark(spark, [])).count() == 1
+
+
+def test_short_items_are_whole_lines_and_scripts_without_blanks_have_seeds(spark, documents):
+    han = "模型不应该在训练数据中看到这道题目的答案"
+    docs = documents([(1, "some words\nToo short!\nmore words here"), (2, "this is too short a text"), (3, "前言" + han + "结束"), (4, "完全不同的一段话没有任何重复")])
+    bench = benchmark(spark, [(1, "too short"), (2, han)])
+    assert leaked(docs, bench) == {(1, 1), (3, 2)}
+
+
+def test_repetitive_pairs_end_soon():
+    import time
+    start = time.time()
+    same = lambda n: decontam.Runs(np.arange(n - 3), np.full(n - 3, 7, dtype=np.uint64))
+    assert decontam.tiled(same(20_000), same(2_000)) == [(2_000, 0, 0)]
+    words = ["a", "b"]
+    rng = random.Random(3)
+    doc, item = ([words[rng.randrange(2)] for _ in range(n)] for n in (20_000, 2_000))
+    h = WordHashes()
+    runs = [decontam.Runs(np.arange(len(x) - 3), grams(h.of([w.encode() for w in x]), 4)) for x in (doc, item)]
+    found = decontam.tiled(*runs)
+    for n, p, q in found:
+        assert doc[p:p + n] == item[q:q + n]
+    assert sorted((n for n, _, _ in found), reverse=True) == [n for n, _, _ in found]
+    assert time.time() - start < 30
+
+
+def test_items_that_begin_alike_and_common_seeds(spark, documents):
+    """Common seeds are not looked up, yet count for the pairs that share another one."""
+    head = [f"h{i}" for i in range(6)]
+    item = lambda k: head + [f"i{k}w{j}" for j in range(40)]
+    bench = benchmark(spark, [(k, " ".join(item(k))) for k in range(60)])
+    docs = documents([(k, " ".join(head + [f"d{k}w{j}" for j in range(30)])) for k in range(40)]
+                     + [(100, " ".join(item(7)[:23])), (101, " ".join(item(8)[:22]))])
+    assert leaked(docs, bench) == {(100, 7)}
+    assert leaked(docs, bench, block_seeds=0) == {(100, 7)}
+    sought = decontam.item_seeds(bench).groupBy("sought").count().collect()
+    assert {r["sought"]: r["count"] for r in sought} == {False: 60 * 3, True: 60 * 40}
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abcdef"), max_size=30), min_size=1, max_size=25), st.lists(st.lists(st.sampled_from("abcdef"), min_size=4, max_size=12), min_size=1, max_size=25))
+def test_leaks_match_brute_force(spark, texts, items):
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    bench = benchmark(spark, [(k, " ".join(i)) for k, i in enumerate(items)])
+    expected = {(k, j) for k, t in enumerate(texts) for j, i in enumerate(items)
+                if 2 * sum(n for n, _, _ in brute_tiles(t, i)) >= len(i) and brute_tiles(t, i)}
+    assert leaked(docs, bench) == expected
+
+
+def test_columns_setting_and_staged_tables(spark, documents):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = documents([(1, " ".join(ITEM)), (2, "clean words only in this one")])
+    for c in ("_digest", "_doc_", "item", "_id", "_row"):
+        docs = docs.withColumn(c, docs.doc_id)
+    kept = decontam.decontaminate(docs, benchmark(spark, [(1, " ".join(ITEM))]))
+    assert kept.columns == docs.columns and [r["_digest"] for r in kept.collect()] == [2]
+    assert spark.conf.get(name) == before
