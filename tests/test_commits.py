@@ -204,3 +204,65 @@ def test_unknown_status_is_refused(spark, scratch):
     J.ensure_history(spark, st)
     with pytest.raises(Exception, match="unknown run status"):
         J.append_history(spark, st, [J._history_row(spec(scratch, []), 1, "Done", None, None, "h", 1.0) | {"started_utc": J.utc_now()}])
+
+
+def test_a_source_is_read_once_a_run(spark, scratch):
+    """Capped, uncapped, with few and with many keys: the extract is evaluated once."""
+    def read(cap, keys, at="few"):
+        seen = spark.sparkContext.accumulator(0)
+
+        def counted(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+        sp = spec(f"{scratch}/{cap}-{at}", [], batch=10, cap=cap or 10, ppc=2,
+                  extract=lambda s, p: s.range(1, keys + 1).selectExpr("id AS key", "'x' AS name").mapInArrow(counted, "key long, name string"))
+        st = store(f"{scratch}/{cap}-{at}")
+        assert J.run_job(spark, replace(sp, max_records=cap), st)["records_read"] == min(cap or keys, keys)
+        return seen.value
+    assert read(30, 500) == 500 and read(None, 500) == 500
+    J.FEW_KEYS, few = 50, J.FEW_KEYS
+    try:
+        assert read(None, 500, "many") == 500
+    finally:
+        J.FEW_KEYS = few
+
+
+@pytest.mark.parametrize("few", [100_000, 3])
+def test_catching_up_leaves_what_capped_runs_leave(spark, scratch, monkeypatch, few):
+    """One extract for the whole backlog; pages, commits and runs as one capped run after another makes them."""
+    monkeypatch.setattr(J, "FEW_KEYS", few)
+    left, calls = {}, {True: 0, False: 0}
+    for catch_up in (False, True):
+        def extract(s, p):
+            calls[catch_up] += 1
+            return rows_extract(range(1, 58))(s, p)
+        sp, st = spec(f"{scratch}/{catch_up}", [], batch=2, cap=10, ppc=2, extract=extract), store(f"{scratch}/{catch_up}")
+        while J.sync_tables(spark, [sp], st, catch_up=catch_up).first().status == "Success":
+            pass
+        h = history(spark, st)
+        runs = [x.sync_run for x in h]
+        left[catch_up] = ([(x.run_id, x.status, x.source_row_id_from, x.source_row_id_to, x.records_read, x.commit_id) for x in h],
+                          [sorted(set(runs), key=runs.index).index(r) for r in runs], target_keys(spark, sp, st))
+    assert left[True] == left[False] and left[True][2] == list(range(1, 58))
+    assert calls == {False: 7, True: 2}
+
+
+def test_a_lost_catch_up_goes_on_after_its_commits(spark, scratch):
+    steps = []
+
+    def lost(commit_id):
+        steps.append(commit_id)
+        if len(steps) == 3:
+            raise RuntimeError("lost")
+    sp, st = spec(scratch, range(1, 42), batch=2, cap=4, ppc=1), store(scratch)
+    assert J.run_job(spark, sp, st, before_history=lost, catch_up=True)["status"] == "Failed"
+    assert target_keys(spark, sp, st) == [1, 2, 3, 4]
+    assert J.run_job(spark, sp, st, catch_up=True)["records_read"] == 37
+    assert target_keys(spark, sp, st) == list(range(1, 42))
+
+
+def test_copies_beyond_a_cap_are_fetched(spark, scratch):
+    sp, st = spec(scratch, [1, 2, 2, 2, 3], batch=2, cap=2), store(scratch)
+    assert J.run_job(spark, sp, st)["records_read"] == 4 and target_keys(spark, sp, st) == [1, 2, 2, 2]
+    assert J.run_job(spark, sp, st)["records_read"] == 1 and target_keys(spark, sp, st) == [1, 2, 2, 2, 3]

@@ -108,6 +108,15 @@ def few_page_ranges(staged: DataFrame, key: str, batch: int, cap: int | None = N
         F.min(key).alias("key_from"), F.max(key).alias("key_to"), F.sum("rows").alias("rows"))
 
 
+def lowest(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The ``n`` rows with the lowest keys, in one pass: every task forwards its lowest ones.
+    ``_after`` holds, in the last of them, the key of the row that would be next: if it is the
+    same, copies of that key are missing."""
+    place, order = F.row_number().over(Window.orderBy(key)), Window.orderBy(key)
+    rows = df.orderBy(key).limit(n + 1).withColumn("_place", place).withColumn("_after", F.lead(key).over(order))
+    return rows.filter(F.col("_place") <= n).withColumn("_after", F.when(F.col("_place") == n, F.col("_after"))).drop("_place")
+
+
 def nth_key(df: DataFrame, key: str, n: int):
     """The ``n``-th lowest key, or the last one (None: no rows): every task keeps its ``n``
     lowest keys, so the cost beyond one scan of the key column grows with ``n`` alone."""

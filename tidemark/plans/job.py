@@ -4,12 +4,15 @@ commit-logged writes → history.
 Per run, Spark does the work in a few distributed jobs rather than one round trip per
 page.  The cursor is handed to the extract, so it reaches the scan.
 
-1. Stop key.  A capped run takes the n lowest keys above the cursor (``paging.nth_key``), so
-   its cost follows the cap, not the backlog.
-2. Stage.  The rows up to that key are written once, which cuts the lineage and keeps
+1. Stage.  The extract is evaluated once, into a table that cuts the lineage and keeps
    numbering and writes on one snapshot: pages are always cut from the rows that were staged.
-   Many rows are staged in key order (``paging.stage_ordered``).  The same pass observes the
-   longest value of every column with a declared width.
+   A capped run stages only its lowest rows (``paging.lowest``), so that what it writes follows
+   the cap, not the backlog; only where copies of one key lie across the cap are they fetched
+   by a second pass.  Many rows are then staged in key order (``paging.stage_ordered``).
+2. Runs.  A run that catches up (``catch_up``) does what capped runs one after another would do
+   with the rows there at its start: the snapshot is staged once, and its pages are dealt to
+   runs of at most ``max_records`` rows, each with a ``sync_run`` of its own in the history.
+   Chunks do not cross runs; a commit step may hold several.
 3. Steps.  Pages form chunks of ``pages_per_commit``, chunks form steps of 1, 1, 2, 4, 8, …
    chunks.  Step by step, the rows are cast and written to a folder of the target, and the
    history rows of its pages are appended: one append is one commit point.
@@ -44,7 +47,7 @@ import zlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import valid_status
@@ -58,8 +61,8 @@ from ..session import clear_stale, make_dirs, path_exists, remove_path, stage
 MAX_BATCH = 100_000
 MAX_RUN_RECORDS = 10_000_000
 JOB_KEY = re.compile(r"[A-Za-z0-9_.]+")
-# Up to this many keys are cut into pages by one task (a table of keys and counts); a run cap
-# of up to this many rows is found as the n-th lowest key.  More are staged in key order.
+# Up to this many keys are cut into pages by one task (a table of keys and counts); the rows of a
+# run cap of up to this many are taken as the lowest.  More are staged in key order.
 FEW_KEYS = 100_000
 # Chunks that one task looks at in a row.
 BUCKET = 4096
@@ -213,8 +216,12 @@ def step_of(chunk: Column) -> Column:
 
 
 def _history_frame(spec: JobSpec, ranges: DataFrame, run_id_base: int, started, completed, host: str,
-                   duration: float, sync_run: str | None, data_id: str, reload: int | None) -> DataFrame:
-    """History rows of one step, one per page, built on the executors."""
+                   duration: float, sync_run: str | None, data_id: str, reload: int | None, several: bool = False) -> DataFrame:
+    """History rows of one step, one per page, built on the executors.  ``several``: each run
+    that a page belongs to has a ``sync_run`` of its own."""
+    sync_run = F.lit(sync_run).cast("string")
+    if several:
+        sync_run = F.concat(sync_run, F.lit("-"), F.col("run_no").cast("string"))
     return ranges.select(
         (F.lit(run_id_base) + F.col("page_no")).cast("long").alias("run_id"),
         F.lit(started).cast("timestamp_ntz").alias("started_utc"),
@@ -230,7 +237,7 @@ def _history_frame(spec: JobSpec, ranges: DataFrame, run_id_base: int, started,
         F.lit(host).alias("host_machine"),
         F.lit(duration).cast("double").alias("duration_seconds"),
         F.col("commit_id"),
-        F.lit(sync_run).cast("string").alias("sync_run"),
+        sync_run.alias("sync_run"),
         F.lit(data_id).alias("data_id"),
         F.lit(reload).cast("int").alias("reload"),
         F.lit(spec.job_key).alias("sync_key"))
@@ -250,14 +257,28 @@ def key_before(ranges: DataFrame, few: bool) -> DataFrame:
     return chunks.withColumn("_inside", inside).join(buckets, "_bucket").select("chunk_no", F.coalesce("_inside", "_high").alias("_before"))
 
 
-def name_commits(spec: JobSpec, ranges: DataFrame, cursor: int, epoch: int, committed: int, tag: str, few: bool = False) -> DataFrame:
-    """``ranges`` with each page's ``chunk_no`` and ``commit_id``: the key before the chunk,
-    and with a lookback the pages committed before it."""
-    ranges = ranges.withColumn("chunk_no", F.expr(f"page_no div {int(spec.pages_per_commit)}"))
+def pages_per_run(spec: JobSpec) -> int | None:
+    return None if spec.max_records is None else P.cap_rows(spec.batch_size, spec.max_records) // spec.batch_size
+
+
+def name_commits(spec: JobSpec, ranges: DataFrame, cursor: int, epoch: int, committed: int, tag: str, few: bool = False,
+                 run_pages: int | None = None) -> DataFrame:
+    """``ranges`` with each page's ``run_no``, ``chunk_no`` and ``commit_id``: the key before the
+    chunk, and with a lookback the pages committed before it.  ``run_pages``: pages of each of
+    several runs (None: all are one run)."""
+    size = int(spec.pages_per_commit)
+    if run_pages is None:
+        run, chunk, first = F.lit(0), F.expr(f"page_no div {size}"), F.col("chunk_no") * F.lit(size)
+    else:
+        chunks = -(-run_pages // size)
+        run = F.expr(f"page_no div {run_pages}")
+        chunk = F.expr(f"page_no div {run_pages} * {chunks} + page_no % {run_pages} div {size}")
+        first = F.col("run_no") * F.lit(run_pages) + F.col("chunk_no") % F.lit(chunks) * F.lit(size)
+    ranges = ranges.withColumn("run_no", run.cast("long")).withColumn("chunk_no", chunk)
     last = key_before(ranges, few)
     name = [F.lit(f"{spec.job_key}-e{epoch}{tag}-c"), F.coalesce("_before", F.lit(cursor)).cast("string")]
     if spec.lookback > 0:
-        name += [F.lit("-p"), (F.lit(committed) + F.col("chunk_no") * F.lit(int(spec.pages_per_commit))).cast("string")]
+        name += [F.lit("-p"), (F.lit(committed) + first).cast("string")]
     return ranges.join(last, "chunk_no", "left").withColumn(K.COMMIT_COL, F.concat(*name)).drop("_before")
 
 
@@ -267,12 +288,12 @@ class Staged:
     rows: DataFrame
     path: str
     few: bool
-    # Longest value of each column with a declared width, as the staging pass saw it.
+    # Longest staged value of each column with a declared width.
     longest: dict = field(default_factory=dict)
 
     @property
     def columns(self) -> list[str]:
-        return [c for c in self.rows.columns if c not in ("_part", "_place")]
+        return [c for c in self.rows.columns if c not in ("_part", "_place", "_after")]
 
 
 def cut_pages(staged: Staged, key: str, batch: int, cap: int | None) -> DataFrame:
@@ -293,17 +314,18 @@ def copy_staged(spark: SparkSession, spec: JobSpec, store: Store, staged: Staged
                 now: Callable[[], dt.datetime] = utc_now, deadline: float | None = None,
                 before_history: Callable[[str], None] | None = None, tag: str = "",
                 capped: bool = True, sync_run: str | None = None, t0: float | None = None,
-                reload: int | None = None) -> dict:
+                reload: int | None = None, catch_up: bool = False) -> dict:
     """Copy staged rows step by step: per step one folder of the target is written, then the
     history rows of its pages are appended, which commits them."""
     t0, started = time.monotonic() if t0 is None else t0, now()
     totals = dict(read=0, inserted=0, first=None, last=None, pages=0)
-    cap = spec.max_records if capped else None
+    cap = spec.max_records if capped and not catch_up else None
+    run_pages = pages_per_run(spec) if catch_up else None
     paths = []
     try:
         K.check_arity(staged.rows.select(*staged.columns), spec.target_columns, spec.job_key)
         committed = committed_pages(spark, store, spec.job_key) if spec.lookback > 0 else 0
-        ranges = name_commits(spec, cut_pages(staged, key, spec.batch_size, cap), cursor, epoch, committed, tag, staged.few)
+        ranges = name_commits(spec, cut_pages(staged, key, spec.batch_size, cap), cursor, epoch, committed, tag, staged.few, run_pages)
         ranges, path = stage(ranges.withColumn("step", step_of(F.col("chunk_no"))), spark, spec.job_key, store_name(store))
         paths.append(path)
         # One row per step: a few dozen at most.
@@ -324,7 +346,7 @@ def copy_staged(spark: SparkSession, spec: JobSpec, store: Store, staged: Staged
                 before_history(step["commit_id"])
             took = time.monotonic()
             pages = ranges.filter(F.col("step") == step["step"])
-            _history_frame(spec, pages, base, started, now(), host, (took - at) / step["pages"], sync_run, step["commit_id"], reload).coalesce(
+            _history_frame(spec, pages, base, started, now(), host, (took - at) / step["pages"], sync_run, step["commit_id"], reload, run_pages is not None).coalesce(
                 1).sortWithinPartitions("run_id").write.mode("append").partitionBy("sync_key").parquet(store.history_location)
             at = took
             totals["read"] += step["rows"]
@@ -362,47 +384,69 @@ def store_name(store: Store) -> str:
 
 def stage_pending(spark: SparkSession, spec: JobSpec, pending: DataFrame, key: str, store: Store,
                   capped: bool = True, deadline: float | None = None) -> Staged | None:
-    """Stage the rows this run copies; None when there are none.  A capped run finds the key it
-    stops at first, so a large backlog is never rewritten every run."""
+    """Stage the rows this run copies; None when there are none.  ``pending`` is evaluated once.
+    Two exceptions, so that no capped run rewrites a large backlog: copies of one key that lie
+    across a small cap, and a cap of more than ``FEW_KEYS`` rows, whose keys are staged first."""
     name = (spec.job_key, store_name(store))
     cap = P.cap_rows(spec.batch_size, spec.max_records) if capped else None
-    few = cap is not None and cap <= FEW_KEYS
-    last = P.nth_key(pending, key, cap) if few else None
-    if not few:
-        waiting = pending.select(key).count()
-        few = waiting <= FEW_KEYS
-        if not waiting:
-            return None
-        if cap is not None and waiting > cap:
-            keys, path = P.stage_ordered(pending.select(key), key, *name)
-            try:
-                check_deadline(spec, deadline)
-                last = P.key_at(P.number_staged(keys, key), key, cap)
-            finally:
-                remove_path(spark, path)
-    elif last is None:
-        return None
-    check_deadline(spec, deadline)
-    if last is not None:
-        pending = pending.filter(F.col(key) <= F.lit(last))
-    widths, seen = K.widths(spec.target_types), Observation()
+    widths = K.widths(spec.target_types)
     longest = [F.max(F.length(F.col(c).cast("string"))).alias(t) for c, t in zip(pending.columns, spec.target_columns) if t in widths]
+    paths = []
 
-    def watch(df: DataFrame) -> DataFrame:
-        return df.observe(seen, *longest) if longest else df
-    if few:
-        staged, path = stage(watch(pending), spark, *name)
-    else:
-        staged, path = P.stage_ordered(pending, key, *name, watch=watch)
-    return Staged(staged, path, few, seen.get if longest else {})
+    def staged(df: DataFrame) -> DataFrame:
+        check_deadline(spec, deadline)
+        out, path = stage(df, spark, *name)
+        paths.append(path)
+        return out
+
+    def done(rows: DataFrame, few: bool) -> Staged:
+        # What was staged on the way goes; the rows' own table is the last one.
+        for path in paths[:-1]:
+            remove_path(spark, path)
+        return Staged(rows, paths[-1], few, rows.agg(*longest).first().asDict() if longest else {})
+    try:
+        if cap is not None and cap <= FEW_KEYS:
+            rows = staged(P.lowest(pending, key, cap))
+            waiting, last, after = rows.agg(F.count(F.lit(1)), F.max(key), F.max("_after")).first()
+            if after is not None and after == last:
+                rows = staged(pending.filter(F.col(key) <= F.lit(last)))
+            few = True
+        else:
+            if cap is None:
+                rows = staged(pending)
+                waiting = rows.count()
+            else:
+                keys = staged(pending.select(key))
+                waiting = keys.count()
+                if waiting > cap:
+                    ordered, path = P.stage_ordered(keys, key, *name)
+                    paths.append(path)
+                    check_deadline(spec, deadline)
+                    last = P.key_at(P.number_staged(ordered, key), key, cap)
+                    pending = pending.filter(F.col(key) <= F.lit(last))
+                rows = staged(pending) if waiting else keys
+            few = waiting <= FEW_KEYS
+            if not few:
+                check_deadline(spec, deadline)
+                rows, path = P.stage_ordered(rows, key, *name)
+                paths.append(path)
+        if waiting:
+            return done(rows, few)
+    except BaseException:
+        for path in paths:
+            remove_path(spark, path)
+        raise
+    for path in paths:
+        remove_path(spark, path)
+    return None
 
 
 def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float | None = None,
             now: Callable[[], dt.datetime] = utc_now, host: str | None = None,
             before_history: Callable[[str], None] | None = None, sync_run: str | None = None,
-            reload: int | None = None) -> dict:
+            reload: int | None = None, catch_up: bool = False) -> dict:
     """Copy the rows above the job's cursor, at most ``max_records`` (rounded up to
-    whole pages).  Returns the run's aggregate result (not stored).  A failure is
+    whole pages), or with ``catch_up`` all that are there, as runs of so many.  Returns the run's aggregate result (not stored).  A failure is
     recorded as a ``Failed`` history row; pages committed before it have rows of their own.
     ``sync_run`` names the run that the history rows belong to; ``reload`` the epoch of a full
     reload, which starts at key 0.  The result's ``too_wide`` lists every column with a value
@@ -426,7 +470,7 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
         ensure_history(spark, store)
         # A run whose driver died left its staging table behind; one writer per job
         # means any staging folder of this job now is such a leftover.
-        clear_stale(spark, spec.job_key, store_name(store))
+        clear_stale(spark, "stage", spec.job_key, store_name(store))
         log_unsent(spark, spec, store, now)
         cursor, epoch = current_cursor(spark, store, spec.job_key) if reload is None else (0, reload)
         check_deadline(spec, deadline)
@@ -445,11 +489,11 @@ def run_job(spark: SparkSession, spec: JobSpec, store: Store, deadline: float |
             # reaches the target scan, so the anti join reads the lookback window only.
             done = done.filter(F.col(spec.target_columns[0]) > F.lit(low))
             pending = K.insert_missing(pending, done, key, spec.target_columns[0])
-        staged = stage_pending(spark, spec, pending, key, store, deadline=deadline)
+        staged = stage_pending(spark, spec, pending, key, store, capped=not catch_up, deadline=deadline)
         if staged is not None:
             wide = too_wide(spec, staged.longest)
             totals = copy_staged(spark, spec, store, staged, key, cursor, epoch, host, now, deadline,
-                                 before_history, sync_run=sync_run, t0=t0, reload=reload)
+                                 before_history, sync_run=sync_run, t0=t0, reload=reload, catch_up=catch_up)
         if totals["pages"] == 0:
             row = _history_row(spec, next_run_id(spark, store), STATUS_NO_NEW_DATA, started, now(), host,
                                time.monotonic() - t0, sync_run=sync_run)
@@ -568,12 +612,13 @@ RESULT_COLUMNS = ["sync_key", "status", "started_utc", "completed_utc", "source_
 
 def sync_tables(spark: SparkSession, specs: Sequence[JobSpec], store: Store,
                 deadline_seconds: float | None = None, now: Callable[[], dt.datetime] = utc_now,
-                before_history: Callable[[str], None] | None = None) -> DataFrame:
+                before_history: Callable[[str], None] | None = None, catch_up: bool = False) -> DataFrame:
     """Run every job in order; one failing job does not stop the others.  The deadline
     is checked before each step.  All history rows of the jobs carry the same ``sync_run``.
-    Returns one result row per job."""
+    With ``catch_up`` every job makes as many capped runs as its waiting rows need (run ``k`` of
+    all jobs has the ``sync_run`` with the suffix ``-k``).  Returns one result row per job."""
     deadline, sync_run = time.time() + deadline_seconds if deadline_seconds else None, uuid.uuid4().hex
-    results = [run_job(spark, s, store, deadline, now, before_history=before_history, sync_run=sync_run) for s in specs]
+    results = [run_job(spark, s, store, deadline, now, before_history=before_history, sync_run=sync_run, catch_up=catch_up) for s in specs]
     schema = ("sync_key string, status string, started_utc timestamp_ntz, completed_utc timestamp_ntz, "
               "source_row_id_from long, source_row_id_to long, records_read int, records_inserted int, "
               "pages int, error_message string, duration_seconds double")
