@@ -101,3 +101,14 @@ def test_columns_of_any_name_come_back(spark):
     out = {r["doc_id"]: r for r in repeats.remove_repeats(df).collect()}
     assert all(out[i][n] == "mine" for i in out for n in names)
     assert out[1]["text"] == unit and out[1]["removed"] is None and unit not in out[2]["text"]
+
+
+def test_units_are_shuffled_without_padding(documents, monkeypatch):
+    """Nothing of variable length in the rows that are staged and shuffled: no offsets, no length prefixes."""
+    from tidemark.llm import repeats
+    kinds, staged = [], repeats.staged
+    monkeypatch.setattr(repeats, "staged", lambda df, name: kinds.append(df.schema.simpleString()) or staged(df, name))
+    line = "one two three four five six seven"
+    got = repeats.repeated_units(documents([(1, line), (2, f"{line}\nother words here that stand alone once")])).collect()
+    assert [(r.doc_id, r.start, r.chars, r.words, r.copies, r.kept) for r in sorted(got)] == [(1, 0, len(line), 7, 2, True), (2, 0, len(line), 7, 2, False)]
+    assert kinds and not any("binary" in k for k in kinds)
