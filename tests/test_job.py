@@ -1,6 +1,8 @@
 """Engine cases: the sync job on tiny frames with real writes."""
 
 import datetime as dt
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -527,3 +529,62 @@ def test_sent_log_follows_commits(spark, scratch):
     assert sorted(r.row_id for r in spark.read.parquet(sp.sent_log).collect()) == [1, 2]
     J.run_job(spark, sp, st)
     assert sorted(r.row_id for r in spark.read.parquet(sp.sent_log).collect()) == [1, 2, 3, 4, 5]
+
+
+def test_rows_of_the_next_step_are_written_during_an_append(spark, scratch, monkeypatch):
+    sp, st = spec(scratch, [1, 2, 3, 4], batch=1), store(scratch)
+    write, frame, started, met = K.write_commit, J._history_frame, threading.Semaphore(0), []
+
+    def written(*a, **kw):
+        started.release()
+        write(*a, **kw)
+
+    def appended(*a, **kw):
+        if len(met) < 2:                                    # of the steps 0, 1 and 2-3, two have one after them
+            met.append(started.acquire(timeout=20))
+        return frame(*a, **kw)
+    monkeypatch.setattr(K, "write_commit", lambda *a, **kw: (written if a[2] != "JOB1-e0-c0" else write)(*a, **kw))
+    monkeypatch.setattr(J, "_history_frame", appended)
+    assert J.run_job(spark, sp, st)["status"] == "Success"
+    assert met == [True, True]
+    assert [x.commit_id for x in history(spark, st)] == ["JOB1-e0-c0", "JOB1-e0-c1", "JOB1-e0-c2", "JOB1-e0-c3"]
+    assert target_keys(spark, sp, st) == [1, 2, 3, 4]
+
+
+def test_a_step_that_fails_during_an_append_keeps_the_step_before(spark, scratch, monkeypatch):
+    sp, st = spec(scratch, [1, 2, 3, 4], batch=1), store(scratch)
+    write, frame = K.write_commit, J._history_frame
+
+    def fails(df, location, commit_id, fmt="parquet"):
+        if commit_id == "JOB1-e0-c1":
+            raise RuntimeError("no space")
+        write(df, location, commit_id, fmt)
+
+    def slow(*a, **kw):
+        time.sleep(1)
+        return frame(*a, **kw)
+    with monkeypatch.context() as m:
+        m.setattr(K, "write_commit", fails)
+        m.setattr(J, "_history_frame", slow)
+        r = J.run_job(spark, sp, st)
+    assert (r["status"], r["records_read"], r["source_row_id_to"], r["error_message"]) == ("Failed", 1, 1, "RuntimeError: no space")
+    assert target_keys(spark, sp, st) == [1]
+    assert J.run_job(spark, sp, st)["records_read"] == 3
+    assert target_keys(spark, sp, st) == [1, 2, 3, 4]
+
+
+def test_an_append_that_fails_stops_the_run(spark, scratch, monkeypatch):
+    sp, st = spec(scratch, [1, 2, 3, 4], batch=1), store(scratch)
+    frame = J._history_frame
+
+    def fails(spec_, pages, *a, **kw):
+        if pages.first()["commit_id"] == "JOB1-e0-c1":
+            raise RuntimeError("no history")
+        return frame(spec_, pages, *a, **kw)
+    with monkeypatch.context() as m:
+        m.setattr(J, "_history_frame", fails)
+        r = J.run_job(spark, sp, st)
+    assert (r["status"], r["records_read"], r["error_message"]) == ("Failed", 1, "RuntimeError: no history")
+    assert target_keys(spark, sp, st) == [1]
+    assert J.run_job(spark, sp, st)["records_read"] == 3
+    assert target_keys(spark, sp, st) == [1, 2, 3, 4]

@@ -15,10 +15,12 @@ page.  The cursor is handed to the extract, so it reaches the scan.
    Chunks do not cross runs; a commit step may hold several.
 3. Steps.  Pages form chunks of ``pages_per_commit``, chunks form steps of 1, 1, 2, 4, 8, …
    chunks.  Step by step, the rows are cast and written to a folder of the target, and the
-   history rows of its pages are appended: one append is one commit point.
+   history rows of its pages are appended: one append is one commit point.  The rows of the next
+   step are written meanwhile; its own append waits for the one before.
 
 What a failure loses: the step it happens in, so at most about half of a run's pages; earlier
-steps are committed, and the next run starts after them with a step of one chunk.  A value that
+steps are committed, and the next run starts after them with a step of one chunk.  (A driver that
+dies may also lose the step before, if its append was under way.)  A value that
 cannot be written therefore stops a job at its own chunk, not before.  Uncommitted folders are
 invisible to readers; a retry derives the same id and overwrites its leftover.
 
@@ -45,10 +47,12 @@ import traceback
 import uuid
 import zlib
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from ..functions.scalars import valid_status
 from ..operators import history as H
@@ -243,13 +247,11 @@ def _history_frame(spec: JobSpec, ranges: DataFrame, run_id_base: int, started,
         F.lit(spec.job_key).alias("sync_key"))
 
 
-def key_before(ranges: DataFrame, few: bool) -> DataFrame:
+def key_before(ranges: DataFrame) -> DataFrame:
     """The last key of the chunk before each chunk (``chunk_no``, ``_before``).  Chunk numbers may
-    leave some out, where the copies of one key fill more than a page.  Many chunks are looked at
-    in buckets, and one row per bucket gives the key before each bucket."""
+    leave some out, where the copies of one key fill more than a page.  Chunks are looked at in
+    buckets, and one row per bucket gives the key before each bucket."""
     chunks = ranges.groupBy("chunk_no").agg(F.max("key_to").alias("_to"))
-    if few:
-        return chunks.select("chunk_no", F.lag("_to").over(Window.orderBy("chunk_no")).alias("_before"))
     chunks = chunks.withColumn("_bucket", F.expr(f"chunk_no div {BUCKET}"))
     buckets = chunks.groupBy("_bucket").agg(F.max("_to").alias("_high")).select(
         "_bucket", F.lag("_high").over(Window.orderBy("_bucket")).alias("_high"))
@@ -275,11 +277,16 @@ def name_commits(spec: JobSpec, ranges: DataFrame, cursor: int, epoch: int, comm
         chunk = F.expr(f"page_no div {run_pages} * {chunks} + page_no % {run_pages} div {size}")
         first = F.col("run_no") * F.lit(run_pages) + F.col("chunk_no") % F.lit(chunks) * F.lit(size)
     ranges = ranges.withColumn("run_no", run.cast("long")).withColumn("chunk_no", chunk)
-    last = key_before(ranges, few)
     name = [F.lit(f"{spec.job_key}-e{epoch}{tag}-c"), F.coalesce("_before", F.lit(cursor)).cast("string")]
     if spec.lookback > 0:
         name += [F.lit("-p"), (F.lit(committed) + first).cast("string")]
-    return ranges.join(last, "chunk_no", "left").withColumn(K.COMMIT_COL, F.concat(*name)).drop("_before")
+    if few:
+        # Few pages: a window of one task, without a join that would cut them a second time.
+        before = Window.orderBy("chunk_no").rangeBetween(Window.unboundedPreceding, -1)
+        ranges = ranges.withColumn("_before", F.max("key_to").over(before))
+    else:
+        ranges = ranges.join(key_before(ranges), "chunk_no", "left")
+    return ranges.withColumn(K.COMMIT_COL, F.concat(*name)).drop("_before")
 
 
 @dataclass(frozen=True)
@@ -322,6 +329,18 @@ def copy_staged(spark: SparkSession, spec: JobSpec, store: Store, staged: Staged
     cap = spec.max_records if capped and not catch_up else None
     run_pages = pages_per_run(spec) if catch_up else None
     paths = []
+
+    def append(step, pages: DataFrame, part: DataFrame, base: int, took: float) -> None:
+        """Commit a step whose rows are written."""
+        _history_frame(spec, pages, base, started, now(), host, took / step["pages"], sync_run, step["commit_id"], reload, run_pages is not None).coalesce(
+            1).sortWithinPartitions("run_id").write.mode("append").partitionBy("sync_key").parquet(store.history_location)
+        totals["read"] += step["rows"]
+        totals["inserted"] += step["rows"]
+        totals["first"] = step["first"] if totals["first"] is None else totals["first"]
+        totals["last"] = step["last"]
+        totals["pages"] += step["pages"]
+        if spec.sent_log is not None and reload is None:
+            K.log_sent(part, spec.sent_log, key, step["commit_id"], now())
     try:
         K.check_arity(staged.rows.select(*staged.columns), spec.target_columns, spec.job_key)
         committed = committed_pages(spark, store, spec.job_key) if spec.lookback > 0 else 0
@@ -329,33 +348,29 @@ def copy_staged(spark: SparkSession, spec: JobSpec, store: Store, staged: Staged
         ranges, path = stage(ranges.withColumn("step", step_of(F.col("chunk_no"))), spark, spec.job_key, store_name(store))
         paths.append(path)
         # One row per step: a few dozen at most.
-        steps = ranges.groupBy("step").agg(
+        steps = sorted(ranges.groupBy("step").agg(
             F.count(F.lit(1)).alias("pages"), F.sum("rows").alias("rows"), F.min("key_from").alias("first"),
-            F.max("key_to").alias("last"), F.min_by(K.COMMIT_COL, "page_no").alias("commit_id")).orderBy("step").collect()
+            F.max("key_to").alias("last"), F.min_by(K.COMMIT_COL, "page_no").alias("commit_id")).collect())
         if not steps:
             return totals
-        base, at = next_run_id(spark, store), t0
-        for step in steps:
-            check_deadline(spec, deadline)
-            part = staged.rows.filter(F.col(key).between(step["first"], step["last"]))
-            rows = part.select(*[F.col(c).alias(t) for c, t in zip(staged.columns, spec.target_columns)])
-            rows = K.to_types(rows.sortWithinPartitions(spec.target_columns[0]) if staged.few else rows, spec.target_types)
-            K.write_commit(rows, spec.target_location, step["commit_id"], spec.fmt)
-            check_deadline(spec, deadline)
-            if before_history is not None:
-                before_history(step["commit_id"])
-            took = time.monotonic()
-            pages = ranges.filter(F.col("step") == step["step"])
-            _history_frame(spec, pages, base, started, now(), host, (took - at) / step["pages"], sync_run, step["commit_id"], reload, run_pages is not None).coalesce(
-                1).sortWithinPartitions("run_id").write.mode("append").partitionBy("sync_key").parquet(store.history_location)
-            at = took
-            totals["read"] += step["rows"]
-            totals["inserted"] += step["rows"]
-            totals["first"] = step["first"] if totals["first"] is None else totals["first"]
-            totals["last"] = step["last"]
-            totals["pages"] += step["pages"]
-            if spec.sent_log is not None and reload is None:
-                K.log_sent(part, spec.sent_log, key, step["commit_id"], now())
+        base, at, appended = next_run_id(spark, store), t0, None
+        # However this ends, the append that is under way ends first.
+        with ThreadPoolExecutor(1) as appender:
+            for step in steps:
+                check_deadline(spec, deadline)
+                part = staged.rows.filter(F.col(key).between(step["first"], step["last"]))
+                rows = part.select(*[F.col(c).alias(t) for c, t in zip(staged.columns, spec.target_columns)])
+                rows = K.to_types(rows.sortWithinPartitions(spec.target_columns[0]) if staged.few else rows, spec.target_types)
+                K.write_commit(rows, spec.target_location, step["commit_id"], spec.fmt)
+                if appended is not None:
+                    appended.result()
+                check_deadline(spec, deadline)
+                if before_history is not None:
+                    before_history(step["commit_id"])
+                took, at = time.monotonic() - at, time.monotonic()
+                pages = ranges.filter(F.col("step") == step["step"])
+                appended = appender.submit(inheritable_thread_target(spark)(append), step, pages, part, base, took)
+            appended.result()
         return totals
     except Exception as exc:  # noqa: BLE001
         raise ChunkFailure(exc, totals) from exc
@@ -391,7 +406,7 @@ def stage_pending(spark: SparkSession, spec: JobSpec, pending: DataFrame, key: s
     cap = P.cap_rows(spec.batch_size, spec.max_records) if capped else None
     widths = K.widths(spec.target_types)
     longest = [F.max(F.length(F.col(c).cast("string"))).alias(t) for c, t in zip(pending.columns, spec.target_columns) if t in widths]
-    paths = []
+    paths, seen = [], None
 
     def staged(df: DataFrame) -> DataFrame:
         check_deadline(spec, deadline)
@@ -403,7 +418,8 @@ def stage_pending(spark: SparkSession, spec: JobSpec, pending: DataFrame, key: s
         # What was staged on the way goes; the rows' own table is the last one.
         for path in paths[:-1]:
             remove_path(spark, path)
-        return Staged(rows, paths[-1], few, rows.agg(*longest).first().asDict() if longest else {})
+        found = (seen or rows.agg(*longest).first().asDict()) if longest else {}
+        return Staged(rows, paths[-1], few, found)
     try:
         if cap is not None and cap <= FEW_KEYS:
             rows = staged(P.lowest(pending, key, cap))
@@ -414,7 +430,8 @@ def stage_pending(spark: SparkSession, spec: JobSpec, pending: DataFrame, key: s
         else:
             if cap is None:
                 rows = staged(pending)
-                waiting = rows.count()
+                seen = rows.agg(*longest, F.count(F.lit(1)).alias("_waiting")).first().asDict()
+                waiting = seen.pop("_waiting")
             else:
                 keys = staged(pending.select(key))
                 waiting = keys.count()
@@ -610,6 +627,14 @@ RESULT_COLUMNS = ["sync_key", "status", "started_utc", "completed_utc", "source_
                   "duration_seconds"]
 
 
+def run_jobs(spark: SparkSession, specs: Sequence[JobSpec], store: Store, deadline_seconds: float | None = None,
+             now: Callable[[], dt.datetime] = utc_now, before_history: Callable[[str], None] | None = None,
+             catch_up: bool = False) -> list[dict]:
+    """The results of ``sync_tables``, as ``run_job`` gives them."""
+    deadline, sync_run = time.time() + deadline_seconds if deadline_seconds else None, uuid.uuid4().hex
+    return [run_job(spark, s, store, deadline, now, before_history=before_history, sync_run=sync_run, catch_up=catch_up) for s in specs]
+
+
 def sync_tables(spark: SparkSession, specs: Sequence[JobSpec], store: Store,
                 deadline_seconds: float | None = None, now: Callable[[], dt.datetime] = utc_now,
                 before_history: Callable[[str], None] | None = None, catch_up: bool = False) -> DataFrame:
@@ -617,8 +642,7 @@ def sync_tables(spark: SparkSession, specs: Sequence[JobSpec], store: Store,
     is checked before each step.  All history rows of the jobs carry the same ``sync_run``.
     With ``catch_up`` every job makes as many capped runs as its waiting rows need (run ``k`` of
     all jobs has the ``sync_run`` with the suffix ``-k``).  Returns one result row per job."""
-    deadline, sync_run = time.time() + deadline_seconds if deadline_seconds else None, uuid.uuid4().hex
-    results = [run_job(spark, s, store, deadline, now, before_history=before_history, sync_run=sync_run, catch_up=catch_up) for s in specs]
+    results = run_jobs(spark, specs, store, deadline_seconds, now, before_history, catch_up)
     schema = ("sync_key string, status string, started_utc timestamp_ntz, completed_utc timestamp_ntz, "
               "source_row_id_from long, source_row_id_to long, records_read int, records_inserted int, "
               "pages int, error_message string, duration_seconds double")
