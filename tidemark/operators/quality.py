@@ -90,11 +90,11 @@ def reconcile_counts(target: DataFrame, history: DataFrame, key: str,
     """Target rows, distinct target keys and rows the history says were inserted."""
     spark = target.sparkSession
     h = live(history if sync_key is None else history.filter(F.col("sync_key") == sync_key))
-    rows = count_of(target)
-    keys = target.select(F.count_distinct(key)).scalar()
+    # One pass over the target for both counts.
+    both = target.select(F.struct(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("keys"))).scalar()
     logged = h.filter(F.col("status") == "Success").select(
         F.coalesce(F.sum("records_inserted"), F.lit(0)).cast("long")).scalar()
-    out = _scalars(spark, target_rows=rows, distinct_keys=keys, logged_inserted=logged)
+    out = _scalars(spark, target_rows=both.getField("rows"), distinct_keys=both.getField("keys"), logged_inserted=logged)
     return out.withColumn("agree", (F.col("target_rows") == F.col("distinct_keys"))
                           & (F.col("target_rows") == F.col("logged_inserted")))
 
